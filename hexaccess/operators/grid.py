@@ -58,11 +58,13 @@ def hex_polyfill_union(zones: DataFrame, res: int, p: Params = Params(), zone_co
 
 
 def hex_geometry(hexes: DataFrame, res: int) -> DataFrame:
-    """Add ``geometry`` (closed ring), ``centroid`` and ``area_km2`` to (hex_id, q, r)."""
+    """Add ``geometry`` (closed ring), ``centroid`` and ``area_km2`` to (hex_id, q, r).
+    A regular hexagon's centroid is its centre, so it is taken exactly from
+    the axial coordinates rather than re-derived from the rounded vertices."""
     ring = hexgrid.hex_boundary(F.col("q"), F.col("r"), res)
     return (
         hexes.withColumn("geometry", ring)
-        .withColumn("centroid", polygon.polygon_centroid(F.col("geometry")))
+        .withColumn("centroid", hexgrid.hex_center(F.col("q"), F.col("r"), res))
         .withColumn("area_km2", polygon.polygon_area(F.col("geometry")) / F.lit(1.0e6))
     )
 
