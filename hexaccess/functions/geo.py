@@ -201,3 +201,51 @@ def tile_xy(lon, lat, zoom) -> Column:
         F.least(F.greatest(x, F.lit(0)), top).alias("x"),
         F.least(F.greatest(y, F.lit(0)), top).alias("y"),
     )
+
+
+# --- staged forms -------------------------------------------------------------------
+# The Column forms above nest every intermediate term, which is fine for a
+# few rows but makes large expression trees.  The staged forms add the
+# intermediate terms as columns, one projection per stage, so each term is
+# computed once per row and the generated code stays small.
+
+def with_utm(df, lon, lat, x_out: str = "x", y_out: str = "y", zone: int = 35, south: bool = True):
+    """``df`` plus UTM columns computed from lon/lat columns."""
+    keep = [F.col(c) for c in df.columns if c not in (x_out, y_out)]
+    lam0 = math.radians(central_meridian(zone))
+    e = F.lit(_E)
+    s1 = df.select(*keep, F.radians(_c(lat).cast("double")).alias("_phi"),
+                   (F.radians(_c(lon).cast("double")) - F.lit(lam0)).alias("_dl"))
+    s2 = s1.select(*keep, F.sinh(F.atanh(F.sin("_phi")) - e * F.atanh(e * F.sin("_phi"))).alias("_t"), "_dl")
+    s3 = s2.select(*keep, F.atan2(F.col("_t"), F.cos("_dl")).alias("_xi"),
+                   F.atanh(F.sin("_dl") / F.sqrt(F.lit(1.0) + F.col("_t") * F.col("_t"))).alias("_eta"))
+    xi, eta = F.col("_xi"), F.col("_eta")
+    e_sum, n_sum = eta, xi
+    for j, a in enumerate(_ALPHA, start=1):
+        e_sum = e_sum + F.lit(a) * F.cos(F.lit(2.0 * j) * xi) * F.sinh(F.lit(2.0 * j) * eta)
+        n_sum = n_sum + F.lit(a) * F.sin(F.lit(2.0 * j) * xi) * F.cosh(F.lit(2.0 * j) * eta)
+    k0a = UTM_K0 * _RECT_A
+    return s3.select(*keep, (F.lit(UTM_FALSE_EASTING) + F.lit(k0a) * e_sum).alias(x_out),
+                     (F.lit(k0a) * n_sum + F.lit(UTM_FALSE_NORTHING_SOUTH if south else 0.0)).alias(y_out))
+
+
+def with_lonlat(df, x, y, lon_out: str = "lon", lat_out: str = "lat", zone: int = 35, south: bool = True):
+    """``df`` plus lon/lat columns computed from UTM x/y columns."""
+    keep = [F.col(c) for c in df.columns if c not in (lon_out, lat_out)]
+    k0a = UTM_K0 * _RECT_A
+    s1 = df.select(*keep,
+                   ((_c(y).cast("double") - F.lit(UTM_FALSE_NORTHING_SOUTH if south else 0.0)) / F.lit(k0a)).alias("_xi"),
+                   ((_c(x).cast("double") - F.lit(UTM_FALSE_EASTING)) / F.lit(k0a)).alias("_eta"))
+    xi, eta = F.col("_xi"), F.col("_eta")
+    xp, ep = xi, eta
+    for j, b in enumerate(_BETA, start=1):
+        xp = xp - F.lit(b) * F.sin(F.lit(2.0 * j) * xi) * F.cosh(F.lit(2.0 * j) * eta)
+        ep = ep - F.lit(b) * F.cos(F.lit(2.0 * j) * xi) * F.sinh(F.lit(2.0 * j) * eta)
+    s2 = s1.select(*keep, xp.alias("_xp"), ep.alias("_ep"))
+    s3 = s2.select(*keep, F.asin(F.sin("_xp") / F.cosh("_ep")).alias("_chi"), "_xp", "_ep")
+    chi = F.col("_chi")
+    phi = chi
+    for j, dd in enumerate(_DELTA, start=1):
+        phi = phi + F.lit(dd) * F.sin(F.lit(2.0 * j) * chi)
+    lam = F.lit(math.radians(central_meridian(zone))) + F.atan2(F.sinh("_ep"), F.cos("_xp"))
+    return s3.select(*keep, F.degrees(lam).alias(lon_out), F.degrees(phi).alias(lat_out))

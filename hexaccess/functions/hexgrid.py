@@ -109,3 +109,26 @@ def hex_candidate_cols(xmin, xmax, r, res: int, pad: int = 1) -> Column:
 def parent_res_axial(x, y, res: int) -> Column:
     """Axial coordinates of the coarser (res - 1) hexagon containing a centre."""
     return hex_axial(x, y, res - 1)
+
+
+def with_hex_assign(df, x, y, res: int, out: str = "hex_id", keep_axial: bool = False):
+    """Staged form of ``hex_assign``: fractional axial coordinates, then the
+    cube rounding, each computed once per row."""
+    keep = [F.col(c) for c in df.columns if c not in (out, "q", "r")]
+    s = hex_edge_m(res)
+    s1 = df.select(*keep, ((F.lit(SQRT3 / 3.0) * _c(x) - _c(y) / F.lit(3.0)) / F.lit(s)).alias("_fq"),
+                   ((F.lit(2.0 / 3.0) * _c(y)) / F.lit(s)).alias("_fr"))
+    fq, fr = F.col("_fq"), F.col("_fr")
+    s2 = s1.select(*keep, "_fq", "_fr", (-fq - fr).alias("_fs"), _round_half_up(fq).alias("_rq"),
+                   _round_half_up(fr).alias("_rr"), _round_half_up(-fq - fr).alias("_rs"))
+    rq, rr, rs = F.col("_rq"), F.col("_rr"), F.col("_rs")
+    s3 = s2.select(*keep, "_rq", "_rr", "_rs", F.abs(rq - fq).alias("_dq"), F.abs(rr - fr).alias("_dr"),
+                   F.abs(rs - F.col("_fs")).alias("_ds"))
+    dq, dr, ds = F.col("_dq"), F.col("_dr"), F.col("_ds")
+    q_wins = (dq > dr) & (dq > ds)
+    s4 = s3.select(*keep, F.when(q_wins, -rr - rs).otherwise(rq).cast("long").alias("q"),
+                   F.when(~q_wins & (dr > ds), -rq - rs).otherwise(rr).cast("long").alias("r"))
+    out_cols = [*keep, hex_id(F.lit(res), F.col("q"), F.col("r")).alias(out)]
+    if keep_axial:
+        out_cols += ["q", "r"]
+    return s4.select(*out_cols)

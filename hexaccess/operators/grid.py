@@ -40,14 +40,15 @@ def hex_polyfill(zones: DataFrame, res: int, p: Params = Params(), zone_col: str
         F.explode(hexgrid.hex_candidate_cols(F.col("_xmin"), F.col("_xmax"), F.col("r"), res)).alias("q"),
     )
     c = hexgrid.hex_center(F.col("q"), F.col("r"), res)
-    ll = geo.to_lonlat(c["x"], c["y"], zone, south)
+    cand = cand.select(zone_col, "_ring", "q", "r", c["x"].alias("_cx"), c["y"].alias("_cy"))
+    ll = geo.with_lonlat(cand, "_cx", "_cy", "_lon", "_lat", zone, south)
     rbb = polygon.ring_bbox(F.col("_ring"))
+    lon, lat = F.col("_lon"), F.col("_lat")
     inside = (
-        (ll["x"] >= rbb["xmin"]) & (ll["x"] <= rbb["xmax"])
-        & (ll["y"] >= rbb["ymin"]) & (ll["y"] <= rbb["ymax"])
-        & polygon.point_in_ring(ll["x"], ll["y"], F.col("_ring"))
+        (lon >= rbb["xmin"]) & (lon <= rbb["xmax"]) & (lat >= rbb["ymin"]) & (lat <= rbb["ymax"])
+        & polygon.point_in_ring(lon, lat, F.col("_ring"))
     )
-    return cand.where(inside).select(
+    return ll.where(inside).select(
         zone_col, "q", "r", hexgrid.hex_id(F.lit(res), F.col("q"), F.col("r")).alias("hex_id"))
 
 

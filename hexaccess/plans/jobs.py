@@ -54,10 +54,20 @@ def exposure_cells(pop: Raster, flood: Raster, p: Params = Params()) -> DataFram
     the flood scan and the join's build side shrinks to the wet area.
     """
     cells = raster_align(pop, flood, name="depth", fill=0.0, only_where=F.col("value") > 0)
-    u = reproject_xy(F.col("x"), F.col("y"), pop.meta.crs, p.analysis_crs)
-    return cells.withColumn("_u", u).select(
-        "row", "col", "value", "depth",
-        hexgrid.hex_assign(F.col("_u.x"), F.col("_u.y"), p.resolution).alias("hex_id"))
+    cells = cells.select("row", "col", "value", "depth", "x", "y")
+    cells = to_analysis_crs(cells, pop.meta.crs, p)
+    return hexgrid.with_hex_assign(cells, "_ux", "_uy", p.resolution).select(
+        "row", "col", "value", "depth", "hex_id")
+
+
+def to_analysis_crs(df: DataFrame, crs: str, p: Params, x: str = "x", y: str = "y") -> DataFrame:
+    """Add ``_ux``/``_uy``: the x/y columns transformed into the analysis CRS."""
+    if crs == p.analysis_crs:
+        return df.withColumn("_ux", F.col(x)).withColumn("_uy", F.col(y))
+    if crs == "EPSG:4326":
+        return geo.with_utm(df, x, y, "_ux", "_uy", p.utm_zone, p.south_hemisphere)
+    u = reproject_xy(F.col(x), F.col(y), crs, p.analysis_crs)
+    return df.withColumn("_ux", u["x"]).withColumn("_uy", u["y"])
 
 
 def zonal_exposure(pop: Raster, flood: Raster, p: Params = Params()) -> DataFrame:
@@ -77,9 +87,22 @@ def exposure(grid: DataFrame, pop: Raster, flood: Raster, p: Params = Params())
     return g.withColumn("exposure_pct", scoring.exposure_pct(F.col("population_exposed"), F.col("population")))
 
 
-def accessibility(grid: DataFrame, facilities: DataFrame, p: Params = Params()) -> DataFrame:
+def materialise(df: DataFrame) -> DataFrame:
+    """Write a stage result to the session's shared checkpoint folder and
+    read it back: cuts lineage so later stages (and executor loss) never
+    recompute the raster work, like the stage tables of a database run."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def accessibility(grid: DataFrame, facilities: DataFrame, p: Params = Params(),
+                  materialise_input: bool = True) -> DataFrame:
     """Straight-line distance from each populated hexagon centroid to
-    the nearest facility, its class and score."""
+    the nearest facility, its class and score.  The nearest search reads
+    the points several times, so the input grid is materialised first
+    unless the caller already did."""
+    if materialise_input:
+        grid = materialise(grid)
     populated = grid.where(F.col("population") > 0).select(
         "hex_id", F.col("centroid.x").alias("x"), F.col("centroid.y").alias("y"))
     nn = nearest_distance_km(populated, facilities).drop("nearest_facility_id")
@@ -108,13 +131,12 @@ def priority_scores(grid: DataFrame, p: Params = Params()) -> DataFrame:
         F.col("exposure_score"), F.col("accessibility_score"), p.exposure_weight, p.accessibility_weight)))
 
 
-def priority(grid: DataFrame, p: Params = Params(), materialise: bool = True) -> DataFrame:
+def priority(grid: DataFrame, p: Params = Params(), materialise_input: bool = True) -> DataFrame:
     """C4: priority score and class.  The grid is checkpointed first (to the
     session's shared checkpoint folder) because the exact percentile passes
     scan it several times."""
-    if materialise:
-        ensure_checkpoint_dir(grid.sparkSession)
-        grid = grid.checkpoint(eager=True)
+    if materialise_input:
+        grid = materialise(grid)
     scored = priority_scores(grid, p)
     t_hi, t_mid = priority_thresholds(scored, p)
     if t_hi is None:
@@ -126,9 +148,9 @@ def priority(grid: DataFrame, p: Params = Params(), materialise: bool = True) ->
 def analysis_grid(inputs: Inputs, p: Params = Params()) -> DataFrame:
     """Grid -> exposure -> accessibility -> priority (the fixed stage order)."""
     g = build_grid(inputs.admin, p)
-    g = exposure(g, inputs.population, inputs.flood, p)
-    g = accessibility(g, inputs.facilities, p)
-    return priority(g, p)
+    g = materialise(exposure(g, inputs.population, inputs.flood, p))
+    g = materialise(accessibility(g, inputs.facilities, p, materialise_input=False))
+    return priority(g, p, materialise_input=False)
 
 
 def pipeline(spark: SparkSession, sf_dir: str, p: Params = Params()) -> dict[str, DataFrame]:

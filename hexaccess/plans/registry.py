@@ -88,3 +88,14 @@ def grid_attributes(g: DataFrame) -> DataFrame:
 @query("pipeline")
 def q_pipeline(spark, sf):
     return grid_attributes(analysis(spark, sf))
+
+
+@query("nearest_distance")
+def q_nearest_distance(spark, sf):
+    """Populated hexagon centroid -> nearest facility distance (km)."""
+    from hexaccess.operators.nearest import nearest_distance_km
+    inp = jobs.load_inputs(spark, sf, P)
+    g = jobs.exposure(jobs.build_grid(inp.admin, P), inp.population, inp.flood, P)
+    pts = g.where("population > 0").select("hex_id", F.col("centroid.x").alias("x"), F.col("centroid.y").alias("y"))
+    nn = nearest_distance_km(jobs.materialise(pts), inp.facilities)
+    return nn.select("hex_id", r("nearest_facility_km", 6).alias("nearest_facility_km"))

@@ -98,8 +98,8 @@ def facilities_lonlat(spark: SparkSession, sf_dir: str, p: Params = Params()) ->
 def facilities(spark: SparkSession, sf_dir: str, p: Params = Params()) -> DataFrame:
     """Facilities in the analysis CRS: (id, name, amenity, x, y)."""
     f = facilities_lonlat(spark, sf_dir, p)
-    u = geo.to_utm(F.col("lon"), F.col("lat"), p.utm_zone, p.south_hemisphere)
-    return f.select("id", "name", "amenity", u["x"].alias("x"), u["y"].alias("y"))
+    return geo.with_utm(f, "lon", "lat", "x", "y", p.utm_zone, p.south_hemisphere).select(
+        "id", "name", "amenity", "x", "y")
 
 
 def admin_lonlat(spark: SparkSession, sf_dir: str, p: Params = Params(), tiles: int = 5) -> DataFrame:

@@ -56,3 +56,10 @@ def _pipeline():
             f"{_r('nearest_facility_km', 6, 'nearest_facility_km')}, accessibility_class, "
             f"{_r('accessibility_score', 6, 'accessibility_score')}, {_r('exposure_score', 6, 'exposure_score')}, "
             f"{_r('priority_score', 6, 'priority_score')}, priority_class FROM ({priority_grid_sql()}) p")
+
+
+@oracle("nearest_distance")
+def _nearest_distance():
+    from sqlcheck import nearest_sql
+    pts = f"SELECT hex_id, cx, cy FROM ({exposure_grid_sql()}) e WHERE population > 0"
+    return f"SELECT hex_id, round(distance_m / 1000e0, 6) AS nearest_facility_km FROM ({nearest_sql(pts)}) n"
