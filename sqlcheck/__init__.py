@@ -289,3 +289,76 @@ def priority_grid_sql(res: int = RES) -> str:
     cls = (f"CASE WHEN ps.population > 0 THEN (CASE WHEN ps.priority_score >= th.p_hi THEN 'high' "
            f"WHEN ps.priority_score >= th.p_mid THEN 'medium' ELSE 'low' END) END")
     return (f"WITH ag AS ({ag}), ps AS ({ps}) SELECT ps.*, {cls} AS priority_class FROM ps, ({th}) th")
+
+
+# --------------------------------------------------------------------------- more derived inputs
+
+FIXTURE_BOX = (27.5, -4.0, 28.0, -3.5)
+
+
+def facilities_lonlat_sql() -> str:
+    return (f"SELECT CAST(s_suppkey AS BIGINT) AS id, s_name AS name, "
+            f"CASE WHEN s_suppkey % 2 = 0 THEN 'clinic' ELSE 'hospital' END AS amenity, "
+            f"{key_lon('s_suppkey')} AS lon, {key_lat('s_suppkey')} AS lat FROM supplier")
+
+
+def places_sql(half: float = 1e-4) -> str:
+    lon, lat = key_lon("p_partkey"), key_lat("p_partkey")
+    return (f"SELECT 'place_' || CAST(p_partkey AS VARCHAR) AS id, lower(p_type) AS theme, {lon} AS lon, {lat} AS lat, "
+            f"{lon} - {d(half)} AS xmin, {lon} + {d(half)} AS xmax, {lat} - {d(half)} AS ymin, "
+            f"{lat} + {d(half)} AS ymax FROM part")
+
+
+def contained(w: float, s: float, e: float, n: float) -> str:
+    return f"xmin >= {d(w)} AND xmax <= {d(e)} AND ymin >= {d(s)} AND ymax <= {d(n)}"
+
+
+def pop_points_sql() -> str:
+    return (f"SELECT CAST(c_custkey AS BIGINT) AS pid, {key_lon('c_custkey')} AS lon, {key_lat('c_custkey')} AS lat, "
+            f"greatest(c_acctbal, {d(0.0)}) AS weight FROM customer")
+
+
+def grid_vertices_sql(src: str, res: int = RES) -> str:
+    """7 boundary vertices (i = 0..6, closed) of the hexagons (q, r) in ``src``."""
+    s = hex_edge(res)
+    cx, cy = hex_center_exprs("q", "r", res)
+    ang = f"radians({d(30.0)} + {d(60.0)} * CAST(i % 6 AS DOUBLE))"
+    return (f"SELECT hex_id, i, {cx} + {d(s)} * cos({ang}) AS x, {cy} + {d(s)} * sin({ang}) AS y "
+            f"FROM (SELECT *, unnest(range(0, 7)) AS i FROM ({src}) _g) _gv")
+
+
+def ring_vertices_sql(src: str, rid: str, ring: str = "ring") -> str:
+    """(rid, i 1-based, x, y, nx, ny): each vertex with the next one (closed rings)."""
+    return (f"SELECT {rid}, i, {ring}[i].x AS x, {ring}[i].y AS y, {ring}[i + 1].x AS nx, {ring}[i + 1].y AS ny "
+            f"FROM (SELECT {rid}, {ring}, unnest(range(1, len({ring}))) AS i FROM ({src}) _s) _rv")
+
+
+def shoelace_sql(src: str, rid: str, ring: str = "ring") -> str:
+    """(rid, cross_sum): twice the signed area of each ring."""
+    return (f"SELECT {rid}, sum(x * ny - nx * y) AS cross_sum FROM ({ring_vertices_sql(src, rid, ring)}) _v GROUP BY {rid}")
+
+
+def self_cross_sql(src: str, rid: str, ring: str = "ring") -> str:
+    """rids whose ring has two non-adjacent edges properly crossing."""
+    e = ring_vertices_sql(src, rid, ring)
+    o = "((qx - px) * (ry - py) - (qy - py) * (rx - px))"
+
+    def orient(p, q, rr):
+        return o.replace("px", f"{p}x").replace("py", f"{p}y").replace("qx", f"{q}x").replace(
+            "qy", f"{q}y").replace("rx", f"{rr}x").replace("ry", f"{rr}y")
+    return f"""
+SELECT DISTINCT a.{rid} FROM ({e}) a JOIN ({e}) b ON a.{rid} = b.{rid} AND b.i >= a.i + 2
+JOIN (SELECT {rid}, len({ring}) - 1 AS n_edges FROM ({src}) _n) n ON n.{rid} = a.{rid}
+WHERE NOT (a.i = 1 AND b.i = n.n_edges)
+  AND {orient('a.', 'a.n', 'b.')} * {orient('a.', 'a.n', 'b.n')} < 0
+  AND {orient('b.', 'b.n', 'a.')} * {orient('b.', 'b.n', 'a.n')} < 0
+"""
+
+
+def tile_sql(lon: str, lat: str, z: str) -> tuple[str, str]:
+    n = f"pow({d(2.0)}, CAST({z} AS DOUBLE))"
+    x = f"least(greatest(CAST(floor(({lon} + {d(180.0)}) / {d(360.0)} * {n}) AS BIGINT), 0), CAST({n} AS BIGINT) - 1)"
+    lr = f"radians({lat})"
+    y = (f"least(greatest(CAST(floor(({d(1.0)} - ln(tan({lr}) + {d(1.0)} / cos({lr})) / {d(math.pi)}) / {d(2.0)} * {n}) "
+         f"AS BIGINT), 0), CAST({n} AS BIGINT) - 1)")
+    return x, y

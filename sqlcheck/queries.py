@@ -63,3 +63,173 @@ def _nearest_distance():
     from sqlcheck import nearest_sql
     pts = f"SELECT hex_id, cx, cy FROM ({exposure_grid_sql()}) e WHERE population > 0"
     return f"SELECT hex_id, round(distance_m / 1000e0, 6) AS nearest_facility_km FROM ({nearest_sql(pts)}) n"
+
+
+# ============================================================================ helpers
+from sqlcheck import (FIXTURE_BOX, aligned_sql, admin_rings_sql, contained, d, exposure_cells_sql,  # noqa: E402
+                      facilities_lonlat_sql, facilities_utm_sql, flood_cells_sql, grid_vertices_sql,
+                      hex_assign_sql, hex_center_exprs, lonlat_sql, nearest_sql, per_hex_sql, places_sql,
+                      pop_cells_sql, pop_points_sql, pop_xy_sql, ray_cast_sql, self_cross_sql, shoelace_sql,
+                      square_meta_sql, tile_sql, utm_sql, W, N)
+
+BW, BS, BE, BN = FIXTURE_BOX
+
+
+def _grid_inside():
+    """(hex_id, admin_id) pairs from the grid polyfill (centre in admin ring)."""
+    g = grid_sql()
+    return g.replace("SELECT DISTINCT hex_id, CAST(split_part(hex_id, '_', 2) AS BIGINT) AS q, "
+                     "CAST(split_part(hex_id, '_', 3) AS BIGINT) AS r FROM (", "SELECT hex_id, admin_id FROM (", 1)
+
+
+# ============================================================================ 2.1
+
+@oracle("scan_table")
+def _scan_table():
+    return f"SELECT id, round(x, 3) AS x, round(y, 3) AS y FROM ({facilities_utm_sql()}) f WHERE amenity = 'clinic'"
+
+
+@oracle("sql_query")
+def _sql_query():
+    return (f"SELECT amenity, count(*) AS n_facilities, min(id) AS first_id, max(id) AS last_id "
+            f"FROM ({facilities_utm_sql()}) f WHERE id >= 10 GROUP BY amenity")
+
+
+@oracle("lake_scan")
+def _lake_scan():
+    return f"SELECT id, theme, 'place' AS type, theme AS file_theme FROM ({places_sql()}) p"
+
+
+@oracle("bbox_contained")
+def _bbox_contained():
+    return f"SELECT id, theme FROM ({places_sql()}) p WHERE {contained(BW, BS, BE, BN)}"
+
+
+@oracle("lake_limit")
+def _lake_limit():
+    return f"SELECT id, theme FROM ({places_sql()}) p WHERE {contained(BW, BS, BE, BN)} ORDER BY id LIMIT 100"
+
+
+@oracle("geojson_features")
+def _geojson_features():
+    return (f"SELECT id, name, amenity, 'Point' AS geometry_type, round(lon, 9) AS lon, round(lat, 9) AS lat "
+            f"FROM ({facilities_lonlat_sql()}) f")
+
+
+@oracle("layer_scan")
+def _layer_scan():
+    return "SELECT CAST(n_nationkey AS BIGINT) AS admin_id, n_name AS NAME_3, 'gadm41_COD_3' AS layer FROM nation"
+
+
+@oracle("raster_cells")
+def _raster_cells():
+    return f"SELECT row, col, round(value, 6) AS value FROM ({pop_cells_sql()}) c WHERE NOT isnan(value)"
+
+
+@oracle("raster_cell_xy")
+def _raster_cell_xy():
+    return f"SELECT row, col, round(lon, 9) AS lon, round(lat, 9) AS lat FROM ({pop_xy_sql()}) c"
+
+
+@oracle("nearest_no_facilities")
+def _nearest_no_facilities():
+    return (f"SELECT hex_id, CAST(NULL AS DOUBLE) AS nearest_facility_km, CAST(NULL AS VARCHAR) AS accessibility_class, "
+            f"CAST(NULL AS DOUBLE) AS accessibility_score FROM ({grid_sql()}) g")
+
+
+# ============================================================================ 2.2
+
+@oracle("write_if_absent")
+def _write_if_absent():
+    return f"SELECT amenity, count(*) AS n_rows FROM ({facilities_lonlat_sql()}) f WHERE amenity = 'clinic' GROUP BY amenity"
+
+
+@oracle("update_by_key")
+def _update_by_key():
+    return (f"SELECT g.hex_id, round(coalesce(ph.population, 0e0), 6) AS population, "
+            f"round(coalesce(ph.population_exposed, 0e0), 6) AS population_exposed "
+            f"FROM ({grid_sql()}) g LEFT JOIN ({per_hex_sql()}) ph USING (hex_id)")
+
+
+def _grid_lonlat_vertices():
+    pg = f"SELECT hex_id, CAST(split_part(hex_id, '_', 2) AS BIGINT) AS q, CAST(split_part(hex_id, '_', 3) AS BIGINT) AS r FROM ({grid_sql()}) g"
+    return lonlat_sql(grid_vertices_sql(pg), "x", "y", "hex_id, i")
+
+
+@oracle("export_grid")
+def _export_grid():
+    bb = (f"SELECT hex_id, round(min(lon), 7) AS xmin, round(max(lon), 7) AS xmax, round(min(lat), 7) AS ymin, "
+          f"round(max(lat), 7) AS ymax FROM ({_grid_lonlat_vertices()}) v GROUP BY hex_id")
+    cen = lonlat_sql(f"SELECT hex_id, cx, cy, priority_class FROM ({priority_grid_sql()}) p", "cx", "cy",
+                     "hex_id, priority_class")
+    return (f"SELECT c.hex_id, 7 AS n_vertices, round(c.lon, 7) AS lon, round(c.lat, 7) AS lat, b.xmin, b.xmax, "
+            f"b.ymin, b.ymax, c.priority_class FROM ({cen}) c JOIN ({bb}) b USING (hex_id)")
+
+
+@oracle("export_geojson")
+def _export_geojson():
+    return (f"SELECT hex_id, priority_class, 'Polygon' AS geometry_type, 7 AS n_coords "
+            f"FROM ({priority_grid_sql()}) p WHERE population > 0")
+
+
+@oracle("raster_exposed")
+def _raster_exposed():
+    return (f"SELECT row // 32 AS tile_row, count(*) AS n_cells, "
+            f"round(sum(CASE WHEN depth > 0 THEN value ELSE 0e0 END), 6) AS value_sum "
+            f"FROM ({exposure_cells_sql()}) c GROUP BY row // 32")
+
+
+@oracle("raster_blocks")
+def _raster_blocks():
+    return (f"SELECT row // 32 AS block_row, col // 32 AS block_col, count(*) AS n_cells, round(sum(value), 6) AS value_sum, "
+            f"round(min(value), 6) AS value_min, round(max(value), 6) AS value_max FROM ({pop_cells_sql()}) c "
+            f"GROUP BY row // 32, col // 32")
+
+
+@oracle("raster_overview")
+def _raster_overview():
+    return (f"SELECT row // 4 AS row, col // 4 AS col, round(avg(value), 10) AS value FROM ({pop_cells_sql()}) c "
+            f"GROUP BY row // 4, col // 4")
+
+
+def _tiles_sql():
+    bb = (f"SELECT v.hex_id, min(lon) AS xmin, max(lon) AS xmax, min(lat) AS ymin, max(lat) AS ymax "
+          f"FROM ({_grid_lonlat_vertices()}) v JOIN (SELECT hex_id FROM ({exposure_grid_sql()}) e WHERE population > 0) p "
+          f"USING (hex_id) GROUP BY v.hex_id")
+    x0, y0 = tile_sql("xmin", "ymax", "zoom")
+    x1, y1 = tile_sql("xmax", "ymin", "zoom")
+    z = f"SELECT *, unnest(range(6, 11)) AS zoom FROM ({bb}) b"
+    xr = f"SELECT hex_id, zoom, {x0} AS tx0, {x1} AS tx1, {y0} AS ty0, {y1} AS ty1 FROM ({z}) z"
+    return (f"SELECT hex_id, zoom, tile_x, unnest(range(ty0, ty1 + 1)) AS tile_y FROM "
+            f"(SELECT *, unnest(range(tx0, tx1 + 1)) AS tile_x FROM ({xr}) a) b")
+
+
+@oracle("tile_features")
+def _tile_features():
+    return f"SELECT zoom, tile_x, tile_y, count(*) AS n_features FROM ({_tiles_sql()}) t GROUP BY zoom, tile_x, tile_y"
+
+
+@oracle("tile_thin")
+def _tile_thin():
+    t = (f"SELECT t.*, p.priority_score FROM ({_tiles_sql()}) t JOIN (SELECT hex_id, priority_score FROM "
+         f"({priority_grid_sql()}) pg) p USING (hex_id)")
+    return (f"SELECT zoom, tile_x, tile_y, hex_id, tile_rank FROM (SELECT *, row_number() OVER (PARTITION BY zoom, tile_x, "
+            f"tile_y ORDER BY priority_score DESC, hex_id) AS tile_rank FROM ({t}) a) b WHERE tile_rank <= 3")
+
+
+@oracle("output_manifest")
+def _output_manifest():
+    v = _grid_lonlat_vertices()
+    a = f"SELECT v.x AS lon, v.y AS lat FROM (SELECT unnest(ring) AS v FROM ({admin_rings_sql()}) r) u"
+    parts = [
+        ("h3_results", f"SELECT (SELECT count(*) FROM ({grid_sql()}) g) AS n_rows, min(lon) AS xmin, min(lat) AS ymin, "
+                       f"max(lon) AS xmax, max(lat) AS ymax FROM ({v}) v"),
+        ("admin_results", f"SELECT (SELECT count(*) FROM nation) AS n_rows, min(lon) AS xmin, min(lat) AS ymin, "
+                          f"max(lon) AS xmax, max(lat) AS ymax FROM ({a}) a"),
+        ("population_cells", f"SELECT count(*) AS n_rows, min(lon) AS xmin, min(lat) AS ymin, max(lon) AS xmax, "
+                             f"max(lat) AS ymax FROM ({pop_xy_sql()}) c"),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS asset, n_rows, round(xmin, 7) AS xmin, round(ymin, 7) AS ymin, round(xmax, 7) AS xmax, "
+        f"round(ymax, 7) AS ymax, 'application/vnd.apache.parquet' AS media_type, '2024-01-17T00:00:00' AS created "
+        f"FROM ({q}) _{n}" for n, q in parts)
