@@ -127,10 +127,8 @@ def ring_valid(ring) -> Column:
     ).alias("valid")
 
 
-def ring_repair(ring) -> Column:
-    """Drop consecutive duplicate vertices, close the ring and orient it
-    counter-clockwise.  Self-crossing rings are not untangled (see
-    ``ring_self_crosses``); callers route them to a reject table."""
+def ring_dedup(ring) -> Column:
+    """Drop vertices equal to their predecessor."""
     ring = _c(ring)
     idx = F.sequence(F.lit(0), F.size(ring) - 1)
     kept = F.filter(
@@ -138,12 +136,40 @@ def ring_repair(ring) -> Column:
         lambda i: (i == 0) | (_v(ring, i)["x"] != _v(ring, i - 1)["x"])
         | (_v(ring, i)["y"] != _v(ring, i - 1)["y"]),
     )
-    dedup = F.transform(kept, lambda i: _v(ring, i))
-    first, last = F.get(dedup, 0), F.get(dedup, F.size(dedup) - 1)
-    closed = F.when(
-        (first["x"] == last["x"]) & (first["y"] == last["y"]), dedup
-    ).otherwise(F.concat(dedup, F.array(first)))
-    return F.when(signed_area(closed) < 0, F.reverse(closed)).otherwise(closed)
+    return F.transform(kept, lambda i: _v(ring, i))
+
+
+def ring_close(ring) -> Column:
+    """Append the first vertex when the ring is not closed."""
+    ring = _c(ring)
+    first, last = F.get(ring, 0), F.get(ring, F.size(ring) - 1)
+    return F.when((first["x"] == last["x"]) & (first["y"] == last["y"]), ring).otherwise(
+        F.concat(ring, F.array(first)))
+
+
+def ring_orient_ccw(ring) -> Column:
+    ring = _c(ring)
+    return F.when(signed_area(ring) < 0, F.reverse(ring)).otherwise(ring)
+
+
+def with_barrier(df, col: str):
+    """Re-emit ``col`` through a one-element ``explode`` so later filters and
+    projections reference a generator output instead of inlining the whole
+    expression that built it (filter pushdown through projections would
+    otherwise copy deep array expressions into every reference)."""
+    others = [c for c in df.columns if c != col]
+    return df.select(*others, F.explode(F.array(F.col(col))).alias(col))
+
+
+def with_ring_repair(df, ring: str = "ring"):
+    """Drop consecutive duplicate vertices, close the ring and orient it
+    counter-clockwise, one projection per step (each step reads the
+    previous column, so expressions stay small).  Self-crossing rings are
+    not untangled (see ``ring_self_crosses``); callers route them to a
+    reject table."""
+    out = with_barrier(df.withColumn(ring, ring_dedup(F.col(ring))), ring)
+    out = with_barrier(out.withColumn(ring, ring_close(F.col(ring))), ring)
+    return with_barrier(out.withColumn(ring, ring_orient_ccw(F.col(ring))), ring)
 
 
 def clip_ring_halfplane(ring, axis: str, bound, keep_greater: bool) -> Column:

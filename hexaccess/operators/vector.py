@@ -17,25 +17,31 @@ def clip_layer_to_box(df: DataFrame, west: float, south: float, east: float, nor
     bb = polygon.ring_bbox(F.col(ring))
     overlaps = (bb["xmax"] >= F.lit(west)) & (bb["xmin"] <= F.lit(east)) & \
                (bb["ymax"] >= F.lit(south)) & (bb["ymin"] <= F.lit(north))
-    clipped = df.where(overlaps).withColumn(ring, polygon.clip_to_box(F.col(ring), west, south, east, north))
+    clipped = df.where(overlaps)
+    for axis, bound, keep_greater in (("x", west, True), ("x", east, False), ("y", south, True), ("y", north, False)):
+        clipped = polygon.with_barrier(
+            clipped.withColumn(ring, polygon.clip_ring_halfplane(F.col(ring), axis, bound, keep_greater)), ring)
     return clipped.where(F.size(F.col(ring)) >= 4)
 
 
 def validate(df: DataFrame, ring: str = "ring") -> DataFrame:
     """Validity flag and the reason it fails (first failing check)."""
     r = F.col(ring)
-    reason = (F.when(~polygon.ring_closed(r), F.lit("not_closed"))
+    checks = polygon.with_barrier(df, ring).withColumn("_closed", polygon.ring_closed(r)).withColumn("_area", polygon.signed_area(r)) \
+               .withColumn("_crosses", polygon.ring_self_crosses(r))
+    reason = (F.when(~F.col("_closed"), F.lit("not_closed"))
               .when(F.size(r) < 4, F.lit("too_few_points"))
-              .when(polygon.signed_area(r) == 0, F.lit("zero_area"))
-              .when(polygon.ring_self_crosses(r), F.lit("self_crossing")))
-    return df.withColumn("invalid_reason", reason).withColumn("valid", F.col("invalid_reason").isNull())
+              .when(F.col("_area") == 0, F.lit("zero_area"))
+              .when(F.col("_crosses"), F.lit("self_crossing")))
+    return (checks.withColumn("invalid_reason", reason).withColumn("valid", F.col("invalid_reason").isNull())
+            .drop("_closed", "_area", "_crosses"))
 
 
 def repair(df: DataFrame, ring: str = "ring") -> tuple[DataFrame, DataFrame]:
     """Repaired rings (duplicate points dropped, closed, counter-
     clockwise) and a reject table of rings that still fail (self-crossing
     or degenerate), instead of a silent topology rewrite."""
-    fixed = df.withColumn(ring, polygon.ring_repair(F.col(ring)))
+    fixed = polygon.with_ring_repair(df, ring)
     checked = validate(fixed, ring)
     ok = checked.where("valid").drop("valid", "invalid_reason")
     rejects = checked.where("NOT valid").drop("valid")

@@ -308,7 +308,7 @@ def q_raster_exposed(spark, sf):
         "row", "col", scoring.flood_mask(F.col("depth"), F.col("value")).alias("value"))
     path = write_raster(cells, _scratch(spark, "exposed_population"), block=32)
     back = spark.read.parquet(path)
-    return back.groupBy("tile_row").agg(F.count(F.lit(1)).alias("n_cells"), r(F.sum("value"), 6).alias("value_sum"))
+    return back.groupBy(F.col("tile_row").cast("long").alias("tile_row")).agg(F.count(F.lit(1)).alias("n_cells"), r(F.sum("value"), 6).alias("value_sum"))
 
 
 @query("raster_blocks")
@@ -338,7 +338,8 @@ def _tiles(spark, sf):
 def q_tile_features(spark, sf):
     """K9: feature rows keyed by (zoom, tile_x, tile_y)."""
     t = _tiles(spark, sf)
-    return t.groupBy("zoom", "tile_x", "tile_y").agg(F.count(F.lit(1)).alias("n_features"))
+    return t.groupBy(F.col("zoom").cast("long").alias("zoom"), "tile_x", "tile_y").agg(
+        F.count(F.lit(1)).alias("n_features"))
 
 
 @query("tile_thin")
@@ -346,7 +347,8 @@ def q_tile_thin(spark, sf):
     """K9: at most 3 features per tile, highest priority first."""
     from hexaccess.operators.tiles import tile_thin
     t = tile_thin(_tiles(spark, sf), 3, [F.col("priority_score").desc()])
-    return t.select("zoom", "tile_x", "tile_y", "hex_id", "tile_rank")
+    return t.select(F.col("zoom").cast("long").alias("zoom"), "tile_x", "tile_y", "hex_id",
+                    F.col("tile_rank").cast("long").alias("tile_rank"))
 
 
 @query("output_manifest")
@@ -431,14 +433,16 @@ def q_null_repair(spark, sf):
 def _test_rings(spark, sf) -> DataFrame:
     """Admin rings with deliberate defects by ``admin_id % 5``: 0 as is,
     1 closing point dropped, 2 a vertex repeated, 3 two vertices swapped
-    (bow-tie), 4 clockwise."""
+    with the 4th moved north (an uneven bow-tie), 4 clockwise."""
+    from hexaccess.functions import geo
     from hexaccess.sources.derived import admin_lonlat
     a = admin_lonlat(spark, sf, P)
     ring = F.col("ring")
     v = F.col("admin_id") % 5
     bad = (F.when(v == 1, F.slice(ring, 1, 4))
            .when(v == 2, F.concat(F.slice(ring, 1, 2), F.slice(ring, 2, 4)))
-           .when(v == 3, F.array(F.get(ring, 0), F.get(ring, 2), F.get(ring, 1), F.get(ring, 3), F.get(ring, 4)))
+           .when(v == 3, F.array(F.get(ring, 0), F.get(ring, 2), F.get(ring, 1), geo.point(
+               F.get(ring, 3)["x"], F.get(ring, 3)["y"] + (F.get(ring, 3)["y"] - F.get(ring, 0)["y"])), F.get(ring, 4)))
            .when(v == 4, F.reverse(ring))
            .otherwise(ring))
     return a.select("admin_id", bad.alias("ring"))

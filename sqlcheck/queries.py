@@ -233,3 +233,256 @@ def _output_manifest():
         f"SELECT '{n}' AS asset, n_rows, round(xmin, 7) AS xmin, round(ymin, 7) AS ymin, round(xmax, 7) AS xmax, "
         f"round(ymax, 7) AS ymax, 'application/vnd.apache.parquet' AS media_type, '2024-01-17T00:00:00' AS created "
         f"FROM ({q}) _{n}" for n, q in parts)
+
+
+# ============================================================================ 2.3
+
+def _pg():
+    return priority_grid_sql()
+
+
+@oracle("filter_populated")
+def _filter_populated():
+    return f"SELECT hex_id, round(population, 6) AS population FROM ({exposure_grid_sql()}) e WHERE population > 0"
+
+
+@oracle("bbox_points")
+def _bbox_points():
+    return (f"SELECT id, round(lon, 9) AS lon, round(lat, 9) AS lat FROM ({facilities_lonlat_sql()}) f "
+            f"WHERE lon BETWEEN {d(BW)} AND {d(BE)} AND lat BETWEEN {d(BS)} AND {d(BN)}")
+
+
+@oracle("project_rename")
+def _project_rename():
+    return (f"SELECT hex_id, round(cx, 3) AS geometry_x, round(cy, 3) AS geometry_y FROM ({exposure_grid_sql()}) e "
+            f"WHERE population > 0")
+
+
+@oracle("map_layer")
+def _map_layer():
+    return (f"SELECT hex_id, round(population, 6) AS population, round(population_exposed, 6) AS population_exposed, "
+            f"round({pct_expr('population_exposed', 'population')}, 6) AS exposure_pct, "
+            f"round(nearest_facility_km, 6) AS nearest_facility_km, accessibility_class, "
+            f"round(priority_score, 6) AS priority_score, priority_class, 7 AS n_vertices FROM ({_pg()}) p "
+            f"WHERE population > 0")
+
+
+@oracle("grid_columns")
+def _grid_columns():
+    s = hex_edge(RES)
+    area = d(3.0 * math.sqrt(3.0) / 2.0 * s * s / 1.0e6)
+    return f"SELECT hex_id, {RES} AS resolution, round({area}, 6) AS area_km2 FROM ({grid_sql()}) g"
+
+
+@oracle("null_repair")
+def _null_repair():
+    return (f"SELECT hex_id, round(CASE WHEN population = 0 THEN 1e0 ELSE population END, 6) AS pop_divisor, "
+            f"round({pct_expr('population_exposed', 'population')}, 6) AS exposure_pct, "
+            f"round(1e0 - coalesce(accessibility_score, 0e0), 6) AS inaccessibility FROM ({_pg()}) p")
+
+
+def _test_rings_sql():
+    a = admin_rings_sql()
+    moved = "{'x': ring[4].x, 'y': ring[4].y + (ring[4].y - ring[1].y)}"
+    bad = (f"CASE admin_id % 5 WHEN 1 THEN ring[1:4] WHEN 2 THEN list_concat(ring[1:2], ring[2:5]) "
+           f"WHEN 3 THEN [ring[1], ring[3], ring[2], {moved}, ring[5]] WHEN 4 THEN list_reverse(ring) ELSE ring END")
+    return f"SELECT admin_id, {bad} AS ring FROM ({a}) a"
+
+
+def _validity_sql(rings: str) -> str:
+    area = shoelace_sql(rings, "admin_id")
+    cross = self_cross_sql(rings, "admin_id")
+    return f"""
+SELECT t.admin_id, t.ring,
+  CASE WHEN NOT (ring[1].x = ring[len(ring)].x AND ring[1].y = ring[len(ring)].y) THEN 'not_closed'
+       WHEN len(ring) < 4 THEN 'too_few_points'
+       WHEN coalesce(a.cross_sum, 0e0) = 0 THEN 'zero_area'
+       WHEN c.admin_id IS NOT NULL THEN 'self_crossing' END AS invalid_reason,
+  a.cross_sum
+FROM ({rings}) t LEFT JOIN ({area}) a USING (admin_id) LEFT JOIN ({cross}) c ON c.admin_id = t.admin_id
+"""
+
+
+@oracle("geom_valid")
+def _geom_valid():
+    return (f"SELECT admin_id, invalid_reason IS NULL AS valid, invalid_reason FROM ({_validity_sql(_test_rings_sql())}) v")
+
+
+@oracle("geom_repair")
+def _geom_repair():
+    dedup = (f"SELECT admin_id, list_filter(ring, lambda p, i: i = 1 OR p.x <> ring[i - 1].x OR p.y <> ring[i - 1].y) "
+             f"AS ring FROM ({_test_rings_sql()}) t")
+    closed = (f"SELECT admin_id, CASE WHEN ring[1].x = ring[len(ring)].x AND ring[1].y = ring[len(ring)].y THEN ring "
+              f"ELSE list_append(ring, ring[1]) END AS ring FROM ({dedup}) d")
+    area = shoelace_sql(closed, "admin_id")
+    oriented = (f"SELECT c.admin_id, CASE WHEN a.cross_sum < 0 THEN list_reverse(c.ring) ELSE c.ring END AS ring "
+                f"FROM ({closed}) c LEFT JOIN ({area}) a USING (admin_id)")
+    v = _validity_sql(oriented)
+    return (f"SELECT admin_id, invalid_reason IS NOT NULL AS rejected, CAST(len(ring) AS INTEGER) AS n_points, "
+            f"CASE WHEN invalid_reason IS NULL THEN round(cross_sum / 2e0, 9) END AS signed_area FROM ({v}) v")
+
+
+# ============================================================================ 2.4
+
+def _populated_pts():
+    return f"SELECT hex_id, cx, cy FROM ({exposure_grid_sql()}) e WHERE population > 0"
+
+
+@oracle("nearest_facility")
+def _nearest_facility():
+    return (f"SELECT hex_id, facility_id, round(distance_m / 1000e0, 6) AS distance_km "
+            f"FROM ({nearest_sql(_populated_pts())}) n")
+
+
+@oracle("knn_facilities")
+def _knn_facilities():
+    f = facilities_utm_sql()
+    return f"""
+SELECT hex_id, CAST(rank AS INTEGER) AS rank, id AS facility_id, round(sqrt(d2) / 1000e0, 6) AS distance_km FROM (
+  SELECT p.hex_id, f.id, (p.cx - f.x) * (p.cx - f.x) + (p.cy - f.y) * (p.cy - f.y) AS d2,
+         row_number() OVER (PARTITION BY p.hex_id ORDER BY (p.cx - f.x) * (p.cx - f.x) + (p.cy - f.y) * (p.cy - f.y), f.id) AS rank
+  FROM ({_populated_pts()}) p CROSS JOIN ({f}) f) k WHERE rank <= 3
+"""
+
+
+@oracle("zonal_hex")
+def _zonal_hex():
+    u = utm_sql(pop_xy_sql(), "lon", "lat", "value")
+    h = hex_assign_sql(u, "x", "y", "value")
+    return f"SELECT hex_id, round(sum(value), 6) AS population, count(*) AS n_cells FROM ({h}) h GROUP BY hex_id"
+
+
+def _admin_utm_rings():
+    verts = (f"SELECT admin_id, i, ring[i].x AS lon, ring[i].y AS lat FROM (SELECT admin_id, ring, "
+             f"unnest(range(1, len(ring) + 1)) AS i FROM ({admin_rings_sql()}) a) v")
+    u = utm_sql(verts, "lon", "lat", "admin_id, i")
+    return f"SELECT admin_id, list({{'x': x, 'y': y}} ORDER BY i) AS ring FROM ({u}) u GROUP BY admin_id"
+
+
+@oracle("zonal_polygon")
+def _zonal_polygon():
+    pts = utm_sql(pop_points_sql(), "lon", "lat", "pid, weight")
+    rings = _admin_utm_rings()
+    cand = f"SELECT p.pid, p.x, p.y, a.admin_id FROM ({pts}) p CROSS JOIN (SELECT admin_id FROM ({rings}) r) a"
+    inside = ray_cast_sql(cand, rings, "pid", "x", "y", "admin_id")
+    return (f"SELECT i.admin_id, round(sum(p.weight), 6) AS value_sum, count(*) AS n_points FROM ({inside}) i "
+            f"JOIN ({pop_points_sql()}) p USING (pid) GROUP BY i.admin_id")
+
+
+@oracle("raster_align")
+def _raster_align():
+    return f"SELECT row, col, round(depth, 6) AS depth FROM ({aligned_sql()}) a"
+
+
+@oracle("clip_to_box")
+def _clip_to_box():
+    b = (f"SELECT admin_id, greatest(ring[1].x, {d(BW)}) AS w, least(ring[2].x, {d(BE)}) AS e, "
+         f"greatest(ring[1].y, {d(BS)}) AS s, least(ring[3].y, {d(BN)}) AS n FROM ({admin_rings_sql()}) a")
+    return (f"SELECT admin_id, round((e - w) * (n - s), 9) AS area, round(w, 9) AS xmin, round(e, 9) AS xmax, "
+            f"round(s, 9) AS ymin, round(n, 9) AS ymax FROM ({b}) b WHERE w < e AND s < n")
+
+
+@oracle("hex_admin")
+def _hex_admin():
+    return _grid_inside()
+
+
+@oracle("hex_polyfill")
+def _hex_polyfill():
+    return f"SELECT admin_id, hex_id FROM ({_grid_inside()}) g"
+
+
+@oracle("hex_polyfill_multi")
+def _hex_polyfill_multi():
+    return f"SELECT hex_id FROM ({grid_sql()}) g"
+
+
+# ============================================================================ 2.5
+
+@oracle("minmax_normalize")
+def _minmax_normalize():
+    return f"SELECT hex_id, round(exposure_score, 6) AS exposure_score FROM ({_pg()}) p WHERE population > 0"
+
+
+@oracle("score_percentiles")
+def _score_percentiles():
+    q = (100.0 - 10.0) / 100.0
+    return (f"SELECT round(quantile_cont(priority_score, {d(q)}), 9) AS p_high, "
+            f"round(quantile_cont(priority_score, {d(0.5)}), 9) AS p_mid FROM ({_pg()}) p WHERE population > 0")
+
+
+@oracle("population_totals")
+def _population_totals():
+    hp = "sum(CASE WHEN priority_class = 'high' THEN population ELSE 0e0 END)"
+    return (f"SELECT round(sum(population), 6) AS total_population, round(sum(population_exposed), 6) AS exposed_population, "
+            f"round({hp}, 6) AS high_priority_population, "
+            f"round({hp} / nullif(sum(population), 0) * 100e0, 6) AS high_priority_pct FROM ({_pg()}) p")
+
+
+@oracle("class_counts")
+def _class_counts():
+    return (f"SELECT priority_class, count(*) AS n_hexes FROM ({_pg()}) p WHERE priority_class IS NOT NULL "
+            f"GROUP BY priority_class")
+
+
+@oracle("access_summary")
+def _access_summary():
+    return (f"SELECT round(avg(nearest_facility_km), 6) AS avg_distance_km, "
+            f"count(*) FILTER (WHERE nearest_facility_km > {d(10.0)}) AS n_poor_access, count(*) AS n_hexes "
+            f"FROM ({access_grid_sql()}) a WHERE nearest_facility_km IS NOT NULL")
+
+
+@oracle("run_summary")
+def _run_summary():
+    return (f"SELECT count(*) AS total_hexes, round(sum(population), 6) AS total_population, "
+            f"round(sum(population_exposed), 6) AS exposed_population, "
+            f"count(*) FILTER (WHERE priority_class = 'high') AS high_priority_hexes, "
+            f"round(avg(nearest_facility_km), 6) AS avg_facility_distance_km FROM ({_pg()}) p")
+
+
+@oracle("table_count")
+def _table_count():
+    return (f"SELECT 'admin_boundaries' AS table_name, (SELECT count(*) FROM nation) AS n_rows "
+            f"UNION ALL SELECT 'health_facilities', (SELECT count(*) FROM supplier) "
+            f"UNION ALL SELECT 'h3_grid', (SELECT count(*) FROM ({grid_sql()}) g) "
+            f"UNION ALL SELECT 'population_cells', (SELECT count(*) FROM orders) "
+            f"UNION ALL SELECT 'no_rows', CAST(0 AS BIGINT)")
+
+
+@oracle("layer_extent")
+def _layer_extent():
+    a = f"SELECT v.x AS x, v.y AS y FROM (SELECT unnest(ring) AS v FROM ({admin_rings_sql()}) r) u"
+    return (f"SELECT round(min(x), 9) AS xmin, round(min(y), 9) AS ymin, round(max(x), 9) AS xmax, "
+            f"round(max(y), 9) AS ymax FROM ({a}) a")
+
+
+@oracle("admin_rollup")
+def _admin_rollup():
+    t = (f"SELECT p.*, a.NAME_0, a.NAME_3 FROM ({_pg()}) p JOIN ({_grid_inside()}) h USING (hex_id) "
+         f"JOIN ({admin_rings_sql()}) a ON a.admin_id = h.admin_id")
+    wd = "sum(CASE WHEN nearest_facility_km IS NOT NULL THEN population * nearest_facility_km END)"
+    wp = "sum(CASE WHEN nearest_facility_km IS NOT NULL THEN population END)"
+    return (f"SELECT NAME_0, NAME_3, count(*) AS n_hexes, round(sum(population), 6) AS population, "
+            f"round(sum(population_exposed), 6) AS population_exposed, round({wd} / nullif({wp}, 0), 6) AS weighted_distance_km, "
+            f"count(*) FILTER (WHERE priority_class = 'high') AS high_priority_hexes FROM ({t}) t "
+            f"GROUP BY ROLLUP (NAME_0, NAME_3)")
+
+
+@oracle("hex_parent_rollup")
+def _hex_parent_rollup():
+    h = hex_assign_sql(exposure_grid_sql(), "cx", "cy", "population, population_exposed", res=RES - 1, out="parent_id")
+    return (f"SELECT parent_id, count(*) AS n_children, round(sum(population), 6) AS population, "
+            f"round(sum(population_exposed), 6) AS population_exposed FROM ({h}) h GROUP BY parent_id")
+
+
+# ============================================================================ 2.6
+
+@oracle("first_n")
+def _first_n():
+    return ("(SELECT 'admin' AS kind, CAST(n_nationkey AS BIGINT) AS id FROM nation ORDER BY n_nationkey LIMIT 1) "
+            "UNION ALL (SELECT 'facility' AS kind, CAST(s_suppkey AS BIGINT) AS id FROM supplier ORDER BY s_suppkey LIMIT 5)")
+
+
+@oracle("top_priority")
+def _top_priority():
+    return f"SELECT hex_id, round(priority_score, 6) AS priority_score FROM ({_pg()}) p WHERE priority_class = 'high'"
