@@ -486,3 +486,211 @@ def _first_n():
 @oracle("top_priority")
 def _top_priority():
     return f"SELECT hex_id, round(priority_score, 6) AS priority_score FROM ({_pg()}) p WHERE priority_class = 'high'"
+
+
+# ============================================================================ 2.7
+
+@oracle("to_utm")
+def _to_utm():
+    return f"SELECT pid, round(x, 3) AS x, round(y, 3) AS y FROM ({utm_sql(pop_points_sql(), 'lon', 'lat', 'pid')}) u"
+
+
+@oracle("to_lonlat")
+def _to_lonlat():
+    ll = lonlat_sql(facilities_utm_sql(), "x", "y", "id")
+    return f"SELECT id, round(lon, 9) AS lon, round(lat, 9) AS lat FROM ({ll}) l"
+
+
+def _admin_utm_vertices():
+    verts = (f"SELECT admin_id, i, ring[i].x AS lon, ring[i].y AS lat FROM (SELECT admin_id, ring, "
+             f"unnest(range(1, len(ring) + 1)) AS i FROM ({admin_rings_sql()}) a) v")
+    u = utm_sql(verts, "lon", "lat", "admin_id, i")
+    return (f"SELECT a.admin_id, a.i, a.x, a.y, b.x AS nx, b.y AS ny FROM ({u}) a JOIN ({u}) b "
+            f"ON a.admin_id = b.admin_id AND b.i = a.i + 1")
+
+
+@oracle("polygon_area")
+def _polygon_area():
+    return (f"SELECT admin_id, round(abs(sum(x * ny - nx * y) / 2e0) / 1e6, 6) AS area_km2 "
+            f"FROM ({_admin_utm_vertices()}) v GROUP BY admin_id")
+
+
+@oracle("polygon_centroid")
+def _polygon_centroid():
+    cr = "(x * ny - nx * y)"
+    return (f"SELECT admin_id, round(sum((x + nx) * {cr}) / (sum({cr}) / 2e0 * 6e0), 3) AS cx, "
+            f"round(sum((y + ny) * {cr}) / (sum({cr}) / 2e0 * 6e0), 3) AS cy FROM ({_admin_utm_vertices()}) v GROUP BY admin_id")
+
+
+@oracle("distance_km")
+def _distance_km():
+    h = hex_assign_sql(facilities_utm_sql(), "x", "y", "id, x, y", keep_qr=True)
+    cx, cy = hex_center_exprs("q", "r")
+    return (f"SELECT id, hex_id, round(sqrt((x - {cx}) * (x - {cx}) + (y - {cy}) * (y - {cy})) / 1000e0, 6) AS distance_km "
+            f"FROM ({h}) h")
+
+
+@oracle("box_ring")
+def _box_ring():
+    b = f"SELECT admin_id, ring[1].x AS xmin, ring[1].y AS ymin, ring[3].x AS xmax, ring[3].y AS ymax FROM ({admin_rings_sql()}) a"
+    pts = ("CASE i WHEN 0 THEN xmin WHEN 1 THEN xmax WHEN 2 THEN xmax WHEN 3 THEN xmin ELSE xmin END",
+           "CASE i WHEN 0 THEN ymin WHEN 1 THEN ymin WHEN 2 THEN ymax WHEN 3 THEN ymax ELSE ymin END")
+    return (f"SELECT admin_id, CAST(i AS INTEGER) AS i, round({pts[0]}, 9) AS x, round({pts[1]}, 9) AS y "
+            f"FROM (SELECT *, unnest(range(0, 5)) AS i FROM ({b}) b) p")
+
+
+@oracle("hex_assign")
+def _hex_assign():
+    u = utm_sql(pop_points_sql(), "lon", "lat", "pid")
+    return f"SELECT pid, hex_id FROM ({hex_assign_sql(u, 'x', 'y', 'pid')}) h"
+
+
+@oracle("hex_boundary")
+def _hex_boundary():
+    pg = (f"SELECT hex_id, CAST(split_part(hex_id, '_', 2) AS BIGINT) AS q, "
+          f"CAST(split_part(hex_id, '_', 3) AS BIGINT) AS r FROM ({grid_sql()}) g")
+    return (f"SELECT hex_id, CAST(i AS INTEGER) AS i, round(x, 3) AS x, round(y, 3) AS y "
+            f"FROM ({grid_vertices_sql(pg)}) v")
+
+
+@oracle("to_wkt")
+def _to_wkt():
+    return (f"SELECT id, 'SRID=32735;POINT(' || printf('%.3f', x) || ' ' || printf('%.3f', y) || ')' AS wkt "
+            f"FROM ({facilities_utm_sql()}) f")
+
+
+@oracle("from_wkt")
+def _from_wkt():
+    return (f"SELECT id, 32735 AS srid, CAST(printf('%.3f', x) AS DOUBLE) AS x, CAST(printf('%.3f', y) AS DOUBLE) AS y "
+            f"FROM ({facilities_utm_sql()}) f")
+
+
+@oracle("point_in_ring")
+def _point_in_ring():
+    a = admin_rings_sql()
+    cand = f"SELECT p.pid, p.lon, p.lat, a.admin_id FROM ({pop_points_sql()}) p CROSS JOIN (SELECT admin_id FROM ({a}) x) a"
+    return ray_cast_sql(cand, a, "pid", "lon", "lat", "admin_id")
+
+
+@oracle("flood_mask")
+def _flood_mask():
+    return (f"SELECT row, col, round(CASE WHEN depth > 0 THEN value ELSE 0e0 END, 6) AS exposed "
+            f"FROM ({exposure_cells_sql()}) c")
+
+
+@oracle("exposure_pct")
+def _exposure_pct():
+    return (f"SELECT hex_id, round({pct_expr('population_exposed', 'population')}, 6) AS exposure_pct "
+            f"FROM ({exposure_grid_sql()}) e")
+
+
+@oracle("access_class")
+def _access_class():
+    return f"SELECT hex_id, accessibility_class FROM ({access_grid_sql()}) a WHERE population > 0"
+
+
+@oracle("access_score")
+def _access_score():
+    return (f"SELECT hex_id, round(accessibility_score, 6) AS accessibility_score FROM ({access_grid_sql()}) a "
+            f"WHERE population > 0")
+
+
+@oracle("priority_score")
+def _priority_score():
+    return (f"SELECT hex_id, round(1e0 - coalesce(accessibility_score, 0e0), 6) AS inaccessibility, "
+            f"round(priority_score, 6) AS priority_score FROM ({_pg()}) p WHERE population > 0")
+
+
+@oracle("priority_class")
+def _priority_class():
+    return f"SELECT hex_id, priority_class FROM ({_pg()}) p WHERE population > 0"
+
+
+@oracle("raster_clip")
+def _raster_clip():
+    m = square_meta_sql("orders")
+    win = (f"SELECT greatest(0, CAST(ceil(({d(BW)} - {d(W)}) / dx - 0.5e0) AS BIGINT)) AS c0, "
+           f"least(w - 1, CAST(floor(({d(BE)} - {d(W)}) / dx - 0.5e0) AS BIGINT)) AS c1, "
+           f"greatest(0, CAST(ceil(({d(N)} - {d(BN)}) / dy - 0.5e0) AS BIGINT)) AS r0, "
+           f"least(h - 1, CAST(floor(({d(N)} - {d(BS)}) / dy - 0.5e0) AS BIGINT)) AS r1 FROM ({m}) m")
+    return (f"SELECT row - r0 AS row, col - c0 AS col, round(value, 6) AS value FROM ({pop_cells_sql()}) c, ({win}) w "
+            f"WHERE row BETWEEN r0 AND r1 AND col BETWEEN c0 AND c1")
+
+
+@oracle("raster_bilinear")
+def _raster_bilinear():
+    pm, fm = square_meta_sql("orders"), square_meta_sql("customer")
+    t = (f"SELECT id // fm.w AS row, id % fm.w AS col, {d(W)} + (CAST(id % fm.w AS DOUBLE) + 0.5e0) * fm.dx AS tx, "
+         f"{d(N)} - (CAST(id // fm.w AS DOUBLE) + 0.5e0) * fm.dy AS ty FROM ({fm}) fm, range(0, fm.w * fm.h) r(id)")
+    f = (f"SELECT row, col, (tx - {d(W)}) / pm.dx - 0.5e0 AS fc, ({d(N)} - ty) / pm.dy - 0.5e0 AS fr "
+         f"FROM ({t}) t, ({pm}) pm")
+    k = (f"SELECT row, col, fc, fr, floor(fc) AS c0, floor(fr) AS r0, dr, dc FROM ({f}) f, "
+         f"(VALUES (0, 0), (0, 1), (1, 0), (1, 1)) k(dr, dc)")
+    wt = (f"SELECT row, col, CAST(r0 AS BIGINT) + dr AS srow, CAST(c0 AS BIGINT) + dc AS scol, "
+          f"(CASE WHEN dc = 1 THEN fc - c0 ELSE 1e0 - (fc - c0) END) * (CASE WHEN dr = 1 THEN fr - r0 ELSE 1e0 - (fr - r0) END) AS w "
+          f"FROM ({k}) k")
+    j = f"SELECT wt.row, wt.col, wt.w, s.value FROM ({wt}) wt JOIN ({pop_cells_sql()}) s ON s.row = wt.srow AND s.col = wt.scol"
+    return (f"SELECT row, col, round(sum(w * value) / sum(w), 9) AS value FROM ({j}) j GROUP BY row, col "
+            f"HAVING sum(w) > 0")
+
+
+@oracle("raster_nearest")
+def _raster_nearest():
+    fm = square_meta_sql("customer")
+    bounds = f"SELECT {d(W)} AS w, {d(N)} - h * dy AS s, {d(W)} + w * dx AS e, {d(N)} AS n, w AS nc, h AS nr, dx AS sdx, dy AS sdy FROM ({fm}) m"
+    pts = (f"SELECT b.w + fx * (b.e - b.w) AS lon, b.s + fy * (b.n - b.s) AS lat FROM ({bounds}) b, "
+           f"(VALUES (0e0), (0.5e0), (1e0)) a(fx), (VALUES (0e0), (0.5e0), (1e0)) c(fy)")
+    u = utm_sql(pts, "lon", "lat", "")
+    dm = (f"SELECT min(x) AS w, min(y) AS s, max(x) AS e, max(y) AS n FROM ({u}) u")
+    meta = (f"SELECT dm.w AS x0, dm.n AS y0, (dm.e - dm.w) / b.nc AS dx, (dm.n - dm.s) / b.nr AS dy, b.nc, b.nr, "
+            f"b.sdx, b.sdy FROM ({dm}) dm, ({bounds}) b")
+    t = (f"SELECT id // m.nc AS row, id % m.nc AS col, m.x0 + (CAST(id % m.nc AS DOUBLE) + 0.5e0) * m.dx AS x, "
+         f"m.y0 - (CAST(id // m.nc AS DOUBLE) + 0.5e0) * m.dy AS y, m.sdx, m.sdy FROM ({meta}) m, range(0, m.nc * m.nr) r(id)")
+    ll = lonlat_sql(t, "x", "y", "row, col, sdx, sdy")
+    src = (f"SELECT row, col, CAST(floor(({d(N)} - lat) / sdy) AS BIGINT) AS srow, "
+           f"CAST(floor((lon - {d(W)}) / sdx) AS BIGINT) AS scol FROM ({ll}) l")
+    return (f"SELECT s.row, s.col, round(f.value, 6) AS value FROM ({src}) s JOIN ({flood_cells_sql()}) f "
+            f"ON f.row = s.srow AND f.col = s.scol WHERE f.value <> 0e0 AND NOT isnan(f.value)")
+
+
+@oracle("raster_valid")
+def _raster_valid():
+    return (f"SELECT row, col, round(value, 6) AS value FROM ({flood_cells_sql()}) f "
+            f"WHERE value <> 0e0 AND NOT isnan(value)")
+
+
+@oracle("exposure_bins")
+def _exposure_bins():
+    b = ("CASE WHEN population_exposed >= 200 THEN '200+' WHEN population_exposed >= 100 THEN '100-200' "
+         "WHEN population_exposed >= 50 THEN '50-100' WHEN population_exposed >= 10 THEN '10-50' ELSE '0-10' END")
+    return (f"SELECT {b} AS exposure_bin, count(*) AS n_hexes FROM ({exposure_grid_sql()}) e WHERE population > 0 "
+            f"GROUP BY 1")
+
+
+@oracle("hex_popup")
+def _hex_popup():
+    pct = pct_expr("population_exposed", "population")
+    return (f"SELECT hex_id, printf('%d', CAST(round(coalesce(population, 0e0)) AS BIGINT)) AS population_text, "
+            f"printf('%d', CAST(round(coalesce(population_exposed, 0e0)) AS BIGINT)) || ' (' || "
+            f"printf('%.1f', coalesce({pct}, 0e0)) || '%)' AS exposed_text, "
+            f"printf('%.2f', coalesce(nearest_facility_km, 0e0)) || ' km' AS facility_text, "
+            f"coalesce(accessibility_class, 'N/A') AS accessibility_text, "
+            f"coalesce(priority_class, 'N/A') || ' (' || printf('%.3f', coalesce(priority_score, 0e0)) || ')' AS priority_text "
+            f"FROM ({_pg()}) p")
+
+
+@oracle("facility_popup")
+def _facility_popup():
+    return (f"SELECT id, coalesce(CASE WHEN id % 7 = 0 THEN NULL ELSE name END, 'Unnamed') AS name_text, "
+            f"coalesce(amenity, 'Health facility') AS type_text FROM ({facilities_lonlat_sql()}) f")
+
+
+@oracle("parse_epsg")
+def _parse_epsg():
+    return f"SELECT hex_id, CAST(split_part('EPSG:32735', ':', 2) AS INTEGER) AS srid FROM ({grid_sql()}) g"
+
+
+@oracle("tile_xy")
+def _tile_xy():
+    x, y = tile_sql("lon", "lat", "12")
+    return f"SELECT id, {x} AS tile_x, {y} AS tile_y FROM ({facilities_lonlat_sql()}) f"
