@@ -694,3 +694,100 @@ def _parse_epsg():
 def _tile_xy():
     x, y = tile_sql("lon", "lat", "12")
     return f"SELECT id, {x} AS tile_x, {y} AS tile_y FROM ({facilities_lonlat_sql()}) f"
+
+
+# ============================================================================ 2.8
+
+@oracle("admin_prepare")
+def _admin_prepare():
+    b = (f"SELECT admin_id, NAME_3, greatest(ring[1].x, {d(BW)}) AS w, least(ring[2].x, {d(BE)}) AS e, "
+         f"greatest(ring[1].y, {d(BS)}) AS s, least(ring[3].y, {d(BN)}) AS n FROM ({admin_rings_sql()}) a")
+    corners = (f"SELECT admin_id, i, CASE WHEN i IN (0, 3) THEN w ELSE e END AS lon, "
+               f"CASE WHEN i IN (0, 1) THEN s ELSE n END AS lat FROM (SELECT *, unnest(range(0, 4)) AS i "
+               f"FROM ({b}) b WHERE w < e AND s < n) c")
+    u = utm_sql(corners, "lon", "lat", "admin_id, i")
+    pairs = (f"SELECT a.admin_id, a.x, a.y, b.x AS nx, b.y AS ny FROM ({u}) a JOIN ({u}) b "
+             f"ON a.admin_id = b.admin_id AND b.i = (a.i + 1) % 4")
+    area = f"SELECT admin_id, abs(sum(x * ny - nx * y) / 2e0) AS area FROM ({pairs}) p GROUP BY admin_id"
+    return (f"SELECT admin_id, NAME_3, round(area / 1e6, 6) AS area_km2 FROM ({area}) a "
+            f"JOIN (SELECT admin_id, NAME_3 FROM ({admin_rings_sql()}) x) n USING (admin_id)")
+
+
+@oracle("population_prepare")
+def _population_prepare():
+    m = square_meta_sql("orders")
+    win = (f"SELECT greatest(0, CAST(ceil(({d(BW)} - {d(W)}) / dx - 0.5e0) AS BIGINT)) AS c0, "
+           f"least(w - 1, CAST(floor(({d(BE)} - {d(W)}) / dx - 0.5e0) AS BIGINT)) AS c1, "
+           f"greatest(0, CAST(ceil(({d(N)} - {d(BN)}) / dy - 0.5e0) AS BIGINT)) AS r0, "
+           f"least(h - 1, CAST(floor(({d(N)} - {d(BS)}) / dy - 0.5e0) AS BIGINT)) AS r1, dx, dy FROM ({m}) m")
+    cells = (f"SELECT row - r0 AS row, col - c0 AS col, value, "
+             f"({d(W)} + CAST(c0 AS DOUBLE) * dx) + (CAST(col - c0 AS DOUBLE) + 0.5e0) * dx AS lon, "
+             f"({d(N)} - CAST(r0 AS DOUBLE) * dy) - (CAST(row - r0 AS DOUBLE) + 0.5e0) * dy AS lat "
+             f"FROM ({pop_cells_sql()}) c, ({win}) w WHERE row BETWEEN r0 AND r1 AND col BETWEEN c0 AND c1")
+    u = utm_sql(cells, "lon", "lat", "row, col, value")
+    return f"SELECT row, col, round(value, 6) AS value, round(x, 3) AS x, round(y, 3) AS y FROM ({u}) u"
+
+
+@oracle("facility_prepare")
+def _facility_prepare():
+    f = (f"SELECT * FROM ({facilities_lonlat_sql()}) f WHERE lon BETWEEN {d(BW)} AND {d(BE)} "
+         f"AND lat BETWEEN {d(BS)} AND {d(BN)}")
+    u = utm_sql(f, "lon", "lat", "id, name, amenity")
+    return f"SELECT id, name, amenity, round(x, 3) AS x, round(y, 3) AS y FROM ({u}) u"
+
+
+@oracle("lake_theme_prepare")
+def _lake_theme_prepare():
+    p = f"SELECT id, theme, lon, lat FROM ({places_sql()}) p WHERE {contained(BW, BS, BE, BN)}"
+    u = utm_sql(p, "lon", "lat", "id, theme")
+    return (f"SELECT theme, count(*) AS n_features, round(min(x), 3) AS xmin, round(max(x), 3) AS xmax "
+            f"FROM ({u}) u GROUP BY theme")
+
+
+@oracle("theme_count_by_hex")
+def _theme_count_by_hex():
+    p = f"SELECT id, lon, lat FROM ({places_sql()}) p WHERE {contained(W, -4.5, 29.1, N)}"
+    u = utm_sql(p, "lon", "lat", "id")
+    h = hex_assign_sql(u, "x", "y", "id")
+    return (f"SELECT hex_id, count(*) AS n_places FROM ({h}) h JOIN (SELECT hex_id FROM ({grid_sql()}) g) g "
+            f"USING (hex_id) GROUP BY hex_id")
+
+
+# ============================================================================ 2.9
+
+def _road_sql():
+    from sqlcheck import key_lat, key_lon
+    seg = (f"SELECT CAST(s_suppkey AS BIGINT) AS id, {key_lon('s_suppkey')} AS lon0, {key_lat('s_suppkey')} AS lat0, "
+           f"{key_lon('s_suppkey + 1')} AS lon1, {key_lat('s_suppkey + 1')} AS lat1 FROM supplier")
+    a = utm_sql(seg, "lon0", "lat0", "id, lon1, lat1", "x0", "y0")
+    b = utm_sql(a, "lon1", "lat1", "id, x0, y0", "x1", "y1")
+
+    def node(x, y):
+        return (f"CAST(CAST(round({x} / 1e-3) AS BIGINT) AS VARCHAR) || '_' || "
+                f"CAST(CAST(round({y} / 1e-3) AS BIGINT) AS VARCHAR)")
+    return (f"SELECT id, {node('x0', 'y0')} AS source, {node('x1', 'y1')} AS target, "
+            f"sqrt((x0 - x1) * (x0 - x1) + (y0 - y1) * (y0 - y1)) AS length_m FROM ({b}) e")
+
+
+@oracle("road_edges")
+def _road_edges():
+    return f"SELECT id, source, target, round(length_m, 3) AS length_m FROM ({_road_sql()}) e"
+
+
+@oracle("network_distance")
+def _network_distance():
+    e = _road_sql()
+    # the road graph is the chain 0 - 1 - ... - n; node j sits at cumulative length C(j)
+    cum = (f"SELECT id, source, target, length_m, coalesce(sum(length_m) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED "
+           f"PRECEDING AND 1 PRECEDING), 0e0) AS c0 FROM ({e}) e")
+    nodes = (f"SELECT id AS j, source AS node, c0 AS c FROM ({cum}) a UNION ALL "
+             f"SELECT id + 1 AS j, target AS node, c0 + length_m AS c FROM ({cum}) b WHERE id = (SELECT max(id) FROM ({e}) m)")
+    src = f"SELECT j AS s, c AS cs FROM ({nodes}) n WHERE j % 10 = 0 AND j < (SELECT max(id) + 1 FROM ({e}) m)"
+    return (f"SELECT n.node, round(min(abs(n.c - s.cs)), 3) AS dist_m FROM ({nodes}) n, ({src}) s "
+            f"GROUP BY n.node")
+
+
+@oracle("exposure_stream")
+def _exposure_stream():
+    return (f"SELECT hex_id, round(population, 6) AS population, round(population_exposed, 6) AS population_exposed "
+            f"FROM ({per_hex_sql()}) p")
