@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexaccess.functions import geo
-from hexaccess.session import ensure_checkpoint_dir
+from hexaccess.session import materialise
 
 
 def snap_node(x, y, tol: float):
@@ -39,14 +39,12 @@ def network_distance(edges: DataFrame, sources: DataFrame, node: str = "node",
     reachable node (edges undirected).  Multi-source Bellman-Ford: each
     round joins the frontier (nodes improved last round) with the edges
     and keeps the per-node minimum; rounds stop when nothing improves.
-    Each round's state is checkpointed to the shared folder, so lineage
-    stays short and a lost executor only costs the current round."""
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
+    Each round's state is written to the shared checkpoint folder, so
+    lineage stays short and a lost executor only costs the current round."""
     und = edges.select(F.col("source").alias("a"), F.col("target").alias("b"), "cost").unionByName(
         edges.select(F.col("target").alias("a"), F.col("source").alias("b"), "cost"))
-    und = und.groupBy("a", "b").agg(F.min("cost").alias("cost")).checkpoint()
-    dist = sources.select(F.col(node).alias("node")).distinct().withColumn("dist", F.lit(0.0)).checkpoint()
+    und = materialise(und.groupBy("a", "b").agg(F.min("cost").alias("cost")), "graph_edges")
+    dist = materialise(sources.select(F.col(node).alias("node")).distinct().withColumn("dist", F.lit(0.0)), "graph_dist")
     frontier = dist
     for _ in range(max_rounds):
         cand = (frontier.join(und, frontier.node == und.a)
@@ -54,10 +52,12 @@ def network_distance(edges: DataFrame, sources: DataFrame, node: str = "node",
                 .groupBy("node").agg(F.min("dist").alias("dist")))
         improved = (cand.join(dist.withColumnRenamed("dist", "old"), "node", "left")
                     .where(F.col("old").isNull() | (F.col("dist") < F.col("old")))
-                    .select("node", "dist")).checkpoint()
+                    .select("node", "dist"))
+        improved = materialise(improved, "graph_improved")
         if improved.isEmpty():
             return dist
         dist = (dist.join(improved.withColumnRenamed("dist", "new"), "node", "full")
-                .select("node", F.coalesce(F.col("new"), F.col("dist")).alias("dist"))).checkpoint()
+                .select("node", F.coalesce(F.col("new"), F.col("dist")).alias("dist")))
+        dist = materialise(dist, "graph_dist")
         frontier = improved
     raise RuntimeError(f"network_distance did not converge in {max_rounds} rounds")

@@ -19,7 +19,7 @@ from hexaccess.operators.nearest import nearest_distance_km
 from hexaccess.operators.raster import raster_align, reproject_xy
 from hexaccess.operators.stats import exact_percentiles, minmax_scalars
 from hexaccess.params import Params
-from hexaccess.session import ensure_checkpoint_dir
+from hexaccess.session import materialise
 from hexaccess.sources import derived
 from hexaccess.sources.raster import Raster
 
@@ -87,14 +87,6 @@ def exposure(grid: DataFrame, pop: Raster, flood: Raster, p: Params = Params())
     return g.withColumn("exposure_pct", scoring.exposure_pct(F.col("population_exposed"), F.col("population")))
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write a stage result to the session's shared checkpoint folder and
-    read it back: cuts lineage so later stages (and executor loss) never
-    recompute the raster work, like the stage tables of a database run."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def accessibility(grid: DataFrame, facilities: DataFrame, p: Params = Params(),
                   materialise_input: bool = True) -> DataFrame:
     """Straight-line distance from each populated hexagon centroid to
@@ -132,7 +124,7 @@ def priority_scores(grid: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def priority(grid: DataFrame, p: Params = Params(), materialise_input: bool = True) -> DataFrame:
-    """C4: priority score and class.  The grid is checkpointed first (to the
+    """C4: priority score and class.  The grid is materialised first (to the
     session's shared checkpoint folder) because the exact percentile passes
     scan it several times."""
     if materialise_input:
@@ -148,8 +140,8 @@ def priority(grid: DataFrame, p: Params = Params(), materialise_input: bool = Tr
 def analysis_grid(inputs: Inputs, p: Params = Params()) -> DataFrame:
     """Grid -> exposure -> accessibility -> priority (the fixed stage order)."""
     g = build_grid(inputs.admin, p)
-    g = materialise(exposure(g, inputs.population, inputs.flood, p))
-    g = materialise(accessibility(g, inputs.facilities, p, materialise_input=False))
+    g = materialise(exposure(g, inputs.population, inputs.flood, p), "exposure")
+    g = materialise(accessibility(g, inputs.facilities, p, materialise_input=False), "accessibility")
     return priority(g, p, materialise_input=False)
 
 

@@ -53,3 +53,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/hexaccess-tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df, name: str = "stage"):
+    """Write a stage result as a Parquet table under the shared checkpoint
+    folder and read it back.  Lineage is cut, so later stages (and a lost
+    executor) never recompute upstream work; unlike ``checkpoint()`` the
+    input is computed only once, and the re-read table carries file
+    statistics for AQE."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
