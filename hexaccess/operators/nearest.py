@@ -17,8 +17,9 @@ levels (bucket edge ``B_l = B0 * 2**l``).  For each query point:
 Every step is an equi-join on ``(level, bucket_x, bucket_y)`` plus a
 grouped min (k = 1) or a per-point ``row_number`` (k > 1); the number of
 pairs per point is bounded by local facility density, never by the total.
-Co-located facilities are merged first for k = 1 (keeping the smallest
-id), so a location holding many facilities costs one row.  Hot buckets
+Co-located facilities are merged first (k = 1: the smallest id; k > 1:
+the k smallest ids, by a salted two-phase top-k), so a location holding
+many facilities costs at most k rows.  Hot buckets
 on the point side are split by AQE's skew-join handling.
 """
 
@@ -29,6 +30,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hexaccess.operators.topk import top_k_per_group
+
 EARTH_SPAN_M = 4.0e7        # a bucket of this edge covers any planar extent we use
 _SAFETY = 1.0 - 1e-9        # keep the exactness test strict under rounding
 
@@ -90,6 +93,10 @@ def nearest(points: DataFrame, facilities: DataFrame, *, k: int = 1,
         F.col("_fx").isNotNull() & F.col("_fy").isNotNull())
     if k == 1:
         Fc = Fc.groupBy("_fx", "_fy").agg(F.min("_fid").alias("_fid"))
+    else:
+        # at most k facilities of one location can be among a point's k nearest
+        # (ties go to smaller ids), so a location holding many keeps its k smallest
+        Fc = top_k_per_group(Fc, ["_fx", "_fy"], k, [], "_fid").drop("group_rank")
 
     n_fac, b0 = _base_cell(Fc, k)
     if base_cell is not None:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexaccess.functions import geo, polygon
+from hexaccess.operators.topk import top_k_per_group
 
 
 def tile_features(features: DataFrame, zooms: range | list[int], ring: str = "ring",
@@ -29,14 +30,7 @@ def tile_features(features: DataFrame, zooms: range | list[int], ring: str = "ri
 def tile_thin(tiles: DataFrame, cap: int, order: list, feature_id: str = "hex_id",
               salts: int = 16) -> DataFrame:
     """Keep at most ``cap`` features per tile, best first by ``order``
-    (then feature id).  Two-phase top-k: first within (tile, salt) groups,
-    then within the tile over at most ``cap * salts`` survivors, so a
-    dense low-zoom tile never has to be sorted in one task whole."""
-    key = ["zoom", "tile_x", "tile_y"]
-    ordering = [*order, F.col(feature_id)]
-    salted = tiles.withColumn("_salt", F.abs(F.xxhash64(F.col(feature_id))) % F.lit(salts))
-    w1 = Window.partitionBy(*key, "_salt").orderBy(*ordering)
-    first = salted.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= cap)
-    w2 = Window.partitionBy(*key).orderBy(*ordering)
-    return (first.withColumn("_rank", F.row_number().over(w2)).where(F.col("_rank") <= cap)
-            .drop("_salt", "_rn").withColumnRenamed("_rank", "tile_rank"))
+    (then feature id), with the two-phase top-k of ``topk`` so a dense
+    low-zoom tile never has to be sorted in one task whole."""
+    return top_k_per_group(tiles, ["zoom", "tile_x", "tile_y"], cap, order, feature_id,
+                           rank_col="tile_rank", salts=salts)
