@@ -34,7 +34,7 @@ def sql_query(spark: SparkSession, text: str, views: dict[str, DataFrame] | None
 
 
 def lake_scan(spark: SparkSession, base: str, themes: list[str] | None = None,
-              bbox: tuple[float, float, float, float] | None = None) -> DataFrame:
+              bbox: tuple[float, float, float, float] | None = None, with_filename: bool = True) -> DataFrame:
     """S3: hive-partitioned Parquet lake (``theme=<t>/type=<k>/``) with
     partition discovery, the source file name as a column, and an optional
     bbox *containment* filter on the nested ``bbox`` struct (P2).  Theme
@@ -44,7 +44,7 @@ def lake_scan(spark: SparkSession, base: str, themes: list[str] | None = None,
         df = df.where(F.col("theme").isin(list(themes)))
     if bbox is not None:
         df = df.where(bbox_contained(*bbox))
-    return df.withColumn("filename", F.col("_metadata.file_path"))
+    return df.withColumn("filename", F.col("_metadata.file_path")) if with_filename else df
 
 
 def bbox_contained(west: float, south: float, east: float, north: float, col: str = "bbox") -> Column:
