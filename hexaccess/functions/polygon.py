@@ -14,7 +14,9 @@ from hexaccess.functions.geo import _c, point
 
 
 def _edges(ring: Column) -> Column:
-    return F.sequence(F.lit(0), F.size(ring) - 2)
+    """Edge start indexes 0 .. n-2; NULL for rings with fewer than 2 points
+    (``sequence`` would otherwise count down)."""
+    return F.when(F.size(ring) >= 2, F.sequence(F.lit(0), F.size(ring) - 2))
 
 
 def _v(ring: Column, i) -> Column:

@@ -70,3 +70,25 @@ def test_staged_and_column_forms_agree(spark):
     a = df.select(geo.to_utm(F.col("lon"), F.col("lat")).alias("u")).select("u.x", "u.y").collect()
     b = geo.with_utm(df, "lon", "lat").select("x", "y").collect()
     assert a == b
+
+
+def _star(cx, cy, n, r_in, r_out, phase):
+    pts = []
+    for i in range(2 * n):
+        rad = r_out if i % 2 == 0 else r_in
+        a = phase + math.pi * i / n
+        pts.append({"x": cx + rad * math.cos(a), "y": cy + rad * 0.8 * math.sin(a)})
+    pts.append(pts[0])
+    return pts
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.integers(3, 9), st.floats(0.05, 0.2), st.floats(0.25, 0.5), st.floats(0, 3.14))
+def test_row_interval_polyfill_equals_exhaustive(spark, n, r_in, r_out, phase):
+    from hexaccess.operators.grid import hex_polyfill, hex_polyfill_exhaustive
+    zones = spark.createDataFrame([(1, _star(28.0, -4.0, n, r_in, r_out, phase)),
+                                   (2, _star(28.6, -3.8, n + 2, r_in / 2, r_out / 2, -phase))],
+                                  "admin_id int, ring array<struct<x:double,y:double>>")
+    a = sorted(tuple(r) for r in hex_polyfill(zones, 7).select("admin_id", "hex_id").collect())
+    b = sorted(tuple(r) for r in hex_polyfill_exhaustive(zones, 7).select("admin_id", "hex_id").collect())
+    assert a == b and len(a) > 0          # same rows, no duplicates
