@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from hexaccess.functions import geo, hexgrid, scoring
 from hexaccess.operators import grid as grid_ops
 from hexaccess.operators.nearest import nearest_distance_km
-from hexaccess.operators.raster import raster_align, reproject_xy
+from hexaccess.operators.raster import raster_align, raster_cell_xy, raster_valid, reproject_xy
 from hexaccess.operators.stats import exact_percentiles, minmax_scalars
 from hexaccess.params import Params
 from hexaccess.session import materialise
 from hexaccess.sources import derived
-from hexaccess.sources.raster import Raster
+from hexaccess.sources.raster import Raster, cell_of_x, cell_of_y
 
 
 @dataclass
@@ -70,11 +70,40 @@ def to_analysis_crs(df: DataFrame, crs: str, p: Params, x: str = "x", y: str = "
     return df.withColumn("_ux", u["x"]).withColumn("_uy", u["y"])
 
 
-def zonal_exposure(pop: Raster, flood: Raster, p: Params = Params()) -> DataFrame:
-    """(hex_id, population, population_exposed) in one aggregation pass."""
-    return exposure_cells(pop, flood, p).groupBy("hex_id").agg(
-        F.sum("value").alias("population"),
-        F.sum(scoring.flood_mask(F.col("depth"), F.col("value"))).alias("population_exposed"),
+def _pre_aggregate_worthwhile(pop: Raster, flood: Raster, p: Params, ratio: float = 4.0) -> bool:
+    """True when population cells are at least ``ratio`` times smaller (by
+    area, same CRS) than flood cells, so many cells share a flood cell."""
+    if pop.meta.crs != flood.meta.crs:
+        return False
+    return flood.meta.dx * flood.meta.dy >= ratio * pop.meta.dx * pop.meta.dy
+
+
+def zonal_exposure(pop: Raster, flood: Raster, p: Params = Params(), pre_aggregate: bool | None = None) -> DataFrame:
+    """(hex_id, population, population_exposed) in one aggregation pass.
+
+    With ``pre_aggregate`` (default: decided from the raster headers),
+    population is first summed per (hexagon, flood cell) -- a map-side
+    combine that shrinks the rows by about the cell-area ratio -- and only
+    that table is joined with the flooded cells, instead of every cell.
+    """
+    if pre_aggregate is None:
+        pre_aggregate = _pre_aggregate_worthwhile(pop, flood, p)
+    if not pre_aggregate:
+        return exposure_cells(pop, flood, p).groupBy("hex_id").agg(
+            F.sum("value").alias("population"),
+            F.sum(scoring.flood_mask(F.col("depth"), F.col("value"))).alias("population_exposed"),
+        )
+    fm = flood.meta
+    cells = raster_cell_xy(pop).select("value", "x", "y")
+    cells = cells.withColumn("_frow", cell_of_y(F.col("y"), fm)).withColumn("_fcol", cell_of_x(F.col("x"), fm))
+    cells = hexgrid.with_hex_assign(to_analysis_crs(cells, pop.meta.crs, p), "_ux", "_uy", p.resolution)
+    pre = cells.groupBy("hex_id", "_frow", "_fcol").agg(F.sum("value").alias("_pop"))
+    wet = raster_valid(flood).where(F.col("value") > 0).select(
+        F.col("row").alias("_frow"), F.col("col").alias("_fcol"), F.col("value").alias("depth"))
+    j = pre.join(wet, ["_frow", "_fcol"], "left").withColumn("depth", F.coalesce("depth", F.lit(0.0)))
+    return j.groupBy("hex_id").agg(
+        F.sum("_pop").alias("population"),
+        F.sum(scoring.flood_mask(F.col("depth"), F.col("_pop"))).alias("population_exposed"),
     )
 
 
