@@ -38,8 +38,9 @@ def ring_crossings(px, py, ring) -> Column:
 
 
 def point_in_ring(px, py, ring) -> Column:
-    """Even-odd ray cast; a ring need not be closed to be tested correctly
-    only if it is closed, so rings are expected closed (last = first)."""
+    """Even-odd ray cast against a closed ring (last vertex = first).
+    Points exactly on an edge follow the half-open straddle rule, so a point
+    on an edge shared by two neighbouring rings falls in exactly one."""
     return (ring_crossings(px, py, ring) % 2) == 1
 
 

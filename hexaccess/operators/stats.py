@@ -96,4 +96,4 @@ def exact_percentiles(df: DataFrame, col: str, probs: list[float], buckets: int
 
 def table_count(df: DataFrame) -> DataFrame:
     """Row count as a one-row frame, 0 for an empty table."""
-    return df.agg(F.coalesce(F.count(F.lit(1)), F.lit(0)).cast("long").alias("n_rows"))
+    return df.agg(F.count(F.lit(1)).cast("long").alias("n_rows"))

@@ -8,7 +8,8 @@ from tests.conftest import SF_SMALL
 from tools.oracle_check import compare
 
 KEYS = ["pipeline", "exposure", "nearest_facility", "knn_facilities", "zonal_polygon", "raster_bilinear",
-        "geom_repair", "admin_rollup", "tile_thin", "network_distance", "score_percentiles", "lake_scan"]
+        "geom_repair", "admin_rollup", "tile_thin", "network_distance", "score_percentiles", "lake_scan",
+        "exposure_stream", "hex_polyfill"]
 
 
 @pytest.mark.parametrize("key", KEYS)

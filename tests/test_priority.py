@@ -70,3 +70,13 @@ def test_exact_percentiles_match_numpy(spark, n, distinct):
 def test_exact_percentiles_empty(spark):
     df = spark.createDataFrame([], "v double")
     assert exact_percentiles(df, "v", [0.5]) == [None]
+
+
+def test_one_populated_hex(spark):
+    rows = [("h0", 250.0, 40.0, 0.6), ("h1", 0.0, 0.0, None), ("h2", 0.0, 0.0, None)]
+    g = spark.createDataFrame(rows, "hex_id string, population double, population_exposed double, accessibility_score double")
+    out = {r.hex_id: r for r in jobs.priority(g, Params(), materialise_input=False).collect()}
+    assert out["h0"].exposure_score == 0.0                      # max == min -> 0
+    assert out["h0"].priority_score == pytest.approx(0.4 * 0.4)
+    assert out["h0"].priority_class == "high"
+    assert out["h1"].priority_class is None and out["h1"].priority_score is None
