@@ -132,3 +132,19 @@ def with_hex_assign(df, x, y, res: int, out: str = "hex_id", keep_axial: bool =
     if keep_axial:
         out_cols += ["q", "r"]
     return s4.select(*out_cols)
+
+
+def hex_boundary_of_id(hid, max_res: int = 15) -> Column:
+    """Closed ring of a hexagon given only its id ``"res_q_r"`` (the level
+    is read from the id; edge lengths come from a literal per-level table)."""
+    p = parse_hex_id(hid)
+    edges = F.array(*[F.lit(hex_edge_m(k)) for k in range(max_res + 1)])
+    s = F.element_at(edges, p["res"] + 1)
+    qd, rd = p["q"].cast("double"), p["r"].cast("double")
+    cx = s * F.lit(SQRT3) * (qd + rd / F.lit(2.0))
+    cy = F.lit(1.5) * s * rd
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(6)),
+        lambda i: point(cx + s * F.cos(F.radians(F.lit(30.0) + F.lit(60.0) * (i % 6))),
+                        cy + s * F.sin(F.radians(F.lit(30.0) + F.lit(60.0) * (i % 6)))),
+    )

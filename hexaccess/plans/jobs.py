@@ -174,10 +174,29 @@ def analysis_grid(inputs: Inputs, p: Params = Params()) -> DataFrame:
     return priority(g, p, materialise_input=False)
 
 
-def pipeline(spark: SparkSession, sf_dir: str, p: Params = Params()) -> dict[str, DataFrame]:
-    """Every output of a run as lazily-defined DataFrames."""
+def hex_admin_units(grid: DataFrame, admin: DataFrame, p: Params = Params(), bucket_deg: float = 0.1) -> DataFrame:
+    """(hex_id, admin_id) -- the admin unit whose lon/lat ring holds each
+    hexagon centre (bucket equi-join + ray cast)."""
+    from hexaccess.operators.zonal import point_in_zone
+    pts = geo.with_lonlat(grid.select("hex_id", F.col("centroid.x").alias("_cx"), F.col("centroid.y").alias("_cy")),
+                          "_cx", "_cy", "_lon", "_lat", p.utm_zone, p.south_hemisphere)
+    zones = admin.select(F.col("admin_id").alias("_zone"), "ring")
+    hit = point_in_zone(pts, zones, bucket_deg, "_lon", "_lat", zone_id="_zone")
+    return hit.select("hex_id", F.col("_zone").alias("admin_id"))
+
+
+def admin_rollup(grid: DataFrame, admin: DataFrame, p: Params = Params(),
+                 levels: tuple[str, ...] = ("NAME_0", "NAME_3")) -> DataFrame:
+    """Hexagon results rolled up to admin units with subtotals."""
+    from hexaccess.operators import summaries
+    tagged = grid.join(hex_admin_units(grid, admin, p), "hex_id").join(
+        admin.select("admin_id", *levels), "admin_id")
+    return summaries.admin_rollup(tagged, levels)
+
+
+def pipeline_from_inputs(inputs: Inputs, p: Params = Params()) -> dict[str, DataFrame]:
+    """C9 over already-loaded inputs: every output of a run."""
     from hexaccess.operators import summaries
-    inputs = load_inputs(spark, sf_dir, p)
     g = analysis_grid(inputs, p)
     return {
         "grid": g,
@@ -185,9 +204,16 @@ def pipeline(spark: SparkSession, sf_dir: str, p: Params = Params()) -> dict[str
         "facilities": inputs.facilities,
         "run_summary": summaries.run_summary(g),
         "class_counts": summaries.class_counts(g),
+        "admin_rollup": admin_rollup(g, inputs.admin, p),
     }
 
 
+def pipeline(spark: SparkSession, sf_dir: str, p: Params = Params()) -> dict[str, DataFrame]:
+    """Every output of a run as DataFrames (stage tables are written as
+    the run goes; summaries stay lazy)."""
+    return pipeline_from_inputs(load_inputs(spark, sf_dir, p), p)
+
+
 def top_priority(grid: DataFrame) -> DataFrame:
     """L4: the high-priority hexagons."""
     return grid.where(F.col("priority_class") == "high")

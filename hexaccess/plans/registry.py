@@ -535,14 +535,9 @@ def q_clip_to_box(spark, sf):
 
 
 def _hex_admin(spark, sf, g: DataFrame | None = None) -> DataFrame:
-    from hexaccess.functions import geo
-    from hexaccess.operators.zonal import point_in_zone
     inp = _inputs(spark, sf)
     g = g if g is not None else jobs.build_grid(inp.admin, P)
-    pts = geo.with_lonlat(g.select("hex_id", F.col("centroid.x").alias("cx"), F.col("centroid.y").alias("cy")),
-                          "cx", "cy", "lon", "lat")
-    zones = inp.admin.select(F.col("admin_id").alias("zone_id"), "ring")
-    return point_in_zone(pts, zones, 0.1, "lon", "lat").select("hex_id", F.col("zone_id").alias("admin_id"))
+    return jobs.hex_admin_units(g, inp.admin, P)
 
 
 @query("hex_admin")
@@ -648,12 +643,8 @@ def q_layer_extent(spark, sf):
 @query("admin_rollup")
 def q_admin_rollup(spark, sf):
     """Hexagon results rolled up to admin units, with subtotals."""
-    from hexaccess.operators.summaries import admin_rollup
     inp = _inputs(spark, sf)
-    g = analysis(spark, sf)
-    ha = _hex_admin(spark, sf, g).join(inp.admin.select("admin_id", "NAME_0", "NAME_3"), "admin_id")
-    t = g.join(ha, "hex_id")
-    out = admin_rollup(t)
+    out = jobs.admin_rollup(analysis(spark, sf), inp.admin, P)
     return out.select("NAME_0", "NAME_3", "n_hexes", r("population", 6).alias("population"),
                       r("population_exposed", 6).alias("population_exposed"),
                       r("weighted_distance_km", 6).alias("weighted_distance_km"), "high_priority_hexes")

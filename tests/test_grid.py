@@ -92,3 +92,10 @@ def test_row_interval_polyfill_equals_exhaustive(spark, n, r_in, r_out, phase):
     a = sorted(tuple(r) for r in hex_polyfill(zones, 7).select("admin_id", "hex_id").collect())
     b = sorted(tuple(r) for r in hex_polyfill_exhaustive(zones, 7).select("admin_id", "hex_id").collect())
     assert a == b and len(a) > 0          # same rows, no duplicates
+
+
+def test_boundary_from_id_matches_axial_form(spark):
+    g = jobs.build_grid(jobs.load_inputs(spark, SF_SMALL).admin).limit(20)
+    rows = g.select(F.col("geometry").alias("a"), hexgrid.hex_boundary_of_id(F.col("hex_id")).alias("b")).collect()
+    for r in rows:
+        assert [(round(p.x, 6), round(p.y, 6)) for p in r.a] == [(round(p.x, 6), round(p.y, 6)) for p in r.b]
