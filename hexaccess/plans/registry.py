@@ -331,7 +331,7 @@ def q_raster_overview(spark, sf):
 def _tiles(spark, sf):
     from hexaccess.operators.tiles import tile_features
     g = _lonlat_grid(analysis(spark, sf)).where("population > 0")
-    return tile_features(g, range(6, 11), ring="geometry", keep=["priority_score"])
+    return tile_features(g, range(P.min_zoom, P.max_zoom + 1), ring="geometry", keep=["priority_score"])
 
 
 @query("tile_features")

@@ -198,7 +198,7 @@ def _tiles_sql():
           f"USING (hex_id) GROUP BY v.hex_id")
     x0, y0 = tile_sql("xmin", "ymax", "zoom")
     x1, y1 = tile_sql("xmax", "ymin", "zoom")
-    z = f"SELECT *, unnest(range(6, 11)) AS zoom FROM ({bb}) b"
+    z = f"SELECT *, unnest(range(6, 15)) AS zoom FROM ({bb}) b"      # the 6..14 pyramid
     xr = f"SELECT hex_id, zoom, {x0} AS tx0, {x1} AS tx1, {y0} AS ty0, {y1} AS ty1 FROM ({z}) z"
     return (f"SELECT hex_id, zoom, tile_x, unnest(range(ty0, ty1 + 1)) AS tile_y FROM "
             f"(SELECT *, unnest(range(tx0, tx1 + 1)) AS tile_x FROM ({xr}) a) b")
