@@ -87,7 +87,10 @@ def raster_clip_box(r: Raster, west: float, south: float, east: float, north: fl
     c1 = min(m.n_cols - 1, int(math.floor((east - m.x0) / m.dx - 0.5)))
     r0 = max(0, int(math.ceil((m.y0 - north) / m.dy - 0.5)))
     r1 = min(m.n_rows - 1, int(math.floor((m.y0 - south) / m.dy - 0.5)))
-    cells = r.cells.where(F.col("row").between(r0, r1) & F.col("col").between(c0, c1)).select(
+    window = F.col("row").between(r0, r1) & F.col("col").between(c0, c1)
+    if "tile_row" in r.cells.columns:      # stored by block row: prune the other blocks' files
+        window = window & F.col("tile_row").between(r0 // m.block, r1 // m.block)
+    cells = r.cells.where(window).select(
         (F.col("row") - r0).alias("row"), (F.col("col") - c0).alias("col"), "value")
     meta = m.with_shape(x0=m.x0 + c0 * m.dx, y0=m.y0 - r0 * m.dy,
                         n_rows=max(r1 - r0 + 1, 0), n_cols=max(c1 - c0 + 1, 0))

@@ -61,8 +61,8 @@ def write_feature_collections(features: DataFrame, feature_col: str, key: Column
 
 
 def write_raster(cells: DataFrame, path: str, block: int = 512, mode: str = "overwrite") -> str:
-    """K7: raster cells partitioned by storage block row, so a clip or an
-    alignment window reads only its blocks."""
-    (cells.withColumn("tile_row", F.floor(F.col("row") / F.lit(block)))
+    """K7: raster cells partitioned by storage block row (``row // block``,
+    the header's ``block``), so a clip or window reads only its blocks."""
+    (cells.select("row", "col", "value").withColumn("tile_row", F.floor(F.col("row") / F.lit(block)))
      .write.mode(mode).option("compression", "zstd").partitionBy("tile_row").parquet(path))
     return path

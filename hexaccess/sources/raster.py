@@ -26,6 +26,7 @@ class RasterMeta:
     n_cols: int
     crs: str = "EPSG:4326"
     nodata: float | None = None
+    block: int = 512   # storage block edge in cells (cell tables are partitioned by row // block)
 
     @property
     def bounds(self) -> tuple[float, float, float, float]:
@@ -70,8 +71,12 @@ def cell_of_y(y: Column, meta: RasterMeta) -> Column:
 
 
 def read_raster(spark: SparkSession, path: str, meta: RasterMeta) -> Raster:
-    """Scan a stored cell table (Parquet, any partitioning)."""
-    return Raster(spark.read.parquet(path).select("row", "col", "value"), meta)
+    """Scan a stored cell table.  A ``tile_row`` partition column (written by
+    ``sinks.writers.write_raster``) is kept so row-window filters can prune
+    whole blocks of files."""
+    df = spark.read.parquet(path)
+    cols = ["row", "col", "value"] + (["tile_row"] if "tile_row" in df.columns else [])
+    return Raster(df.select(*cols), meta)
 
 
 def read_text_grid(spark: SparkSession, path: str, meta: RasterMeta) -> Raster:

@@ -53,3 +53,21 @@ def test_populated_filter_pushed_before_nearest_join(spark):
     g = jobs.exposure(jobs.build_grid(inp.admin), inp.population, inp.flood)
     pts = g.where(F.col("population") > 0)
     assert "population" in _plan(pts)
+
+
+def test_raster_clip_prunes_stored_blocks(spark):
+    from hexaccess.operators.raster import raster_clip_box
+    from hexaccess.session import scratch_path
+    from hexaccess.sinks.writers import write_raster
+    from hexaccess.sources.raster import read_raster
+    pop = jobs.load_inputs(spark, SF_SMALL).population
+    meta = pop.meta.with_shape(block=8)
+    path = write_raster(pop.cells, scratch_path(spark, "pop_blocks"), block=meta.block)
+    stored = read_raster(spark, path, meta)
+    clipped = raster_clip_box(stored, *registry.FIXTURE_BOX)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    plan = _plan(clipped.cells)
+    assert "PartitionFilters: [isnotnull(tile_row" in plan
+    direct = raster_clip_box(pop, *registry.FIXTURE_BOX)
+    assert sorted(map(tuple, clipped.cells.select("row", "col", "value").collect())) == \
+        sorted(map(tuple, direct.cells.select("row", "col", "value").collect()))
