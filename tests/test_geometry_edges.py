@@ -121,3 +121,25 @@ def test_tile_xy_known_values(spark):
     r = spark.createDataFrame([(0.0, 0.0, 1), (-180.0, 85.0, 2), (179.999, -85.0, 3)], "lon double, lat double, z int")
     got = [tuple(x) for x in r.select(geo.tile_xy(F.col("lon"), F.col("lat"), F.col("z")).alias("t")).select("t.x", "t.y").collect()]
     assert got == [(1, 1), (0, 0), (7, 7)]
+
+
+def test_text_grid_reader(spark, tmp_path):
+    from hexaccess.sources.raster import read_text_grid
+    p = tmp_path / "grid.txt"
+    p.write_text("0 1.5 2.5 3.5\n1 4.0 -9999 6.0\n")
+    meta = RasterMeta.from_bounds(0.0, 0.0, 3.0, 2.0, 3, 2, "EPSG:4326", nodata=-9999.0)
+    r = read_text_grid(spark, str(p), meta)
+    got = sorted((x.row, x.col, x.value) for x in raster_valid(r).collect())
+    assert got == [(0, 0, 1.5), (0, 1, 2.5), (0, 2, 3.5), (1, 0, 4.0), (1, 2, 6.0)]
+
+
+def test_raster_clip_ring_matches_box_clip(spark):
+    from hexaccess.operators.raster import raster_clip_ring
+    from hexaccess.plans import jobs
+    from tests.conftest import SF_SMALL
+    pop = jobs.load_inputs(spark, SF_SMALL).population
+    w, s, e, n = 27.5, -4.0, 28.0, -3.5
+    ring = [(w, s), (e, s), (e, n), (w, n), (w, s)]
+    a = sorted(map(tuple, raster_clip_ring(pop, ring).select("row", "col", "value").collect()))
+    b = sorted(map(tuple, raster_clip_box(pop, w, s, e, n).cells.select("row", "col", "value").collect()))
+    assert a == b and len(a) > 0
