@@ -10,9 +10,10 @@ levels (bucket edge ``B_l = B0 * 2**l``).  For each query point:
    k-th best distance is below ``B_l0`` the answer is exact: anything
    outside the block is at least ``B_l0`` away.
 3. Otherwise the k-th best distance ``U`` is at most ``2*sqrt(2)*B_l0``
-   (the far corner of the block), so the 3x3 block at the first level
-   with ``B_j >= U`` (``l0+1`` or ``l0+2``) holds every facility closer
-   than ``U``; round 2 pairs with that block and is exact.
+   (the far corner of the block), and every facility closer than ``U``
+   lies in a level-``l0`` bucket that meets the disk of radius ``U``
+   around the point; round 2 pairs with exactly those buckets (at most
+   7x7, pruned by point-to-bucket distance) and is exact.
 
 Every step is an equi-join on ``(level, bucket_x, bucket_y)`` plus a
 grouped min (k = 1) or a per-point ``row_number`` (k > 1); the number of
@@ -163,14 +164,30 @@ def nearest(points: DataFrame, facilities: DataFrame, *, k: int = 1,
     r1 = topk(pairs(q1))
     ok1 = F.sqrt(F.col("_dk2")) < edge("_lv") * F.lit(_SAFETY)
     done1 = r1.where(ok1)
-    # unresolved points: one row each, moved to the level whose block must hold the answer
-    q2 = (
-        r1.where(~ok1 & (F.col("rank") == 1))
-        .select("_pid", "_px", "_py", "_bx", "_by",
-                F.when(F.sqrt(F.col("_dk2")) < edge("_lv") * F.lit(2.0 * _SAFETY), F.col("_lv") + 1)
-                .otherwise(F.col("_lv") + 2).alias("_lv"))
-    )
-    r2 = topk(pairs(q2))
+    # unresolved points: every facility closer than U (the k-th distance found
+    # so far, U <= 2*sqrt(2)*B_l0) lies in a level-l0 bucket meeting the disk of
+    # radius U, so pair only with those buckets (at most 7x7, pruned by the
+    # point-to-bucket distance) instead of a whole coarser block.
+    q2 = r1.where(~ok1 & (F.col("rank") == 1)).select(
+        "_pid", "_px", "_py", "_bx", "_by", "_lv", F.sqrt(F.col("_dk2")).alias("_u"))
+    bsize = edge("_lv")
+    reach = F.ceil(F.col("_u") / bsize).cast("int")
+    offsets = F.sequence(-reach, reach)
+    q2 = (q2.select("*", F.explode(offsets).alias("_ox")).select("*", F.explode(offsets).alias("_oy"))
+          .withColumn("_cx", _shr("_bx", F.col("_lv").cast("int")) + F.col("_ox"))
+          .withColumn("_cy", _shr("_by", F.col("_lv").cast("int")) + F.col("_oy")))
+    gap_x = F.greatest(F.col("_cx").cast("double") * bsize - F.col("_px"), F.lit(0.0),
+                       F.col("_px") - (F.col("_cx") + 1).cast("double") * bsize)
+    gap_y = F.greatest(F.col("_cy").cast("double") * bsize - F.col("_py"), F.lit(0.0),
+                       F.col("_py") - (F.col("_cy") + 1).cast("double") * bsize)
+    slack = F.col("_u") * F.lit(1.0 + 1e-9) + F.lit(1e-6)
+    q2 = q2.where(gap_x * gap_x + gap_y * gap_y <= slack * slack).select(
+        "_pid", "_px", "_py", "_bx", "_by", "_lv", "_cx", "_cy")
+    dx2 = F.col("_px") - F.col("_fx")
+    dy2 = F.col("_py") - F.col("_fy")
+    pairs2 = q2.join(F_lv, ["_lv", "_cx", "_cy"]).select(
+        "_pid", "_px", "_py", "_bx", "_by", "_lv", "_fid", (dx2 * dx2 + dy2 * dy2).alias("_d2"))
+    r2 = topk(pairs2)
     res = done1.unionByName(r2)
     return res.select(
         F.col("_pid").alias(point_id), F.col("rank").cast("int").alias("rank"),

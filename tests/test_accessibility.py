@@ -79,3 +79,24 @@ def test_no_facilities_gives_no_rows(spark):
     P = spark.createDataFrame([(1, 0.0, 0.0)], "hex_id long, x double, y double")
     Fd = spark.createDataFrame([], "id long, x double, y double")
     assert nearest(P, Fd).count() == 0
+
+
+@pytest.mark.parametrize("k", [1, 4])
+def test_round_two_heavy_case_is_exact(spark, k):
+    # facilities in a few tight clumps far apart: most points are resolved only in round 2
+    rnd = random.Random(7 + k)
+    facs = []
+    for c, (cx, cy) in enumerate([(0.0, 0.0), (90000.0, 10000.0), (40000.0, 70000.0)]):
+        for i in range(15):
+            facs.append((c * 100 + i, cx + rnd.uniform(-300, 300), cy + rnd.uniform(-300, 300)))
+    points = [(i, rnd.uniform(-30000, 130000), rnd.uniform(-30000, 100000)) for i in range(600)]
+    P = spark.createDataFrame(points, "hex_id long, x double, y double")
+    Fd = spark.createDataFrame(facs, "id long, x double, y double")
+    got = {}
+    for r in nearest(P, Fd, k=k).collect():
+        got.setdefault(r.hex_id, []).append((r.rank, r.facility_id, r.distance_m))
+    want = _brute(points, facs, k)
+    assert set(got) == set(want)
+    for pid, rows in got.items():
+        rows.sort()
+        assert [(f, round(d, 6)) for _, f, d in rows] == [(f, round(d, 6)) for f, d in want[pid]]
