@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hexaccess import fixed as FX
+
 
 def _num(c: str, digits: int):
     return F.format_string(f"%.{digits}f", F.coalesce(F.col(c), F.lit(0.0)))
@@ -18,8 +20,8 @@ def hex_popup(grid: DataFrame) -> DataFrame:
         F.concat(F.format_string("%d", F.round(F.coalesce(F.col("population_exposed"), F.lit(0.0))).cast("long")),
                  F.lit(" ("), _num("exposure_pct", 1), F.lit("%)")).alias("exposed_text"),
         F.concat(_num("nearest_facility_km", 2), F.lit(" km")).alias("facility_text"),
-        F.coalesce(F.col("accessibility_class"), F.lit("N/A")).alias("accessibility_text"),
-        F.concat(F.coalesce(F.col("priority_class"), F.lit("N/A")), F.lit(" ("), _num("priority_score", 3),
+        F.coalesce(F.col("accessibility_class"), F.lit(FX.MISSING_CLASS)).alias("accessibility_text"),
+        F.concat(F.coalesce(F.col("priority_class"), F.lit(FX.MISSING_CLASS)), F.lit(" ("), _num("priority_score", 3),
                  F.lit(")")).alias("priority_text"),
     )
 
@@ -28,6 +30,6 @@ def facility_popup(facilities: DataFrame) -> DataFrame:
     """Facility popup fields; missing name 'Unnamed', missing type 'Health facility'."""
     return facilities.select(
         "id",
-        F.coalesce(F.col("name"), F.lit("Unnamed")).alias("name_text"),
-        F.coalesce(F.col("amenity"), F.lit("Health facility")).alias("type_text"),
+        F.coalesce(F.col("name"), F.lit(FX.MISSING_NAME)).alias("name_text"),
+        F.coalesce(F.col("amenity"), F.lit(FX.MISSING_TYPE)).alias("type_text"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hexaccess import fixed as FX
 from hexaccess.functions.geo import _c
 
 
@@ -17,17 +18,18 @@ def exposure_pct(exposed, pop) -> Column:
     """exposed / pop * 100 with a 0 population read as 1 (so 0 %), NaN -> 0."""
     pop = _c(pop)
     divisor = F.when(pop == 0, F.lit(1.0)).otherwise(pop)
-    pct = _c(exposed) / divisor * F.lit(100.0)
+    pct = _c(exposed) / divisor * F.lit(FX.PERCENT_SCALE)
     return F.coalesce(F.nanvl(pct, F.lit(0.0)), F.lit(0.0))
 
 
 def access_class(d_km, threshold_km: float = 5.0, moderate_km: float = 10.0) -> Column:
     d = _c(d_km)
+    good, moderate, poor = FX.ACCESS_CLASSES
     return (
         F.when(d.isNull(), F.lit(None).cast("string"))
-        .when(d < F.lit(threshold_km), F.lit("good"))
-        .when(d < F.lit(moderate_km), F.lit("moderate"))
-        .otherwise(F.lit("poor"))
+        .when(d < F.lit(threshold_km), F.lit(good))
+        .when(d < F.lit(moderate_km), F.lit(moderate))
+        .otherwise(F.lit(poor))
     )
 
 
@@ -38,9 +40,10 @@ def access_score(d_km, threshold_km: float = 5.0, moderate_km: float = 10.0) ->
     t, m = F.lit(threshold_km), F.lit(moderate_km)
     return (
         F.when(d.isNull(), F.lit(None).cast("double"))
-        .when(d < t, F.lit(1.0) - (d / t) * F.lit(0.5))
-        .when(d < m, F.lit(0.5) - ((d - t) / (m - t)) * F.lit(0.3))
-        .otherwise(F.greatest(F.lit(0.2) - (d - m) * F.lit(0.01), F.lit(0.0)))
+        .when(d < t, F.lit(FX.SCORE_TOP) - (d / t) * F.lit(FX.SCORE_GOOD_SPAN))
+        .when(d < m, F.lit(FX.SCORE_AT_THRESHOLD) - ((d - t) / (m - t)) * F.lit(FX.SCORE_MODERATE_SPAN))
+        .otherwise(F.greatest(F.lit(FX.SCORE_AT_MODERATE) - (d - m) * F.lit(FX.SCORE_POOR_SLOPE_PER_KM),
+                              F.lit(FX.SCORE_FLOOR)))
     )
 
 
@@ -62,9 +65,10 @@ def priority_score(exposure_score, access_score_col, exposure_weight: float = 0.
 
 def priority_class(score, p_high, p_mid) -> Column:
     s = _c(score)
+    high, medium, low = FX.PRIORITY_CLASSES
     return (
         F.when(s.isNull(), F.lit(None).cast("string"))
-        .when(s >= _c(p_high), F.lit("high"))
-        .when(s >= _c(p_mid), F.lit("medium"))
-        .otherwise(F.lit("low"))
+        .when(s >= _c(p_high), F.lit(high))
+        .when(s >= _c(p_mid), F.lit(medium))
+        .otherwise(F.lit(low))
     )

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hexaccess import fixed as FX
 from hexaccess.functions import polygon
 
 
 def population_totals(grid: DataFrame) -> DataFrame:
     """Total and exposed population, high-priority population and its share."""
-    high = F.col("priority_class") == "high"
+    high = F.col("priority_class") == FX.PRIORITY_CLASSES[0]
     total = F.sum("population")
     high_pop = F.sum(F.when(high, F.col("population")).otherwise(F.lit(0.0)))
     return grid.agg(
@@ -42,7 +43,7 @@ def run_summary(grid: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_hexes"),
         F.sum("population").alias("total_population"),
         F.sum("population_exposed").alias("exposed_population"),
-        F.count_if(F.col("priority_class") == "high").alias("high_priority_hexes"),
+        F.count_if(F.col("priority_class") == FX.PRIORITY_CLASSES[0]).alias("high_priority_hexes"),
         F.avg("nearest_facility_km").alias("avg_facility_distance_km"),
     )
 
@@ -50,8 +51,10 @@ def run_summary(grid: DataFrame) -> DataFrame:
 def exposure_bins(grid: DataFrame) -> DataFrame:
     """Legend bins of exposed population: 0-10, 10-50, 50-100, 100-200, 200+."""
     e = F.col("population_exposed")
-    b = (F.when(e >= 200, F.lit("200+")).when(e >= 100, F.lit("100-200")).when(e >= 50, F.lit("50-100"))
-         .when(e >= 10, F.lit("10-50")).otherwise(F.lit("0-10")))
+    *upper, (_, lowest) = FX.EXPOSURE_BINS
+    b = F.lit(lowest)
+    for edge, label in reversed(upper):
+        b = F.when(e >= F.lit(edge), F.lit(label)).otherwise(b)
     return grid.where(F.col("population") > 0).groupBy(b.alias("exposure_bin")).agg(
         F.count(F.lit(1)).alias("n_hexes"))
 
@@ -76,5 +79,5 @@ def admin_rollup(hex_admin: DataFrame, levels: tuple[str, ...] = ("NAME_0", "NAM
         F.sum(pop).alias("population"),
         F.sum("population_exposed").alias("population_exposed"),
         (F.sum(wd) / F.when(F.sum(wp) != 0, F.sum(wp))).alias("weighted_distance_km"),
-        F.count_if(F.col("priority_class") == "high").alias("high_priority_hexes"),
+        F.count_if(F.col("priority_class") == FX.PRIORITY_CLASSES[0]).alias("high_priority_hexes"),
     )

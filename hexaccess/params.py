@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from hexaccess.fixed import ADMIN_LAYERS
+
 
 @dataclass(frozen=True)
 class Params:
@@ -30,7 +32,7 @@ class Params:
     max_features_per_tile: int = 200
     # Raster storage block edge in cells.
     block_size: int = 512
-    layers: tuple[str, ...] = field(default=("ADM_ADM_3", "gadm41_COD_3"))
+    layers: tuple[str, ...] = field(default=ADMIN_LAYERS)
 
     @property
     def bbox(self) -> tuple[float, float, float, float]:

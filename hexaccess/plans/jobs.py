@@ -136,8 +136,9 @@ def accessibility(grid: DataFrame, facilities: DataFrame, p: Params = Params(),
 def priority_thresholds(scored: DataFrame, p: Params = Params()) -> tuple[float | None, float | None]:
     """(high, medium) thresholds: exact percentiles 100 - top and 50 of the
     populated hexagons' priority scores."""
+    from hexaccess.fixed import PRIORITY_MID_PERCENTILE
     hi, mid = exact_percentiles(scored.where(F.col("population") > 0), "priority_score",
-                                [(100.0 - p.top_percentile) / 100.0, 0.5])
+                                [(100.0 - p.top_percentile) / 100.0, PRIORITY_MID_PERCENTILE / 100.0])
     return hi, mid
 
 
@@ -216,7 +217,8 @@ def pipeline(spark: SparkSession, sf_dir: str, p: Params = Params()) -> dict[str
 
 def top_priority(grid: DataFrame) -> DataFrame:
     """L4: the high-priority hexagons."""
-    return grid.where(F.col("priority_class") == "high")
+    from hexaccess.fixed import PRIORITY_CLASSES
+    return grid.where(F.col("priority_class") == PRIORITY_CLASSES[0])
 
 
 def to_lonlat_grid(grid: DataFrame, p: Params = Params()) -> DataFrame:
