@@ -85,7 +85,7 @@ def grid_attributes(g: DataFrame) -> DataFrame:
         "priority_class")
 
 
-@query("pipeline")
+@query("hazard_pipeline")
 def q_pipeline(spark, sf):
     return grid_attributes(analysis(spark, sf))
 

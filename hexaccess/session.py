@@ -34,8 +34,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    Only when the session has none (local tests) is a fresh local folder
-    set; a cluster's own `spark.checkpoint.dir` is never overridden.
+    Only a `local[...]` session that has none (tests) gets a fresh local
+    folder; a cluster's own `spark.checkpoint.dir` is never overridden, and
+    a cluster without one is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,8 +45,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master.startswith("local[") or sc.master == "local":
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="hexaccess-ckpt-"))
+    else:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share; "
+                           "a machine-local folder is only used with a local[...] master")
     return sc.getCheckpointDir()
 
 

@@ -48,7 +48,7 @@ def _priority():
             f"priority_class FROM ({priority_grid_sql()}) p")
 
 
-@oracle("pipeline")
+@oracle("hazard_pipeline")
 def _pipeline():
     return (f"SELECT hex_id, {RES} AS resolution, {_r('cx', 3, 'cx')}, {_r('cy', 3, 'cy')}, "
             f"{_r('population', 6, 'population')}, {_r('population_exposed', 6, 'population_exposed')}, "

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare
 
-KEYS = ["pipeline", "exposure", "nearest_facility", "knn_facilities", "zonal_polygon", "raster_bilinear",
+KEYS = ["hazard_pipeline", "exposure", "nearest_facility", "knn_facilities", "zonal_polygon", "raster_bilinear",
         "geom_repair", "admin_rollup", "tile_thin", "network_distance", "score_percentiles", "lake_scan",
         "exposure_stream", "hex_polyfill"]
 
