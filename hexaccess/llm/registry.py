@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hexaccess.llm import mixing
+from hexaccess.llm import mixing, token_files
 
 QUERIES = {
     "op2_source_mix": mixing.op2_source_mix,
+    "op5_token_files": token_files.op5_token_files,
 }
 
 ORACLES = {
