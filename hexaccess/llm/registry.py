@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from hexaccess.llm import mixing, quality, simhash, token_files
+from hexaccess.llm import mixing, privacy, quality, simhash, token_files
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_source_mix": mixing.op2_source_mix,
     "op5_token_files": token_files.op5_token_files,
     "op6_simhash": simhash.op6_simhash,
+    "op7_personal_data": privacy.op7_personal_data,
 }
 
 ORACLES = {
