@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hexaccess.llm import mixing, privacy, quality, simhash, token_files
+from hexaccess.llm import mixing, privacy, quality, simhash, token_files, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -10,8 +10,10 @@ QUERIES = {
     "op5_token_files": token_files.op5_token_files,
     "op6_simhash": simhash.op6_simhash,
     "op7_personal_data": privacy.op7_personal_data,
+    "op8_url_filter": urls.op8_url_filter,
 }
 
 ORACLES = {
     "op2_source_mix": mixing.OP2_SQL,
+    "op8_url_filter": urls.OP8_SQL,
 }
