@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from hexaccess.llm import mixing, privacy, quality, simhash, token_files, urls
+from hexaccess.llm import lines, mixing, privacy, quality, simhash, token_files, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_source_mix": mixing.op2_source_mix,
+    "op3_line_dedup": lines.op3_line_dedup,
     "op5_token_files": token_files.op5_token_files,
     "op6_simhash": simhash.op6_simhash,
     "op7_personal_data": privacy.op7_personal_data,
@@ -15,5 +16,6 @@ QUERIES = {
 
 ORACLES = {
     "op2_source_mix": mixing.OP2_SQL,
+    "op3_line_dedup": lines.OP3_SQL,
     "op8_url_filter": urls.OP8_SQL,
 }
