@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hexaccess.llm import lines, mixing, privacy, quality, simhash, token_files, urls
+from hexaccess.llm import lines, mixing, pieces, privacy, quality, simhash, token_files, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_simhash": simhash.op6_simhash,
     "op7_personal_data": privacy.op7_personal_data,
     "op8_url_filter": urls.op8_url_filter,
+    "op9_sentencepiece": pieces.op9_sentencepiece,
 }
 
 ORACLES = {
