@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from hexaccess.llm import lines, mixing, pieces, privacy, quality, simhash, token_files, urls
+from hexaccess.llm import curves, lines, mixing, pieces, privacy, quality, simhash, token_files, topk, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_source_mix": mixing.op2_source_mix,
     "op3_line_dedup": lines.op3_line_dedup,
+    "op4_top_k": topk.op4_top_k,
     "op5_token_files": token_files.op5_token_files,
     "op6_simhash": simhash.op6_simhash,
     "op7_personal_data": privacy.op7_personal_data,
     "op8_url_filter": urls.op8_url_filter,
     "op9_sentencepiece": pieces.op9_sentencepiece,
+    "op10_neighbours": curves.op10_neighbours,
 }
 
 ORACLES = {
     "op2_source_mix": mixing.OP2_SQL,
     "op3_line_dedup": lines.OP3_SQL,
+    "op4_top_k": topk.OP4_SQL,
     "op8_url_filter": urls.OP8_SQL,
 }
