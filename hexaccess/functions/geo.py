@@ -150,27 +150,29 @@ def parse_epsg(crs) -> Column:
     return F.element_at(F.split(_c(crs), ":"), 2).cast("int")
 
 
-def _fmt(v: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", v)
+def _fmt(v: Column, digits: int | None) -> Column:
+    """A number as text: every digit it has, or rounded on request."""
+    return v.cast("string") if digits is None else F.format_string(f"%.{digits}f", v)
 
 
-def ring_to_wkt(ring, srid=None, digits: int = 3) -> Column:
-    """Polygon WKT (``SRID=...;POLYGON((x y, ...))``) from one ring."""
-    body = F.array_join(
-        F.transform(_c(ring), lambda p: F.concat_ws(" ", _fmt(p["x"], digits), _fmt(p["y"], digits))),
-        ", ",
-    )
-    wkt = F.concat(F.lit("POLYGON(("), body, F.lit("))"))
-    if srid is None:
-        return wkt
-    return F.concat(F.lit("SRID="), _c(srid).cast("string"), F.lit(";"), wkt)
+def _with_srid(wkt: Column, srid) -> Column:
+    return wkt if srid is None else F.concat(F.lit("SRID="), _c(srid).cast("string"), F.lit(";"), wkt)
+
+
+def rings_to_wkt(rings, srid=None, digits: int | None = None) -> Column:
+    """Polygon WKT (``SRID=...;POLYGON((x y, ...), (hole))``) from all rings of a polygon."""
+    texts = F.transform(_c(rings), lambda ring: F.concat(F.lit("("), F.array_join(
+        F.transform(ring, lambda p: F.concat_ws(" ", _fmt(p["x"], digits), _fmt(p["y"], digits))), ", "), F.lit(")")))
+    return _with_srid(F.concat(F.lit("POLYGON("), F.array_join(texts, ", "), F.lit(")")), srid)
 
 
-def point_to_wkt(x, y, srid=None, digits: int = 3) -> Column:
-    wkt = F.concat(F.lit("POINT("), _fmt(_c(x), digits), F.lit(" "), _fmt(_c(y), digits), F.lit(")"))
-    if srid is None:
-        return wkt
-    return F.concat(F.lit("SRID="), _c(srid).cast("string"), F.lit(";"), wkt)
+def ring_to_wkt(ring, srid=None, digits: int | None = None) -> Column:
+    """Polygon WKT of a single ring."""
+    return rings_to_wkt(F.array(_c(ring)), srid, digits)
+
+
+def point_to_wkt(x, y, srid=None, digits: int | None = None) -> Column:
+    return _with_srid(F.concat(F.lit("POINT("), _fmt(_c(x), digits), F.lit(" "), _fmt(_c(y), digits), F.lit(")")), srid)
 
 
 def wkt_srid(wkt) -> Column:
@@ -179,15 +181,30 @@ def wkt_srid(wkt) -> Column:
     return F.when(s == "", F.lit(None)).otherwise(s).cast("int")
 
 
+def _coordinates(text: Column) -> Column:
+    """``x y, x y, ...`` -> array of points."""
+    return F.transform(F.split(F.trim(text), r"\s*,\s*"), lambda p: point(
+        F.get(F.split(F.trim(p), r"\s+"), 0).cast("double"), F.get(F.split(F.trim(p), r"\s+"), 1).cast("double")))
+
+
+def wkt_to_parts(wkt) -> Column:
+    """All parts of a (MULTI)POLYGON (E)WKT, each the array of its rings; a
+    LINESTRING or POINT is one part of one ring.  EMPTY gives no part."""
+    body = F.regexp_replace(_c(wkt), r"^[^(]*", "")
+    parts = F.split(body, r"\)\s*\)\s*,\s*\(\s*\(")
+    rings = F.transform(parts, lambda part: F.transform(
+        F.split(part, r"\)\s*,\s*\("), lambda ring: _coordinates(F.regexp_replace(ring, r"[()]", ""))))
+    return F.when(body == "", F.array().cast("array<array<array<struct<x:double,y:double>>>>")).otherwise(rings)
+
+
+def wkt_to_rings(wkt) -> Column:
+    """The rings of the first part (outer ring and holes); NULL for EMPTY."""
+    return F.get(wkt_to_parts(wkt), 0)
+
+
 def wkt_to_ring(wkt) -> Column:
-    """First ring of a POLYGON (or the points of a LINESTRING/POINT) from (E)WKT."""
-    body = F.regexp_extract(_c(wkt), r"\(\(?([^()]*)\)", 1)
-    pts = F.split(F.trim(body), r"\s*,\s*")
-    return F.transform(
-        pts,
-        lambda p: point(F.split(F.trim(p), r"\s+")[0].cast("double"),
-                        F.split(F.trim(p), r"\s+")[1].cast("double")),
-    )
+    """The first ring, for texts known to have one (a LINESTRING's or POINT's points)."""
+    return F.get(wkt_to_rings(wkt), 0)
 
 
 def tile_xy(lon, lat, zoom) -> Column:

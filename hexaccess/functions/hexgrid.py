@@ -111,10 +111,11 @@ def parent_res_axial(x, y, res: int) -> Column:
     return hex_axial(x, y, res - 1)
 
 
-def with_hex_assign(df, x, y, res: int, out: str = "hex_id", keep_axial: bool = False):
-    """Staged form of ``hex_assign``: fractional axial coordinates, then the
-    cube rounding, each computed once per row."""
-    keep = [F.col(c) for c in df.columns if c not in (out, "q", "r")]
+def with_hex_axial(df, x, y, res: int):
+    """Staged form of ``hex_axial``: fractional axial coordinates, then the
+    cube rounding, each computed once per row; adds longs ``q`` and ``r``,
+    the keys to group by (ids are text, for results)."""
+    keep = [F.col(c) for c in df.columns if c not in ("q", "r")]
     s = hex_edge_m(res)
     s1 = df.select(*keep, ((F.lit(SQRT3 / 3.0) * _c(x) - _c(y) / F.lit(3.0)) / F.lit(s)).alias("_fq"),
                    ((F.lit(2.0 / 3.0) * _c(y)) / F.lit(s)).alias("_fr"))
@@ -126,12 +127,14 @@ def with_hex_assign(df, x, y, res: int, out: str = "hex_id", keep_axial: bool =
                    F.abs(rs - F.col("_fs")).alias("_ds"))
     dq, dr, ds = F.col("_dq"), F.col("_dr"), F.col("_ds")
     q_wins = (dq > dr) & (dq > ds)
-    s4 = s3.select(*keep, F.when(q_wins, -rr - rs).otherwise(rq).cast("long").alias("q"),
-                   F.when(~q_wins & (dr > ds), -rq - rs).otherwise(rr).cast("long").alias("r"))
-    out_cols = [*keep, hex_id(F.lit(res), F.col("q"), F.col("r")).alias(out)]
-    if keep_axial:
-        out_cols += ["q", "r"]
-    return s4.select(*out_cols)
+    return s3.select(*keep, F.when(q_wins, -rr - rs).otherwise(rq).cast("long").alias("q"),
+                     F.when(~q_wins & (dr > ds), -rq - rs).otherwise(rr).cast("long").alias("r"))
+
+
+def with_hex_assign(df, x, y, res: int, out: str = "hex_id"):
+    """``df`` plus the id of the hexagon that holds (x, y)."""
+    keep = [c for c in df.columns if c not in (out, "q", "r")]
+    return with_hex_axial(df.select(*keep), x, y, res).select(*keep, hex_id(F.lit(res), F.col("q"), F.col("r")).alias(out))
 
 
 def hex_boundary_of_id(hid, max_res: int = 15) -> Column:

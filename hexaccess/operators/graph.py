@@ -33,8 +33,7 @@ def road_edges(segments: DataFrame, tol: float = 0.001, zone: int = 35, south: b
         length.alias("length_m"), length.alias("cost"))
 
 
-def network_distance(edges: DataFrame, sources: DataFrame, node: str = "node",
-                     max_rounds: int = 10000) -> DataFrame:
+def network_distance(edges: DataFrame, sources: DataFrame, node: str = "node") -> DataFrame:
     """Shortest network cost from the nearest source node to every
     reachable node (edges undirected).  Multi-source Bellman-Ford: each
     round joins the frontier (nodes improved last round) with the edges
@@ -46,7 +45,7 @@ def network_distance(edges: DataFrame, sources: DataFrame, node: str = "node",
     und = materialise(und.groupBy("a", "b").agg(F.min("cost").alias("cost")), "graph_edges")
     dist = materialise(sources.select(F.col(node).alias("node")).distinct().withColumn("dist", F.lit(0.0)), "graph_dist")
     frontier = dist
-    for _ in range(max_rounds):
+    while True:
         cand = (frontier.join(und, frontier.node == und.a)
                 .select(F.col("b").alias("node"), (F.col("dist") + F.col("cost")).alias("dist"))
                 .groupBy("node").agg(F.min("dist").alias("dist")))
@@ -60,4 +59,3 @@ def network_distance(edges: DataFrame, sources: DataFrame, node: str = "node",
                 .select("node", F.coalesce(F.col("new"), F.col("dist")).alias("dist")))
         dist = materialise(dist, "graph_dist")
         frontier = improved
-    raise RuntimeError(f"network_distance did not converge in {max_rounds} rounds")

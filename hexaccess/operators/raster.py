@@ -88,8 +88,9 @@ def raster_clip_box(r: Raster, west: float, south: float, east: float, north: fl
     r0 = max(0, int(math.ceil((m.y0 - north) / m.dy - 0.5)))
     r1 = min(m.n_rows - 1, int(math.floor((m.y0 - south) / m.dy - 0.5)))
     window = F.col("row").between(r0, r1) & F.col("col").between(c0, c1)
-    if "tile_row" in r.cells.columns:      # stored by block row: prune the other blocks' files
-        window = window & F.col("tile_row").between(r0 // m.block, r1 // m.block)
+    for name, lo, hi in (("tile_row", r0, r1), ("tile_col", c0, c1)):   # stored by block: prune the other blocks' files
+        if name in r.cells.columns:
+            window = window & F.col(name).between(lo // m.block, hi // m.block)
     cells = r.cells.where(window).select(
         (F.col("row") - r0).alias("row"), (F.col("col") - c0).alias("col"), "value")
     meta = m.with_shape(x0=m.x0 + c0 * m.dx, y0=m.y0 - r0 * m.dy,
@@ -114,15 +115,25 @@ def raster_clip_ring(r: Raster, ring: list[tuple[float, float]]) -> DataFrame:
 
 def target_grid_meta(spark, src: RasterMeta, dst_crs: str, n_cols: int | None = None,
                      n_rows: int | None = None) -> RasterMeta:
-    """Target grid in ``dst_crs`` covering the projected source bounds
-    (corners and edge midpoints), with the source's shape by default.
-    Only the 9 header points are transformed, with the same Column code."""
+    """Target grid in ``dst_crs`` covering the projected source, with the
+    source's shape by default.  The extremes are taken over all cell corners
+    of the source's edge (a distributed range, one row per corner) and the
+    points of the edge on a UTM zone's central meridian, where a parallel's
+    northing turns."""
     w, s, e, n = src.bounds
-    pts = [(w + fx * (e - w), s + fy * (n - s)) for fx in (0.0, 0.5, 1.0) for fy in (0.0, 0.5, 1.0)]
-    df = spark.createDataFrame(pts, "x double, y double")
+    i = F.col("id").cast("double")
+    along_x = spark.range(src.n_cols + 1).select((F.lit(w) + i * F.lit(src.dx)).alias("x"), F.explode(
+        F.array(F.lit(s), F.lit(n))).alias("y"))
+    along_y = spark.range(src.n_rows + 1).select(F.explode(F.array(F.lit(w), F.lit(e))).alias("x"),
+                                                 (F.lit(s) + i * F.lit(src.dy)).alias("y"))
+    edge = along_x.unionByName(along_y)
+    if _epsg(src.crs) == 4326 and _epsg(dst_crs) != 4326:
+        middle = geo.central_meridian(_utm_zone(dst_crs)[0])
+        if w < middle < e:
+            edge = edge.unionByName(spark.createDataFrame([(middle, s), (middle, n)], "x double, y double"))
     p = reproject_xy(F.col("x"), F.col("y"), src.crs, dst_crs)
-    b = df.select(p.alias("p")).agg(F.min("p.x").alias("w"), F.min("p.y").alias("s"),
-                                    F.max("p.x").alias("e"), F.max("p.y").alias("n")).first()
+    b = edge.select(p.alias("p")).agg(F.min("p.x").alias("w"), F.min("p.y").alias("s"),
+                                      F.max("p.x").alias("e"), F.max("p.y").alias("n")).first()
     return RasterMeta.from_bounds(b["w"], b["s"], b["e"], b["n"], n_cols or src.n_cols,
                                   n_rows or src.n_rows, dst_crs, src.nodata)
 

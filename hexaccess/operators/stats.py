@@ -22,24 +22,15 @@ def minmax_scalars(df: DataFrame, col: str) -> tuple[Column, Column]:
 
 
 def _rank_value(v: DataFrame, rank: int, lo: float, hi: float, below: int,
-                count: int, buckets: int, max_final: int, memo: dict) -> float:
-    """Value at 0-based ``rank`` given that exactly the values in [lo, hi]
-    (``count`` of them, ``below`` values smaller) contain it."""
+                buckets: int, memo: dict) -> float:
+    """Value at 0-based ``rank`` given that the values in [lo, hi] (``below``
+    values are smaller) contain it.  Each pass keeps one bucket; its least
+    and greatest value lie in different buckets of the next pass, so the
+    range shrinks until it is a single value."""
     while True:
         if lo == hi:
             return lo
         window = v.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
-        if count <= max_final:
-            key = ("final", lo, hi)
-            if key not in memo:
-                memo[key] = window.groupBy("v").agg(F.count(F.lit(1)).alias("c")).collect()
-            rows = memo[key]
-            acc = below
-            for r in sorted(rows, key=lambda r: r["v"]):
-                acc += r["c"]
-                if rank < acc:
-                    return float(r["v"])
-            raise RuntimeError("rank outside the window")  # pragma: no cover
         width = hi - lo
         b = F.least(F.greatest(F.floor((F.col("v") - F.lit(lo)) / F.lit(width) * F.lit(buckets)),
                                F.lit(0)), F.lit(buckets - 1))
@@ -52,15 +43,14 @@ def _rank_value(v: DataFrame, rank: int, lo: float, hi: float, below: int,
         acc = below
         for h in sorted(hist, key=lambda r: r["b"]):
             if rank < acc + h["c"]:
-                lo, hi, below, count = float(h["lo"]), float(h["hi"]), acc, int(h["c"])
+                lo, hi, below = float(h["lo"]), float(h["hi"]), acc
                 break
             acc += h["c"]
         else:  # pragma: no cover
             raise RuntimeError("rank outside the histogram")
 
 
-def exact_percentiles(df: DataFrame, col: str, probs: list[float], buckets: int = 1024,
-                      max_final: int = 50000) -> list[float | None]:
+def exact_percentiles(df: DataFrame, col: str, probs: list[float], buckets: int = 1024) -> list[float | None]:
     """Exact linear-interpolated percentiles (probs in [0, 1]) of a column.
 
     NULL and NaN are ignored.  Returns None for every prob on empty input.
@@ -78,7 +68,7 @@ def exact_percentiles(df: DataFrame, col: str, probs: list[float], buckets: int
 
     def at(rank: int) -> float:
         if rank not in cache:
-            cache[rank] = _rank_value(v, rank, lo, hi, 0, n, buckets, max_final, memo)
+            cache[rank] = _rank_value(v, rank, lo, hi, 0, buckets, memo)
         return cache[rank]
 
     out = []

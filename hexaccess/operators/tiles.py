@@ -31,6 +31,9 @@ def tile_thin(tiles: DataFrame, cap: int, order: list, feature_id: str = "hex_id
               salts: int = 16) -> DataFrame:
     """Keep at most ``cap`` features per tile, best first by ``order``
     (then feature id), with the two-phase top-k of ``topk`` so a dense
-    low-zoom tile never has to be sorted in one task whole."""
-    return top_k_per_group(tiles, ["zoom", "tile_x", "tile_y"], cap, order, feature_id,
-                           rank_col="tile_rank", salts=salts)
+    low-zoom tile never has to be sorted in one task whole.  ``n_dropped``
+    says how many features the tile lost."""
+    keys = ["zoom", "tile_x", "tile_y"]
+    kept = top_k_per_group(tiles, keys, cap, order, feature_id, rank_col="tile_rank", salts=salts)
+    lost = tiles.groupBy(*keys).agg(F.greatest(F.count(F.lit(1)) - cap, F.lit(0)).alias("n_dropped"))
+    return kept.join(lost, keys)

@@ -14,7 +14,7 @@ def top_k_per_group(df: DataFrame, keys: list[str], k: int, order: list[Column],
     survivors -- so a group holding a third of all rows is never sorted
     whole in one task."""
     ordering = [*order, F.col(tiebreak)]
-    salted = df.withColumn("_salt", F.abs(F.xxhash64(F.col(tiebreak))) % F.lit(salts))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(tiebreak)), F.lit(salts)))
     first = salted.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*ordering)))
     first = first.where(F.col("_rn") <= k).drop("_salt", "_rn")
     ranked = first.withColumn(rank_col, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)))

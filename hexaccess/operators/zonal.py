@@ -14,20 +14,18 @@ from pyspark.sql import functions as F
 from hexaccess.functions import hexgrid, polygon
 
 
-def assign_hex(points: DataFrame, res: int, x: str = "x", y: str = "y", out: str = "hex_id") -> DataFrame:
-    return points.withColumn(out, hexgrid.hex_assign(F.col(x), F.col(y), res))
-
-
 def zonal_hex(points: DataFrame, res: int, values: dict[str, object], x: str = "x",
               y: str = "y") -> DataFrame:
     """Sum each value expression per hexagon: ``(hex_id, <name>...)``.
 
     ``values`` maps output names to Column expressions (or column names).
     Map-side partial sums mean a dense hexagon costs one row per task, so
-    hot hexagons do not skew the shuffle.
+    hot hexagons do not skew the shuffle; the key is (q, r), ids are
+    written after the sums.
     """
     aggs = [F.sum(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in values.items()]
-    return assign_hex(points, res, x, y).groupBy("hex_id").agg(*aggs)
+    sums = hexgrid.with_hex_axial(points, x, y, res).groupBy("q", "r").agg(*aggs)
+    return sums.select(hexgrid.hex_id(F.lit(res), F.col("q"), F.col("r")).alias("hex_id"), *values)
 
 
 def zonal_polygon(points: DataFrame, zones: DataFrame, bucket_m: float, value: str = "value",

@@ -21,7 +21,7 @@ from hexaccess.operators.stats import exact_percentiles, minmax_scalars
 from hexaccess.params import Params
 from hexaccess.session import materialise
 from hexaccess.sources import derived
-from hexaccess.sources.raster import Raster, cell_of_x, cell_of_y
+from hexaccess.sources.raster import Raster, RasterMeta, cell_of_x, cell_of_y
 
 
 @dataclass
@@ -70,41 +70,35 @@ def to_analysis_crs(df: DataFrame, crs: str, p: Params, x: str = "x", y: str = "
     return df.withColumn("_ux", u["x"]).withColumn("_uy", u["y"])
 
 
-def _pre_aggregate_worthwhile(pop: Raster, flood: Raster, p: Params, ratio: float = 4.0) -> bool:
-    """True when population cells are at least ``ratio`` times smaller (by
-    area, same CRS) than flood cells, so many cells share a flood cell."""
-    if pop.meta.crs != flood.meta.crs:
-        return False
-    return flood.meta.dx * flood.meta.dy >= ratio * pop.meta.dx * pop.meta.dy
+def exposed_sums(cells: DataFrame, pop: RasterMeta, flood: Raster, p: Params = Params()) -> DataFrame:
+    """(q, r, population, population_exposed) of population cells (row, col, value).
 
-
-def zonal_exposure(pop: Raster, flood: Raster, p: Params = Params(), pre_aggregate: bool | None = None) -> DataFrame:
-    """(hex_id, population, population_exposed) in one aggregation pass.
-
-    With ``pre_aggregate`` (default: decided from the raster headers),
-    population is first summed per (hexagon, flood cell) -- a map-side
-    combine that shrinks the rows by about the cell-area ratio -- and only
-    that table is joined with the flooded cells, instead of every cell.
+    Each valid cell gets its hexagon and the flood cell that holds its centre (through
+    the CRS of each), population is summed per (hexagon, flood cell) -- a
+    map-side combine -- and only those sums meet the flooded cells.  Streams take
+    the same way, but for the join, which comes first there (a stream has one aggregation).
     """
-    if pre_aggregate is None:
-        pre_aggregate = _pre_aggregate_worthwhile(pop, flood, p)
-    if not pre_aggregate:
-        return exposure_cells(pop, flood, p).groupBy("hex_id").agg(
-            F.sum("value").alias("population"),
-            F.sum(scoring.flood_mask(F.col("depth"), F.col("value"))).alias("population_exposed"),
-        )
-    fm = flood.meta
-    cells = raster_cell_xy(pop).select("value", "x", "y")
-    cells = cells.withColumn("_frow", cell_of_y(F.col("y"), fm)).withColumn("_fcol", cell_of_x(F.col("x"), fm))
-    cells = hexgrid.with_hex_assign(to_analysis_crs(cells, pop.meta.crs, p), "_ux", "_uy", p.resolution)
-    pre = cells.groupBy("hex_id", "_frow", "_fcol").agg(F.sum("value").alias("_pop"))
+    c = raster_cell_xy(Raster(cells, pop)).select("value", "x", "y")
+    o = reproject_xy(F.col("x"), F.col("y"), pop.crs, flood.meta.crs)
+    c = c.withColumn("_o", o).withColumn("_frow", cell_of_y(F.col("_o.y"), flood.meta)) \
+         .withColumn("_fcol", cell_of_x(F.col("_o.x"), flood.meta)).drop("_o")
+    c = hexgrid.with_hex_axial(to_analysis_crs(c, pop.crs, p).select("value", "_frow", "_fcol", "_ux", "_uy"),
+                               "_ux", "_uy", p.resolution)
     wet = raster_valid(flood).where(F.col("value") > 0).select(
         F.col("row").alias("_frow"), F.col("col").alias("_fcol"), F.col("value").alias("depth"))
-    j = pre.join(wet, ["_frow", "_fcol"], "left").withColumn("depth", F.coalesce("depth", F.lit(0.0)))
-    return j.groupBy("hex_id").agg(
-        F.sum("_pop").alias("population"),
-        F.sum(scoring.flood_mask(F.col("depth"), F.col("_pop"))).alias("population_exposed"),
-    )
+    if not cells.isStreaming:
+        c = c.groupBy("q", "r", "_frow", "_fcol").agg(F.sum("value").alias("value"))
+    j = c.join(wet, ["_frow", "_fcol"], "left").withColumn("depth", F.coalesce("depth", F.lit(0.0)))
+    return j.groupBy("q", "r").agg(
+        F.sum("value").alias("population"),
+        F.sum(scoring.flood_mask(F.col("depth"), F.col("value"))).alias("population_exposed"))
+
+
+def zonal_exposure(pop: Raster, flood: Raster, p: Params = Params()) -> DataFrame:
+    """(hex_id, population, population_exposed); hexagon ids are written after the sums."""
+    sums = exposed_sums(pop.cells, pop.meta, flood, p)
+    return sums.select(hexgrid.hex_id(F.lit(p.resolution), F.col("q"), F.col("r")).alias("hex_id"),
+                       "population", "population_exposed")
 
 
 def exposure(grid: DataFrame, pop: Raster, flood: Raster, p: Params = Params()) -> DataFrame:

@@ -15,10 +15,11 @@ from hexaccess.sources.tables import bbox_points, geojson_features, lake_scan, l
 
 
 def admin_prepare(spark: SparkSession, sf_dir: str, p: Params, box, scratch: str,
-                  subset: bool = False) -> DataFrame:
+                  subset: bool = False) -> tuple[DataFrame, DataFrame]:
     """Admin layer (preferred layer name, else the alternative) ->
-    overlay with the study box -> optional first unit -> UTM -> repair
-    (rejects dropped).  Rings come out in the analysis CRS."""
+    overlay with the study box -> optional first unit -> UTM -> repair.
+    Returns the accepted units and the rejected ones (with
+    ``invalid_reason``); rings come out in the analysis CRS."""
     admin = derived.admin_lonlat(spark, sf_dir, p).withColumn("layer", F.lit(p.layers[1]))
     path = write_table(admin, scratch, partition_by=["layer"])
     a = layer_scan(spark, path, list(p.layers)).drop("layer")
@@ -26,8 +27,7 @@ def admin_prepare(spark: SparkSession, sf_dir: str, p: Params, box, scratch: str
     if subset:
         a = first_n(a, 1, ["admin_id"])
     a = a.withColumn("ring", geo.ring_to_utm(F.col("ring"), p.utm_zone, p.south_hemisphere))
-    ok, _rejects = repair(a)
-    return ok
+    return repair(a)
 
 
 def population_prepare(spark: SparkSession, sf_dir: str, p: Params, box) -> DataFrame:

@@ -152,7 +152,7 @@ def q_sql_query(spark, sf):
         spark,
         "SELECT amenity, count(*) AS n_facilities, min(id) AS first_id, max(id) AS last_id "
         "FROM health_facilities WHERE id >= :min_id GROUP BY amenity",
-        {"health_facilities": facilities(spark, sf, P)}, {"min_id": 10})
+        {"health_facilities": facilities(spark, sf, P)}, {"min_id": 0})
 
 
 def _lake(spark, sf) -> str:
@@ -344,11 +344,11 @@ def q_tile_features(spark, sf):
 
 @query("tile_thin")
 def q_tile_thin(spark, sf):
-    """K9: at most 3 features per tile, highest priority first."""
+    """K9: at most the parameter's features per tile, highest priority first, and how many it drops."""
     from hexaccess.operators.tiles import tile_thin
-    t = tile_thin(_tiles(spark, sf), 3, [F.col("priority_score").desc()])
+    t = tile_thin(_tiles(spark, sf), P.max_features_per_tile, [F.col("priority_score").desc()])
     return t.select(F.col("zoom").cast("long").alias("zoom"), "tile_x", "tile_y", "hex_id",
-                    F.col("tile_rank").cast("long").alias("tile_rank"))
+                    F.col("tile_rank").cast("long").alias("tile_rank"), "n_dropped")
 
 
 @query("output_manifest")
@@ -721,7 +721,8 @@ def q_polygon_centroid(spark, sf):
 def q_distance_km(spark, sf):
     """distance from each facility to the centre of the hexagon it falls in."""
     from hexaccess.functions import geo, hexgrid
-    f = hexgrid.with_hex_assign(_inputs(spark, sf).facilities, "x", "y", P.resolution, keep_axial=True)
+    f = hexgrid.with_hex_axial(_inputs(spark, sf).facilities, "x", "y", P.resolution)
+    f = f.withColumn("hex_id", hexgrid.hex_id(F.lit(P.resolution), F.col("q"), F.col("r")))
     c = hexgrid.hex_center(F.col("q"), F.col("r"), P.resolution)
     return f.select("id", "hex_id", r(geo.distance_km(F.col("x"), F.col("y"), c["x"], c["y"]), 6).alias("distance_km"))
 
@@ -758,7 +759,7 @@ def q_to_wkt(spark, sf):
     """F8: EWKT text of facility points."""
     from hexaccess.functions import geo
     f = _inputs(spark, sf).facilities
-    return f.select("id", geo.point_to_wkt(F.col("x"), F.col("y"), geo.parse_epsg(F.lit(P.analysis_crs))).alias("wkt"))
+    return f.select("id", geo.point_to_wkt(F.col("x"), F.col("y"), geo.parse_epsg(F.lit(P.analysis_crs)), digits=3).alias("wkt"))
 
 
 @query("from_wkt")
@@ -766,7 +767,7 @@ def q_from_wkt(spark, sf):
     """F8: EWKT text parsed back to SRID and coordinates."""
     from hexaccess.functions import geo
     f = _inputs(spark, sf).facilities.select(
-        "id", geo.point_to_wkt(F.col("x"), F.col("y"), F.lit(32735)).alias("wkt"))
+        "id", geo.point_to_wkt(F.col("x"), F.col("y"), F.lit(32735), digits=3).alias("wkt"))
     pts = f.select("id", geo.wkt_srid(F.col("wkt")).alias("srid"), geo.wkt_to_ring(F.col("wkt")).alias("pts"))
     return pts.select("id", "srid", F.get(F.col("pts"), 0)["x"].alias("x"), F.get(F.col("pts"), 0)["y"].alias("y"))
 
@@ -907,16 +908,18 @@ def q_tile_xy(spark, sf):
 def q_admin_prepare(spark, sf):
     """Layer scan -> overlay with the box -> UTM -> validity repair."""
     from hexaccess.plans.prepare import admin_prepare
-    a = admin_prepare(spark, sf, P, box=FIXTURE_BOX, scratch=_scratch(spark, "admin_layers"))
+    ok, rejects = admin_prepare(spark, sf, P, box=P.bbox, scratch=_scratch(spark, "admin_layers"))
     from hexaccess.functions import polygon
-    return a.select("admin_id", "NAME_3", r(polygon.polygon_area(F.col("ring")) / F.lit(1.0e6), 6).alias("area_km2"))
+    both = ok.withColumn("invalid_reason", F.lit(None).cast("string")).unionByName(rejects)
+    return both.select("admin_id", "NAME_3", "invalid_reason",
+                       r(polygon.polygon_area(F.col("ring")) / F.lit(1.0e6), 6).alias("area_km2"))
 
 
 @query("population_prepare")
 def q_population_prepare(spark, sf):
     """Population raster clipped to the box, cell centres in UTM."""
     from hexaccess.plans.prepare import population_prepare
-    c = population_prepare(spark, sf, P, box=FIXTURE_BOX)
+    c = population_prepare(spark, sf, P, box=P.bbox)
     return c.select("row", "col", r("value", 6).alias("value"), r("x", 3).alias("x"), r("y", 3).alias("y"))
 
 
@@ -924,7 +927,7 @@ def q_population_prepare(spark, sf):
 def q_facility_prepare(spark, sf):
     """GeoJSON facilities -> extent filter -> UTM."""
     from hexaccess.plans.prepare import facility_prepare
-    f = facility_prepare(spark, sf, P, box=FIXTURE_BOX, scratch=_scratch(spark, "facilities_geojson"))
+    f = facility_prepare(spark, sf, P, box=P.bbox, scratch=_scratch(spark, "facilities_geojson"))
     return f.select("id", "name", "amenity", r("x", 3).alias("x"), r("y", 3).alias("y"))
 
 
@@ -932,7 +935,7 @@ def q_facility_prepare(spark, sf):
 def q_lake_theme_prepare(spark, sf):
     """Lake themes contained in the box, geometry in UTM."""
     from hexaccess.plans.prepare import lake_theme_prepare
-    t = lake_theme_prepare(spark, _lake(spark, sf), P, box=FIXTURE_BOX)
+    t = lake_theme_prepare(spark, _lake(spark, sf), P, box=P.bbox)
     return t.groupBy("theme").agg(F.count(F.lit(1)).alias("n_features"), r(F.min("x"), 3).alias("xmin"),
                                   r(F.max("x"), 3).alias("xmax"))
 
@@ -945,7 +948,8 @@ def q_theme_count_by_hex(spark, sf):
     t = lake_theme_prepare(spark, _lake(spark, sf), P, box=P.bbox)
     from hexaccess.functions import hexgrid
     h = hexgrid.with_hex_assign(t, "x", "y", P.resolution).groupBy("hex_id").agg(F.count(F.lit(1)).alias("n_places"))
-    return jobs.build_grid(inp.admin, P).select("hex_id").join(h, "hex_id")
+    g = jobs.build_grid(inp.admin, P).select("hex_id").join(h, "hex_id", "left")
+    return g.withColumn("n_places", F.coalesce("n_places", F.lit(0)))
 
 
 # ============================================================================ 2.9 graph

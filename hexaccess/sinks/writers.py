@@ -61,8 +61,10 @@ def write_feature_collections(features: DataFrame, feature_col: str, key: Column
 
 
 def write_raster(cells: DataFrame, path: str, block: int = 512, mode: str = "overwrite") -> str:
-    """K7: raster cells partitioned by storage block row (``row // block``,
-    the header's ``block``), so a clip or window reads only its blocks."""
-    (cells.select("row", "col", "value").withColumn("tile_row", F.floor(F.col("row") / F.lit(block)))
-     .write.mode(mode).option("compression", "zstd").partitionBy("tile_row").parquet(path))
+    """K7: raster cells partitioned by storage block row and column (``row //
+    block``, ``col // block``; the header's ``block``), dealt by block before
+    the write, so a block is one file and a clip or window reads only its own."""
+    blocks = [F.floor(F.col(c) / F.lit(block)).alias(f"tile_{c}") for c in ("row", "col")]
+    (cells.select("row", "col", "value", *blocks).repartition("tile_row", "tile_col")
+     .write.mode(mode).option("compression", "zstd").partitionBy("tile_row", "tile_col").parquet(path))
     return path

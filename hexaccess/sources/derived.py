@@ -26,7 +26,6 @@ FLOOD_SHARE_DRY = 0.7       # frac <= 0.7 is dry, so about 30 % of cells flood
 FLOOD_DEPTH_MIN = 0.5
 FLOOD_DEPTH_SPAN = 2.5
 POP_DIVISOR = 10000.0
-POP_MAX = 500.0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,8 +60,7 @@ def pop_raster(spark: SparkSession, sf_dir: str, p: Params = Params()) -> Raster
     cells = orders.select(
         F.floor(F.col("o_orderkey") / F.lit(w)).cast("long").alias("row"),
         (F.col("o_orderkey") % F.lit(w)).cast("long").alias("col"),
-        F.least(F.greatest(F.col("o_totalprice") / F.lit(POP_DIVISOR), F.lit(0.0)),
-                F.lit(POP_MAX)).alias("value"),
+        F.greatest(F.col("o_totalprice") / F.lit(POP_DIVISOR), F.lit(0.0)).alias("value"),
     )
     return Raster(cells, meta)
 

@@ -26,7 +26,7 @@ class RasterMeta:
     n_cols: int
     crs: str = "EPSG:4326"
     nodata: float | None = None
-    block: int = 512   # storage block edge in cells (cell tables are partitioned by row // block)
+    block: int = 512   # storage block edge in cells (cell tables are partitioned by row // block, col // block)
 
     @property
     def bounds(self) -> tuple[float, float, float, float]:
@@ -71,11 +71,11 @@ def cell_of_y(y: Column, meta: RasterMeta) -> Column:
 
 
 def read_raster(spark: SparkSession, path: str, meta: RasterMeta) -> Raster:
-    """Scan a stored cell table.  A ``tile_row`` partition column (written by
-    ``sinks.writers.write_raster``) is kept so row-window filters can prune
-    whole blocks of files."""
+    """Scan a stored cell table.  The ``tile_row`` and ``tile_col`` partition columns
+    (written by ``sinks.writers.write_raster``) are kept so window filters can
+    prune whole blocks of files."""
     df = spark.read.parquet(path)
-    cols = ["row", "col", "value"] + (["tile_row"] if "tile_row" in df.columns else [])
+    cols = ["row", "col", "value"] + [c for c in ("tile_row", "tile_col") if c in df.columns]
     return Raster(df.select(*cols), meta)
 
 

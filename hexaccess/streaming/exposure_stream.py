@@ -17,36 +17,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexaccess.functions import geo, hexgrid, scoring
+from hexaccess.functions import hexgrid
 from hexaccess.params import Params
-from hexaccess.sources.raster import cell_center_x, cell_center_y, cell_of_x, cell_of_y
-
-CELL_SCHEMA = "row bigint, col bigint, value double"
+from hexaccess.plans.jobs import exposed_sums
+from hexaccess.sources.raster import CELL_SCHEMA
 
 
 def exposure_updates(cells: DataFrame, inputs, p: Params) -> DataFrame:
-    """Streaming (or batch) cells -> running per-hexagon totals."""
-    pm, fm = inputs.population.meta, inputs.flood.meta
-    c = cells.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    c = c.select("value", cell_center_x("col", pm).alias("lon"), cell_center_y("row", pm).alias("lat"))
-    c = c.withColumn("_frow", cell_of_y(F.col("lat"), fm)).withColumn("_fcol", cell_of_x(F.col("lon"), fm))
-    wet = (inputs.flood.cells.where((F.col("value") > 0) & ~F.isnan("value"))
-           .select(F.col("row").alias("_frow"), F.col("col").alias("_fcol"), F.col("value").alias("depth")))
-    j = c.join(wet, ["_frow", "_fcol"], "left").withColumn("depth", F.coalesce("depth", F.lit(0.0)))
-    u = geo.with_utm(j.select("value", "depth", "lon", "lat"), "lon", "lat", "_ux", "_uy",
-                     p.utm_zone, p.south_hemisphere)
-    h = hexgrid.with_hex_assign(u, "_ux", "_uy", p.resolution)
-    return h.groupBy("hex_id").agg(
-        F.sum("value").alias("population"),
-        F.sum(scoring.flood_mask(F.col("depth"), F.col("value"))).alias("population_exposed"))
+    """Streaming cells -> running per-hexagon totals, by the batch's own function
+    (nodata and the CRS of both rasters included)."""
+    return exposed_sums(cells, inputs.population.meta, inputs.flood, p)
 
 
-def run_exposure_stream(spark: SparkSession, inputs, p: Params, base: str,
-                        files: int = 8, files_per_batch: int = 2) -> DataFrame:
-    """Land the population cells as ``files`` files, stream them through
+def run_exposure_stream(spark: SparkSession, inputs, p: Params, base: str, files_per_batch: int = 2) -> DataFrame:
+    """Land the population cells by storage block, stream them through
     ``exposure_updates`` until all are processed, and return the totals."""
     landing, log, ckpt = f"{base}/landing", f"{base}/totals_log", f"{base}/checkpoint"
-    (inputs.population.cells.repartition(files, F.floor(F.col("row") / F.lit(8)))
+    block = inputs.population.meta.block
+    (inputs.population.cells.select("row", "col", "value")
+     .repartition(F.floor(F.col("row") / F.lit(block)), F.floor(F.col("col") / F.lit(block)))
      .write.mode("overwrite").parquet(landing))
     stream = (spark.readStream.schema(CELL_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
               .parquet(landing))
@@ -58,12 +47,20 @@ def run_exposure_stream(spark: SparkSession, inputs, p: Params, base: str,
     q = (totals.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return latest_totals(spark, log)
+    t = compact_totals(spark, log, f"{base}/totals")
+    return t.select(hexgrid.hex_id(F.lit(p.resolution), F.col("q"), F.col("r")).alias("hex_id"),
+                    "population", "population_exposed")
+
+
+def compact_totals(spark: SparkSession, log: str, path: str) -> DataFrame:
+    """The run's log folded into one table of current totals, which later reads use."""
+    latest_totals(spark, log).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def latest_totals(spark: SparkSession, log: str) -> DataFrame:
     """Current totals: for each hexagon, the row of its latest batch."""
     rows = spark.read.parquet(log)
-    return rows.groupBy("hex_id").agg(
+    return rows.groupBy("q", "r").agg(
         F.max_by("population", "batch_id").alias("population"),
         F.max_by("population_exposed", "batch_id").alias("population_exposed"))

@@ -186,7 +186,7 @@ def square_meta_sql(table: str) -> str:
 
 def pop_cells_sql() -> str:
     return (f"SELECT o_orderkey // w AS row, o_orderkey % w AS col, "
-            f"least(greatest(o_totalprice / {d(10000.0)}, {d(0.0)}), {d(500.0)}) AS value "
+            f"greatest(o_totalprice / {d(10000.0)}, {d(0.0)}) AS value "
             f"FROM orders, ({square_meta_sql('orders')}) m")
 
 

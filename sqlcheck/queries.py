@@ -70,7 +70,7 @@ from sqlcheck import (FIXTURE_BOX, aligned_sql, admin_rings_sql, contained, d, e
                       facilities_lonlat_sql, facilities_utm_sql, flood_cells_sql, grid_vertices_sql,
                       hex_assign_sql, hex_center_exprs, lonlat_sql, nearest_sql, per_hex_sql, places_sql,
                       pop_cells_sql, pop_points_sql, pop_xy_sql, ray_cast_sql, self_cross_sql, shoelace_sql,
-                      square_meta_sql, tile_sql, utm_sql, W, N)
+                      square_meta_sql, tile_sql, utm_sql, E, N, S, W)
 
 BW, BS, BE, BN = FIXTURE_BOX
 
@@ -92,7 +92,7 @@ def _scan_table():
 @oracle("sql_query")
 def _sql_query():
     return (f"SELECT amenity, count(*) AS n_facilities, min(id) AS first_id, max(id) AS last_id "
-            f"FROM ({facilities_utm_sql()}) f WHERE id >= 10 GROUP BY amenity")
+            f"FROM ({facilities_utm_sql()}) f WHERE id >= 0 GROUP BY amenity")
 
 
 @oracle("lake_scan")
@@ -213,8 +213,9 @@ def _tile_features():
 def _tile_thin():
     t = (f"SELECT t.*, p.priority_score FROM ({_tiles_sql()}) t JOIN (SELECT hex_id, priority_score FROM "
          f"({priority_grid_sql()}) pg) p USING (hex_id)")
-    return (f"SELECT zoom, tile_x, tile_y, hex_id, tile_rank FROM (SELECT *, row_number() OVER (PARTITION BY zoom, tile_x, "
-            f"tile_y ORDER BY priority_score DESC, hex_id) AS tile_rank FROM ({t}) a) b WHERE tile_rank <= 3")
+    return (f"SELECT zoom, tile_x, tile_y, hex_id, tile_rank, greatest(n - 200, 0) AS n_dropped FROM (SELECT *, row_number() "
+            f"OVER (PARTITION BY zoom, tile_x, tile_y ORDER BY priority_score DESC, hex_id) AS tile_rank, count(*) OVER "
+            f"(PARTITION BY zoom, tile_x, tile_y) AS n FROM ({t}) a) b WHERE tile_rank <= 200")
 
 
 @oracle("output_manifest")
@@ -700,8 +701,8 @@ def _tile_xy():
 
 @oracle("admin_prepare")
 def _admin_prepare():
-    b = (f"SELECT admin_id, NAME_3, greatest(ring[1].x, {d(BW)}) AS w, least(ring[2].x, {d(BE)}) AS e, "
-         f"greatest(ring[1].y, {d(BS)}) AS s, least(ring[3].y, {d(BN)}) AS n FROM ({admin_rings_sql()}) a")
+    b = (f"SELECT admin_id, NAME_3, greatest(ring[1].x, {d(W)}) AS w, least(ring[2].x, {d(E)}) AS e, "
+         f"greatest(ring[1].y, {d(S)}) AS s, least(ring[3].y, {d(N)}) AS n FROM ({admin_rings_sql()}) a")
     corners = (f"SELECT admin_id, i, CASE WHEN i IN (0, 3) THEN w ELSE e END AS lon, "
                f"CASE WHEN i IN (0, 1) THEN s ELSE n END AS lat FROM (SELECT *, unnest(range(0, 4)) AS i "
                f"FROM ({b}) b WHERE w < e AND s < n) c")
@@ -709,17 +710,17 @@ def _admin_prepare():
     pairs = (f"SELECT a.admin_id, a.x, a.y, b.x AS nx, b.y AS ny FROM ({u}) a JOIN ({u}) b "
              f"ON a.admin_id = b.admin_id AND b.i = (a.i + 1) % 4")
     area = f"SELECT admin_id, abs(sum(x * ny - nx * y) / 2e0) AS area FROM ({pairs}) p GROUP BY admin_id"
-    return (f"SELECT admin_id, NAME_3, round(area / 1e6, 6) AS area_km2 FROM ({area}) a "
+    return (f"SELECT admin_id, NAME_3, CAST(NULL AS VARCHAR) AS invalid_reason, round(area / 1e6, 6) AS area_km2 FROM ({area}) a "
             f"JOIN (SELECT admin_id, NAME_3 FROM ({admin_rings_sql()}) x) n USING (admin_id)")
 
 
 @oracle("population_prepare")
 def _population_prepare():
     m = square_meta_sql("orders")
-    win = (f"SELECT greatest(0, CAST(ceil(({d(BW)} - {d(W)}) / dx - 0.5e0) AS BIGINT)) AS c0, "
-           f"least(w - 1, CAST(floor(({d(BE)} - {d(W)}) / dx - 0.5e0) AS BIGINT)) AS c1, "
-           f"greatest(0, CAST(ceil(({d(N)} - {d(BN)}) / dy - 0.5e0) AS BIGINT)) AS r0, "
-           f"least(h - 1, CAST(floor(({d(N)} - {d(BS)}) / dy - 0.5e0) AS BIGINT)) AS r1, dx, dy FROM ({m}) m")
+    win = (f"SELECT greatest(0, CAST(ceil(({d(W)} - {d(W)}) / dx - 0.5e0) AS BIGINT)) AS c0, "
+           f"least(w - 1, CAST(floor(({d(E)} - {d(W)}) / dx - 0.5e0) AS BIGINT)) AS c1, "
+           f"greatest(0, CAST(ceil(({d(N)} - {d(N)}) / dy - 0.5e0) AS BIGINT)) AS r0, "
+           f"least(h - 1, CAST(floor(({d(N)} - {d(S)}) / dy - 0.5e0) AS BIGINT)) AS r1, dx, dy FROM ({m}) m")
     cells = (f"SELECT row - r0 AS row, col - c0 AS col, value, "
              f"({d(W)} + CAST(c0 AS DOUBLE) * dx) + (CAST(col - c0 AS DOUBLE) + 0.5e0) * dx AS lon, "
              f"({d(N)} - CAST(r0 AS DOUBLE) * dy) - (CAST(row - r0 AS DOUBLE) + 0.5e0) * dy AS lat "
@@ -730,15 +731,15 @@ def _population_prepare():
 
 @oracle("facility_prepare")
 def _facility_prepare():
-    f = (f"SELECT * FROM ({facilities_lonlat_sql()}) f WHERE lon BETWEEN {d(BW)} AND {d(BE)} "
-         f"AND lat BETWEEN {d(BS)} AND {d(BN)}")
+    f = (f"SELECT * FROM ({facilities_lonlat_sql()}) f WHERE lon BETWEEN {d(W)} AND {d(E)} "
+         f"AND lat BETWEEN {d(S)} AND {d(N)}")
     u = utm_sql(f, "lon", "lat", "id, name, amenity")
     return f"SELECT id, name, amenity, round(x, 3) AS x, round(y, 3) AS y FROM ({u}) u"
 
 
 @oracle("lake_theme_prepare")
 def _lake_theme_prepare():
-    p = f"SELECT id, theme, lon, lat FROM ({places_sql()}) p WHERE {contained(BW, BS, BE, BN)}"
+    p = f"SELECT id, theme, lon, lat FROM ({places_sql()}) p WHERE {contained(W, S, E, N)}"
     u = utm_sql(p, "lon", "lat", "id, theme")
     return (f"SELECT theme, count(*) AS n_features, round(min(x), 3) AS xmin, round(max(x), 3) AS xmax "
             f"FROM ({u}) u GROUP BY theme")
@@ -749,8 +750,8 @@ def _theme_count_by_hex():
     p = f"SELECT id, lon, lat FROM ({places_sql()}) p WHERE {contained(W, -4.5, 29.1, N)}"
     u = utm_sql(p, "lon", "lat", "id")
     h = hex_assign_sql(u, "x", "y", "id")
-    return (f"SELECT hex_id, count(*) AS n_places FROM ({h}) h JOIN (SELECT hex_id FROM ({grid_sql()}) g) g "
-            f"USING (hex_id) GROUP BY hex_id")
+    return (f"SELECT g.hex_id, count(h.id) AS n_places FROM (SELECT hex_id FROM ({grid_sql()}) g) g LEFT JOIN ({h}) h "
+            f"USING (hex_id) GROUP BY g.hex_id")
 
 
 # ============================================================================ 2.9
