@@ -1,27 +1,27 @@
 """Exact k-nearest facility search without a cross join.
 
-Facilities and query points are put in square buckets on a ladder of
-levels (bucket edge ``B_l = B0 * 2**l``).  For each query point:
-
-1. ``l0`` = the finest level whose 3x3 bucket block around the point
-   holds at least ``k`` facilities (from a per-bucket count table, looked
-   up once per *occupied point bucket*, not per point).
-2. Round 1 pairs the point with the facilities of that block.  If the
-   k-th best distance is below ``B_l0`` the answer is exact: anything
-   outside the block is at least ``B_l0`` away.
-3. Otherwise the k-th best distance ``U`` is at most ``2*sqrt(2)*B_l0``
-   (the far corner of the block), and every facility closer than ``U``
-   lies in a level-``l0`` bucket that meets the disk of radius ``U``
-   around the point; round 2 pairs with exactly those buckets (at most
-   7x7, pruned by point-to-bucket distance) and is exact.
-
-Every step is an equi-join on ``(level, bucket_x, bucket_y)`` plus a
-grouped min (k = 1) or a per-point ``row_number`` (k > 1); the number of
-pairs per point is bounded by local facility density, never by the total.
-Co-located facilities are merged first (k = 1: the smallest id; k > 1:
-the k smallest ids, by a salted two-phase top-k), so a location holding
-many facilities costs at most k rows.  Hot buckets
-on the point side are split by AQE's skew-join handling.
+Facilities are counted in square buckets on a ladder of levels (bucket edge
+``b0 * 4**level``) that reaches from far below the mean spacing to the whole
+extent; each occupied bucket keeps its count and the bounding box of its
+facilities.  For each query point:
+
+1. The start level is the finest whose 3x3 block around the point holds ``k``
+   facilities.  They bound the k-th distance by ``U = 2*sqrt(2)*edge``.
+2. The frontier is the occupied buckets of that level that meet the disk of
+   radius U.  The boxes tighten U: some facility lies on each side of a box
+   (k = 1), and all of a box's facilities lie within its far corner (any k).
+   Buckets beyond U go.
+3. Points whose frontier still holds more than ``MOST_PAIRS`` facilities descend:
+   each bucket is replaced by its occupied sub-buckets one level down, U tightens,
+   buckets go.  So a point beside or inside a dense town meets only the
+   buckets near its own answer.
+4. The facilities left in the frontier are paired with the point and ranked.
+
+Every step is an equi-join on ``(level, bucket_x, bucket_y)`` and a window or sum per
+point over a bounded number of rows; a round's points are a written table.
+Co-located facilities are merged first (k = 1: the smallest id; k > 1: the k
+smallest ids, by a salted two-phase top-k), so a location holding many costs at
+most k rows.
 """
 
 from __future__ import annotations
@@ -32,20 +32,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexaccess.operators.topk import top_k_per_group
+from hexaccess.session import materialise
 
 EARTH_SPAN_M = 4.0e7        # a bucket of this edge covers any planar extent we use
-_SAFETY = 1.0 - 1e-9        # keep the exactness test strict under rounding
+FINER_LEVELS = 5            # levels below the mean spacing (a factor of 4 each)
+MOST_PAIRS = 64             # facilities a point may be paired with before its frontier descends
+_SLACK = 1.0 + 1e-9         # keeps bounds on the safe side of rounding
 
-def _neighbours():
-    """The 3x3 block offsets as an array<struct<dx,dy>> literal."""
-    return F.array(*[
-        F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-        for dx in (-1, 0, 1) for dy in (-1, 0, 1)
-    ])
 
-
-def _base_cell(facilities: DataFrame, k: int) -> tuple[int, float]:
-    """Facility count and base bucket edge: the mean spacing for k facilities."""
+def _spacing(facilities: DataFrame, k: int) -> tuple[int, float]:
+    """Facility count and the mean spacing of k facilities."""
     row = facilities.agg(
         F.count(F.lit(1)).alias("n"),
         F.min("_fx").alias("x0"), F.max("_fx").alias("x1"),
@@ -55,37 +51,75 @@ def _base_cell(facilities: DataFrame, k: int) -> tuple[int, float]:
     if n == 0:
         return 0, 1000.0
     area = max((row["x1"] - row["x0"]) * (row["y1"] - row["y0"]), 0.0)
-    b0 = math.sqrt(area * max(k, 1) / n) if area > 0 else 1000.0
-    return n, max(b0, 1.0)
+    return n, max(math.sqrt(area * max(k, 1) / n) if area > 0 else 1000.0, 1.0)
+
+
+def _up(c: str, levels) -> F.Column:
+    """The bucket that many levels up: floor division by 4 ** levels."""
+    return F.call_function("shiftright", F.col(c), (F.lit(2) * levels).cast("int"))
 
 
-def _shr(c, n):
-    """Arithmetic shift right (floor division by 2**n) with a per-row shift."""
-    return F.call_function("shiftright", F.col(c) if isinstance(c, str) else c,
-                           F.col(n) if isinstance(n, str) else n)
+def _box_bounds(df: DataFrame, k: int) -> DataFrame:
+    """Squared distances of point (_px, _py) and box (_x1.._y2): nearest ``_min2``, farthest ``_max2``,
+    and ``_sure2`` within which at least one of the box's facilities lies."""
+    px, py = F.col("_px"), F.col("_py")
+    x1, x2, y1, y2 = (F.col(c) for c in ("_x1", "_x2", "_y1", "_y2"))
+    gx, gy = F.greatest(x1 - px, px - x2, F.lit(0.0)), F.greatest(y1 - py, py - y2, F.lit(0.0))
+    fx, fy = F.greatest(F.abs(px - x1), F.abs(px - x2)), F.greatest(F.abs(py - y1), F.abs(py - y2))
+    sx, sy = F.least(F.abs(px - x1), F.abs(px - x2)), F.least(F.abs(py - y1), F.abs(py - y2))
+    out = df.withColumn("_min2", gx * gx + gy * gy).withColumn("_max2", fx * fx + fy * fy)
+    return out.withColumn("_sure2", F.least(sx * sx + fy * fy, fx * fx + sy * sy)) if k == 1 else out
 
 
-def _block(df: DataFrame, level_col: str) -> DataFrame:
-    """Explode each row to the 9 bucket keys around its level-0 bucket at ``level_col``."""
-    return df.select(
-        "*", F.explode(_neighbours()).alias("_d")
-    ).select(
-        *[c for c in df.columns],
-        (_shr("_bx", F.col(level_col).cast("int")) + F.col("_d.dx")).alias("_cx"),
-        (_shr("_by", F.col(level_col).cast("int")) + F.col("_d.dy")).alias("_cy"),
-    )
+def _pruned(rows: DataFrame, k: int) -> DataFrame:
+    """Frontier rows with the bound ``_u2`` tightened, without the buckets beyond it, and ``_left``, what they hold per point."""
+    point = Window.partitionBy("_pid")
+    if k == 1:
+        bound = F.min("_sure2").over(point)
+    else:
+        held = F.sum("_n").over(point.orderBy("_max2").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        rows = _box_bounds(rows, k).withColumn("_held", held)
+        bound = F.min(F.when(F.col("_held") >= k, F.col("_max2"))).over(point)
+    rows = (_box_bounds(rows, k) if k == 1 else rows).withColumn(
+        "_u2", F.least(F.col("_u2"), F.coalesce(bound, F.col("_u2")) * F.lit(_SLACK)))
+    near = rows.where(F.col("_min2") <= F.col("_u2"))
+    return near.withColumn("_left", F.sum("_n").over(point)).select(
+        "_pid", "_px", "_py", "_lv", "_cx", "_cy", "_u2", "_left")
 
 
 def nearest(points: DataFrame, facilities: DataFrame, *, k: int = 1,
             point_id: str = "hex_id", px: str = "x", py: str = "y",
             fac_id: str = "id", fx: str = "x", fy: str = "y",
-            base_cell: float | None = None) -> DataFrame:
+            base_cell: float | None = None, most_pairs: int = MOST_PAIRS) -> DataFrame:
     """k nearest facilities of every point.
 
     Returns ``(point_id, rank, facility_id, distance_m)``; ties are broken
     by the smaller facility id.  Points with no facility get no row (join
-    back with ``left`` to keep them with NULLs).
+    back with ``left`` to keep them with NULLs).  Runs jobs (the rounds)
+    while the frame is being built.
     """
+    pairs = candidate_pairs(points, facilities, k=k, point_id=point_id, px=px, py=py, fac_id=fac_id, fx=fx, fy=fy,
+                            base_cell=base_cell, most_pairs=most_pairs)
+    if pairs is None:
+        return points.sparkSession.createDataFrame(
+            [], f"{point_id} {points.schema[point_id].dataType.simpleString()}, rank int, "
+                f"facility_id {facilities.schema[fac_id].dataType.simpleString()}, distance_m double")
+    if k == 1:
+        # of equally near ones the smallest id, then the nearest: two hashed sums, no sort of pairs
+        res = (pairs.groupBy("_pid", "_d2").agg(F.min("_fid").alias("_fid"))
+               .groupBy("_pid").agg(F.min_by("_fid", "_d2").alias("_fid"), F.min("_d2").alias("_d2"))
+               .withColumn("rank", F.lit(1)))
+    else:
+        w = Window.partitionBy("_pid").orderBy("_d2", "_fid")
+        res = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return res.select(
+        F.col("_pid").alias(point_id), F.col("rank").cast("int").alias("rank"),
+        F.col("_fid").alias("facility_id"), F.sqrt(F.col("_d2")).alias("distance_m"))
+
+
+def candidate_pairs(points: DataFrame, facilities: DataFrame, *, k: int, point_id: str, px: str, py: str,
+                    fac_id: str, fx: str, fy: str, base_cell: float | None, most_pairs: int) -> DataFrame | None:
+    """(_pid, _fid, _d2): for each point some pairs, its k nearest among them; None without facilities."""
     P = points.select(F.col(point_id).alias("_pid"), F.col(px).cast("double").alias("_px"),
                       F.col(py).cast("double").alias("_py")).where(
         F.col("_px").isNotNull() & F.col("_py").isNotNull())
@@ -98,100 +132,56 @@ def nearest(points: DataFrame, facilities: DataFrame, *, k: int = 1,
         # at most k facilities of one location can be among a point's k nearest
         # (ties go to smaller ids), so a location holding many keeps its k smallest
         Fc = top_k_per_group(Fc, ["_fx", "_fy"], k, [], "_fid").drop("group_rank")
-
-    n_fac, b0 = _base_cell(Fc, k)
-    if base_cell is not None:
-        b0 = float(base_cell)
-    out_schema = f"{point_id} {points.schema[point_id].dataType.simpleString()}, rank int, " \
-                 f"facility_id {facilities.schema[fac_id].dataType.simpleString()}, distance_m double"
-    spark = points.sparkSession
+    n_fac, spacing = _spacing(Fc, k)
     if n_fac == 0:
-        return spark.createDataFrame([], out_schema)
-    n_levels = max(1, int(math.ceil(math.log2(EARTH_SPAN_M / b0))) + 1)
-    levels = F.sequence(F.lit(0), F.lit(n_levels))
+        return None
+    b0 = float(base_cell or spacing) / 4.0 ** FINER_LEVELS
+    top = max(1, int(math.ceil(math.log(EARTH_SPAN_M / b0, 4.0))) + 1)
+    levels = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("_lv")
 
     def bucket(c):
         return F.floor(F.col(c) / F.lit(b0)).cast("long")
 
+    keyed = (Fc.withColumn("_bx", bucket("_fx")).withColumn("_by", bucket("_fy"))
+             .select("_fid", "_fx", "_fy", "_bx", "_by", levels)
+             .select("_lv", _up("_bx", F.col("_lv")).alias("_cx"), _up("_by", F.col("_lv")).alias("_cy"), "_fid", "_fx", "_fy"))
+    occupied = materialise(keyed.groupBy("_lv", "_cx", "_cy").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_fx").alias("_x1"), F.max("_fx").alias("_x2"),
+        F.min("_fy").alias("_y1"), F.max("_fy").alias("_y2")), "occupied")
+
+    def around(reach: int, name: str):
+        return F.explode(F.array(*[F.lit(i) for i in range(-reach, reach + 1)])).alias(name)
+
+    # start level of each occupied point bucket: the finest whose block holds k
+    blocks = (occupied.select("_lv", "_cx", "_cy", "_n", around(1, "_i")).select("*", around(1, "_j"))
+              .groupBy("_lv", (F.col("_cx") + F.col("_i")).alias("_cx"), (F.col("_cy") + F.col("_j")).alias("_cy"))
+              .agg(F.sum("_n").alias("_n9")).where(F.col("_n9") >= k).drop("_n9"))
     P0 = P.withColumn("_bx", bucket("_px")).withColumn("_by", bucket("_py"))
-    F0 = Fc.withColumn("_bx", bucket("_fx")).withColumn("_by", bucket("_fy"))
-
-    # facility count per bucket on every level
-    occ = (
-        F0.groupBy("_bx", "_by").agg(F.count(F.lit(1)).alias("_n"))
-        .select("_n", "_bx", "_by", F.explode(levels).alias("_lv"))
-        .select("_lv", "_n", _shr("_bx", "_lv").alias("_cx"),
-                _shr("_by", "_lv").alias("_cy"))
-        .groupBy("_lv", "_cx", "_cy").agg(F.sum("_n").alias("_n"))
-    )
-    # l0 per occupied point bucket: finest level whose 3x3 block holds >= k facilities
-    pb = P0.select("_bx", "_by").distinct().select("_bx", "_by", F.explode(levels).alias("_lv"))
-    start = (
-        _block(pb, "_lv").join(occ, ["_lv", "_cx", "_cy"])
-        .groupBy("_bx", "_by", "_lv").agg(F.sum("_n").alias("_n9"))
-        .where(F.col("_n9") >= k)
-        .groupBy("_bx", "_by").agg(F.min("_lv").alias("_l0"))
-    )
-    # facilities keyed on every level: n_facilities * (levels + 1) rows
-    F_lv = F0.select("_fid", "_fx", "_fy", "_bx", "_by", F.explode(levels).alias("_lv")).select(
-        "_lv", "_fid", "_fx", "_fy", _shr("_bx", "_lv").alias("_cx"), _shr("_by", "_lv").alias("_cy"))
-
-    def pairs(q: DataFrame) -> DataFrame:
-        dx = F.col("_px") - F.col("_fx")
-        dy = F.col("_py") - F.col("_fy")
-        return (
-            _block(q, "_lv").join(F_lv, ["_lv", "_cx", "_cy"])
-            .select("_pid", "_px", "_py", "_bx", "_by", "_lv", "_fid", (dx * dx + dy * dy).alias("_d2"))
-        )
-
-    def edge(lv_col):
-        return F.lit(b0) * F.pow(F.lit(2.0), F.col(lv_col).cast("double"))
-
-    def topk(pr: DataFrame) -> DataFrame:
-        """(pid, ..., lv) -> k best rows with rank, plus the k-th distance per point."""
-        if k == 1:
-            best = pr.groupBy("_pid", "_px", "_py", "_bx", "_by", "_lv").agg(
-                F.min(F.struct("_d2", "_fid")).alias("_b"))
-            return best.select("_pid", "_px", "_py", "_bx", "_by", "_lv", F.lit(1).alias("rank"),
-                               F.col("_b._fid").alias("_fid"), F.col("_b._d2").alias("_d2"),
-                               F.col("_b._d2").alias("_dk2"))
-        w = Window.partitionBy("_pid").orderBy("_d2", "_fid")
-        ranked = pr.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        wk = Window.partitionBy("_pid")
-        return ranked.withColumn("_dk2", F.max("_d2").over(wk))
-
-    q1 = P0.join(start, ["_bx", "_by"]).withColumnRenamed("_l0", "_lv")
-    r1 = topk(pairs(q1))
-    ok1 = F.sqrt(F.col("_dk2")) < edge("_lv") * F.lit(_SAFETY)
-    done1 = r1.where(ok1)
-    # unresolved points: every facility closer than U (the k-th distance found
-    # so far, U <= 2*sqrt(2)*B_l0) lies in a level-l0 bucket meeting the disk of
-    # radius U, so pair only with those buckets (at most 7x7, pruned by the
-    # point-to-bucket distance) instead of a whole coarser block.
-    q2 = r1.where(~ok1 & (F.col("rank") == 1)).select(
-        "_pid", "_px", "_py", "_bx", "_by", "_lv", F.sqrt(F.col("_dk2")).alias("_u"))
-    bsize = edge("_lv")
-    reach = F.ceil(F.col("_u") / bsize).cast("int")
-    offsets = F.sequence(-reach, reach)
-    q2 = (q2.select("*", F.explode(offsets).alias("_ox")).select("*", F.explode(offsets).alias("_oy"))
-          .withColumn("_cx", _shr("_bx", F.col("_lv").cast("int")) + F.col("_ox"))
-          .withColumn("_cy", _shr("_by", F.col("_lv").cast("int")) + F.col("_oy")))
-    gap_x = F.greatest(F.col("_cx").cast("double") * bsize - F.col("_px"), F.lit(0.0),
-                       F.col("_px") - (F.col("_cx") + 1).cast("double") * bsize)
-    gap_y = F.greatest(F.col("_cy").cast("double") * bsize - F.col("_py"), F.lit(0.0),
-                       F.col("_py") - (F.col("_cy") + 1).cast("double") * bsize)
-    slack = F.col("_u") * F.lit(1.0 + 1e-9) + F.lit(1e-6)
-    q2 = q2.where(gap_x * gap_x + gap_y * gap_y <= slack * slack).select(
-        "_pid", "_px", "_py", "_bx", "_by", "_lv", "_cx", "_cy")
-    dx2 = F.col("_px") - F.col("_fx")
-    dy2 = F.col("_py") - F.col("_fy")
-    pairs2 = q2.join(F_lv, ["_lv", "_cx", "_cy"]).select(
-        "_pid", "_px", "_py", "_bx", "_by", "_lv", "_fid", (dx2 * dx2 + dy2 * dy2).alias("_d2"))
-    r2 = topk(pairs2)
-    res = done1.unionByName(r2)
-    return res.select(
-        F.col("_pid").alias(point_id), F.col("rank").cast("int").alias("rank"),
-        F.col("_fid").alias("facility_id"), F.sqrt(F.col("_d2")).alias("distance_m"))
+    start = (P0.select("_bx", "_by").distinct().select("_bx", "_by", levels)
+             .select("_bx", "_by", "_lv", _up("_bx", F.col("_lv")).alias("_cx"), _up("_by", F.col("_lv")).alias("_cy"))
+             .join(blocks, ["_lv", "_cx", "_cy"]).groupBy("_bx", "_by").agg(F.min("_lv").alias("_lv")))
+
+    edge = F.lit(b0) * F.pow(F.lit(4.0), F.col("_lv").cast("double"))
+    q = P0.join(start, ["_bx", "_by"]).withColumn("_u2", F.lit(8.0 * _SLACK) * edge * edge)
+    cells = (q.select("*", around(3, "_i")).select("*", around(3, "_j"))
+             .withColumn("_cx", _up("_bx", F.col("_lv")) + F.col("_i")).withColumn("_cy", _up("_by", F.col("_lv")) + F.col("_j")))
+    frontier = materialise(_pruned(cells.select("_pid", "_px", "_py", "_lv", "_cx", "_cy", "_u2")
+                                   .join(occupied, ["_lv", "_cx", "_cy"]), k), "frontier")
+    done = None
+    while True:
+        dense = (F.col("_left") > most_pairs) & (F.col("_lv") > 0)
+        ready = frontier.where(~dense)
+        done = ready if done is None else done.unionByName(ready)
+        rest = frontier.where(dense)
+        if rest.isEmpty():
+            break
+        inner = F.explode(F.array(*[F.lit(i) for i in range(4)]))
+        below = (rest.select("_pid", "_px", "_py", "_lv", "_cx", "_cy", "_u2", inner.alias("_i")).select("*", inner.alias("_j"))
+                 .select("_pid", "_px", "_py", (F.col("_lv") - 1).alias("_lv"), (F.col("_cx") * 4 + F.col("_i")).alias("_cx"),
+                         (F.col("_cy") * 4 + F.col("_j")).alias("_cy"), "_u2"))
+        frontier = materialise(_pruned(below.join(occupied, ["_lv", "_cx", "_cy"]), k), "frontier")
+    dx, dy = F.col("_px") - F.col("_fx"), F.col("_py") - F.col("_fy")
+    return done.join(keyed, ["_lv", "_cx", "_cy"]).select("_pid", "_fid", (dx * dx + dy * dy).alias("_d2"))
 
 
 def nearest_distance_km(points: DataFrame, facilities: DataFrame, *, point_id: str = "hex_id",

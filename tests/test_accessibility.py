@@ -100,3 +100,32 @@ def test_round_two_heavy_case_is_exact(spark, k):
     for pid, rows in got.items():
         rows.sort()
         assert [(f, round(d, 6)) for _, f, d in rows] == [(f, round(d, 6)) for f, d in want[pid]]
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_dense_town_needs_few_pairs(spark, k):
+    """4,000 facilities in one town and 1,000 around; points in the town, at its edge and far off."""
+    from hexaccess.operators.nearest import candidate_pairs
+    rnd = random.Random(11)
+    facs = [(i, rnd.gauss(50000, 300), rnd.gauss(50000, 300)) for i in range(4000)]
+    facs += [(4000 + i, rnd.uniform(0, 100000), rnd.uniform(0, 100000)) for i in range(1000)]
+    points = [(i, rnd.gauss(50000, 300), rnd.gauss(50000, 300)) for i in range(700)]
+    points += [(700 + i, 50000 + rnd.uniform(-3000, 3000), 50000 + rnd.uniform(-3000, 3000)) for i in range(200)]
+    points += [(900 + i, rnd.uniform(-50000, 150000), rnd.uniform(-50000, 150000)) for i in range(100)]
+    P = spark.createDataFrame(points, "hex_id long, x double, y double")
+    Fd = spark.createDataFrame(facs, "id long, x double, y double")
+    pairs = candidate_pairs(P, Fd, k=k, point_id="hex_id", px="x", py="y", fac_id="id", fx="x", fy="y", base_cell=None, most_pairs=64)
+    most = pairs.groupBy("_pid").count().agg(F.max("count"), F.sum("count")).first()
+    assert most[0] <= 64 and most[1] < 64 * len(points)
+    got = {}
+    for r in nearest(P, Fd, k=k).collect():
+        got.setdefault(r.hex_id, []).append((r.rank, r.facility_id, r.distance_m))
+    want = _brute(points, facs, k)
+    assert all([(f, round(d, 6)) for _, f, d in sorted(got[p])] == [(f, round(d, 6)) for f, d in want[p]] for p in want)
+
+
+def test_nearest_plan_sorts_no_pairs(spark):
+    P = spark.createDataFrame([(1, 0.0, 0.0), (2, 1000.0, 0.0)], "hex_id long, x double, y double")
+    Fd = spark.createDataFrame([(7, 3000.0, 4000.0), (8, 1000.0, 0.0)], "id long, x double, y double")
+    plan = nearest(P, Fd)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
