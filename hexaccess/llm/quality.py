@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +40,8 @@ MIN_DOCS, MAX_FEATURES = 5, 200_000
 COST, EPOCHS, FOLDS = 1.0, 30, 3
 THRESHOLD = 0.7
 SHAPE_RUN = 4
+#: Texts that a worker holds as Python strings at a time.
+ROWS_AT_ONCE = 64
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+|\n")
 #: Shapes: 0 line feed, 1 same as the token before, 2 digits, 3 UPPER, 4 Title, 5 lower, 6 other letters,
@@ -48,7 +50,7 @@ _SIGNS = ".,;:!?-'\"()|*#$%&/"
 _BASE = 9 + 2 * len(_SIGNS)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def _shape(token: str) -> int:
     c = token[0]
     if c == "\n":
@@ -221,24 +223,29 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_fe
               .orderBy(F.xxhash64("_id"), "_id", "y").limit(max_train))
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "grams": [features(t) for t in b["text"]]})
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                grams = pa.array([features(t) for t in part.column("text").to_pylist()], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), grams], names=["doc_id", "y", "grams"])
 
-    grams = stage_table(texts.mapInPandas(extract, "doc_id long, y int, grams array<string>"), "grams")
+    grams = stage_table(texts.select(F.col("doc_id").cast("long"), "text", "y").mapInArrow(extract, "doc_id long, y int, grams array<string>"), "grams")
     counted = (grams.select("y", F.explode("grams").alias("gram")).groupBy("gram")
                .agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q")).where(F.col("p") + F.col("q") >= MIN_DOCS)
                .orderBy((F.col("p") + F.col("q")).desc(), "gram").limit(max_features)).toPandas()
     names = counted["gram"].tolist()
     number = docs.sparkSession.sparkContext.broadcast({g: i for i, g in enumerate(names)})
 
-    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = number.value
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"],
-                                "row": [sorted(known[g] for g in gs if g in known) for gs in b["grams"]]})
+        for batch in batches:
+            for at in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                row = pa.array([sorted(known[g] for g in gs if g in known) for gs in part.column("grams").to_pylist()], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), row], names=["doc_id", "y", "row"])
 
-    rows = grams.mapInPandas(numbered, "doc_id long, y int, row array<int>").toPandas()
+    rows = grams.mapInArrow(numbered, "doc_id long, y int, row array<int>").toPandas()
     rows = rows.assign(_k=[tuple(r) for r in rows["row"]]).sort_values(["doc_id", "y", "_k"], kind="stable")
     return fit_model(names, counted["p"].to_numpy(dtype=float), counted["q"].to_numpy(dtype=float),
                      [np.array(r, dtype=np.int64) for r in rows["row"]], np.where(rows["y"] == 1, 1, -1))
@@ -247,11 +254,12 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_fe
 def score_column(model: Model, text: Column, spark: SparkSession) -> Column:
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def quality_score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def quality_score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         for texts in batches:
-            yield pd.Series([model.score(t) for t in texts], dtype="float64")
+            yield pa.array([model.score(t) for at in range(0, len(texts), ROWS_AT_ONCE)
+                            for t in texts.slice(at, ROWS_AT_ONCE).to_pylist()], pa.float64())
 
     return quality_score(text)
 
