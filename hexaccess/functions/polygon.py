@@ -81,6 +81,22 @@ def polygon_centroid(ring) -> Column:
     return point(moment("x") / safe, moment("y") / safe)
 
 
+def rings_area(rings) -> Column:
+    """Area of a polygon: its outer ring's, less that of its holes."""
+    areas = F.transform(_c(rings), lambda r: F.abs(signed_area(r)))
+    return F.get(areas, 0) - F.aggregate(F.slice(areas, 2, F.greatest(F.size(areas) - 1, F.lit(0))), F.lit(0.0), lambda t, a: t + a)
+
+
+def rings_centroid(rings) -> Column:
+    """Centroid of a polygon with holes: that of its rings, holes counting against."""
+    parts = F.transform(_c(rings), lambda r, i: F.struct(
+        (F.abs(signed_area(r)) * F.when(i == 0, 1.0).otherwise(-1.0)).alias("w"), polygon_centroid(r).alias("c")))
+    total = lambda f: F.aggregate(parts, F.lit(0.0), lambda t, p: t + f(p))
+    w = total(lambda p: p["w"])
+    safe = F.when(w != 0, w)
+    return point(total(lambda p: p["w"] * p["c"]["x"]) / safe, total(lambda p: p["w"] * p["c"]["y"]) / safe)
+
+
 def ring_bbox(ring) -> Column:
     """``struct<xmin,ymin,xmax,ymax>`` of a ring's vertices."""
     ring = _c(ring)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexaccess.functions import geo, hexgrid, polygon
+from hexaccess.operators.edges import cross_at, inside_runs, polygon_edges, span
 from hexaccess.params import Params
 
 GRID_COLUMNS = [
@@ -15,126 +16,74 @@ GRID_COLUMNS = [
 ]
 
 
-def densify_ring(ring, step_deg: float) -> F.Column:
-    """Insert points along every edge (linear in the ring's own coordinates)
-    so no piece is longer than ``step_deg``; the input vertices are kept."""
-    ring = F.col(ring) if isinstance(ring, str) else ring
-    n_edges = F.size(ring) - 1
+def _projected_pieces(edges: DataFrame, zone_col: str, p: Params, step_deg: float) -> DataFrame:
+    """Edges cut into pieces of at most ``step_deg`` and projected: (zone_col, _part, ux, uy, vx, vy)."""
+    ax, ay, bx, by = (F.col(c) for c in ("ax", "ay", "bx", "by"))
+    n = F.greatest(F.lit(1), F.ceil(F.sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay)) / F.lit(step_deg)).cast("int"))
+    pieces = edges.withColumn("_n", n).withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
 
-    def pieces(i):
-        a, b = F.get(ring, i), F.get(ring, i + 1)
-        length = F.sqrt((b["x"] - a["x"]) * (b["x"] - a["x"]) + (b["y"] - a["y"]) * (b["y"] - a["y"]))
-        n = F.greatest(F.lit(1), F.ceil(length / F.lit(step_deg)).cast("int"))
-        return F.transform(
-            F.sequence(F.lit(0), n - 1),
-            lambda j: geo.point(a["x"] + (b["x"] - a["x"]) * j.cast("double") / n.cast("double"),
-                                a["y"] + (b["y"] - a["y"]) * j.cast("double") / n.cast("double")))
+    def at(j, a, b):
+        # the edge's own end points are kept to the last bit, so neighbouring pieces meet
+        return F.when(j == F.col("_n"), b).otherwise(a + (b - a) * j.cast("double") / F.col("_n").cast("double"))
 
-    body = F.flatten(F.transform(F.sequence(F.lit(0), n_edges - 1), pieces))
-    return F.concat(body, F.array(F.get(ring, n_edges)))
-
-
-def _row_crossings(ring_utm: F.Column, y: F.Column) -> F.Column:
-    """Sorted x of the crossings of a closed planar ring with the line at ``y``
-    (half-open straddle rule, so a vertex on the line counts once)."""
-    def straddles(i):
-        a, b = F.get(ring_utm, i), F.get(ring_utm, i + 1)
-        return (a["y"] > y) != (b["y"] > y)
-
-    def x_at(i):
-        a, b = F.get(ring_utm, i), F.get(ring_utm, i + 1)
-        return (b["x"] - a["x"]) * (y - a["y"]) / F.when(straddles(i), b["y"] - a["y"]) + a["x"]
-
-    edges = F.filter(F.sequence(F.lit(0), F.size(ring_utm) - 2), straddles)
-    return F.array_sort(F.transform(edges, x_at))
+    j = F.col("_j")
+    pieces = pieces.select(zone_col, "_part", at(j, ax, bx).alias("_ulon"), at(j, ay, by).alias("_ulat"),
+                           at(j + 1, ax, bx).alias("_vlon"), at(j + 1, ay, by).alias("_vlat"))
+    zone, south = p.utm_zone, p.south_hemisphere
+    pieces = geo.with_utm(pieces, "_ulon", "_ulat", "ux", "uy", zone, south)
+    return geo.with_utm(pieces, "_vlon", "_vlat", "vx", "vy", zone, south).select(zone_col, "_part", "ux", "uy", "vx", "vy")
 
 
 def hex_polyfill(zones: DataFrame, res: int, p: Params = Params(), zone_col: str = "admin_id",
                  ring_col: str = "ring", margin_m: float = 10.0, step_deg: float = 0.01) -> DataFrame:
-    """Hexagons whose centre lies inside each zone ring (rings in lon/lat,
-    tested in lon/lat).  Returns ``(zone_col, q, r, hex_id)``.
-
-    Work is per hexagon *row* (constant y in the analysis CRS), not per
-    candidate: the ring is densified (pieces <= ``step_deg``), projected,
-    and cut with each row's line; between consecutive crossing pairs the
-    hexagons are inside by parity and are emitted without a test.  Only
-    hexagons within ``margin_m`` of a crossing -- where the projected,
-    densified ring may differ from the true lon/lat edge by millimetres --
-    get the exact lon/lat ray cast.  Cost is O(rows x vertices + output)
-    instead of O(candidates x vertices).  Rows are shuffled between the
-    row and hexagon explodes, so a large polygon spreads over many tasks.
+    """Hexagons whose centre lies inside each zone (rings in lon/lat, tested in
+    lon/lat; ``ring_col`` holds a ring, or the rings of a polygon with holes;
+    a zone may be several rows).  Returns ``(zone_col, q, r, hex_id)``.
+
+    The zones become edges.  Each edge, cut into short pieces and projected,
+    gives its crossings with the rows of hexagon centres (constant y in the
+    analysis CRS); between a row's sorted crossings hexagons are inside by
+    parity and are emitted without a test.  Only hexagons within ``margin_m``
+    of a crossing -- where the projected pieces may differ from the true lon/lat
+    edge by millimetres -- get the exact lon/lat ray cast, against the edges of
+    their own latitude band.  Cost is O(edges x rows they span + output), and
+    shuffles carry crossings, edges and hexagons, never rings.
     """
-    zone, south = p.utm_zone, p.south_hemisphere
     s = hexgrid.hex_edge_m(res)
-    w = s * hexgrid.SQRT3
-    utm = geo.ring_to_utm(densify_ring(F.col(ring_col), step_deg), zone, south)
-    base = polygon.with_barrier(zones.select(F.col(zone_col), F.col(ring_col).alias("_ring"),
-                                             utm.alias("_utm")), "_utm")
-    bb = polygon.ring_bbox(F.col("_utm"))
-    rows = (
-        base.select(zone_col, "_ring", "_utm",
-                    F.explode(hexgrid.hex_candidate_rows(bb["ymin"], bb["ymax"], res)).alias("r"))
-        .repartition(zone_col, "r")
-    )
-    y_r = F.lit(1.5 * s) * F.col("r").cast("double")
-    rows = polygon.with_barrier(rows.withColumn("_xs", _row_crossings(F.col("_utm"), y_r)), "_xs")
+    w, h = s * hexgrid.SQRT3, 1.5 * s
+    edges = polygon_edges(zones, zone_col, ring_col)
+    pieces = _projected_pieces(edges, zone_col, p, step_deg)
+    uy, vy = F.col("uy"), F.col("vy")
+    rows = pieces.select("*", F.explode(span(F.ceil(F.least(uy, vy) / h) - 1, F.floor(F.greatest(uy, vy) / h) + 1)).alias("r"))
+    y = F.lit(h) * F.col("r").cast("double")
+    crossings = rows.select(zone_col, "_part", "r", cross_at(y, F.col("ux"), uy, F.col("vx"), vy).alias("_x")).where("_x IS NOT NULL")
     half = F.col("r").cast("double") / F.lit(2.0)
-
-    def q_at_or_after(x):
-        return F.ceil(x / F.lit(w) - half)
-
-    def q_at_or_before(x):
-        return F.floor(x / F.lit(w) - half)
-
-    n_pairs = F.floor(F.size("_xs") / F.lit(2)).cast("int")
-    # hexagons certainly inside: centre at least margin_m inside a crossing pair
-    sure_ranges = F.transform(
-        F.sequence(F.lit(0), n_pairs - 1),
-        lambda k: F.struct(q_at_or_after(F.get(F.col("_xs"), 2 * k) + F.lit(margin_m)).alias("lo"),
-                           q_at_or_before(F.get(F.col("_xs"), 2 * k + 1) - F.lit(margin_m)).alias("hi")))
-    sure = (rows.select(zone_col, "r", F.explode(F.when(n_pairs > 0, sure_ranges)).alias("_rg"))
-            .where(F.col("_rg.hi") >= F.col("_rg.lo"))
-            .select(zone_col, "r", F.explode(F.sequence(F.col("_rg.lo"), F.col("_rg.hi"))).alias("q")))
-    # hexagons near a crossing: exact test against the lon/lat ring
-    near = (rows.select(zone_col, "_ring", "r", F.explode("_xs").alias("_x"))
-            .select(zone_col, "_ring", "r", q_at_or_after(F.col("_x") - F.lit(margin_m)).alias("_lo"),
-                    q_at_or_before(F.col("_x") + F.lit(margin_m)).alias("_hi"))
-            # sequence(lo, hi) counts down when lo > hi, so empty windows must yield NULL
-            .select(zone_col, "_ring", "r",
-                    F.explode(F.when(F.col("_hi") >= F.col("_lo"), F.sequence(F.col("_lo"), F.col("_hi")))).alias("q"))
-            .dropDuplicates([zone_col, "r", "q"]))
+    first = lambda x: F.ceil(x / F.lit(w) - half)  # noqa: E731  first hexagon of the row at or after x
+    last = lambda x: F.floor(x / F.lit(w) - half)
+    sure = (inside_runs(crossings, [zone_col, "_part", "r"], "_x")
+            .select(zone_col, "r", F.explode(span(first(F.col("lo") + margin_m), last(F.col("hi") - margin_m))).alias("q")))
+    near = (crossings.select(zone_col, "_part", "r", F.explode(span(first(F.col("_x") - margin_m), last(F.col("_x") + margin_m))).alias("q"))
+            .distinct())
     c = hexgrid.hex_center(F.col("q"), F.col("r"), res)
-    near = near.select(zone_col, "_ring", "q", "r", c["x"].alias("_cx"), c["y"].alias("_cy"))
-    ll = geo.with_lonlat(near, "_cx", "_cy", "_lon", "_lat", zone, south)
-    checked = ll.where(polygon.point_in_ring(F.col("_lon"), F.col("_lat"), F.col("_ring"))).select(zone_col, "r", "q")
-    out = sure.unionByName(checked)
+    near = near.select(zone_col, "_part", "q", "r", c["x"].alias("_cx"), c["y"].alias("_cy"))
+    near = geo.with_lonlat(near, "_cx", "_cy", "_lon", "_lat", p.utm_zone, p.south_hemisphere)
+    band = h / 110_000.0   # of about a row's height
+    near = near.withColumn("_band", F.floor(F.col("_lat") / band))
+    ay, by = F.col("ay"), F.col("by")
+    banded = edges.where("ay <> by").select("*", F.explode(span(F.floor(F.least(ay, by) / band), F.floor(F.greatest(ay, by) / band))).alias("_band"))
+    right = F.col("_lon") < cross_at(F.col("_lat"), F.col("ax"), ay, F.col("bx"), by)
+    exact = (near.join(banded, [zone_col, "_part", "_band"]).groupBy(zone_col, "_part", "q", "r")
+             .agg(F.sum(F.when(right, 1).otherwise(0)).alias("_n")).where(F.col("_n") % 2 == 1))
+    out = sure.select(zone_col, "q", "r").unionByName(exact.select(zone_col, "q", "r")).distinct()
     return out.select(zone_col, F.col("q").cast("long").alias("q"), F.col("r").cast("long").alias("r"),
                       hexgrid.hex_id(F.lit(res), F.col("q"), F.col("r")).alias("hex_id"))
 
 
-def hex_polyfill_exhaustive(zones: DataFrame, res: int, p: Params = Params(), zone_col: str = "admin_id",
-                            ring_col: str = "ring") -> DataFrame:
-    """Reference form of ``hex_polyfill``: every candidate of the bounding
-    box gets the exact ray cast.  O(candidates x vertices); kept for tests."""
-    zone, south = p.utm_zone, p.south_hemisphere
-    utm = geo.ring_to_utm(F.col(ring_col), zone, south)
-    bb = polygon.ring_bbox(utm)
-    rows = zones.select(F.col(zone_col), F.col(ring_col).alias("_ring"), bb.alias("_bb")).select(
-        zone_col, "_ring", F.col("_bb.xmin").alias("_xmin"), F.col("_bb.xmax").alias("_xmax"),
-        F.explode(hexgrid.hex_candidate_rows(F.col("_bb.ymin"), F.col("_bb.ymax"), res)).alias("r"))
-    cand = rows.select(zone_col, "_ring", "r", F.explode(
-        hexgrid.hex_candidate_cols(F.col("_xmin"), F.col("_xmax"), F.col("r"), res)).alias("q"))
-    c = hexgrid.hex_center(F.col("q"), F.col("r"), res)
-    cand = cand.select(zone_col, "_ring", "q", "r", c["x"].alias("_cx"), c["y"].alias("_cy"))
-    ll = geo.with_lonlat(cand, "_cx", "_cy", "_lon", "_lat", zone, south)
-    return ll.where(polygon.point_in_ring(F.col("_lon"), F.col("_lat"), F.col("_ring"))).select(
-        zone_col, "q", "r", hexgrid.hex_id(F.lit(res), F.col("q"), F.col("r")).alias("hex_id"))
-
-
 def hex_polyfill_union(zones: DataFrame, res: int, p: Params = Params(), zone_col: str = "admin_id",
                        ring_col: str = "ring") -> DataFrame:
     """Hexagons inside *any* zone part: polyfill of the union, no dissolve needed."""
-    return hex_polyfill(zones, res, p, zone_col, ring_col).select("hex_id", "q", "r").dropDuplicates(["hex_id"])
+    return hex_polyfill(zones, res, p, zone_col, ring_col).select("q", "r").distinct().select(
+        hexgrid.hex_id(F.lit(res), F.col("q"), F.col("r")).alias("hex_id"), "q", "r")
 
 
 def hex_geometry(hexes: DataFrame, res: int) -> DataFrame:

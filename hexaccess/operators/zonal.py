@@ -3,7 +3,8 @@
 A cell counts for a zone when its centre is inside the zone (no partial
 coverage).  Hexagon zones need no spatial join at all: the hexagon of a
 point is arithmetic, so the sum is one partially-aggregated ``groupBy``.
-Arbitrary polygons use a bucket equi-join and an exact ray-cast refine.
+Arbitrary polygons (holes and parts included) use a bucket equi-join in
+which only border buckets carry edges.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexaccess.functions import hexgrid, polygon
+from hexaccess.functions import hexgrid
+from hexaccess.operators.edges import cross_at, inside_runs, polygon_edges, span
 
 
 def zonal_hex(points: DataFrame, res: int, values: dict[str, object], x: str = "x",
@@ -40,25 +42,44 @@ def point_in_zone(points: DataFrame, zones: DataFrame, bucket_m: float, x: str =
                   zone_id: str = "zone_id", ring: str = "ring") -> DataFrame:
     """Tag each point with the zone(s) containing it (inner: points outside every zone drop).
 
-    Zones are exploded to the square buckets (edge ``bucket_m``) their
-    bounding box touches, in two steps (bucket rows, then buckets) with a
-    shuffle between, so a huge zone is spread over many tasks.  Points
-    join on their bucket, then the exact ray cast decides.
+    The plane is cut into square buckets of edge ``bucket_m``.  Whether a bucket's
+    centre is inside a zone follows by parity from the crossings of the zone's
+    edges with the line through the bucket row's centres.  A bucket that no edge
+    touches is then wholly inside or outside; a bucket on the border carries the
+    edges that touch it, and a point's side is that of the centre, turned over
+    by each edge between the two (along the point's line, then the centre's).
+    Points meet buckets by an equi-join; no ring is shipped, and a point is
+    tested against its own bucket's edges only.
     """
     b = float(bucket_m)
-    bb = polygon.ring_bbox(F.col(ring))
-    zrows = (
-        zones.select(F.col(zone_id).alias("_zid"), F.col(ring).alias("_ring"), bb.alias("_bb"))
-        .select("_zid", "_ring",
-                F.floor(F.col("_bb.xmin") / b).cast("long").alias("_gx0"),
-                F.floor(F.col("_bb.xmax") / b).cast("long").alias("_gx1"),
-                F.explode(F.sequence(F.floor(F.col("_bb.ymin") / b).cast("long"),
-                                     F.floor(F.col("_bb.ymax") / b).cast("long"))).alias("_gy"))
-        .repartition("_zid", "_gy")
-    )
-    zcells = zrows.select("_zid", "_ring", "_gy",
-                          F.explode(F.sequence(F.col("_gx0"), F.col("_gx1"))).alias("_gx"))
-    pts = points.withColumn("_gx", F.floor(F.col(x) / b).cast("long")).withColumn(
-        "_gy", F.floor(F.col(y) / b).cast("long"))
-    hit = pts.join(zcells, ["_gx", "_gy"]).where(polygon.point_in_ring(F.col(x), F.col(y), F.col("_ring")))
-    return hit.drop("_gx", "_gy", "_ring").withColumnRenamed("_zid", zone_id)
+    key = ["_zid", "_part", "_gx", "_gy"]
+    edges = polygon_edges(zones.select(F.col(zone_id).alias("_zid"), ring), "_zid", ring)
+    ax, ay, bx, by = (F.col(c) for c in ("ax", "ay", "bx", "by"))
+    rows = edges.select("*", F.explode(span(F.floor(F.least(ay, by) / b), F.floor(F.greatest(ay, by) / b))).alias("_gy"))
+    # the part of the edge within the bucket row, a little widened against rounding
+    lo_y = F.greatest(F.col("_gy") * b, F.least(ay, by))
+    hi_y = F.least((F.col("_gy") + 1) * b, F.greatest(ay, by))
+    x_at = lambda v: F.when(ay == by, ax).otherwise(ax + (bx - ax) * (v - ay) / F.when(ay != by, by - ay))
+    ends = [F.when(ay == by, bx).otherwise(x_at(hi_y)), x_at(lo_y)]
+    slack = b * 1e-9
+    touched = (rows.select("*", F.explode(span(F.floor((F.least(*ends) - slack) / b), F.floor((F.greatest(*ends) + slack) / b))).alias("_gx"))
+               .groupBy(*key).agg(F.collect_list(F.struct("ax", "ay", "bx", "by")).alias("_edges")))
+    centre = (F.col("_gy").cast("double") + 0.5) * b
+    crossings = rows.select("_zid", "_part", "_gy", cross_at(centre, ax, ay, bx, by).alias("_x")).where("_x IS NOT NULL")
+    within = (inside_runs(crossings, ["_zid", "_part", "_gy"], "_x")
+              .select("_zid", "_part", "_gy", F.explode(span(F.ceil(F.col("lo") / b - 0.5), F.ceil(F.col("hi") / b - 0.5) - 1)).alias("_gx"))
+              .withColumn("_in", F.lit(True)))
+    buckets = touched.join(within, key, "full").withColumn("_in", F.coalesce("_in", F.lit(False)))
+    px, py = F.col(x), F.col(y)
+    cx, cy = (F.col("_gx").cast("double") + 0.5) * b, (F.col("_gy").cast("double") + 0.5) * b
+
+    def turns(e):
+        along = (px < cross_at(py, e["ax"], e["ay"], e["bx"], e["by"])) != (cx < cross_at(py, e["ax"], e["ay"], e["bx"], e["by"]))
+        up = (py < cross_at(cx, e["ay"], e["ax"], e["by"], e["bx"])) != (cy < cross_at(cx, e["ay"], e["ax"], e["by"], e["bx"]))
+        return F.when(F.coalesce(along, F.lit(False)), 1).otherwise(0) + F.when(F.coalesce(up, F.lit(False)), 1).otherwise(0)
+
+    odd = F.aggregate(F.coalesce(F.col("_edges"), F.array().cast(buckets.schema["_edges"].dataType)), F.lit(0),
+                      lambda n, e: n + turns(e)) % 2 == 1
+    pts = points.withColumn("_gx", F.floor(px / b).cast("long")).withColumn("_gy", F.floor(py / b).cast("long"))
+    hit = pts.join(buckets, ["_gx", "_gy"]).where(F.col("_in") != odd)
+    return hit.select(*points.columns, F.col("_zid").alias(zone_id))

@@ -169,14 +169,15 @@ def analysis_grid(inputs: Inputs, p: Params = Params()) -> DataFrame:
     return priority(g, p, materialise_input=False)
 
 
-def hex_admin_units(grid: DataFrame, admin: DataFrame, p: Params = Params(), bucket_deg: float = 0.1) -> DataFrame:
-    """(hex_id, admin_id) -- the admin unit whose lon/lat ring holds each
-    hexagon centre (bucket equi-join + ray cast)."""
+def hex_admin_units(grid: DataFrame, admin: DataFrame, p: Params = Params(), bucket_deg: float = 0.1,
+                    ring: str = "ring") -> DataFrame:
+    """(hex_id, admin_id) -- the admin unit whose lon/lat polygon (a ring, or
+    rings with holes; one row per part) holds each hexagon centre."""
     from hexaccess.operators.zonal import point_in_zone
     pts = geo.with_lonlat(grid.select("hex_id", F.col("centroid.x").alias("_cx"), F.col("centroid.y").alias("_cy")),
                           "_cx", "_cy", "_lon", "_lat", p.utm_zone, p.south_hemisphere)
-    zones = admin.select(F.col("admin_id").alias("_zone"), "ring")
-    hit = point_in_zone(pts, zones, bucket_deg, "_lon", "_lat", zone_id="_zone")
+    zones = admin.select(F.col("admin_id").alias("_zone"), ring)
+    hit = point_in_zone(pts, zones, bucket_deg, "_lon", "_lat", zone_id="_zone", ring=ring)
     return hit.select("hex_id", F.col("_zone").alias("admin_id"))
 
 

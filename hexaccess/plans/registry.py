@@ -503,10 +503,10 @@ def q_zonal_polygon(spark, sf):
     """Weighted points summed per admin polygon (bucket join + ray cast), in UTM."""
     from hexaccess.functions import geo
     from hexaccess.operators.zonal import zonal_polygon
-    from hexaccess.sources.derived import admin_lonlat, pop_points
+    from hexaccess.sources.derived import admin_shapes_lonlat, pop_points
     pts = geo.with_utm(pop_points(spark, sf, P), "lon", "lat", "x", "y")
-    zones = admin_lonlat(spark, sf, P).select(F.col("admin_id").alias("zone_id"),
-                                              geo.ring_to_utm(F.col("ring")).alias("ring"))
+    zones = admin_shapes_lonlat(spark, sf, P).select(
+        F.col("admin_id").alias("zone_id"), F.transform("rings", lambda ring: geo.ring_to_utm(ring)).alias("ring"))
     z = zonal_polygon(pts.withColumnRenamed("weight", "value"), zones, 20000.0)
     return z.select(F.col("zone_id").alias("admin_id"), r("value_sum", 6).alias("value_sum"), "n_points")
 
@@ -540,24 +540,29 @@ def _hex_admin(spark, sf, g: DataFrame | None = None) -> DataFrame:
     return jobs.hex_admin_units(g, inp.admin, P)
 
 
+def _shapes(spark, sf) -> DataFrame:
+    from hexaccess.sources.derived import admin_shapes_lonlat
+    return admin_shapes_lonlat(spark, sf, P)
+
+
 @query("hex_admin")
 def q_hex_admin(spark, sf):
-    """The admin unit containing each hexagon centre."""
-    return _hex_admin(spark, sf)
+    """The admin unit (with holes and parts) containing each hexagon centre."""
+    return jobs.hex_admin_units(jobs.build_grid(_inputs(spark, sf).admin, P), _shapes(spark, sf), P, ring="rings")
 
 
 @query("hex_polyfill")
 def q_hex_polyfill(spark, sf):
     """Hexagons whose centre lies in each admin polygon."""
     from hexaccess.operators.grid import hex_polyfill
-    return hex_polyfill(_inputs(spark, sf).admin, P.resolution, P).select("admin_id", "hex_id")
+    return hex_polyfill(_shapes(spark, sf), P.resolution, P, ring_col="rings").select("admin_id", "hex_id")
 
 
 @query("hex_polyfill_multi")
 def q_hex_polyfill_multi(spark, sf):
     """Polyfill of the union of all parts (no dissolve)."""
     from hexaccess.operators.grid import hex_polyfill_union
-    return hex_polyfill_union(_inputs(spark, sf).admin, P.resolution, P).select("hex_id")
+    return hex_polyfill_union(_shapes(spark, sf), P.resolution, P, ring_col="rings").select("hex_id")
 
 
 # ============================================================================ 2.5 aggregations
@@ -698,23 +703,43 @@ def q_to_lonlat(spark, sf):
 
 def _admin_utm(spark, sf) -> DataFrame:
     from hexaccess.functions import geo
-    return _inputs(spark, sf).admin.select("admin_id", geo.ring_to_utm(F.col("ring")).alias("ring"))
+    return _shapes(spark, sf).select("admin_id", F.col("part_id").cast("int").alias("part_id"),
+                                     F.transform("rings", lambda ring: geo.ring_to_utm(ring)).alias("rings"))
 
 
 @query("polygon_area")
 def q_polygon_area(spark, sf):
-    """polygon area (shoelace) in km^2 of the projected admin rings."""
+    """polygon area (shoelace, holes off) in km^2 of the projected admin parts."""
     from hexaccess.functions import polygon
     a = _admin_utm(spark, sf)
-    return a.select("admin_id", r(polygon.polygon_area(F.col("ring")) / F.lit(1.0e6), 6).alias("area_km2"))
+    return a.select("admin_id", "part_id", r(polygon.rings_area(F.col("rings")) / F.lit(1.0e6), 6).alias("area_km2"))
 
 
 @query("polygon_centroid")
 def q_polygon_centroid(spark, sf):
-    """area-weighted centroid of the projected admin rings."""
+    """area-weighted centroid (holes count against) of the projected admin parts."""
     from hexaccess.functions import polygon
-    a = _admin_utm(spark, sf).select("admin_id", polygon.polygon_centroid(F.col("ring")).alias("c"))
-    return a.select("admin_id", r(F.col("c.x"), 3).alias("cx"), r(F.col("c.y"), 3).alias("cy"))
+    a = _admin_utm(spark, sf).select("admin_id", "part_id", polygon.rings_centroid(F.col("rings")).alias("c"))
+    return a.select("admin_id", "part_id", r(F.col("c.x"), 3).alias("cx"), r(F.col("c.y"), 3).alias("cy"))
+
+
+@query("polygon_wkt")
+def q_polygon_wkt(spark, sf):
+    """F8: EWKT of the admin parts with all rings, and the rings read back from it."""
+    from hexaccess.functions import geo
+    t = _shapes(spark, sf).select("admin_id", F.col("part_id").cast("int").alias("part_id"),
+                                  geo.rings_to_wkt(F.col("rings"), F.lit(4326), digits=7).alias("wkt"))
+    return t.withColumn("n_rings", F.size(geo.wkt_to_rings(F.col("wkt"))).cast("long"))
+
+
+@query("hex_wkt")
+def q_hex_wkt(spark, sf):
+    """F8: EWKT of each hexagon's polygon and centroid."""
+    from hexaccess.functions import geo
+    g = jobs.build_grid(_inputs(spark, sf).admin, P)
+    srid = geo.parse_epsg(F.lit(P.analysis_crs))
+    return g.select("hex_id", geo.ring_to_wkt(F.col("geometry"), srid, digits=3).alias("geometry_wkt"),
+                    geo.point_to_wkt(F.col("centroid.x"), F.col("centroid.y"), srid, digits=3).alias("centroid_wkt"))
 
 
 @query("distance_km")
@@ -777,7 +802,7 @@ def q_point_in_ring(spark, sf):
     """the admin unit (lon/lat ring) containing each customer point."""
     from hexaccess.operators.zonal import point_in_zone
     from hexaccess.sources.derived import pop_points
-    zones = _inputs(spark, sf).admin.select(F.col("admin_id").alias("zone_id"), "ring")
+    zones = _shapes(spark, sf).select(F.col("admin_id").alias("zone_id"), F.col("rings").alias("ring"))
     hit = point_in_zone(pop_points(spark, sf, P), zones, 0.1, "lon", "lat")
     return hit.select("pid", F.col("zone_id").alias("admin_id"))
 
@@ -886,10 +911,10 @@ def q_facility_popup(spark, sf):
 
 @query("parse_epsg")
 def q_parse_epsg(spark, sf):
-    """SRID number from the CRS text, per grid row (used in WKT output)."""
+    """SRID number from a column of CRS texts (a UTM zone per facility)."""
     from hexaccess.functions import geo
-    g = jobs.build_grid(_inputs(spark, sf).admin, P)
-    return g.select("hex_id", geo.parse_epsg(F.lit(P.analysis_crs)).alias("srid"))
+    f = _inputs(spark, sf).facilities.select("id", F.concat(F.lit("EPSG:"), (F.lit(32701) + F.col("id") % 60).cast("string")).alias("crs"))
+    return f.select("id", geo.parse_epsg(F.col("crs")).alias("srid"))
 
 
 @query("tile_xy")

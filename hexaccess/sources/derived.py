@@ -26,6 +26,13 @@ FLOOD_SHARE_DRY = 0.7       # frac <= 0.7 is dry, so about 30 % of cells flood
 FLOOD_DEPTH_MIN = 0.5
 FLOOD_DEPTH_SPAN = 2.5
 POP_DIVISOR = 10000.0
+#: Corners as shares of a unit's box (from its south-west corner): parts, rings (the first outer), corners.
+ADMIN_SHAPES = {
+    "box": [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]]],
+    "hole": [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)], [(0.35, 0.35), (0.35, 0.65), (0.65, 0.65), (0.65, 0.35)]]],
+    "notch": [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.6, 1.0), (0.5, 0.4), (0.4, 1.0), (0.0, 1.0)]]],
+    "parts": [[[(0.0, 0.0), (0.45, 0.0), (0.45, 1.0), (0.0, 1.0)]], [[(0.55, 0.0), (1.0, 0.0), (1.0, 1.0), (0.55, 1.0)]]],
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,6 +133,26 @@ def admin_lonlat(spark: SparkSession, sf_dir: str, p: Params = Params(), tiles:
     )
 
 
+def admin_shapes_lonlat(spark: SparkSession, sf_dir: str, p: Params = Params(), tiles: int = 5) -> DataFrame:
+    """Admin units as real boundaries are: (admin_id, part_id, rings), by key % 4 a
+    plain box, a box with a hole, a concave ring, or a unit of two parts."""
+    k = F.col("admin_id")
+    west, south = F.get(F.col("ring"), 0)["x"], F.get(F.col("ring"), 0)["y"]
+    dx, dy = F.lit((p.east - p.west) / tiles), F.lit((p.north - p.south) / tiles)
+
+    def ring(*corners):
+        pts = [geo.point(west + F.lit(fx) * dx, south + F.lit(fy) * dy) for fx, fy in (*corners, corners[0])]
+        return F.array(*pts)
+
+    parts = F.array
+    shapes = {name: [[ring(*corners) for corners in rings] for rings in poly] for name, poly in ADMIN_SHAPES.items()}
+    as_parts = lambda name: parts(*[F.array(*rings) for rings in shapes[name]])
+    chosen = (F.when(k % 4 == 0, as_parts("box")).when(k % 4 == 1, as_parts("hole"))
+              .when(k % 4 == 2, as_parts("notch")).otherwise(as_parts("parts")))
+    return admin_lonlat(spark, sf_dir, p, tiles).select(
+        "admin_id", "NAME_0", "NAME_3", F.posexplode(chosen).alias("part_id", "rings"))
+
+
 def places_lonlat(spark: SparkSession, sf_dir: str, p: Params = Params(), half: float = 1e-4) -> DataFrame:
     """Lake records: one per part, a tiny bbox around the key's point,
     themed by the part's type."""

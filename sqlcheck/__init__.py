@@ -139,6 +139,28 @@ def admin_rings_sql(tiles: int = 5) -> str:
             f"FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
 
 
+#: Corners as shares of a unit's box: parts, rings, corners (the same figures as the Spark side's).
+SHAPES = {
+    0: [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]]],
+    1: [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)], [(0.35, 0.35), (0.35, 0.65), (0.65, 0.65), (0.65, 0.35)]]],
+    2: [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.6, 1.0), (0.5, 0.4), (0.4, 1.0), (0.0, 1.0)]]],
+    3: [[[(0.0, 0.0), (0.45, 0.0), (0.45, 1.0), (0.0, 1.0)]], [[(0.55, 0.0), (1.0, 0.0), (1.0, 1.0), (0.55, 1.0)]]],
+}
+
+
+def admin_shape_rings_sql(tiles: int = 5) -> str:
+    """(admin_id, part_id, pid, ring_no, ring): one row per ring; pid tells parts apart."""
+    dx, dy = (E - W) / tiles, (N - S) / tiles
+    rows = []
+    for kind, parts in SHAPES.items():
+        for part, rings in enumerate(parts):
+            for no, corners in enumerate(rings):
+                pts = ", ".join(f"{{'x': ring[1].x + {d(fx)} * {d(dx)}, 'y': ring[1].y + {d(fy)} * {d(dy)}}}" for fx, fy in (*corners, corners[0]))
+                rows.append(f"SELECT admin_id, {part} AS part_id, admin_id * 10 + {part} AS pid, {no} AS ring_no, [{pts}] AS ring "
+                            f"FROM ({admin_rings_sql(tiles)}) _a WHERE admin_id % 4 = {kind}")
+    return " UNION ALL ".join(rows)
+
+
 def ray_cast_sql(points: str, rings: str, pid: str, px: str, py: str, rid: str, ring: str = "ring") -> str:
     """(pid, rid) pairs where the point is inside the ring (even-odd rule).
     ``points`` and ``rings`` are relations already joined as candidates in
@@ -157,10 +179,9 @@ HAVING sum(CASE WHEN ((a.y > _py) <> (b.y > _py))
 """
 
 
-def grid_sql(res: int = RES) -> str:
-    """hex_id, q, r of the hexagons whose centre (in lon/lat) is inside any admin ring."""
+def inside_sql(admin: str, res: int = RES) -> str:
+    """(hex_id, admin_id): hexagons whose centre (in lon/lat) is inside the rings (admin_id, ring; one row per ring) of a unit."""
     s = hex_edge(res)
-    admin = admin_rings_sql()
     verts = f"SELECT admin_id, v.x AS lon, v.y AS lat FROM (SELECT admin_id, unnest(ring) AS v FROM ({admin}) _a) _v"
     vu = utm_sql(verts, "lon", "lat", "admin_id")
     bb = (f"SELECT admin_id, min(x) AS xmin, max(x) AS xmax, min(y) AS ymin, max(y) AS ymax "
@@ -174,7 +195,12 @@ def grid_sql(res: int = RES) -> str:
     cxy = f"SELECT admin_id, q, r, {cx} AS cx, {cy} AS cy FROM ({cand}) _c"
     ll = lonlat_sql(cxy, "cx", "cy", "admin_id, q, r")
     pts = f"SELECT admin_id, q, r, '{res}_' || CAST(q AS VARCHAR) || '_' || CAST(r AS VARCHAR) AS hex_id, lon, lat FROM ({ll}) _ll"
-    inside = ray_cast_sql(pts, admin, "hex_id", "lon", "lat", "admin_id")
+    return ray_cast_sql(pts, admin, "hex_id", "lon", "lat", "admin_id")
+
+
+def grid_sql(res: int = RES) -> str:
+    """hex_id, q, r of the hexagons whose centre (in lon/lat) is inside any admin ring."""
+    inside = inside_sql(admin_rings_sql(), res)
     return (f"SELECT DISTINCT hex_id, CAST(split_part(hex_id, '_', 2) AS BIGINT) AS q, "
             f"CAST(split_part(hex_id, '_', 3) AS BIGINT) AS r FROM ({inside}) _in")
 

@@ -66,7 +66,7 @@ def _nearest_distance():
 
 
 # ============================================================================ helpers
-from sqlcheck import (FIXTURE_BOX, aligned_sql, admin_rings_sql, contained, d, exposure_cells_sql,  # noqa: E402
+from sqlcheck import (FIXTURE_BOX, admin_shape_rings_sql, aligned_sql, admin_rings_sql, inside_sql, contained, d, exposure_cells_sql,  # noqa: E402
                       facilities_lonlat_sql, facilities_utm_sql, flood_cells_sql, grid_vertices_sql,
                       hex_assign_sql, hex_center_exprs, lonlat_sql, nearest_sql, per_hex_sql, places_sql,
                       pop_cells_sql, pop_points_sql, pop_xy_sql, ray_cast_sql, self_cross_sql, shoelace_sql,
@@ -360,14 +360,21 @@ def _admin_utm_rings():
     return f"SELECT admin_id, list({{'x': x, 'y': y}} ORDER BY i) AS ring FROM ({u}) u GROUP BY admin_id"
 
 
+def _shape_utm_vertices():
+    """(admin_id, part_id, pid, ring_no, i, x, y): vertices of the shaped units, projected."""
+    verts = (f"SELECT admin_id, part_id, pid, ring_no, i, ring[i].x AS lon, ring[i].y AS lat FROM (SELECT *, "
+             f"unnest(range(1, len(ring) + 1)) AS i FROM ({admin_shape_rings_sql()}) a) v")
+    return utm_sql(verts, "lon", "lat", "admin_id, part_id, pid, ring_no, i")
+
+
 @oracle("zonal_polygon")
 def _zonal_polygon():
     pts = utm_sql(pop_points_sql(), "lon", "lat", "pid, weight")
-    rings = _admin_utm_rings()
-    cand = f"SELECT p.pid, p.x, p.y, a.admin_id FROM ({pts}) p CROSS JOIN (SELECT admin_id FROM ({rings}) r) a"
-    inside = ray_cast_sql(cand, rings, "pid", "x", "y", "admin_id")
-    return (f"SELECT i.admin_id, round(sum(p.weight), 6) AS value_sum, count(*) AS n_points FROM ({inside}) i "
-            f"JOIN ({pop_points_sql()}) p USING (pid) GROUP BY i.admin_id")
+    rings = f"SELECT pid AS zid, list({{'x': x, 'y': y}} ORDER BY i) AS ring FROM ({_shape_utm_vertices()}) u GROUP BY pid, ring_no"
+    cand = f"SELECT p.pid, p.x, p.y, a.zid FROM ({pts}) p CROSS JOIN (SELECT DISTINCT zid FROM ({rings}) r) a"
+    inside = ray_cast_sql(cand, rings, "pid", "x", "y", "zid")
+    return (f"SELECT i.zid // 10 AS admin_id, round(sum(p.weight), 6) AS value_sum, count(*) AS n_points FROM ({inside}) i "
+            f"JOIN ({pop_points_sql()}) p USING (pid) GROUP BY i.zid // 10")
 
 
 @oracle("raster_align")
@@ -383,19 +390,25 @@ def _clip_to_box():
             f"round(s, 9) AS ymin, round(n, 9) AS ymax FROM ({b}) b WHERE w < e AND s < n")
 
 
+def _shape_inside():
+    """(hex_id, admin_id) of the shaped units (parts and holes)."""
+    rings = f"SELECT pid AS admin_id, ring FROM ({admin_shape_rings_sql()}) s"
+    return f"SELECT hex_id, admin_id // 10 AS admin_id FROM ({inside_sql(rings)}) i"
+
+
 @oracle("hex_admin")
 def _hex_admin():
-    return _grid_inside()
+    return f"SELECT hex_id, admin_id FROM ({_shape_inside()}) s JOIN (SELECT hex_id FROM ({grid_sql()}) g) g USING (hex_id)"
 
 
 @oracle("hex_polyfill")
 def _hex_polyfill():
-    return f"SELECT admin_id, hex_id FROM ({_grid_inside()}) g"
+    return f"SELECT DISTINCT admin_id, hex_id FROM ({_shape_inside()}) g"
 
 
 @oracle("hex_polyfill_multi")
 def _hex_polyfill_multi():
-    return f"SELECT hex_id FROM ({grid_sql()}) g"
+    return f"SELECT DISTINCT hex_id FROM ({_shape_inside()}) g"
 
 
 # ============================================================================ 2.5
@@ -502,25 +515,47 @@ def _to_lonlat():
     return f"SELECT id, round(lon, 9) AS lon, round(lat, 9) AS lat FROM ({ll}) l"
 
 
-def _admin_utm_vertices():
-    verts = (f"SELECT admin_id, i, ring[i].x AS lon, ring[i].y AS lat FROM (SELECT admin_id, ring, "
-             f"unnest(range(1, len(ring) + 1)) AS i FROM ({admin_rings_sql()}) a) v")
-    u = utm_sql(verts, "lon", "lat", "admin_id, i")
-    return (f"SELECT a.admin_id, a.i, a.x, a.y, b.x AS nx, b.y AS ny FROM ({u}) a JOIN ({u}) b "
-            f"ON a.admin_id = b.admin_id AND b.i = a.i + 1")
+def _shape_moments():
+    """Per part: area (holes off) and first moments, from the rings' own."""
+    v = _shape_utm_vertices()
+    e = (f"SELECT a.admin_id, a.part_id, a.ring_no, a.x, a.y, b.x AS nx, b.y AS ny FROM ({v}) a JOIN ({v}) b "
+         f"ON a.pid = b.pid AND a.ring_no = b.ring_no AND b.i = a.i + 1")
+    cr = "(x * ny - nx * y)"
+    rings = (f"SELECT admin_id, part_id, CASE WHEN ring_no = 0 THEN 1e0 ELSE -1e0 END * abs(sum({cr}) / 2e0) AS w, "
+             f"sum((x + nx) * {cr}) / (sum({cr}) / 2e0 * 6e0) AS cx, sum((y + ny) * {cr}) / (sum({cr}) / 2e0 * 6e0) AS cy "
+             f"FROM ({e}) e GROUP BY admin_id, part_id, ring_no")
+    return (f"SELECT admin_id, part_id, sum(w) AS area, sum(w * cx) / sum(w) AS cx, sum(w * cy) / sum(w) AS cy "
+            f"FROM ({rings}) r GROUP BY admin_id, part_id")
 
 
 @oracle("polygon_area")
 def _polygon_area():
-    return (f"SELECT admin_id, round(abs(sum(x * ny - nx * y) / 2e0) / 1e6, 6) AS area_km2 "
-            f"FROM ({_admin_utm_vertices()}) v GROUP BY admin_id")
+    return f"SELECT admin_id, part_id, round(area / 1e6, 6) AS area_km2 FROM ({_shape_moments()}) m"
 
 
 @oracle("polygon_centroid")
 def _polygon_centroid():
-    cr = "(x * ny - nx * y)"
-    return (f"SELECT admin_id, round(sum((x + nx) * {cr}) / (sum({cr}) / 2e0 * 6e0), 3) AS cx, "
-            f"round(sum((y + ny) * {cr}) / (sum({cr}) / 2e0 * 6e0), 3) AS cy FROM ({_admin_utm_vertices()}) v GROUP BY admin_id")
+    return f"SELECT admin_id, part_id, round(cx, 3) AS cx, round(cy, 3) AS cy FROM ({_shape_moments()}) m"
+
+
+@oracle("polygon_wkt")
+def _polygon_wkt():
+    pt = "printf('%.7f', ring[i].x) || ' ' || printf('%.7f', ring[i].y)"
+    rings = (f"SELECT admin_id, part_id, ring_no, '(' || string_agg({pt}, ', ' ORDER BY i) || ')' AS t FROM (SELECT *, "
+             f"unnest(range(1, len(ring) + 1)) AS i FROM ({admin_shape_rings_sql()}) a) v GROUP BY admin_id, part_id, ring_no")
+    return (f"SELECT admin_id, part_id, 'SRID=4326;POLYGON(' || string_agg(t, ', ' ORDER BY ring_no) || ')' AS wkt, "
+            f"count(*) AS n_rings FROM ({rings}) r GROUP BY admin_id, part_id")
+
+
+@oracle("hex_wkt")
+def _hex_wkt():
+    pg = (f"SELECT hex_id, CAST(split_part(hex_id, '_', 2) AS BIGINT) AS q, "
+          f"CAST(split_part(hex_id, '_', 3) AS BIGINT) AS r FROM ({grid_sql()}) g")
+    cx, cy = hex_center_exprs("q", "r")
+    body = (f"SELECT hex_id, 'SRID=32735;POLYGON((' || string_agg(printf('%.3f', x) || ' ' || printf('%.3f', y), ', ' ORDER BY i) || '))' "
+            f"AS geometry_wkt FROM ({grid_vertices_sql(pg)}) v GROUP BY hex_id")
+    return (f"SELECT b.hex_id, geometry_wkt, 'SRID=32735;POINT(' || printf('%.3f', {cx}) || ' ' || printf('%.3f', {cy}) || ')' "
+            f"AS centroid_wkt FROM ({body}) b JOIN ({pg}) g ON b.hex_id = g.hex_id")
 
 
 @oracle("distance_km")
@@ -568,9 +603,9 @@ def _from_wkt():
 
 @oracle("point_in_ring")
 def _point_in_ring():
-    a = admin_rings_sql()
-    cand = f"SELECT p.pid, p.lon, p.lat, a.admin_id FROM ({pop_points_sql()}) p CROSS JOIN (SELECT admin_id FROM ({a}) x) a"
-    return ray_cast_sql(cand, a, "pid", "lon", "lat", "admin_id")
+    a = f"SELECT pid AS zid, ring FROM ({admin_shape_rings_sql()}) s"
+    cand = f"SELECT p.pid, p.lon, p.lat, a.zid FROM ({pop_points_sql()}) p CROSS JOIN (SELECT DISTINCT zid FROM ({a}) x) a"
+    return f"SELECT pid, zid // 10 AS admin_id FROM ({ray_cast_sql(cand, a, 'pid', 'lon', 'lat', 'zid')}) i"
 
 
 @oracle("flood_mask")
@@ -688,7 +723,7 @@ def _facility_popup():
 
 @oracle("parse_epsg")
 def _parse_epsg():
-    return f"SELECT hex_id, CAST(split_part('EPSG:32735', ':', 2) AS INTEGER) AS srid FROM ({grid_sql()}) g"
+    return f"SELECT id, CAST(32701 + id % 60 AS INTEGER) AS srid FROM ({facilities_lonlat_sql()}) f"
 
 
 @oracle("tile_xy")

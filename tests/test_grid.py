@@ -7,6 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from hexaccess.functions import geo, hexgrid, polygon
+from hexaccess.operators.edges import as_rings
+from hexaccess.params import Params
 from hexaccess.plans import jobs
 from tests.conftest import SF_SMALL
 
@@ -85,7 +87,7 @@ def _star(cx, cy, n, r_in, r_out, phase):
 @settings(max_examples=4, deadline=None)
 @given(st.integers(3, 9), st.floats(0.05, 0.2), st.floats(0.25, 0.5), st.floats(0, 3.14))
 def test_row_interval_polyfill_equals_exhaustive(spark, n, r_in, r_out, phase):
-    from hexaccess.operators.grid import hex_polyfill, hex_polyfill_exhaustive
+    from hexaccess.operators.grid import hex_polyfill
     zones = spark.createDataFrame([(1, _star(28.0, -4.0, n, r_in, r_out, phase)),
                                    (2, _star(28.6, -3.8, n + 2, r_in / 2, r_out / 2, -phase))],
                                   "admin_id int, ring array<struct<x:double,y:double>>")
@@ -99,3 +101,87 @@ def test_boundary_from_id_matches_axial_form(spark):
     rows = g.select(F.col("geometry").alias("a"), hexgrid.hex_boundary_of_id(F.col("hex_id")).alias("b")).collect()
     for r in rows:
         assert [(round(p.x, 6), round(p.y, 6)) for p in r.a] == [(round(p.x, 6), round(p.y, 6)) for p in r.b]
+
+
+def hex_polyfill_exhaustive(zones, res, p=Params(), zone_col="admin_id", ring_col="ring"):
+    """Every candidate of the bounding box gets the exact ray cast over all rings."""
+    rings = as_rings(zones, ring_col)
+    base = zones.select(F.col(zone_col), rings.alias("_rings"))
+    bb = polygon.ring_bbox(geo.ring_to_utm(F.get(F.col("_rings"), 0), p.utm_zone, p.south_hemisphere))
+    rows = base.select(zone_col, "_rings", bb.alias("_bb")).select(
+        zone_col, "_rings", "_bb", F.explode(hexgrid.hex_candidate_rows(F.col("_bb.ymin"), F.col("_bb.ymax"), res)).alias("r"))
+    cand = rows.select(zone_col, "_rings", "r", F.explode(
+        hexgrid.hex_candidate_cols(F.col("_bb.xmin"), F.col("_bb.xmax"), F.col("r"), res)).alias("q"))
+    c = hexgrid.hex_center(F.col("q"), F.col("r"), res)
+    cand = cand.select(zone_col, "_rings", "q", "r", c["x"].alias("_cx"), c["y"].alias("_cy"))
+    ll = geo.with_lonlat(cand, "_cx", "_cy", "_lon", "_lat", p.utm_zone, p.south_hemisphere)
+    return ll.where(polygon.point_in_polygon(F.col("_lon"), F.col("_lat"), F.col("_rings"))).select(
+        zone_col, "q", "r", hexgrid.hex_id(F.lit(res), F.col("q"), F.col("r")).alias("hex_id"))
+
+
+def _corners(n, cx, cy, r_in, r_out, phase):
+    pts = [(cx + (r_in if i % 2 else r_out) * math.cos(phase + math.pi * i / n),
+            cy + (r_in if i % 2 else r_out) * math.sin(phase + math.pi * i / n)) for i in range(2 * n)]
+    return pts + pts[:1]
+
+
+def _polygons(spark):
+    """A star with a square hole and an island in two parts, a notch, and a repeated row."""
+    hole = [(27.95, -4.05), (28.05, -4.05), (28.05, -3.95), (27.95, -3.95), (27.95, -4.05)]
+    notch = [(27.0, -5.0), (27.6, -5.0), (27.6, -4.4), (27.35, -4.4), (27.3, -4.8), (27.25, -4.4), (27.0, -4.4), (27.0, -5.0)]
+    part = [(28.6, -4.6), (28.9, -4.6), (28.9, -4.3), (28.6, -4.3), (28.6, -4.6)]
+    rows = [(1, [_corners(5, 28.0, -4.0, 0.2, 0.5, 0.3), hole]), (1, [part]), (2, [notch]), (2, [notch]), (3, [_corners(4, 28.0, -4.0, 0.01, 0.04, 0.1)])]
+    return spark.createDataFrame([(i, [[{"x": x, "y": y} for x, y in r] for r in rings]) for i, rings in rows],
+                                 "admin_id long, rings array<array<struct<x:double,y:double>>>")
+
+
+def test_polyfill_of_holes_and_parts(spark):
+    from hexaccess.operators.grid import hex_polyfill, hex_polyfill_union
+    zones = _polygons(spark)
+    got = sorted(map(tuple, hex_polyfill(zones, 7, ring_col="rings").select("admin_id", "hex_id").collect()))
+    want = sorted({tuple(r) for r in hex_polyfill_exhaustive(zones, 7, ring_col="rings").select("admin_id", "hex_id").collect()})
+    assert got == want and {i for i, _ in got} == {1, 2, 3}
+    assert hex_polyfill_union(zones, 7, ring_col="rings").count() == len({h for _, h in want})
+
+
+def test_no_ring_in_any_shuffle(spark):
+    from hexaccess.operators.grid import hex_polyfill
+    from hexaccess.operators.zonal import point_in_zone
+    zones = _polygons(spark)
+    pts = spark.createDataFrame([(0, 28.0, -4.2)], "pid long, x double, y double")
+    for df in (hex_polyfill(zones, 7, ring_col="rings"), point_in_zone(pts, zones, 0.1, zone_id="admin_id", ring="rings")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in plan and "rings" not in plan and "_r#" not in plan
+
+
+def test_long_border_is_quick(spark):
+    """100,000 vertices: seconds, as every edge meets only its own rows and buckets."""
+    import time
+    from hexaccess.operators.grid import hex_polyfill
+    ring = F.transform(F.sequence(F.lit(0), F.lit(100_000)), lambda i: F.struct(
+        (F.lit(28.0) + (F.lit(0.5) + F.lit(0.02) * F.sin(i * 0.7)) * F.cos((i % 100_000) * (2 * math.pi / 100_000))).alias("x"),
+        (F.lit(-4.0) + (F.lit(0.5) + F.lit(0.02) * F.sin(i * 0.7)) * F.sin((i % 100_000) * (2 * math.pi / 100_000))).alias("y")))
+    t = time.time()
+    assert hex_polyfill(spark.range(1).select(F.col("id").alias("admin_id"), ring.alias("ring")), 7).count() > 1000
+    assert time.time() - t < 60
+
+
+def test_point_in_zone_is_the_ray_cast(spark):
+    from hexaccess.operators.zonal import point_in_zone
+    zones = _polygons(spark).where("admin_id <> 2").unionByName(_polygons(spark).where("admin_id = 2").limit(1))
+    pts = spark.range(4000).select(F.col("id").alias("pid"), (F.lit(26.9) + F.rand(3) * 2.2).alias("x"), (F.lit(-5.1) + F.rand(4) * 1.8).alias("y"))
+    from hexaccess.session import materialise
+    pts = materialise(pts)
+    for bucket in (0.03, 0.1, 0.7):
+        got = sorted((r["pid"], r["admin_id"]) for r in point_in_zone(pts, zones, bucket, zone_id="admin_id", ring="rings").collect())
+        inside = pts.crossJoin(zones).where(polygon.point_in_polygon(F.col("x"), F.col("y"), F.col("rings")))
+        assert got == sorted((r["pid"], r["admin_id"]) for r in inside.collect())
+
+
+def test_area_and_centroid_of_holes(spark):
+    square = [(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)]
+    hole = [(1, 1), (1, 2), (2, 2), (2, 1), (1, 1)]
+    df = spark.createDataFrame([([[{"x": float(x), "y": float(y)} for x, y in r] for r in (square, hole)],)],
+                               "rings array<array<struct<x:double,y:double>>>")
+    r = df.select(polygon.rings_area("rings").alias("a"), polygon.rings_centroid("rings").alias("c")).first()
+    assert r["a"] == 15.0 and abs(r["c"].x - (16 * 2 - 1.5) / 15) < 1e-12 and abs(r["c"].y - (16 * 2 - 1.5) / 15) < 1e-12
