@@ -38,12 +38,14 @@ def network_distance(edges: DataFrame, sources: DataFrame, node: str = "node") -
     reachable node (edges undirected).  Multi-source Bellman-Ford: each
     round joins the frontier (nodes improved last round) with the edges
     and keeps the per-node minimum; rounds stop when nothing improves.
+    Sources start at 0, or at their ``dist`` where they have one.
     Each round's state is written to the shared checkpoint folder, so
     lineage stays short and a lost executor only costs the current round."""
     und = edges.select(F.col("source").alias("a"), F.col("target").alias("b"), "cost").unionByName(
         edges.select(F.col("target").alias("a"), F.col("source").alias("b"), "cost"))
     und = materialise(und.groupBy("a", "b").agg(F.min("cost").alias("cost")), "graph_edges")
-    dist = materialise(sources.select(F.col(node).alias("node")).distinct().withColumn("dist", F.lit(0.0)), "graph_dist")
+    start = F.min("dist") if "dist" in sources.columns else F.lit(0.0)
+    dist = materialise(sources.groupBy(F.col(node).alias("node")).agg(start.alias("dist")), "graph_dist")
     frontier = dist
     while True:
         cand = (frontier.join(und, frontier.node == und.a)
@@ -59,3 +61,24 @@ def network_distance(edges: DataFrame, sources: DataFrame, node: str = "node") -
                 .select("node", F.coalesce(F.col("new"), F.col("dist")).alias("dist")))
         dist = materialise(dist, "graph_dist")
         frontier = improved
+
+
+def network_access(points: DataFrame, facilities: DataFrame, edges: DataFrame, nodes: DataFrame,
+                   point_id: str = "hex_id", px: str = "x", py: str = "y") -> DataFrame:
+    """(point_id, nearest_facility_km) along the road network.
+
+    ``nodes`` (node, x, y) are the ends of ``edges``.  Each facility is snapped to
+    its nearest node, which starts at the facility's distance from it; costs
+    relax over the network; each point takes its nearest node's cost and its
+    own distance from that node.  A point whose node no facility reaches gets
+    no row, like a point without facilities in the straight-line search.
+    """
+    from hexaccess.operators.nearest import nearest
+    number = nodes.select(F.col("node").alias("_node"), F.xxhash64("node").alias("_id"), "x", "y")
+    snap = lambda df, key, x, y: (nearest(df, number, point_id=key, px=x, py=y, fac_id="_id")
+                                  .join(number.select("_id", "_node"), F.col("facility_id") == F.col("_id"))
+                                  .select(key, F.col("_node").alias("node"), F.col("distance_m").alias("_own")))
+    starts = (snap(facilities.select("id", "x", "y"), "id", "x", "y").groupBy("node").agg(F.min("_own").alias("dist")))
+    reached = network_distance(edges, starts)
+    mine = snap(points.select(point_id, px, py), point_id, px, py)
+    return mine.join(reached, "node").select(point_id, ((F.col("dist") + F.col("_own")) / F.lit(1000.0)).alias("nearest_facility_km"))

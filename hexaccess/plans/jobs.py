@@ -111,16 +111,21 @@ def exposure(grid: DataFrame, pop: Raster, flood: Raster, p: Params = Params())
 
 
 def accessibility(grid: DataFrame, facilities: DataFrame, p: Params = Params(),
-                  materialise_input: bool = True) -> DataFrame:
-    """Straight-line distance from each populated hexagon centroid to
-    the nearest facility, its class and score.  The nearest search reads
-    the points several times, so the input grid is materialised first
-    unless the caller already did."""
+                  materialise_input: bool = True, network: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Distance from each populated hexagon centroid to the nearest
+    facility, its class and score: in a straight line, or along ``network``
+    (edges, nodes).  The searches read the points several times and run
+    jobs (written rounds) while the frame is being built, so the input grid
+    is materialised first unless the caller already did."""
     if materialise_input:
         grid = materialise(grid)
     populated = grid.where(F.col("population") > 0).select(
         "hex_id", F.col("centroid.x").alias("x"), F.col("centroid.y").alias("y"))
-    nn = nearest_distance_km(populated, facilities).drop("nearest_facility_id")
+    if network is None:
+        nn = nearest_distance_km(populated, facilities).drop("nearest_facility_id")
+    else:
+        from hexaccess.operators.graph import network_access
+        nn = network_access(populated, facilities, *network)
     g = grid.drop("nearest_facility_km", "accessibility_class", "accessibility_score").join(nn, "hex_id", "left")
     d = F.col("nearest_facility_km")
     return (g.withColumn("accessibility_class", scoring.access_class(d, p.threshold_km, p.moderate_km))

@@ -1003,6 +1003,21 @@ def q_network_distance(spark, sf):
     return d.select("node", r("dist", 3).alias("dist_m"))
 
 
+@query("network_access")
+def q_network_access(spark, sf):
+    """Accessibility along the road network (facilities and hexagons snapped to their nearest nodes)."""
+    from hexaccess.functions import geo
+    from hexaccess.operators.graph import snap_node
+    from hexaccess.sources.derived import road_segments_lonlat
+    inp = _inputs(spark, sf)
+    ends = road_segments_lonlat(spark, sf, P).select(F.explode("line").alias("p"))
+    ends = geo.with_utm(ends.select(F.col("p.x").alias("lon"), F.col("p.y").alias("lat")), "lon", "lat", "x", "y", P.utm_zone, P.south_hemisphere)
+    nodes = jobs.materialise(ends.groupBy(snap_node(F.col("x"), F.col("y"), 0.001).alias("node")).agg(F.min("x").alias("x"), F.min("y").alias("y")))
+    g = jobs.accessibility(_exposure_grid(spark, sf), inp.facilities.where("id % 10 = 0"), P,
+                           network=(jobs.materialise(_road_edges(spark, sf)), nodes))
+    return g.where("population > 0").select("hex_id", r("nearest_facility_km", 3).alias("nearest_facility_km"), "accessibility_class")
+
+
 # ============================================================================ streaming
 
 @query("exposure_stream")

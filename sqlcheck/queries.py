@@ -823,6 +823,24 @@ def _network_distance():
             f"GROUP BY n.node")
 
 
+@oracle("network_access")
+def _network_access():
+    from sqlcheck import access_class_expr
+    e = _road_sql().replace("SELECT id, ", "SELECT id, x0, y0, x1, y1, ", 1)
+    # the chain again: node j at cumulative length C(j); every tenth node has a facility on it
+    cum = (f"SELECT *, coalesce(sum(length_m) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0) AS c0 "
+           f"FROM ({e}) e")
+    nodes = (f"SELECT id AS j, c0 AS c, x0 AS x, y0 AS y FROM ({cum}) a UNION ALL "
+             f"SELECT id + 1 AS j, c0 + length_m AS c, x1 AS x, y1 AS y FROM ({cum}) b WHERE id = (SELECT max(id) FROM ({e}) m)")
+    src = f"SELECT c AS cs FROM ({nodes}) n WHERE j % 10 = 0 AND j < (SELECT max(id) + 1 FROM ({e}) m)"
+    dist = f"SELECT j, x, y, min(abs(n.c - s.cs)) AS dist FROM ({nodes}) n, ({src}) s GROUP BY j, x, y"
+    pts = f"SELECT hex_id, cx, cy FROM ({exposure_grid_sql()}) e WHERE population > 0"
+    km = (f"SELECT hex_id, (dist + own) / 1000e0 AS km FROM (SELECT p.hex_id, d.dist, sqrt((p.cx - d.x) * (p.cx - d.x) + (p.cy - d.y) * (p.cy - d.y)) AS own, "
+          f"row_number() OVER (PARTITION BY p.hex_id ORDER BY (p.cx - d.x) * (p.cx - d.x) + (p.cy - d.y) * (p.cy - d.y)) AS rn "
+          f"FROM ({pts}) p, ({dist}) d) q WHERE rn = 1")
+    return f"SELECT hex_id, round(km, 3) AS nearest_facility_km, {access_class_expr('km')} AS accessibility_class FROM ({km}) k"
+
+
 @oracle("exposure_stream")
 def _exposure_stream():
     return (f"SELECT hex_id, round(population, 6) AS population, round(population_exposed, 6) AS population_exposed "
