@@ -27,7 +27,7 @@ def brute(rows, min_words=3, near_words=8):
         kept, lost = [], False
         for line in text.split("\n"):
             w = words_of(line)
-            gone = len(w) >= min_words and any(line == l2 or (min(len(w), len(w2)) >= near_words and edits(w, w2) <= 1) for l2, w2 in seen)
+            gone = len(w) >= min_words and any(w == w2 or (min(len(w), len(w2)) >= near_words and edits(w, w2) <= 1) for l2, w2 in seen)
             if len(w) >= min_words:
                 seen.append((line, w))
             lost |= gone
@@ -57,6 +57,7 @@ def near_texts(seed):
 
 @pytest.mark.parametrize("values", [None, near_texts(1), near_texts(2), near_texts(3),
                                     ["a b c d e f g h i"] * 3 + ["a b c d e f g h j", "a b c d e f g h", "", "\n\n", "x", "x"],
+                                    ["one two  three", "one\ttwo three ", "a b c d e f g h\n a b  c d e f g x\r", "a  b c d e f g h\tz"],
                                     ["\n".join(f"item {i} of the list with some more words" for i in range(60))]])
 def test_matches_brute_force(spark, values):
     d = docs(spark, values, clash=values is None)
