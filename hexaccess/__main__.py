@@ -1,12 +1,16 @@
 """Command line: run the pipeline (or one stage) and write its outputs.
 
-    python -m hexaccess pipeline --sf-dir /root/testdata/sf0.1 --out /shared/run1
+    python -m hexaccess pipeline --admin <parquet> --facilities <parquet or geojson> \\
+        --population <raster> --flood <raster> --bbox 27.3 -4.5 29.1 -3.5 --crs EPSG:32735 --out /shared/run1
+    python -m hexaccess pipeline --sf-dir /root/testdata/sf0.1 --out /shared/run1    # inputs made from the test tables
     python -m hexaccess grid|exposure|accessibility|priority --sf-dir ... --out ...
     python -m hexaccess query <key> --sf-dir ... [--out ...]     # any registered query
 
-Outputs are Parquet (zstd) under ``--out``; the pipeline also writes the
-populated hexagons as line-delimited GeoJSON and a manifest.  ``--mode
-ignore`` keeps outputs that already exist.
+Rasters are cell tables with their header (``sinks.writers.write_raster``).
+The pipeline writes Parquet (zstd) layers with bounding boxes, tile tables, the
+exposed-population raster, line-delimited GeoJSON and a manifest.  ``--mode
+ignore`` keeps outputs that already exist.  The session is the caller's (under
+spark-submit the cluster's); stage tables are deleted at the end of a written run.
 """
 
 from __future__ import annotations
@@ -14,12 +18,13 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import functions as F
-
 
 def _params(args):
     from hexaccess.params import Params
-    return Params(resolution=args.resolution, threshold_km=args.threshold_km, moderate_km=args.moderate_km,
+    box = dict(zip(("west", "south", "east", "north"), args.bbox)) if args.bbox else {}
+    extra = {k: v for k, v in (("analysis_crs", args.crs), ("country_code", args.country), ("study_name", args.study),
+                               ("min_zoom", args.min_zoom), ("max_zoom", args.max_zoom)) if v is not None}
+    return Params(**box, **extra, resolution=args.resolution, threshold_km=args.threshold_km, moderate_km=args.moderate_km,
                   exposure_weight=args.exposure_weight, accessibility_weight=args.accessibility_weight,
                   top_percentile=args.top_percentile)
 
@@ -28,7 +33,15 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="hexaccess")
     ap.add_argument("command", choices=["pipeline", "grid", "exposure", "accessibility", "priority", "query"])
     ap.add_argument("key", nargs="?", help="query key for the 'query' command")
-    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--sf-dir", help="test tables from which inputs are made; or name the four inputs:")
+    for name in ("admin", "facilities", "population", "flood"):
+        ap.add_argument(f"--{name}")
+    ap.add_argument("--bbox", nargs=4, type=float, metavar=("WEST", "SOUTH", "EAST", "NORTH"))
+    ap.add_argument("--crs", help="analysis CRS, a UTM zone as EPSG code")
+    ap.add_argument("--country")
+    ap.add_argument("--study", help="name of the study in the manifest")
+    ap.add_argument("--min-zoom", type=int)
+    ap.add_argument("--max-zoom", type=int)
     ap.add_argument("--out")
     ap.add_argument("--mode", default="overwrite", choices=["overwrite", "ignore"])
     ap.add_argument("--resolution", type=int, default=6)
@@ -39,10 +52,16 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--top-percentile", type=float, default=10.0)
     args = ap.parse_args(argv)
 
+    from datetime import datetime, timezone
+
     from hexaccess.plans import jobs
-    from hexaccess.session import build_session
-    from hexaccess.sinks.writers import geojson_feature, ring_coordinates, write_geojson_lines, write_table
-    spark = build_session()
+    from hexaccess.session import current_session, drop_stage_tables
+    from hexaccess.sinks.outputs import write_outputs
+    from hexaccess.sinks.writers import write_table
+    paths = [args.admin, args.facilities, args.population, args.flood]
+    if not args.sf_dir and (args.command == "query" or not all(paths)):
+        ap.error("name --sf-dir, or all of --admin --facilities --population --flood")
+    spark = current_session()
     p = _params(args)
 
     if args.command == "query":
@@ -54,11 +73,9 @@ def main(argv: list[str] | None = None) -> int:
             df.show(50, truncate=False)
         return 0
 
-    inputs = jobs.load_inputs(spark, args.sf_dir, p)
+    inputs = jobs.load_inputs_from(spark, *paths, p) if all(paths) else jobs.load_inputs(spark, args.sf_dir, p)
     if args.command == "pipeline":
         outs = jobs.pipeline_from_inputs(inputs, p)
-        grid = jobs.to_lonlat_grid(outs["grid"], p)
-        outs["grid"] = grid
     else:
         g = jobs.build_grid(inputs.admin, p)
         if args.command in ("exposure", "accessibility", "priority"):
@@ -67,23 +84,18 @@ def main(argv: list[str] | None = None) -> int:
             g = jobs.accessibility(g, inputs.facilities, p)
         if args.command == "priority":
             g = jobs.priority(g, p)
-        outs = {"grid": jobs.to_lonlat_grid(g, p)}
-
+        outs = {"grid": g}
     if not args.out:
-        outs["grid"].drop("geometry").show(20, truncate=False)
+        jobs.to_lonlat_grid(outs["grid"], p).drop("geometry").show(20, truncate=False)
         return 0
     base = args.out.rstrip("/")
-    for name, df in outs.items():
-        write_table(df, f"{base}/{name}", mode=args.mode, compression=p.compression)
     if args.command == "pipeline":
-        populated = spark.read.parquet(f"{base}/grid").where(F.col("population") > 0)
-        feat = populated.select(geojson_feature(
-            {c: F.col(c) for c in ["hex_id", "population", "population_exposed", "exposure_pct",
-                                   "nearest_facility_km", "accessibility_class", "priority_score",
-                                   "priority_class"]},
-            "Polygon", ring_coordinates(F.col("geometry"))).alias("f"))
-        write_geojson_lines(feat, "f", f"{base}/h3_grid_geojson", mode=args.mode)
+        created = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+        write_outputs(outs, inputs.population, inputs.flood, p, base, created, args.mode).select("asset", "n_rows", "path").show(50, truncate=False)
+    else:
+        write_table(jobs.to_lonlat_grid(outs["grid"], p), f"{base}/grid", mode=args.mode, compression=p.compression)
     print(f"wrote {', '.join(outs)} under {base}")
+    drop_stage_tables(spark)
     return 0
 
 

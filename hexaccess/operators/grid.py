@@ -98,10 +98,11 @@ def hex_geometry(hexes: DataFrame, res: int) -> DataFrame:
     )
 
 
-def hex_grid(admin: DataFrame, res: int, p: Params = Params(), zone_col: str = "admin_id") -> DataFrame:
+def hex_grid(admin: DataFrame, res: int, p: Params = Params(), zone_col: str = "admin_id",
+             ring_col: str = "ring") -> DataFrame:
     """The grid table: one row per hexagon covering the study area, analysis
     columns at their defaults (0 for population figures, NULL for scores)."""
-    hexes = hex_polyfill_union(admin, res, p, zone_col)
+    hexes = hex_polyfill_union(admin, res, p, zone_col, ring_col)
     g = hex_geometry(hexes, res).withColumn("resolution", F.lit(res))
     return g.select(
         "hex_id", "resolution", "geometry", "centroid", "area_km2",

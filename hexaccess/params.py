@@ -14,10 +14,8 @@ class Params:
     south: float = -4.5
     east: float = 29.1
     north: float = -3.5
-    study_name: str = "Fizi Territory"
-    admin_level: int = 3
+    study_name: str = "study area"      # shown in the manifest
     country_code: str = "COD"
-    storage_crs: str = "EPSG:4326"
     analysis_crs: str = "EPSG:32735"
     resolution: int = 6
     threshold_km: float = 5.0

@@ -41,9 +41,26 @@ def load_inputs(spark: SparkSession, sf_dir: str, p: Params = Params()) -> Input
     )
 
 
+def load_inputs_from(spark: SparkSession, admin: str, facilities: str, population: str, flood: str,
+                     p: Params = Params()) -> Inputs:
+    """Inputs from stored tables: admin units (admin_id, ring or rings in lon/lat, attributes),
+    facilities (id, name, amenity and lon, lat or x, y in the analysis CRS; or GeoJSON by its
+    ``.json``/``.geojson`` name), and two rasters written with their headers."""
+    from hexaccess.sources.raster import read_raster
+    from hexaccess.sources.tables import geojson_features
+    if facilities.rstrip("/").endswith(("json", "geojson")):
+        f = geojson_features(spark, facilities)
+    else:
+        f = spark.read.parquet(facilities)
+    if "x" not in f.columns:
+        f = geo.with_utm(f, "lon", "lat", "x", "y", p.utm_zone, p.south_hemisphere)
+    return Inputs(spark.read.parquet(admin), f.select("id", "name", "amenity", "x", "y"),
+                  read_raster(spark, population), read_raster(spark, flood))
+
+
 def build_grid(admin: DataFrame, p: Params = Params()) -> DataFrame:
-    """Hexagons whose centre is inside any admin unit, with geometry."""
-    return grid_ops.hex_grid(admin, p.resolution, p)
+    """Hexagons whose centre is inside any admin unit (a ring, or rings with holes), with geometry."""
+    return grid_ops.hex_grid(admin, p.resolution, p, ring_col="rings" if "rings" in admin.columns else "ring")
 
 
 def exposure_cells(pop: Raster, flood: Raster, p: Params = Params()) -> DataFrame:
@@ -190,8 +207,9 @@ def admin_rollup(grid: DataFrame, admin: DataFrame, p: Params = Params(),
                  levels: tuple[str, ...] = ("NAME_0", "NAME_3")) -> DataFrame:
     """Hexagon results rolled up to admin units with subtotals."""
     from hexaccess.operators import summaries
-    tagged = grid.join(hex_admin_units(grid, admin, p), "hex_id").join(
-        admin.select("admin_id", *levels), "admin_id")
+    ring = "rings" if "rings" in admin.columns else "ring"
+    tagged = grid.join(hex_admin_units(grid, admin, p, ring=ring), "hex_id").join(
+        admin.select("admin_id", *levels).distinct(), "admin_id")
     return summaries.admin_rollup(tagged, levels)
 
 

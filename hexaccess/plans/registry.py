@@ -267,17 +267,24 @@ def q_update_by_key(spark, sf):
 
 @query("export_grid")
 def q_export_grid(spark, sf):
-    """K5: grid results in lon/lat, zstd Parquet, read back."""
-    from hexaccess.functions import polygon
+    """K5: grid results in lon/lat with stored bounding boxes, zstd Parquet, read back."""
+    from hexaccess.sinks.outputs import with_bbox
     from hexaccess.sinks.writers import write_table
-    g = _lonlat_grid(analysis(spark, sf))
-    path = write_table(g, _scratch(spark, "h3_results"), compression=P.compression)
-    back = spark.read.parquet(path)
-    bb = polygon.ring_bbox(F.col("geometry"))
+    g = with_bbox(_lonlat_grid(analysis(spark, sf)), "geometry")
+    back = spark.read.parquet(write_table(g, _scratch(spark, "grid_results"), compression=P.compression))
     return back.select("hex_id", F.size("geometry").alias("n_vertices"),
                        r(F.col("centroid.x"), 7).alias("lon"), r(F.col("centroid.y"), 7).alias("lat"),
-                       r(bb["xmin"], 7).alias("xmin"), r(bb["xmax"], 7).alias("xmax"),
-                       r(bb["ymin"], 7).alias("ymin"), r(bb["ymax"], 7).alias("ymax"), "priority_class")
+                       *[r(F.col(f"bbox.{c}"), 7).alias(c) for c in ("xmin", "xmax", "ymin", "ymax")], "priority_class")
+
+
+@query("export_admin")
+def q_export_admin(spark, sf):
+    """K5: the admin layer (holes and parts) with stored bounding boxes, read back."""
+    from hexaccess.sinks.outputs import with_bbox
+    from hexaccess.sinks.writers import write_table
+    back = spark.read.parquet(write_table(with_bbox(_shapes(spark, sf), "rings"), _scratch(spark, "admin_results"), compression=P.compression))
+    return back.select("admin_id", F.col("part_id").cast("int").alias("part_id"), F.size("rings").alias("n_rings"),
+                       *[r(F.col(f"bbox.{c}"), 7).alias(c) for c in ("xmin", "xmax", "ymin", "ymax")])
 
 
 @query("export_geojson")
@@ -336,10 +343,16 @@ def _tiles(spark, sf):
 
 @query("tile_features")
 def q_tile_features(spark, sf):
-    """K9: feature rows keyed by (zoom, tile_x, tile_y)."""
-    t = _tiles(spark, sf)
-    return t.groupBy(F.col("zoom").cast("long").alias("zoom"), "tile_x", "tile_y").agg(
-        F.count(F.lit(1)).alias("n_features"))
+    """K9: feature rows keyed by (zoom, tile_x, tile_y) of both layers: populated hexagons with their
+    eight attributes (counted where not null), and facilities."""
+    from hexaccess.sinks.outputs import HEX_TILE_ATTRIBUTES, tile_layers
+    from hexaccess.sources.derived import facilities_lonlat
+    layers = tile_layers(_lonlat_grid(analysis(spark, sf)), facilities_lonlat(spark, sf, P), P)
+    filled = sum((F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in HEX_TILE_ATTRIBUTES), F.lit(0))
+    hexes = layers["hexagon_tiles"].select(F.lit("hexagons").alias("layer"), "zoom", "tile_x", "tile_y", filled.alias("n"))
+    points = layers["facility_tiles"].select(F.lit("facilities").alias("layer"), "zoom", "tile_x", "tile_y", F.lit(2).alias("n"))
+    return hexes.unionByName(points).groupBy("layer", F.col("zoom").cast("long").alias("zoom"), "tile_x", "tile_y").agg(
+        F.count(F.lit(1)).alias("n_features"), F.sum("n").cast("long").alias("n_values"))
 
 
 @query("tile_thin")
@@ -353,28 +366,15 @@ def q_tile_thin(spark, sf):
 
 @query("output_manifest")
 def q_output_manifest(spark, sf):
-    """Manifest of written assets: rows, extent (lon/lat), media type, run time."""
-    from hexaccess.functions import polygon
-    from hexaccess.operators.raster import raster_cell_xy
-    from hexaccess.sinks.writers import write_table
+    """A run's outputs written and its manifest: every asset with rows, extent, media type and run time."""
+    from hexaccess.sinks.outputs import write_outputs
     inp = _inputs(spark, sf)
-    g = _lonlat_grid(analysis(spark, sf))
-    assets = {
-        "h3_results": (g.select(polygon.ring_bbox(F.col("geometry")).alias("b")), "application/vnd.apache.parquet"),
-        "admin_results": (inp.admin.select(polygon.ring_bbox(F.col("ring")).alias("b")), "application/vnd.apache.parquet"),
-        "population_cells": (raster_cell_xy(inp.population).select(
-            F.struct(F.col("x").alias("xmin"), F.col("y").alias("ymin"), F.col("x").alias("xmax"),
-                     F.col("y").alias("ymax")).alias("b")), "application/vnd.apache.parquet"),
-    }
-    rows = None
-    for name, (df, media) in assets.items():
-        path = write_table(df, _scratch(spark, name))
-        one = spark.read.parquet(path).agg(
-            F.count(F.lit(1)).alias("n_rows"), r(F.min("b.xmin"), 7).alias("xmin"), r(F.min("b.ymin"), 7).alias("ymin"),
-            r(F.max("b.xmax"), 7).alias("xmax"), r(F.max("b.ymax"), 7).alias("ymax"),
-        ).select(F.lit(name).alias("asset"), "*", F.lit(media).alias("media_type"), F.lit(RUN_TIME).alias("created"))
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
+    base = _scratch(spark, "outputs")
+    m = write_outputs(jobs.pipeline_from_inputs(inp, P), inp.population, inp.flood, P, base, RUN_TIME)
+    return m.select("asset", "n_rows", r("xmin", 7).alias("xmin"), r("ymin", 7).alias("ymin"), r("xmax", 7).alias("xmax"),
+                    r("ymax", 7).alias("ymax"), "media_type", "created",
+                    F.substring_index("path", "/", -1).alias("folder"),
+                    F.get_json_object("study", "$.analysis_crs").alias("study_crs"))
 
 
 # ============================================================================ 2.3 projections and filters

@@ -9,6 +9,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def current_session(app_name: str = "hexaccess") -> SparkSession:
+    """The caller's session with its own settings (under spark-submit: the cluster's), or a
+    plain new one; the command line uses this."""
+    return SparkSession.getActiveSession() or SparkSession.builder.appName(app_name).getOrCreate()
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "hexaccess") -> SparkSession:
     """Local session used by tests and bench.  On a cluster the caller's
@@ -53,10 +59,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder of stage tables under the shared checkpoint location."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/hexaccess-tables/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location for written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/hexaccess-tables/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder for a written table, in the run's folder."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_stage_tables(spark: SparkSession) -> None:
+    """Delete the stage tables of this application (for the end of a run: frames built on them can't be read any more)."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df, name: str = "stage"):

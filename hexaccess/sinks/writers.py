@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+HEADER_SCHEMA = ("x0 double, y0 double, dx double, dy double, n_rows int, n_cols int, crs string, "
+                 "nodata double, block int")
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "zstd",
                 partition_by: list[str] | None = None) -> str:
     """K1/K3/K5: replace (or, with ``mode="ignore"``, keep -- K2) a table.
@@ -60,11 +64,15 @@ def write_feature_collections(features: DataFrame, feature_col: str, key: Column
     return path
 
 
-def write_raster(cells: DataFrame, path: str, block: int = 512, mode: str = "overwrite") -> str:
+def write_raster(cells: DataFrame, path: str, block: int = 512, mode: str = "overwrite", meta=None) -> str:
     """K7: raster cells partitioned by storage block row and column (``row //
     block``, ``col // block``; the header's ``block``), dealt by block before
-    the write, so a block is one file and a clip or window reads only its own."""
+    the write, so a block is one file and a clip or window reads only its own.
+    ``meta`` (the header) is stored with them for ``read_raster``."""
     blocks = [F.floor(F.col(c) / F.lit(block)).alias(f"tile_{c}") for c in ("row", "col")]
     (cells.select("row", "col", "value", *blocks).repartition("tile_row", "tile_col")
      .write.mode(mode).option("compression", "zstd").partitionBy("tile_row", "tile_col").parquet(path))
+    if meta is not None:   # a one-row table beside the cells, in a folder that scans of ``path`` pass over
+        fields = dict(vars(meta), block=block)
+        cells.sparkSession.createDataFrame([tuple(fields.values())], HEADER_SCHEMA).write.mode(mode).parquet(f"{path}/_header")
     return path

@@ -70,10 +70,12 @@ def cell_of_y(y: Column, meta: RasterMeta) -> Column:
     return F.floor((F.lit(meta.y0) - y) / F.lit(meta.dy))
 
 
-def read_raster(spark: SparkSession, path: str, meta: RasterMeta) -> Raster:
-    """Scan a stored cell table.  The ``tile_row`` and ``tile_col`` partition columns
+def read_raster(spark: SparkSession, path: str, meta: RasterMeta | None = None) -> Raster:
+    """Scan a stored cell table, by default with the header stored beside it.  The ``tile_row`` and ``tile_col`` partition columns
     (written by ``sinks.writers.write_raster``) are kept so window filters can
     prune whole blocks of files."""
+    if meta is None:
+        meta = RasterMeta(**spark.read.parquet(f"{path}/_header").first().asDict())
     df = spark.read.parquet(path)
     cols = ["row", "col", "value"] + [c for c in ("tile_row", "tile_col") if c in df.columns]
     return Raster(df.select(*cols), meta)

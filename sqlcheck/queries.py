@@ -166,6 +166,14 @@ def _export_grid():
             f"b.ymin, b.ymax, c.priority_class FROM ({cen}) c JOIN ({bb}) b USING (hex_id)")
 
 
+@oracle("export_admin")
+def _export_admin():
+    v = f"SELECT *, unnest(ring) AS v FROM ({admin_shape_rings_sql()}) s"
+    return (f"SELECT admin_id, part_id, CAST(count(DISTINCT ring_no) AS INTEGER) AS n_rings, round(min(v.x) FILTER (ring_no = 0), 7) AS xmin, "
+            f"round(max(v.x) FILTER (ring_no = 0), 7) AS xmax, round(min(v.y) FILTER (ring_no = 0), 7) AS ymin, "
+            f"round(max(v.y) FILTER (ring_no = 0), 7) AS ymax FROM ({v}) v GROUP BY admin_id, part_id")
+
+
 @oracle("export_geojson")
 def _export_geojson():
     return (f"SELECT hex_id, priority_class, 'Polygon' AS geometry_type, 7 AS n_coords "
@@ -204,9 +212,21 @@ def _tiles_sql():
             f"(SELECT *, unnest(range(tx0, tx1 + 1)) AS tile_x FROM ({xr}) a) b")
 
 
+def _facility_tiles_sql():
+    x, y = tile_sql("lon", "lat", "zoom")
+    return (f"SELECT zoom, {x} AS tile_x, {y} AS tile_y FROM (SELECT lon, lat, unnest(range(6, 15)) AS zoom "
+            f"FROM ({facilities_lonlat_sql()}) f) z")
+
+
 @oracle("tile_features")
 def _tile_features():
-    return f"SELECT zoom, tile_x, tile_y, count(*) AS n_features FROM ({_tiles_sql()}) t GROUP BY zoom, tile_x, tile_y"
+    n = " + ".join(f"(CASE WHEN p.{c} IS NOT NULL THEN 1 ELSE 0 END)" for c in (
+        "population", "population_exposed", "nearest_facility_km", "accessibility_class", "accessibility_score",
+        "priority_score", "priority_class"))
+    hexes = f"SELECT 'hexagons' AS layer, t.zoom, t.tile_x, t.tile_y, 1 + {n} AS n FROM ({_tiles_sql()}) t JOIN ({priority_grid_sql()}) p USING (hex_id)"
+    points = f"SELECT 'facilities' AS layer, zoom, tile_x, tile_y, 2 AS n FROM ({_facility_tiles_sql()}) f"
+    return (f"SELECT layer, zoom, tile_x, tile_y, count(*) AS n_features, CAST(sum(n) AS BIGINT) AS n_values "
+            f"FROM ({hexes} UNION ALL {points}) u GROUP BY layer, zoom, tile_x, tile_y")
 
 
 @oracle("tile_thin")
@@ -218,24 +238,6 @@ def _tile_thin():
             f"(PARTITION BY zoom, tile_x, tile_y) AS n FROM ({t}) a) b WHERE tile_rank <= 200")
 
 
-@oracle("output_manifest")
-def _output_manifest():
-    v = _grid_lonlat_vertices()
-    a = f"SELECT v.x AS lon, v.y AS lat FROM (SELECT unnest(ring) AS v FROM ({admin_rings_sql()}) r) u"
-    parts = [
-        ("h3_results", f"SELECT (SELECT count(*) FROM ({grid_sql()}) g) AS n_rows, min(lon) AS xmin, min(lat) AS ymin, "
-                       f"max(lon) AS xmax, max(lat) AS ymax FROM ({v}) v"),
-        ("admin_results", f"SELECT (SELECT count(*) FROM nation) AS n_rows, min(lon) AS xmin, min(lat) AS ymin, "
-                          f"max(lon) AS xmax, max(lat) AS ymax FROM ({a}) a"),
-        ("population_cells", f"SELECT count(*) AS n_rows, min(lon) AS xmin, min(lat) AS ymin, max(lon) AS xmax, "
-                             f"max(lat) AS ymax FROM ({pop_xy_sql()}) c"),
-    ]
-    return " UNION ALL ".join(
-        f"SELECT '{n}' AS asset, n_rows, round(xmin, 7) AS xmin, round(ymin, 7) AS ymin, round(xmax, 7) AS xmax, "
-        f"round(ymax, 7) AS ymax, 'application/vnd.apache.parquet' AS media_type, '2024-01-17T00:00:00' AS created "
-        f"FROM ({q}) _{n}" for n, q in parts)
-
-
 # ============================================================================ 2.3
 
 def _pg():
@@ -845,3 +847,30 @@ def _network_access():
 def _exposure_stream():
     return (f"SELECT hex_id, round(population, 6) AS population, round(population_exposed, 6) AS population_exposed "
             f"FROM ({per_hex_sql()}) p")
+
+
+# ============================================================================ the manifest, over other oracles
+
+@oracle("output_manifest")
+def _output_manifest():
+    v = f"SELECT lon AS x, lat AS y FROM ({_grid_lonlat_vertices()}) v"
+    a = f"SELECT v.x AS x, v.y AS y FROM (SELECT unnest(ring) AS v FROM ({admin_rings_sql()}) r) u"
+    f = f"SELECT lon AS x, lat AS y FROM ({lonlat_sql(facilities_utm_sql(), 'x', 'y', 'id')}) f"
+    none = "SELECT CAST(NULL AS DOUBLE) AS x, CAST(NULL AS DOUBLE) AS y"
+    pq, gj = "application/vnd.apache.parquet", "application/geo+json-seq"
+    parts = [
+        ("grid", f"SELECT count(*) FROM ({grid_sql()}) g", v, pq),
+        ("admin", "SELECT count(*) FROM nation", a, pq),
+        ("facilities", "SELECT count(*) FROM supplier", f, pq),
+        ("run_summary", "SELECT 1", none, pq),
+        ("class_counts", f"SELECT count(*) FROM ({ORACLES['class_counts']}) c", none, pq),
+        ("admin_rollup", f"SELECT count(*) FROM ({ORACLES['admin_rollup']}) c", none, pq),
+        ("hexagon_tiles", f"SELECT count(*) FROM ({_tiles_sql()}) t", none, pq),
+        ("facility_tiles", "SELECT count(*) * 9 FROM supplier", none, pq),
+        ("exposed_population", f"SELECT count(*) FROM ({pop_cells_sql()}) c", none, pq),
+        ("hexagons_geojson", f"SELECT count(*) FROM ({exposure_grid_sql()}) e WHERE population > 0", none, gj),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS asset, ({count}) AS n_rows, round(min(x), 7) AS xmin, round(min(y), 7) AS ymin, round(max(x), 7) AS xmax, "
+        f"round(max(y), 7) AS ymax, '{media}' AS media_type, '2024-01-17T00:00:00' AS created, '{n}' AS folder, "
+        f"'EPSG:32735' AS study_crs FROM ({q}) _{n}" for n, count, q, media in parts)
