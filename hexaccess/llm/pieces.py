@@ -46,7 +46,8 @@ SPACE = "▁"
 UNIGRAM, BPE = "unigram", "bpe"
 #: How far below the worst piece an unknown character scores (unigram models).
 UNKNOWN_PENALTY = 10.0
-CACHED_PAIRS = 500_000
+#: Pieces and borders that a worker keeps, and bytes of text that it lays out at a time.
+KEPT_PIECES, CACHED_PAIRS, SLICE_BYTES = 400_000, 200_000, 4 << 20
 _SEGMENT = re.compile(" *[^ ]+| +")
 _SPACES = re.compile("\\A |  | \\Z")
 
@@ -65,7 +66,20 @@ class Vocabulary:
         self.texts = {i: p for p, i in self.ids.items()}
         self.bytes = {i: bytes([b]) for b, i in byte_ids.items()}
         self._apart: dict[tuple[str, str], bool] = {}
-        self._whole: dict[str, bool] = {}
+        # of a BPE model: the pieces that the merges make at all, with the two parts of the last merge, and
+        # what the ends of these may look like
+        self.made: dict[str, tuple[str, str] | None] = {}
+        for p in self.ids if kind == BPE else ():
+            parts = self.merged(p, 2)
+            if len(p) == 1 or len(parts) == 2 and parts[0] + parts[1] in self.ids:
+                self.made[p] = tuple(parts) if len(p) > 1 else None
+        self.ends = {p[i:] for p in self.made for i in range(len(p))}
+        table = [""] * (max(self.texts, default=-1) + 1)
+        for i, p in self.texts.items():
+            table[i] = p.replace(SPACE, " ")
+        self.table = np.array(table, dtype=object)
+        self.is_byte = np.zeros(max([*self.texts, *byte_ids.values()], default=0) + 1, dtype=bool)
+        self.is_byte[list(byte_ids.values())] = True
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -78,10 +92,10 @@ class Vocabulary:
         as_bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == 6}
         return cls(normal, as_bytes, {1: UNIGRAM, 2: BPE}[model.trainer_spec.model_type])
 
-    def merged(self, text: str) -> list[str]:
-        """Characters merged pair by pair, the best-scored pair first, the leftmost of equals."""
+    def merged(self, text: str, stop: int = 1) -> list[str]:
+        """Characters merged pair by pair, the best-scored pair first, the leftmost of equals, down to ``stop`` parts."""
         parts, score = list(text), self.scores.get
-        while len(parts) > 1:
+        while len(parts) > stop:
             ranks = [score(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
             best = max(ranks)
             if best == -np.inf:
@@ -96,15 +110,27 @@ class Vocabulary:
         if known is None:
             if len(self._apart) > CACHED_PAIRS:
                 self._apart.clear()
-            known = self._apart[left, right] = self.merged(left + right) == [left, right]
+            known = self._apart[left, right] = self._never_joined(left, right)
         return known
 
-    def whole(self, piece: str) -> bool:
-        """Whether the merges make this piece at all."""
-        known = self._whole.get(piece)
-        if known is None:
-            known = self._whole[piece] = len(piece) == 1 or self.merged(piece) == [piece]
-        return known
+    def _never_joined(self, left: str, right: str) -> bool:
+        """The last merge of the two is undone, then the one before, and so on: at each time what
+        touches the border must not have had a better merge with each other (of equals the left one goes first)."""
+        if SPACE in left[1:] or SPACE in right:
+            return self.merged(left + right) == [left, right]  # runs of spaces: pieces of equal score
+        score, made = self.scores.get, self.made
+        after_left = after_right = -np.inf
+        while True:
+            joined = score(left + right)
+            if joined is not None and joined > after_left and joined >= after_right:
+                return False
+            a, b = made.get(left), made.get(right)
+            if a is None and b is None:
+                return True
+            if b is None or a is not None and self.scores[left] < self.scores[right]:
+                after_left, left = self.scores[left], a[1]
+            else:
+                after_right, right = self.scores[right], b[0]
 
     def piece_ids(self, piece: str) -> list[int]:
         i = self.ids.get(piece)
@@ -127,7 +153,7 @@ class StreamingSegmenter:
         if v.kind == BPE:
             for n in range(min(v.longest, end), 0, -1):
                 piece = text[end - n:end]
-                if (n == 1 or piece in v.ids) and v.whole(piece):
+                if n == 1 or piece in v.made:
                     at = end - n
                     left = text[at - self.length[at]:at] if at else self.before
                     if left is None or v.apart(left, piece):
@@ -190,7 +216,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self._split = not any(SPACE in p.lstrip(SPACE) for p in vocabulary.ids)
-        self._table = PieceTable(lambda words: [self._segment(" " + w) for w in words], "<u4")
+        self._table = PieceTable(lambda words: [self._segment(" " + w) for w in words], "<u4", KEPT_PIECES)
 
     def _segment(self, segment: str) -> bytes:
         text = segment.replace(" ", SPACE)
@@ -202,17 +228,18 @@ class Encoder:
     def _short(self, text: str) -> list[int]:
         """The stream's steps for a segment that ends before the first commit, without the window's upkeep."""
         v = self.v
-        ids, apart, known, whole = v.ids, v.apart, v._apart, v.whole
+        ids, made, ends, apart, known = v.ids, v.made, v.ends, v.apart, v._apart.get
         last: list[str | None] = [None]
         for end in range(1, len(text) + 1):
-            for at in range(max(0, end - v.longest), end):
+            for at in range(end - 1, -1, -1):
                 piece = text[at:end]
-                if piece in ids or at == end - 1:
+                if piece in made or at == end - 1:
                     left = last[at]
-                    fits = True if left is None else known.get((left, piece))
-                    if (apart(left, piece) if fits is None else fits) and whole(piece):
+                    if left is None or (apart(left, piece) if (fits := known((left, piece))) is None else fits):
                         last.append(piece)
                         break
+                elif piece not in ends:
+                    break
         pieces, at = [], len(text)
         while at:
             pieces.append(last[at])
@@ -245,19 +272,17 @@ class Encoder:
         return out
 
     def decode(self, ids: bytes) -> str:
-        texts, as_bytes, out, raw = self.v.texts, self.v.bytes, [], []
-        for i in array("I", ids):
-            piece = texts.get(i)
-            if piece is None:
-                raw.append(as_bytes[i])
-                continue
-            if raw:
-                out.append(b"".join(raw).decode("utf-8", "replace"))
-                raw.clear()
-            out.append(piece)
-        if raw:
-            out.append(b"".join(raw).decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
+        v, numbers = self.v, np.frombuffer(ids, dtype="<u4")
+        raw = np.flatnonzero(v.is_byte[numbers])
+        if not len(raw):
+            text = "".join(v.table[numbers].tolist())
+        else:  # neighbouring byte pieces are characters together
+            out, at = [], 0
+            for run in np.split(raw, np.flatnonzero(np.diff(raw) > 1) + 1):
+                out.append("".join(v.table[numbers[at:run[0]]].tolist()))
+                out.append(b"".join([v.bytes[i] for i in numbers[run].tolist()]).decode("utf-8", "replace"))
+                at = run[-1] + 1
+            text = "".join(out) + "".join(v.table[numbers[at:]].tolist())
         return text[1:] if text.startswith(" ") else text
 
 
@@ -269,11 +294,18 @@ def _encoder(path: str) -> Encoder:
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """``docs`` with piece_ids (array of int) and n_ids."""
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = _encoder(model_path)
-        for texts in batches:
-            yield pd.Series([np.frombuffer(x, dtype="<i4") for x in enc.encode(list(texts))], dtype=object)
+        for batch in batches:
+            out = []
+            for part in slices(pa.RecordBatch.from_arrays([batch], names=["text"]), "text", SLICE_BYTES):
+                found = enc.encode(part.column("text").to_pylist())
+                ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found])))
+                out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), dtype="<i4"))))
+            yield pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
+            del out, batch
+            pa.default_memory_pool().release_unused()  # what a batch took goes back, not to the worker's next stage
 
     return docs.withColumn("piece_ids", ids("text")).withColumn("n_ids", F.size("piece_ids").cast("long"))
 
@@ -298,7 +330,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(model_path)
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", SLICE_BYTES):
                 texts = [t or "" for t in rows.column("text").to_pylist()]
                 ids = enc.encode(texts)
                 yield pa.RecordBatch.from_arrays(

@@ -12,29 +12,30 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces kept per worker; longer pieces are encoded each time.
-KEPT_PIECES, KEPT_LENGTH = 1_000_000, 40
-#: Characters (about) that are laid out at a time.
-SLICE_BYTES = 16 << 20
+#: Longer pieces are encoded each time.
+KEPT_LENGTH = 40
 
 
 class PieceTable:
-    """``encode``: ids of pieces, as bytes of ``dtype``.  Pieces come as they stand between spaces."""
+    """``encode``: ids of pieces, as bytes of ``dtype``.  Pieces come as they stand between spaces.  At most ``kept``
+    are kept per worker: half of them the last ones used, half those before."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], dtype: str):
-        self._encode, self.dtype = encode, np.dtype(dtype)
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], dtype: str, kept: int):
+        self._encode, self.dtype, self._most = encode, np.dtype(dtype), kept
         self._kept: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
 
     def lookup(self, pieces: list[str]) -> list[bytes]:
         """Ids of these (different) pieces."""
         ids = list(map(self._kept.get, pieces))
         if None in ids:
             at = [i for i, x in enumerate(ids) if x is None]
-            new = self._encode([pieces[i] for i in at])
-            if len(self._kept) + len(new) > KEPT_PIECES:
-                self._kept.clear()
-            for i, x in zip(at, new):
-                ids[i] = x
+            again = [self._before.get(pieces[i]) for i in at]
+            new = iter(self._encode([pieces[i] for i, x in zip(at, again) if x is None]))
+            if len(self._kept) + len(at) > self._most // 2:
+                self._before, self._kept = self._kept, {}
+            for i, x in zip(at, again):
+                ids[i] = x = next(new) if x is None else x
                 if len(pieces[i]) <= KEPT_LENGTH:
                     self._kept[pieces[i]] = x
         return ids
@@ -61,12 +62,12 @@ class PieceTable:
         return flat[at], ends[offsets]
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of about SLICE_BYTES of this text column."""
+def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``size`` bytes of this text column."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     start = 0
     while start < len(batch):
         before = sizes[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, side="right")))
+        end = max(start + 1, int(np.searchsorted(sizes, before + size, side="right")))
         yield batch.slice(start, end - start)
         start = end

@@ -29,6 +29,16 @@ def test_ids_are_the_librarys():
     assert [enc.decode(g) for g in got] == [(v or "").replace("▁", " ") for v in values]
 
 
+def test_border_rule_is_the_merges():
+    v, rng = pieces.Vocabulary.load(PATH), random.Random(6)
+    words = [p for p in v.made if pieces.SPACE not in p[1:]]
+    short = [p for p in words if len(p) < 4]
+    for _ in range(30_000):
+        a, b = rng.choice(words if rng.random() < 0.5 else short), rng.choice(short)
+        if pieces.SPACE not in b:
+            assert v.apart(a, b) == (v.merged(a + b) == [a, b]), (a, b)
+
+
 def test_window_is_bounded_and_commits_agree():
     v, library = pieces.Vocabulary.load(PATH), sentencepiece.SentencePieceProcessor(model_file=PATH)
     rng = random.Random(2)
