@@ -25,25 +25,31 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexaccess.llm.common import read_table
+from hexaccess.llm.word_ids import PieceTable, slices
 from hexaccess.session import scratch_path
 
 END_ID = 0
 #: Ids and documents after which a block is closed.
 BLOCK_IDS, BLOCK_DOCS = 1 << 20, 1 << 13
-#: Pieces kept per worker; longer pieces are encoded each time.
-CACHED_PIECES, CACHED_LENGTH = 400_000, 48
+#: Pieces that a worker keeps, and bytes of text that it lays out at a time.
+KEPT_PIECES, SLICE_BYTES = 800_000, 16 << 20
 
 BLOCK_SCHEMA = ("block int, shard_start long, n_docs int, n_ids long, id_bytes int, doc_ids array<long>, ids binary, "
                 "ef_low_bits int, ef_low binary, ef_high binary, shard int")
+BLOCK_ARROW = pa.schema([("block", pa.int32()), ("shard_start", pa.int64()), ("n_docs", pa.int32()), ("n_ids", pa.int64()),
+                         ("id_bytes", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("ids", pa.binary()),
+                         ("ef_low_bits", pa.int32()), ("ef_low", pa.binary()), ("ef_high", pa.binary()), ("shard", pa.int32())])
 
 
 # ----------------------------------------------------------------------------- Elias-Fano
@@ -92,10 +98,16 @@ class EliasFano:
 
 #: White space as the pre-tokenizer sees it, and a few characters more, which only makes pieces longer.
 _WS = r"\s\x85᠎​﻿"
-_DOUBTFUL = re.compile(f"[{_WS}] (?:[{_WS}]|\\Z)")
+_DOUBTFUL = re.compile(f" (?:[{_WS}]|\\Z)")
 _SAFE_SPACE = re.compile(f"(?<![{_WS}]) | (?=[^{_WS}])")
 
 
+#: The byte-level vocabulary writes a byte as the sign of that number; those without a visible sign follow from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+_BYTE_SIGNS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
+_SPACE_SIGN = chr(_BYTE_SIGNS[32])
+
+
 def split_pieces(text: str) -> list[str]:
     """Pieces to encode one by one; before each but the first stands one space.
 
@@ -106,8 +118,8 @@ def split_pieces(text: str) -> list[str]:
     return _SAFE_SPACE.split(text) if _DOUBTFUL.search(text) else text.split(" ")
 
 
-class PieceEncoder:
-    """Ids of texts as bytes, by the tokenizers library over distinct pieces."""
+class TextEncoder:
+    """Ids of texts, by the tokenizers library over their different pieces."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -115,67 +127,76 @@ class PieceEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
         self.id_bytes = 2 if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self._dtype = f"<u{self.id_bytes}"
-        self._kept: dict[str, bytes] = {}
+        self._code = {2: "H", 4: "I"}[self.id_bytes]
+        self._merge = self._tokenizer.model.tokenize
+        self._table = PieceTable(self._piece_ids, f"<u{self.id_bytes}", KEPT_PIECES)
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for at in range(0, len(texts), 10_000):
+            found = self._tokenizer.encode_batch_fast(texts[at:at + 10_000], add_special_tokens=False)
+            out += [array(self._code, e.ids).tobytes() for e in found]
+        return out
+
+    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces after a space.  One of letters alone is a single token's text, and goes to the merges at once."""
+        letters = [p.isalpha() for p in pieces]
+        rest = iter(self._ids([" " + p for p, plain in zip(pieces, letters) if not plain]))
+        out = []
+        for p, plain in zip(pieces, letters):
+            if plain:
+                p = p if p.isascii() else p.encode().decode("latin-1").translate(_BYTE_SIGNS)
+                out.append(array(self._code, [t.id for t in self._merge(_SPACE_SIGN + p)]).tobytes())
+            else:
+                out.append(next(rest))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        kept = self._kept
-        if len(kept) > CACHED_PIECES:
-            kept.clear()
-        split = [[p if i == 0 else " " + p for i, p in enumerate(split_pieces(t))] for t in texts]
-        missing = list(set().union(*split) - kept.keys()) if split else []
-        for at in range(0, len(missing), 10_000):
-            part = missing[at:at + 10_000]
-            for piece, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                kept[piece] = np.array(e.ids, dtype=self._dtype).tobytes()
-        out = [b"".join([kept[p] for p in pieces]) for pieces in split]
-        for piece in missing:
-            if len(piece) > CACHED_LENGTH:
-                del kept[piece]
+        plain = [i for i, t in enumerate(texts) if not _DOUBTFUL.search(t)]
+        out = [b""] * len(texts)
+        ids, bounds = self._table.texts(pa.array([texts[i] for i in plain], type=pa.large_string()), skip_first=True)
+        firsts = self._ids([texts[i].partition(" ")[0] for i in plain])
+        for i, first, a, b in zip(plain, firsts, bounds, bounds[1:]):
+            out[i] = first + ids[a:b].tobytes()
+        for i in set(range(len(texts))) - set(plain):
+            pieces = _SAFE_SPACE.split(texts[i])
+            different = list(set(pieces[1:]))
+            known = dict(zip(different, self._table.lookup(different)))
+            out[i] = self._ids(pieces[:1])[0] + b"".join([known[p] for p in pieces[1:]])
         return out
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+def _encoder(path: str) -> TextEncoder:
+    return TextEncoder(path)
 
 
-def _blocks(batches: Iterator[pd.DataFrame], tokenizer_path: str) -> Iterator[pd.DataFrame]:
+def _blocks(batches: Iterator[pa.RecordBatch], tokenizer_path: str) -> Iterator[pa.RecordBatch]:
     enc = _encoder(tokenizer_path)
     end = np.array([END_ID], dtype=f"<u{enc.id_bytes}").tobytes()
-    state = {"shard_start": 0, "block": 0}
-    docs: list = []
-    parts: list[bytes] = []
-    ends: list[int] = []
-    total = 0
-
-    def close() -> pd.DataFrame:
-        nonlocal total
+    docs, parts, ends = [], [], []
+    shard, block, shard_start, total = 0, 0, 0, 0
+
+    def close() -> pa.RecordBatch:
         low_bits, low, high = EliasFano.pack(np.array(ends, dtype=np.int64), total)
-        row = {"block": state["block"], "shard_start": state["shard_start"], "n_docs": len(docs), "n_ids": total,
-               "id_bytes": enc.id_bytes, "doc_ids": list(docs), "ids": b"".join(parts),
-               "ef_low_bits": low_bits, "ef_low": low, "ef_high": high, "shard": state["shard"]}
-        state["block"] += 1
-        state["shard_start"] += total
-        docs.clear(), parts.clear(), ends.clear()
-        total = 0
-        return pd.DataFrame([row])
+        row = {"block": block, "shard_start": shard_start, "n_docs": len(docs), "n_ids": total, "id_bytes": enc.id_bytes,
+               "doc_ids": docs, "ids": b"".join(parts), "ef_low_bits": low_bits, "ef_low": low, "ef_high": high, "shard": shard}
+        return pa.RecordBatch.from_pylist([row], schema=BLOCK_ARROW)
 
     for batch in batches:
-        for at in range(0, len(batch), 256):
-            rows = batch.iloc[at:at + 256]
-            texts = ["" if t is None else t for t in rows["text"]]
-            for doc_id, shard, ids in zip(rows["doc_id"], rows["shard"], enc.encode(texts)):
-                state["shard"] = int(shard)
-                ids += end
-                if docs and total + len(ids) // enc.id_bytes > BLOCK_IDS:
+        for rows in slices(batch, "text", SLICE_BYTES):
+            shard = rows.column("shard")[0].as_py()
+            texts = [t or "" for t in rows.column("text").to_pylist()]
+            for doc_id, ids in zip(rows.column("doc_id").to_pylist(), enc.encode(texts)):
+                size = len(ids) // enc.id_bytes + 1
+                if docs and (total + size > BLOCK_IDS or len(docs) >= BLOCK_DOCS):
                     yield close()
-                docs.append(None if pd.isna(doc_id) else int(doc_id))
-                parts.append(ids)
-                total += len(ids) // enc.id_bytes
+                    block, shard_start = block + 1, shard_start + total
+                    docs, parts, ends, total = [], [], [], 0
+                docs.append(doc_id)
+                parts += [ids, end]
+                total += size
                 ends.append(total)
-                if len(docs) >= BLOCK_DOCS:
-                    yield close()
     if docs:
         yield close()
 
@@ -185,8 +206,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str) -> None:
     ordered = (docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
                .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("_h"))
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_h", "text")
-               .select(F.col("doc_id").cast("string"), "text", F.spark_partition_id().alias("shard")))
-    blocks = ordered.mapInPandas(lambda batches: _blocks(batches, tokenizer_path), BLOCK_SCHEMA)
+               .select(F.col("doc_id").cast("long"), "text", F.spark_partition_id().alias("shard")))
+    blocks = ordered.mapInArrow(lambda batches: _blocks(batches, tokenizer_path), BLOCK_SCHEMA)
     blocks.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
