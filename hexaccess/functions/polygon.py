@@ -208,17 +208,17 @@ def clip_ring_halfplane(ring, axis: str, bound, keep_greater: bool) -> Column:
 
     empty = F.array().cast("array<struct<x:double,y:double>>")
 
-    def step(acc, i):
+    def kept(i):
         a, b = _v(ring, i), _v(ring, i + 1)
-        add = (
+        return (
             F.when(inside(a) & inside(b), F.array(b))
             .when(inside(a) & ~inside(b), F.array(cross_point(a, b)))
             .when(~inside(a) & inside(b), F.array(cross_point(a, b), b))
             .otherwise(empty)
         )
-        return F.concat(acc, add)
 
-    out = F.aggregate(_edges(ring), empty, step)
+    # one short array per edge, joined once: linear in the ring's length
+    out = F.coalesce(F.flatten(F.transform(_edges(ring), kept)), empty)
     first = F.get(out, 0)
     return F.when(F.size(out) == 0, empty).otherwise(F.concat(out, F.array(first)))
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Attributes of any name; coordinates stay JSON text until the geometry's type is known.
 GEOJSON_SCHEMA = (
     "type string, features array<struct<type:string, id:string, "
-    "properties:struct<id:string, name:string, amenity:string>, "
-    "geometry:struct<type:string, coordinates:array<double>>>>"
+    "properties:map<string,string>, geometry:struct<type:string, coordinates:string>>>"
 )
 
 
@@ -55,18 +55,26 @@ def bbox_contained(west: float, south: float, east: float, north: float, col: st
 
 
 def geojson_features(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """GeoJSON FeatureCollection documents -> one row per feature
-    (properties flattened, point coordinates as lon/lat).  Documents are
-    one per line by default (as ``write_feature_collections`` writes them,
-    many per file); ``multi_line=True`` reads one pretty-printed document
-    per file."""
+    """GeoJSON FeatureCollection documents -> one row per feature: id, name and
+    amenity, ``properties`` (all attributes, as text), geometry type, and the
+    geometry: lon/lat of a Point, ``points`` of a LineString, ``parts`` (rings
+    of each part) of a Polygon or MultiPolygon.  Documents are one per line by
+    default (as ``write_feature_collections`` writes them, many per file);
+    ``multi_line=True`` reads one pretty-printed document per file."""
     docs = spark.read.schema(GEOJSON_SCHEMA).option("multiLine", multi_line).json(path)
     f = docs.select(F.explode("features").alias("f"))
+    kind, raw = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    position = lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))
+    rings = lambda part: F.transform(part, lambda ring: F.transform(ring, position))
+    point = F.when(kind == "Point", F.from_json(raw, "array<double>"))
+    line = F.when(kind == "LineString", F.from_json(raw, "array<array<double>>"))
+    polygon = F.when(kind == "Polygon", F.array(F.from_json(raw, "array<array<array<double>>>")))
+    parts = F.when(kind == "MultiPolygon", F.from_json(raw, "array<array<array<array<double>>>>")).otherwise(polygon)
     return f.select(
-        F.col("f.properties.id").alias("id"), F.col("f.properties.name").alias("name"),
-        F.col("f.properties.amenity").alias("amenity"), F.col("f.geometry.type").alias("geometry_type"),
-        F.get(F.col("f.geometry.coordinates"), 0).alias("lon"),
-        F.get(F.col("f.geometry.coordinates"), 1).alias("lat"),
+        F.coalesce(F.col("f.properties")["id"], F.col("f.id")).alias("id"), F.col("f.properties")["name"].alias("name"),
+        F.col("f.properties")["amenity"].alias("amenity"), F.col("f.properties").alias("properties"),
+        kind.alias("geometry_type"), F.get(point, 0).alias("lon"), F.get(point, 1).alias("lat"),
+        F.transform(line, position).alias("points"), F.transform(parts, rings).alias("parts"),
     )
 
 

@@ -119,3 +119,21 @@ def test_checkpoint_folder_must_be_shared():
                 return default
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_geojson_keeps_attributes_and_geometries(spark, tmp_path):
+    import json
+    from hexaccess.sources.tables import geojson_features
+    square = [[0, 0], [2, 0], [2, 2], [0, 0]]
+    hole = [[0.5, 0.2], [1, 0.2], [1, 0.4], [0.5, 0.2]]
+    features = [({"name": "A", "beds": 12, "open": True}, {"type": "Point", "coordinates": [27.5, -4.0]}),
+                ({"id": "p", "level": "3"}, {"type": "Polygon", "coordinates": [square, hole]}),
+                ({}, {"type": "MultiPolygon", "coordinates": [[square], [square, hole]]}),
+                ({"surface": None}, {"type": "LineString", "coordinates": [[0, 0], [1, 1], [2, 1]]})]
+    doc = {"type": "FeatureCollection", "features": [{"type": "Feature", "id": f"f{i}", "properties": p, "geometry": g} for i, (p, g) in enumerate(features)]}
+    (tmp_path / "a.json").write_text(json.dumps(doc))
+    got = {r["id"]: r for r in geojson_features(spark, str(tmp_path / "a.json")).collect()}
+    assert got["f0"]["properties"] == {"name": "A", "beds": "12", "open": "true"} and (got["f0"]["lon"], got["f0"]["lat"]) == (27.5, -4.0)
+    assert got["p"]["properties"]["level"] == "3" and [len(p) for p in got["p"]["parts"]] == [2]
+    assert [len(p) for p in got["f2"]["parts"]] == [1, 2] and got["f2"]["parts"][1][1][0].x == 0.5
+    assert [(p.x, p.y) for p in got["f3"]["points"]] == [(0, 0), (1, 1), (2, 1)] and got["f3"]["parts"] is None
