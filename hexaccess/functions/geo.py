@@ -139,6 +139,14 @@ def point_line_distance(px, py, line) -> Column:
     return F.array_min(dists)
 
 
+def line_length(line) -> Column:
+    """Length of a linestring in the unit of its coordinates."""
+    line = _c(line)
+    steps = F.transform(F.sequence(F.lit(0), F.size(line) - 2), lambda i: distance(
+        F.get(line, i)["x"], F.get(line, i)["y"], F.get(line, i + 1)["x"], F.get(line, i + 1)["y"]))
+    return F.when(F.size(line) >= 2, F.aggregate(steps, F.lit(0.0), lambda t, d: t + d)).otherwise(0.0)
+
+
 def box_ring(west, south, east, north) -> Column:
     """Closed counter-clockwise ring of a box: SW, SE, NE, NW, SW."""
     w, s, e, n = map(_c, (west, south, east, north))

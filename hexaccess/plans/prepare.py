@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from hexaccess.functions import geo
+from hexaccess.functions import geo, polygon
 from hexaccess.operators.raster import raster_cell_xy, raster_clip_box
 from hexaccess.operators.vector import clip_layer_to_box, first_n, repair
 from hexaccess.params import Params
@@ -58,9 +59,24 @@ def facility_prepare(spark: SparkSession, sf_dir: str, p: Params, box, scratch:
 
 def lake_theme_prepare(spark: SparkSession, lake_path: str, p: Params, box, themes=None,
                        subset: bool = False) -> DataFrame:
-    """Lake records of the themes, contained in the box, geometry in UTM."""
+    """Lake records of the themes, contained in the box, geometry in UTM: points
+    (x, y), or, where the lake holds WKT text, shapes (see ``lake_shapes``)."""
     df = lake_scan(spark, lake_path, themes=themes, bbox=box)
     if subset:
         df = first_n(df, 100, ["id"])
+    if isinstance(df.schema["geometry"].dataType, StringType):
+        return lake_shapes(df, p)
     df = df.select("id", "theme", F.col("geometry.x").alias("lon"), F.col("geometry.y").alias("lat"))
     return geo.with_utm(df, "lon", "lat", "x", "y", p.utm_zone, p.south_hemisphere)
+
+
+def lake_shapes(df: DataFrame, p: Params) -> DataFrame:
+    """(id, theme, geometry_type, parts, area_m2, length_m) of records whose ``geometry`` is WKT (buildings,
+    road segments, places): every part and ring projected; areas without holes, lengths of lines."""
+    kind = F.upper(F.regexp_extract("geometry", r"^(?:SRID=\d+;)?\s*([A-Za-z]+)", 1))
+    utm = lambda ring: geo.ring_to_utm(ring, p.utm_zone, p.south_hemisphere)
+    shapes = df.select("id", "theme", kind.alias("geometry_type"),
+                       F.transform(geo.wkt_to_parts(F.col("geometry")), lambda part: F.transform(part, utm)).alias("parts"))
+    total = lambda of: F.aggregate(F.transform("parts", of), F.lit(0.0), lambda t, v: t + v)
+    return shapes.withColumn("area_m2", F.when(F.col("geometry_type").endswith("POLYGON"), total(polygon.rings_area))).withColumn(
+        "length_m", F.when(F.col("geometry_type") == "LINESTRING", total(lambda part: geo.line_length(F.get(part, 0)))))

@@ -965,6 +965,18 @@ def q_lake_theme_prepare(spark, sf):
                                   r(F.max("x"), 3).alias("xmax"))
 
 
+@query("lake_shapes")
+def q_lake_shapes(spark, sf):
+    """Polygon and line themes of the lake (WKT), contained in the box, projected: area and length per theme."""
+    from hexaccess.plans.prepare import lake_theme_prepare
+    from hexaccess.sinks.writers import write_table
+    from hexaccess.sources.derived import lake_shapes_lonlat
+    lake = write_table(lake_shapes_lonlat(spark, sf, P), _scratch(spark, "lake_shapes"), partition_by=["theme", "type"])
+    t = lake_theme_prepare(spark, lake, P, box=P.bbox)
+    return t.groupBy("theme", "geometry_type").agg(
+        F.count(F.lit(1)).alias("n_features"), r(F.sum("area_m2"), 1).alias("area_m2"), r(F.sum("length_m"), 3).alias("length_m"))
+
+
 @query("theme_count_by_hex")
 def q_theme_count_by_hex(spark, sf):
     """Lake places counted per grid hexagon."""

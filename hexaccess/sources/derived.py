@@ -172,6 +172,16 @@ def places_lonlat(spark: SparkSession, sf_dir: str, p: Params = Params(), half:
     )
 
 
+def lake_shapes_lonlat(spark: SparkSession, sf_dir: str, p: Params = Params(), half: float = 1e-4) -> DataFrame:
+    """Lake records with WKT geometry: per part a small square building and a short road."""
+    b = places_lonlat(spark, sf_dir, p, half)
+    box = geo.box_ring(F.col("bbox.xmin"), F.col("bbox.ymin"), F.col("bbox.xmax"), F.col("bbox.ymax"))
+    road = F.format_string("LINESTRING(%s)", F.concat_ws(", ", *[
+        F.concat_ws(" ", F.col(f"bbox.x{m}").cast("string"), F.col(f"bbox.y{m}").cast("string")) for m in ("min", "max")]))
+    building = b.select("id", "bbox", geo.ring_to_wkt(box).alias("geometry"), F.lit("buildings").alias("theme"), F.lit("building").alias("type"))
+    return building.unionByName(b.select("id", "bbox", road.alias("geometry"), F.lit("transportation").alias("theme"), F.lit("segment").alias("type")))
+
+
 def pop_points(spark: SparkSession, sf_dir: str, p: Params = Params()) -> DataFrame:
     """Weighted points (one per customer) in lon/lat: (pid, lon, lat, weight)."""
     cust = table(spark, sf_dir, "customer")

@@ -782,6 +782,20 @@ def _lake_theme_prepare():
             f"FROM ({u}) u GROUP BY theme")
 
 
+@oracle("lake_shapes")
+def _lake_shapes():
+    p = f"SELECT id, xmin, xmax, ymin, ymax FROM ({places_sql()}) p WHERE {contained(W, S, E, N)}"
+    corners = (f"SELECT id, i, CASE WHEN i IN (0, 3) THEN xmin ELSE xmax END AS lon, CASE WHEN i IN (0, 1) THEN ymin ELSE ymax END AS lat "
+               f"FROM (SELECT *, unnest(range(0, 4)) AS i FROM ({p}) p) c")
+    u = utm_sql(corners, "lon", "lat", "id, i")
+    area = (f"SELECT a.id, abs(sum((a.x - o.x) * (b.y - o.y) - (b.x - o.x) * (a.y - o.y)) / 2e0) AS area FROM ({u}) a JOIN ({u}) b "
+            f"ON a.id = b.id AND b.i = (a.i + 1) % 4 JOIN ({u}) o ON o.id = a.id AND o.i = 0 GROUP BY a.id")
+    length = f"SELECT a.id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS l FROM ({u}) a JOIN ({u}) b ON a.id = b.id AND a.i = 0 AND b.i = 2"
+    return (f"SELECT 'buildings' AS theme, 'POLYGON' AS geometry_type, count(*) AS n_features, round(sum(area), 1) AS area_m2, "
+            f"CAST(NULL AS DOUBLE) AS length_m FROM ({area}) a UNION ALL SELECT 'transportation', 'LINESTRING', count(*), "
+            f"CAST(NULL AS DOUBLE), round(sum(l), 3) FROM ({length}) l")
+
+
 @oracle("theme_count_by_hex")
 def _theme_count_by_hex():
     p = f"SELECT id, lon, lat FROM ({places_sql()}) p WHERE {contained(W, -4.5, 29.1, N)}"
