@@ -195,13 +195,28 @@ def raster_blocks(r: Raster, block: int = 512) -> DataFrame:
                  F.min("value").alias("value_min"), F.max("value").alias("value_max")))
 
 
+def raster_overviews(r: Raster, levels: int, how: str = "avg") -> dict[int, DataFrame]:
+    """Reduced-resolution levels 1..levels, each made from the one before: 2 x 2
+    cells merge into one.  ``avg`` averages the valid cells of full resolution
+    (sums and counts travel along); ``nearest`` keeps the top-left valid one.
+    Frames have (row, col, value)."""
+    if how not in ("avg", "nearest"):
+        raise ValueError(how)
+    now = raster_valid(r).select("row", "col", F.col("value").alias("_v"), F.lit(1).cast("long").alias("_n"),
+                                 F.struct("row", "col").alias("_at"))
+    half = [F.floor(F.col(c) / 2).alias(c) for c in ("row", "col")]
+    out = {}
+    for level in range(1, levels + 1):
+        g = now.groupBy(*half)
+        if how == "avg":
+            now = g.agg(F.sum("_v").alias("_v"), F.sum("_n").alias("_n"))
+            out[level] = now.select("row", "col", (F.col("_v") / F.col("_n")).alias("value"))
+        else:
+            now = g.agg(F.min_by("_v", "_at").alias("_v"), F.min("_at").alias("_at"))
+            out[level] = now.select("row", "col", F.col("_v").alias("value"))
+    return out
+
+
 def raster_overview(r: Raster, level: int, how: str = "avg") -> DataFrame:
-    """Reduced-resolution level L: 2^L x 2^L cells merge into one.
-    ``avg`` averages valid cells; ``nearest`` keeps the top-left valid cell."""
-    f = 2 ** level
-    g = raster_valid(r).groupBy(F.floor(F.col("row") / f).alias("row"), F.floor(F.col("col") / f).alias("col"))
-    if how == "avg":
-        return g.agg(F.avg("value").alias("value"))
-    if how == "nearest":
-        return g.agg(F.min_by("value", F.struct("row", "col")).alias("value"))
-    raise ValueError(how)
+    """One reduced-resolution level: 2^level x 2^level cells merge into one."""
+    return raster_overviews(r, level, how)[level]

@@ -196,8 +196,17 @@ def _raster_blocks():
 
 @oracle("raster_overview")
 def _raster_overview():
-    return (f"SELECT row // 4 AS row, col // 4 AS col, round(avg(value), 10) AS value FROM ({pop_cells_sql()}) c "
-            f"GROUP BY row // 4, col // 4")
+    wet = f"SELECT * FROM ({flood_cells_sql()}) f WHERE value <> 0e0 AND NOT isnan(value)"
+    out = []
+    for name, cells in (("population", pop_cells_sql()), ("flood", wet)):
+        for level in range(1, 5):
+            f = 2 ** level
+            out.append(f"SELECT '{name}' AS raster, 'avg' AS how, {level} AS level, row // {f} AS row, col // {f} AS col, "
+                       f"round(avg(value) + 1.3e-8, 6) AS value FROM ({cells}) c GROUP BY row // {f}, col // {f}")
+            out.append(f"SELECT '{name}' AS raster, 'nearest' AS how, {level} AS level, r AS row, c AS col, round(value + 1.3e-8, 6) AS value "
+                       f"FROM (SELECT *, row // {f} AS r, col // {f} AS c, row_number() OVER (PARTITION BY row // {f}, col // {f} "
+                       f"ORDER BY row, col) AS rn FROM ({cells}) c) x WHERE rn = 1")
+    return " UNION ALL ".join(out)
 
 
 def _tiles_sql():
