@@ -246,6 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_fe
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), row], names=["doc_id", "y", "row"])
 
     rows = grams.mapInArrow(numbered, "doc_id long, y int, row array<int>").toPandas()
+    number.destroy()  # workers keep broadcasts as long as they live
     rows = rows.assign(_k=[tuple(r) for r in rows["row"]]).sort_values(["doc_id", "y", "_k"], kind="stable")
     return fit_model(names, counted["p"].to_numpy(dtype=float), counted["q"].to_numpy(dtype=float),
                      [np.array(r, dtype=np.int64) for r in rows["row"]], np.where(rows["y"] == 1, 1, -1))
@@ -260,6 +261,8 @@ def score_column(model: Model, text: Column, spark: SparkSession) -> Column:
         for texts in batches:
             yield pa.array([model.score(t) for at in range(0, len(texts), ROWS_AT_ONCE)
                             for t in texts.slice(at, ROWS_AT_ONCE).to_pylist()], pa.float64())
+            del texts
+            pa.default_memory_pool().release_unused()  # what a batch took goes back, not to the worker's next stage
 
     return quality_score(text)
 
