@@ -14,9 +14,10 @@ passage prove nothing.
 A context is the words (at most ``CONTEXT_WORDS`` a side, within
 ``CONTEXT_CHARS`` characters) around a base span; a term is a word without the
 signs around it, with a letter and without digits, outside base spans.
-Entities are kept as hashes only.  Counts are grouped sums; document frequency
-is counted for the terms that have enough contexts by a join of all documents'
-distinct words with these terms.  Nothing is collected.
+Entities are kept as hashes only.  Counts are grouped sums.  Document frequency
+is counted over all documents, for the terms that have enough contexts and could
+reach the threshold if they stood nowhere else; such terms, and the flagged
+ones, go to all tasks where they are counted to be few, and are joined beyond.
 
 Edges.  A null text is the empty one, without spans.  Rows with equal doc_id and
 text have the same spans; each counts as a document.  A null doc_id is a value
@@ -28,9 +29,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,10 @@ KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT_WORDS, CONTEXT_CHARS = 8, 200
 MIN_CONTEXTS = 3
 GENERALISE_AT, REMOVE_AT = 0.6, 0.9
+#: Up to so many flagged terms go to all tasks; beyond that they are joined with each document's words.
+BROADCAST_TERMS = 100_000
+#: Texts that a worker holds as Python strings at a time.
+ROWS_AT_ONCE = 256
 #: Signs that don't belong to a term when they stand around it.
 EDGE_SIGNS = ".,;:!?()[]{}\"'"
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
@@ -135,73 +142,6 @@ def _number(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-# ----------------------------------------------------------------------------- Spark
-
-BASE = ("doc_id long, h long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
-        "near array<struct<entity: long, context: long, terms: array<string>>>")
-
-
-def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for text in batch["text"]:
-            text = text or ""
-            spans = base_spans(text)
-            counts = [sum(k == n for _, k, _ in spans) for n in range(4)]
-            base = joined(spans)
-            near, seen = [], set()
-            for entity, context, terms in contexts(text, spans) if spans else []:
-                e, fresh = _number(entity), []
-                for t in terms:  # a pair counts once per document
-                    if (e, t) not in seen:
-                        seen.add((e, t))
-                        fresh.append(t)
-                near.append({"entity": e, "context": _number(context), "terms": fresh})
-            rows.append((*counts, hashlib.sha256(base.encode()).hexdigest(), base, near))
-        out = pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "near"])
-        out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-        out.insert(1, "h", batch["h"].to_numpy())
-        yield out
-
-
-def find_base(docs: DataFrame) -> DataFrame:
-    """Base spans and their contexts, one row per document (h: hash of the text)."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text")
-    return stage_table(rows.mapInPandas(_find, BASE), "base-spans")
-
-
-def disclosing_terms(docs: DataFrame, base: DataFrame, min_contexts: int = MIN_CONTEXTS,
-                     generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> tuple[DataFrame, DataFrame]:
-    """((term, share, action) of the terms that disclose an entity, (doc_id, h, term) where such terms stand)."""
-    near = base.select(F.explode("near").alias("n")).select("n.entity", "n.context", F.explode("n.terms").alias("term"))
-    pairs = (near.groupBy("term", "entity", "context").agg(F.count("*").alias("n"))
-             .groupBy("term", "entity").agg(F.sum("n").alias("co"), F.count("*").alias("contexts"))
-             .where(F.col("contexts") >= min_contexts))
-    pairs = stage_table(pairs, "pairs")
-    entities = (base.select(F.explode(F.array_distinct("near.entity")).alias("entity"))
-                .groupBy("entity").agg(F.count("*").alias("df_e")))
-    terms = stage_table(pairs.select("term").distinct(), "terms")
-    words = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), F.explode(F.array_distinct(F.transform(
-        F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), lambda w: F.btrim(w, F.lit(EDGE_SIGNS))))).alias("term"))
-    where = stage_table(words.join(terms, "term"), "occurrences")
-    total = F.lit(float(max(base.count(), 1)))
-    scored = (pairs.join(where.groupBy("term").agg(F.count("*").alias("df_t")), "term").join(entities, "entity")
-              .withColumn("pmi", F.log2(total * F.col("co") / (F.col("df_t") * F.col("df_e"))))
-              .withColumn("ic", F.log2(total / F.col("df_e")))
-              .where("ic > 0").groupBy("term").agg(F.max(F.col("pmi") / F.col("ic")).alias("share")))
-    flagged = stage_table(scored.where(F.col("share") >= generalise_at)
-                          .withColumn("action", F.when(F.col("share") >= remove_at, "remove").otherwise("generalise")), "flagged")
-    return flagged, where.join(flagged, "term").select("doc_id", "h", "term", "action")
-
-
-def _texts_with_terms(docs: DataFrame, where: DataFrame) -> DataFrame:
-    """(doc_id, h, text, terms, actions) of the documents that hold flagged terms."""
-    hits = (where.distinct().groupBy("doc_id", "h").agg(F.collect_list(F.struct("term", "action")).alias("hits"))
-            .select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "hits"))
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text").distinct()
-    return rows.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))).select("doc_id", "h", "text", "hits")
-
-
 def term_spans(text: str, spans, terms) -> list[tuple[int, int, int]]:
     out = []
     for m in _WORD.finditer(masked(text, spans)):
@@ -213,26 +153,7 @@ def term_spans(text: str, spans, terms) -> list[tuple[int, int, int]]:
     return out
 
 
-def _all_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        found = []
-        for text, hits in zip(batch["text"], batch["hits"]):
-            spans = base_spans(text)
-            found.append(joined(sorted(spans + term_spans(text, spans, {x["term"] for x in hits}))))
-        yield pd.DataFrame({"_id": batch["doc_id"], "_h": batch["h"], "all_spans": found})
-
-
-def find_personal(docs: DataFrame, **thresholds) -> DataFrame:
-    """One row per document: counts and hash of the base spans, and all spans."""
-    base = find_base(docs)
-    _, where = disclosing_terms(docs, base, **thresholds)
-    more = _texts_with_terms(docs, where).mapInPandas(_all_spans, "_id long, _h long, all_spans string")
-    return (base.join(more, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
-            .select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
-                    F.coalesce("all_spans", "base").alias("spans")))
-
-
-def sanitised_text(text: str, actions: dict) -> str:
+def sanitised_text(text: str, actions: dict[str, str]) -> str:
     """Base spans become their kind's label; flagged terms become [TERM] or go."""
     spans = base_spans(text)
     marks = sorted([(a, b, LABELS[KINDS[k]]) for a, k, b in spans]
@@ -245,21 +166,145 @@ def sanitised_text(text: str, actions: dict) -> str:
     return "".join(out) + text[at:]
 
 
+# ----------------------------------------------------------------------------- Spark
+
+NEAR = "entity long, context long, terms array<string>, new array<string>, first boolean"
+FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+FOUND_NAMES = [c.split(" ")[0] for c in FOUND.split(", ")]
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in _slices(batches):
+        rows = []
+        for text in part.column("text").to_pylist():
+            spans, seen = base_spans(text or ""), set()
+            for entity, context, terms in contexts(text, spans) if spans else []:
+                e, fresh = _number(entity), []
+                for t in terms:  # a pair counts once per document
+                    if (e, t) not in seen:
+                        seen.add((e, t))
+                        fresh.append(t)
+                new = [t for t in terms if (None, t) not in seen]  # not yet met in this document, near whatever entity
+                first = (e, None) not in seen
+                seen.update((None, t) for t in new)
+                seen.add((e, None))
+                rows.append({"entity": e, "context": _number(context), "terms": fresh, "new": new, "first": first})
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([
+            ("entity", pa.int64()), ("context", pa.int64()), ("terms", pa.list_(pa.string())), ("new", pa.list_(pa.string())),
+            ("first", pa.bool_())]))
+
+
+def _words(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, term): the different words of each document, without the signs around them."""
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), F.explode(
+        F.array_distinct(F.transform(words, lambda w: F.btrim(w, F.lit(EDGE_SIGNS))))).alias("term"))
+
+
+def _document_frequency(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, df_t): documents that hold each of these terms.  Terms that are counted to be few go to all tasks,
+    and each task sums its own documents first; more terms are joined with the documents' words."""
+    if terms.count() > BROADCAST_TERMS:
+        return _words(docs).join(terms, "term").groupBy("term").agg(F.count("*").alias("df_t"))
+    shared = docs.sparkSession.sparkContext.broadcast(frozenset(r["term"] for r in terms.collect()))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, found = shared.value, Counter()
+        for part in _slices(batches) if wanted else ():
+            for text in part.column("text").to_pylist():
+                words = set(_blanks(text or "").split(" "))
+                found.update(wanted.intersection([w.strip(EDGE_SIGNS) for w in words]))
+        yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["term", "n"])
+
+    return (docs.select("text").mapInArrow(count, "term string, n long")
+            .groupBy("term").agg(F.sum("n").alias("df_t")))
+
+
+def _blanks(text: str) -> str:
+    """The text with a space for each character that ends words."""
+    for sign in "\t\n\x0b\x0c\r":
+        text = text.replace(sign, " ")
+    return text
+
+
+def disclosing_terms(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, generalise_at: float = GENERALISE_AT,
+                     remove_at: float = REMOVE_AT) -> DataFrame:
+    """(term, share, action) of the terms that disclose an entity."""
+    near = stage_table(docs.select("text").mapInArrow(_contexts, NEAR), "contexts")
+    pairs = (near.select("entity", "context", F.explode("terms").alias("term"))
+             .groupBy("term", "entity", "context").agg(F.count("*").alias("n"))
+             .groupBy("term", "entity").agg(F.sum("n").alias("co"), F.count("*").alias("contexts")))
+    pairs = pairs.where(F.col("contexts") >= min_contexts)
+    entities = near.where("first").groupBy("entity").agg(F.count("*").alias("df_e"))
+    total = F.lit(float(max(docs.count(), 1)))
+
+    def share(df_t):
+        return F.log2(total * F.col("co") / (F.col(df_t) * F.col("df_e"))) / F.log2(total / F.col("df_e"))
+
+    # a term stands in at least the documents that have it near an entity: common ones are out of reach at once
+    least = near.select(F.explode("new").alias("term")).groupBy("term").agg(F.count("*").alias("least_df"))
+    pairs = stage_table(pairs.join(least, "term").join(entities, "entity")
+                        .where((total > F.col("df_e")) & (share("least_df") >= generalise_at)), "pairs")
+    counts = _document_frequency(docs, stage_table(pairs.select("term").distinct(), "terms"))
+    shares = pairs.join(counts, "term").groupBy("term").agg(F.max(share("df_t")).alias("share"))
+    return stage_table(shares.where(F.col("share") >= generalise_at)
+                       .withColumn("action", F.when(F.col("share") >= remove_at, "remove").otherwise("generalise")), "flagged")
+
+
+def _with_terms(docs: DataFrame, flagged: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """(rows (_row, doc_id, text, hits), terms that concern all rows).
+
+    Flagged terms that are counted to be few go to all tasks; if there are more, each
+    document gets those among its own words (hits) by a join on the document."""
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_of"))
+    if flagged.count() <= BROADCAST_TERMS:
+        return (rows.withColumn("hits", F.lit(None).cast("array<struct<term:string,action:string>>")),
+                {r["term"]: r["action"] for r in flagged.select("term", "action").collect()})
+    hits = (_words(docs).join(flagged, "term").distinct().groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
+            .agg(F.collect_list(F.struct("term", "action")).alias("hits")))
+    return rows.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_of").eqNullSafe(F.col("_h")), "left"), {}
+
+
+def find_personal(docs: DataFrame, **thresholds) -> DataFrame:
+    """One row per document: counts and hash of the base spans, and all spans."""
+    rows, common = _with_terms(docs.select("doc_id", "text"), disclosing_terms(docs, **thresholds))
+    shared = docs.sparkSession.sparkContext.broadcast(common)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            out = []
+            for text, hits in zip(part.column("text").to_pylist(), part.column("hits").to_pylist()):
+                text = text or ""
+                spans = base_spans(text)
+                base = joined(spans)
+                terms = shared.value if hits is None else {x["term"] for x in hits}
+                more = term_spans(text, spans, terms) if terms else []
+                out.append((*[sum(k == n for _, k, _ in spans) for n in range(4)], hashlib.sha256(base.encode()).hexdigest(),
+                            joined(sorted(spans + more)) if more else base))
+            columns = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns[:4]],
+                                              *[pa.array(c, pa.string()) for c in columns[4:]]], names=FOUND_NAMES)
+
+    return rows.select("doc_id", "text", "hits").mapInArrow(find, FOUND)
+
+
 def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
     """The rows of ``docs`` with sanitised texts (null texts stay null)."""
-    _, where = disclosing_terms(docs, find_base(docs), **thresholds)
-    hits = where.distinct().groupBy("doc_id", "h").agg(F.collect_list(F.struct("term", "action")).alias("_hits"))
-    hits = hits.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "_hits")
+    rows, common = _with_terms(docs, disclosing_terms(docs, **thresholds))
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     @F.pandas_udf("string")
     def clean(text: pd.Series, hits: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else sanitised_text(t, {x["term"]: x["action"] for x in (h if h is not None else [])})
+        return pd.Series([None if t is None else sanitised_text(t, shared.value if h is None else {x["term"]: x["action"] for x in h})
                           for t, h in zip(text, hits)], dtype=object)
 
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_k"), F.col("text").alias("_text"),
-                       F.xxhash64("text").alias("_of"))
-    both = rows.join(hits, F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_h")), "left")
-    return both.select(F.col("_row").withField("text", clean("_text", "_hits")).alias("_row")).select("_row.*")
+    return rows.select(F.col("_row").withField("text", clean("text", "hits")).alias("_row")).select("_row.*")
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
