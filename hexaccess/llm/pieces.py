@@ -30,6 +30,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from collections import namedtuple
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -46,8 +47,10 @@ SPACE = "▁"
 UNIGRAM, BPE = "unigram", "bpe"
 #: How far below the worst piece an unknown character scores (unigram models).
 UNKNOWN_PENALTY = 10.0
-#: Pieces and borders that a worker keeps, and bytes of text that it lays out at a time.
-KEPT_PIECES, CACHED_PAIRS, SLICE_BYTES = 400_000, 200_000, 4 << 20
+#: What a worker may hold: pieces and borders that it keeps, and bytes of text that it lays out at a time.
+#: More of it is less work; beside other stages' workers there is room for less.
+Room = namedtuple("Room", "pieces borders slice_bytes")
+ALONE, SHARED = Room(600_000, 300_000, 8 << 20), Room(400_000, 200_000, 4 << 20)
 _SEGMENT = re.compile(" *[^ ]+| +")
 _SPACES = re.compile("\\A |  | \\Z")
 
@@ -66,6 +69,7 @@ class Vocabulary:
         self.texts = {i: p for p, i in self.ids.items()}
         self.bytes = {i: bytes([b]) for b, i in byte_ids.items()}
         self._apart: dict[tuple[str, str], bool] = {}
+        self.borders = ALONE.borders
         # of a BPE model: the pieces that the merges make at all, with the two parts of the last merge, and
         # what the ends of these may look like
         self.made: dict[str, tuple[str, str] | None] = {}
@@ -108,7 +112,7 @@ class Vocabulary:
         """Whether the merges leave these two pieces next to each other as they are."""
         known = self._apart.get((left, right))
         if known is None:
-            if len(self._apart) > CACHED_PAIRS:
+            if len(self._apart) > self.borders:
                 self._apart.clear()
             known = self._apart[left, right] = self._never_joined(left, right)
         return known
@@ -213,10 +217,11 @@ class StreamingSegmenter:
 class Encoder:
     """Ids of whole texts (as little-endian 32-bit integers), and texts of ids."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, room: Room = ALONE):
         self.v = vocabulary
+        self.v.borders = room.borders
         self._split = not any(SPACE in p.lstrip(SPACE) for p in vocabulary.ids)
-        self._table = PieceTable(lambda words: [self._segment(" " + w) for w in words], "<u4", KEPT_PIECES)
+        self._table = PieceTable(lambda words: [self._segment(" " + w) for w in words], "<u4", room.pieces)
 
     def _segment(self, segment: str) -> bytes:
         text = segment.replace(" ", SPACE)
@@ -287,19 +292,19 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> Encoder:
-    return Encoder(Vocabulary.load(path))
+def _encoder(path: str, room: Room) -> Encoder:
+    return Encoder(Vocabulary.load(path), room)
 
 
-def encode(docs: DataFrame, model_path: str) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, room: Room = SHARED) -> DataFrame:
     """``docs`` with piece_ids (array of int) and n_ids."""
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        enc = _encoder(model_path)
+        enc = _encoder(model_path, room)
         for batch in batches:
             out = []
-            for part in slices(pa.RecordBatch.from_arrays([batch], names=["text"]), "text", SLICE_BYTES):
+            for part in slices(pa.RecordBatch.from_arrays([batch], names=["text"]), "text", room.slice_bytes):
                 found = enc.encode(part.column("text").to_pylist())
                 ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found])))
                 out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), dtype="<i4"))))
@@ -315,7 +320,7 @@ def decode(ids_column, model_path: str):
 
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = _encoder(model_path)
+        enc = _encoder(model_path, SHARED)
         for rows in batches:
             yield pd.Series([None if r is None else enc.decode(np.asarray(r, dtype="<u4").tobytes()) for r in rows], dtype=object)
 
@@ -328,9 +333,9 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model_path = public_tokenizers.path("piece_bpe_32k.model")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(model_path)
+        enc = _encoder(model_path, ALONE)
         for batch in batches:
-            for rows in slices(batch, "text", SLICE_BYTES):
+            for rows in slices(batch, "text", ALONE.slice_bytes):
                 texts = [t or "" for t in rows.column("text").to_pylist()]
                 ids = enc.encode(texts)
                 yield pa.RecordBatch.from_arrays(
