@@ -106,6 +106,8 @@ _SAFE_SPACE = re.compile(f"(?<![{_WS}]) | (?=[^{_WS}])")
 _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
 _BYTE_SIGNS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 _SPACE_SIGN = chr(_BYTE_SIGNS[32])
+#: Signs that are one token's text when they follow letters (the apostrophe may not be).
+_SIGNS = ".,;:!?*#$%&|()-"
 
 
 def split_pieces(text: str) -> list[str]:
@@ -129,6 +131,7 @@ class TextEncoder:
         self.id_bytes = 2 if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self._code = {2: "H", 4: "I"}[self.id_bytes]
         self._merge = self._tokenizer.model.tokenize
+        self._signs: dict[str, bytes] = {}
         self._table = PieceTable(self._piece_ids, f"<u{self.id_bytes}", KEPT_PIECES)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -138,19 +141,37 @@ class TextEncoder:
             out += [array(self._code, e.ids).tobytes() for e in found]
         return out
 
+    def _merged(self, token: str) -> bytes:
+        """Ids of one token's text, straight from the merges."""
+        if not token.isascii() or token[0] == " ":
+            token = token.encode().decode("latin-1").translate(_BYTE_SIGNS)
+        return array(self._code, [t.id for t in self._merge(token)]).tobytes()
+
     def _piece_ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces after a space.  One of letters alone is a single token's text, and goes to the merges at once."""
-        letters = [p.isalpha() for p in pieces]
-        rest = iter(self._ids([" " + p for p, plain in zip(pieces, letters) if not plain]))
-        out = []
-        for p, plain in zip(pieces, letters):
-            if plain:
-                p = p if p.isascii() else p.encode().decode("latin-1").translate(_BYTE_SIGNS)
-                out.append(array(self._code, [t.id for t in self._merge(_SPACE_SIGN + p)]).tobytes())
+        """Ids of pieces after a space.  Letters are one token's text, and signs behind them another's."""
+        out, rest = [], []
+        for i, p in enumerate(pieces):
+            word = p.rstrip(_SIGNS)
+            if word.isalpha():
+                ids = self._merged(" " + word) if not word.isascii() else self._merged_word(word)
+                if len(word) < len(p):
+                    signs = p[len(word):]
+                    if signs not in self._signs:
+                        if len(self._signs) > 10_000:
+                            self._signs.clear()
+                        self._signs[signs] = self._merged(signs)
+                    ids += self._signs[signs]
+                out.append(ids)
             else:
-                out.append(next(rest))
+                out.append(b"")
+                rest.append(i)
+        for i, ids in zip(rest, self._ids([" " + pieces[i] for i in rest])):
+            out[i] = ids
         return out
 
+    def _merged_word(self, word: str) -> bytes:
+        return array(self._code, [t.id for t in self._merge(_SPACE_SIGN + word)]).tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [i for i, t in enumerate(texts) if not _DOUBTFUL.search(t)]
         out = [b""] * len(texts)

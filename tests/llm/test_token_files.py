@@ -22,7 +22,7 @@ def tokenizer():
 def test_pieces_give_the_texts_ids(tokenizer):
     rng = random.Random(1)
     signs = [" ", " ", " ", "\n", "\t", "a", "b", "don", "'s", "1", "!", "é", "\xa0", "　", "\x1c", "​", "<|endoftext|>", "\r", "日"]
-    values = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(5000)] + ["", " ", "a" * 2000, " " * 300]
+    values = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(5000)] + ["", " ", "a" * 2000, " " * 300, "x word, Word!! and*** été,;. a-b c's don't. (so) |", "日本。 naïve!?'s ²x x² a_b."]
     got = tf.TextEncoder(PATH).encode(values)
     want = [np.array(e.ids, dtype="<u2").tobytes() for e in tokenizer.encode_batch(values, add_special_tokens=False)]
     assert got == want
