@@ -8,12 +8,15 @@ co-occurrence of term t near entity e gives PMI(t; e) = log2(N co(t, e) /
 IC(e) = log2(N / df(e)) says how much of it the term gives away (1: the term
 never stands elsewhere).  From ``generalise_at`` on a term is generalised, from
 ``remove_at`` on removed, in every document of the corpus.  To be believed, a pair
-must be seen in at least ``min_contexts`` different contexts, so copies of one
-passage prove nothing.
+must be seen in at least ``min_contexts`` different contexts, in one document or in
+several, so copies of one passage prove nothing.  A pair in fewer contexts is
+believed if two of them differ on both sides of the entity (near copies hardly do)
+and its documents are too many for chance: the Chernoff bound of co(t, e) of df(e)
+documents drawn by df(t) of N, times the pairs looked at, is ``CHANCE`` or less.
 
 A context is the words (at most ``CONTEXT_WORDS`` a side, within
 ``CONTEXT_CHARS`` characters) around a base span; a term is a word without the
-signs around it, with a letter and without digits, outside base spans.
+signs around it, with a letter, outside base spans.
 Entities are kept as hashes only.  Counts are grouped sums.  Document frequency
 is counted over all documents, for the terms that have enough contexts and could
 reach the threshold if they stood nowhere else; such terms, and the flagged
@@ -28,6 +31,7 @@ are read, so extra columns of any name do no harm (``sanitise`` passes them on).
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -42,6 +46,7 @@ from hexaccess.llm.common import WORD, read_table, stage_table
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT_WORDS, CONTEXT_CHARS = 8, 200
 MIN_CONTEXTS = 3
+CHANCE = 0.01
 GENERALISE_AT, REMOVE_AT = 0.6, 0.9
 #: Up to so many flagged terms go to all tasks; beyond that they are joined with each document's words.
 BROADCAST_TERMS = 100_000
@@ -119,11 +124,11 @@ def masked(text: str, spans) -> str:
 
 def _term(word: str) -> str | None:
     word = word.strip(EDGE_SIGNS)
-    return word if len(word) > 1 and not any(map(str.isdigit, word)) and any(map(str.isalpha, word)) else None
+    return word if len(word) > 1 and any(map(str.isalpha, word)) else None
 
 
-def contexts(text: str, spans) -> list[tuple[str, str, list[str]]]:
-    """(entity, context, terms) of each base span."""
+def contexts(text: str, spans) -> list[tuple[str, tuple[str, str], list[str]]]:
+    """(entity, the context's words before and after, terms) of each base span."""
     clean, out = masked(text, spans), []
     for a, k, b in spans:
         before = clean[max(0, a - CONTEXT_CHARS):a].split()
@@ -132,9 +137,9 @@ def contexts(text: str, spans) -> list[tuple[str, str, list[str]]]:
             before = before[1:]  # the rest of a word
         if b + CONTEXT_CHARS < len(clean) and after and not clean[b + CONTEXT_CHARS].isspace():
             after = after[:-1]
-        words = before[-CONTEXT_WORDS:] + after[:CONTEXT_WORDS]
+        before, after = before[-CONTEXT_WORDS:], after[:CONTEXT_WORDS]
         value = text[a:b].lower() if k == 0 else "".join(_DIGIT.findall(text[a:b])) if k > 1 else text[a:b]
-        out.append((f"{KINDS[k]}:{value}", " ".join(words), sorted({t for w in words if (t := _term(w))})))
+        out.append((f"{KINDS[k]}:{value}", (" ".join(before), " ".join(after)), sorted({t for w in before + after if (t := _term(w))})))
     return out
 
 
@@ -168,7 +173,7 @@ def sanitised_text(text: str, actions: dict[str, str]) -> str:
 
 # ----------------------------------------------------------------------------- Spark
 
-NEAR = "entity long, context long, terms array<string>, new array<string>, first boolean"
+NEAR = "entity long, context long, before long, after long, fresh array<string>, again array<string>, new array<string>, first boolean"
 FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 FOUND_NAMES = [c.split(" ")[0] for c in FOUND.split(", ")]
 
@@ -184,20 +189,23 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for text in part.column("text").to_pylist():
             spans, seen = base_spans(text or ""), set()
-            for entity, context, terms in contexts(text, spans) if spans else []:
-                e, fresh = _number(entity), []
-                for t in terms:  # a pair counts once per document
-                    if (e, t) not in seen:
-                        seen.add((e, t))
-                        fresh.append(t)
+            for entity, (before, after), terms in contexts(text, spans) if spans else []:
+                e, context = _number(entity), _number(f"{before} {after}")
+                if (e, context, None) in seen:  # has nothing that this document hasn't shown
+                    continue
+                fresh = [t for t in terms if (e, t) not in seen]  # a pair counts once per document, its contexts each
+                again = [t for t in terms if (e, t) in seen]
                 new = [t for t in terms if (None, t) not in seen]  # not yet met in this document, near whatever entity
                 first = (e, None) not in seen
+                seen.update((e, t) for t in fresh)
                 seen.update((None, t) for t in new)
-                seen.add((e, None))
-                rows.append({"entity": e, "context": _number(context), "terms": fresh, "new": new, "first": first})
+                seen.update([(e, None), (e, context, None)])
+                # a side without words tells no more than the context
+                rows.append({"entity": e, "context": context, "before": _number(before) if before else context,
+                             "after": _number(after) if after else context, "fresh": fresh, "again": again, "new": new, "first": first})
         yield pa.RecordBatch.from_pylist(rows, pa.schema([
-            ("entity", pa.int64()), ("context", pa.int64()), ("terms", pa.list_(pa.string())), ("new", pa.list_(pa.string())),
-            ("first", pa.bool_())]))
+            ("entity", pa.int64()), ("context", pa.int64()), ("before", pa.int64()), ("after", pa.int64()), ("fresh", pa.list_(pa.string())),
+            ("again", pa.list_(pa.string())), ("new", pa.list_(pa.string())), ("first", pa.bool_())]))
 
 
 def _words(docs: DataFrame) -> DataFrame:
@@ -237,22 +245,32 @@ def disclosing_terms(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, generali
                      remove_at: float = REMOVE_AT) -> DataFrame:
     """(term, share, action) of the terms that disclose an entity."""
     near = stage_table(docs.select("text").mapInArrow(_contexts, NEAR), "contexts")
-    pairs = (near.select("entity", "context", F.explode("terms").alias("term"))
-             .groupBy("term", "entity", "context").agg(F.count("*").alias("n"))
-             .groupBy("term", "entity").agg(F.sum("n").alias("co"), F.count("*").alias("contexts")))
-    pairs = pairs.where(F.col("contexts") >= min_contexts)
+    seen = F.concat(F.transform("fresh", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"))),
+                    F.transform("again", lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"))))
+    pairs = (near.select("entity", "context", "before", "after", F.inline(seen))
+             .groupBy("term", "entity", "context").agg(F.sum("n").alias("n"), F.min("before").alias("before"), F.min("after").alias("after"))
+             .groupBy("term", "entity").agg(F.sum("n").alias("co"), F.count("*").alias("contexts"), (
+                 (F.min("before") != F.max("before")) & (F.min("after") != F.max("after"))).alias("apart")))
+    pairs = pairs.where((F.col("contexts") >= min_contexts) | F.col("apart"))
+    looked_at = max(near.agg(F.sum(F.size("fresh"))).first()[0] or 0, 1)
     entities = near.where("first").groupBy("entity").agg(F.count("*").alias("df_e"))
     total = F.lit(float(max(docs.count(), 1)))
 
     def share(df_t):
         return F.log2(total * F.col("co") / (F.col(df_t) * F.col("df_e"))) / F.log2(total / F.col("df_e"))
 
+    def believed(df_t):
+        q, p = F.col("co") / F.col("df_e"), F.col(df_t) / total
+        rest = F.when(q < 1, (1 - q) * (F.log(1 - q) - F.log(1 - p))).otherwise(0.0)
+        bound = F.col("df_e") * (q * (F.log(q) - F.log(p)) + rest)
+        return (F.col("contexts") >= min_contexts) | (F.col("apart") & (q > p) & (bound >= math.log(looked_at / CHANCE)))
+
     # a term stands in at least the documents that have it near an entity: common ones are out of reach at once
     least = near.select(F.explode("new").alias("term")).groupBy("term").agg(F.count("*").alias("least_df"))
     pairs = stage_table(pairs.join(least, "term").join(entities, "entity")
-                        .where((total > F.col("df_e")) & (share("least_df") >= generalise_at)), "pairs")
+                        .where((total > F.col("df_e")) & (share("least_df") >= generalise_at) & believed("least_df")), "pairs")
     counts = _document_frequency(docs, stage_table(pairs.select("term").distinct(), "terms"))
-    shares = pairs.join(counts, "term").groupBy("term").agg(F.max(share("df_t")).alias("share"))
+    shares = pairs.join(counts, "term").where(believed("df_t")).groupBy("term").agg(F.max(share("df_t")).alias("share"))
     return stage_table(shares.where(F.col("share") >= generalise_at)
                        .withColumn("action", F.when(F.col("share") >= remove_at, "remove").otherwise("generalise")), "flagged")
 

@@ -95,3 +95,18 @@ def test_copies_prove_nothing_and_edges(spark):
     d = spark.createDataFrame([(None, "x a@b.cd"), (None, "x a@b.cd"), (4, None)], "doc_id long, text string")
     got = sorted(map(tuple, privacy.find_personal(d).collect()), key=str)
     assert [r[1] for r in got] == [0, 1, 1]
+
+
+def test_entities_of_one_or_two_documents(spark):
+    """A long document names one address in many contexts; another stands in two documents; near copies prove nothing."""
+    rng = random.Random(5)
+    fill = lambda n: " ".join(rng.choice(["river", "stone", "green", "house", "quiet", "north", "paper", "table"]) for _ in range(n))
+    out = [" ".join(f"{fill(20)} ann.lee@mail.example.com of quagga7x {fill(20)}" for _ in range(4))]
+    out += [f"{fill(20)} call +1 415 555 2671 okapi {fill(20)}" for _ in range(2)]
+    copy = f"{fill(20)} +1 415 555 0000 tapir {fill(5)}"
+    out += [f"{copy} {fill(1)}a {fill(9)}", f"{copy} {fill(1)}b {fill(9)}", f"{fill(30)} +1 415 555 1111 numbat {fill(30)}"]
+    out += [fill(50) for _ in range(200)] + ["of", "call"] * 30
+    flagged = {r["term"]: r["share"] for r in privacy.disclosing_terms(docs(spark, out)).collect()}
+    assert flagged == {"quagga7x": 1.0, "okapi": 1.0}
+    got = {r["doc_id"]: r["spans"] for r in privacy.find_personal(docs(spark, out)).collect()}
+    assert got[0].count("term:") == 4 and all(got[i].count("term:") == 1 for i in (1, 2)) and all("term:" not in got[i] for i in (3, 4, 5))
