@@ -1,16 +1,19 @@
 """Approximate nearest neighbours along shifted space-filling curves (operator 10).
 
 Every vector gets a place on each of ``CURVES`` Hilbert curves: a random
-rotation projects it to ``CURVE_DIMS`` dimensions, a random shift moves it, and
+rotation projects it to ``CURVE_DIMS`` dimensions, each projection is scaled by
+the quantiles of a sample, so that a dense cluster gets as much of the grid as it
+has rows and far vectors none of the others' share, a random shift moves it, and
 its grid cell's number along the curve is its key (behind it some hash bits of
-the id, so that equal vectors still spread).  Each curve's rows are cut into
+the id, others on each curve, so that rows of one cell lie in another order on
+each).  The grid has as many bits as the key holds.  Each curve's rows are cut into
 blocks of consecutive keys; a query meets its own block and those beside it on
 each curve (at least ``WINDOW_SHARE`` of all rows on either side), every meeting
 is reranked by exact distances on the original vectors, and the bests of all
 curves are merged.  Rows move once per curve; only queries, the few, are
 repeated to the blocks beside.
 
-The index is fitted (centre and spread) on at most ``SAMPLE_ROWS`` rows, the first
+The index is fitted (quantiles) on at most ``SAMPLE_ROWS`` rows, the first
 in the order of a hash of vec_id; all rows are indexed.  Of equal vectors only
 the k + 1 of smallest vec_id can be among anyone's k nearest, so the rest are
 left out of the blocks: a third of all rows in one place is no block's burden.
@@ -37,10 +40,12 @@ from hexaccess.llm.common import read_table, stage_table
 from hexaccess.llm.vectors import best_rows, matrix, sample_rows, vector_table
 
 K, QUERY_STEP = 10, 100
-CURVES, CURVE_DIMS, CURVE_BITS = 16, 16, 2
+CURVES, CURVE_DIMS = 16, 16
 WINDOW_SHARE, LEAST_WINDOW = 0.04, 256
 BLOCK_ROWS, SAMPLE_ROWS = 16_384, 8_192
-_TIE_BITS = 24
+#: A key's bits: the grid cell's, then the tie's.
+_CELL_BITS, _TIE_BITS = 48, 15
+_QUANTILES = 1024
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -70,24 +75,38 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
+def _mixed(ids: np.ndarray, seed: int) -> np.ndarray:
+    """64 hash bits of each id (the finish of splitmix64)."""
+    x = ids.astype(np.uint64) + np.uint64((seed + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 class Curves:
-    """Rotations, shifts and scale of all curves."""
+    """Rotations, shifts and scales of all curves."""
 
-    def __init__(self, sample: np.ndarray, curves: int = CURVES, dims: int = CURVE_DIMS, bits: int = CURVE_BITS, seed: int = 10):
-        rng, self.bits = np.random.default_rng(seed), bits
-        self.centre = sample.mean(axis=0)
-        width = sample.shape[1]
-        self.spread = float(np.sqrt(((sample - self.centre) ** 2).mean())) or 1.0
+    def __init__(self, sample: np.ndarray, curves: int = CURVES, dims: int = CURVE_DIMS, seed: int = 10):
+        rng, width = np.random.default_rng(seed), sample.shape[1]
+        self.bits = min(16, _CELL_BITS // min(dims, width))
         self.rotations = [np.linalg.qr(rng.normal(size=(width, width)))[0][:, :min(dims, width)] for _ in range(curves)]
         self.shifts = [rng.random(r.shape[1]) for r in self.rotations]
+        shares = np.linspace(0, 1, _QUANTILES + 1)
+        self.scales = [[self._scale(column, shares) for column in np.quantile(sample @ r, shares, axis=0).T] for r in self.rotations]
+
+    @staticmethod
+    def _scale(quantiles: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(values, share of the rows below); a value of many rows has the middle of theirs."""
+        values, first, count = np.unique(quantiles, return_index=True, return_counts=True)
+        return values, (shares[first] + shares[first + count - 1]) / 2
 
     def keys(self, ids: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """A row of keys per vector.  The grid spans 3.2 spreads on either side and a quarter for the shift."""
-        tie = ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TIE_BITS)).astype(np.int64)
+        """A row of keys per vector.  The grid spans all shares and half as much again for the shift."""
         out = []
-        for rotation, shift in zip(self.rotations, self.shifts):
-            at = ((x - self.centre) @ rotation / self.spread / 6.4 + 0.5 + 0.25 * shift) / 1.25
-            cells = np.clip(np.floor(at * (1 << self.bits)), 0, (1 << self.bits) - 1)
+        for c, (rotation, shift, scales) in enumerate(zip(self.rotations, self.shifts, self.scales)):
+            shares = np.stack([np.interp(v, *scale) for v, scale in zip((x @ rotation).T, scales)], axis=1)
+            cells = np.clip(np.floor((shares + 0.5 * shift) / 1.5 * (1 << self.bits)), 0, (1 << self.bits) - 1)
+            tie = (_mixed(ids, c) >> np.uint64(64 - _TIE_BITS)).astype(np.int64)
             out.append((hilbert_index(cells, self.bits) << _TIE_BITS) | tie)
         return np.stack(out, axis=1)
 

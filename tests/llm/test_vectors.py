@@ -120,6 +120,26 @@ def test_recall_without_structure(spark):
         assert all(found[q][i] == s for i, s in w if i in found[q])
 
 
+@pytest.mark.parametrize("kind", ["tight", "tighter", "outliers"])
+def test_recall_in_a_cluster_and_beside_outliers(spark, kind):
+    """A third of the rows in one tight cluster, or a few vectors of large norm: the queries among them and all others."""
+    rng = np.random.default_rng(9)
+    x, special = rng.normal(size=(4000, 64)), np.arange(4000) % (1000 if kind == "outliers" else 3) == 0
+    if kind == "outliers":
+        x[special] *= 1000
+    else:
+        x[special] = rng.normal(size=64) + {"tight": 0.01, "tighter": 0.001}[kind] * rng.normal(size=(special.sum(), 64))
+    x = x.astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    vectors, d, number = vector_table(rows, keep_zero=False)
+    found = {}
+    for r in curves.neighbours(vectors, F.col("vec_id") % 50 == 0, d, number).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = {q: len(found[q] & {i for i, _ in w}) / 10 for q, w in brute_nearest({i: v.astype(np.float64) for i, v in enumerate(x)}, 50).items()}
+    assert np.mean([h for q, h in hits.items() if special[q]]) >= 0.9
+    assert np.mean([h for q, h in hits.items() if not special[q]]) >= 0.9
+
+
 def test_empty(spark):
     vectors, d, kind = vector_table(table(spark, [(0, None), (None, [1.0])]), keep_zero=False)
     assert curves.neighbours(vectors, F.col("vec_id") % 100 == 0, d, kind).count() == 0
