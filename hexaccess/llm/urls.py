@@ -37,10 +37,11 @@ BROADCAST_RULES = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _HOST, _PATH = "://([^/?#]*)", "://[^/?#]*([^?#]*)"
 _LINK, _META = r"(?is)<link\b[^>]*>", r"(?is)<meta\b[^>]*>"
-_CANONICAL = r"""(?i)\brel\s*=\s*["']?canonical\b"""
+_CANONICAL = r"""(?i)\brel\s*=\s*(?:["']?\s*canonical\b|"[^"]*\scanonical(?=[\s"])|'[^']*\scanonical(?=[\s']))"""
 _REFRESH = r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b"""
-_HREF = r"""(?i)\bhref\s*=\s*["']([^"']*)["']"""
-_URL = r"""(?i)\burl\s*=\s*([^"'>\s]+)"""
+#: A value in either quotes, or without: one of three groups.
+_HREF = r"""(?i)(?<![\w-])href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'>\s]+))"""
+_URL = r"""(?i)\burl\s*=\s*["']?([^"'>\s]+)"""
 
 
 def host(url: Column) -> Column:
@@ -94,7 +95,7 @@ def page_edges(pages: DataFrame) -> DataFrame:
     """(u, v): page and the url that its canonical link or refresh redirect names."""
     links = F.concat(
         F.transform(F.filter(F.regexp_extract_all("html", F.lit(_LINK), F.lit(0)), lambda t: t.rlike(_CANONICAL)),
-                    lambda t: F.regexp_extract(t, _HREF, 1)),
+                    lambda t: F.concat(*[F.regexp_extract(t, _HREF, i) for i in (1, 2, 3)])),
         F.transform(F.filter(F.regexp_extract_all("html", F.lit(_META), F.lit(0)), lambda t: t.rlike(_REFRESH)),
                     lambda t: F.regexp_extract(t, _URL, 1)))
     return (pages.select("url", F.explode(links).alias("link"))

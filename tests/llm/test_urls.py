@@ -75,6 +75,25 @@ def test_classes_and_rules(spark):
     assert plain != want
 
 
+LINKS = ["""<meta http-equiv="refresh" content="0;url='https://a.net/x'">""", """<META HTTP-EQUIV='refresh' CONTENT='0; URL = "https://a.net/x"'>""",
+         "<meta http-equiv=refresh content=0;url=https://a.net/x>", """<meta content="5; url=https://a.net/x" http-equiv="refresh">""",
+         "<link rel=canonical href=https://a.net/x>", "<link href=https://a.net/x rel=canonical />", "<link rel='canonical' href = 'https://a.net/x'>",
+         """<link rel="alternate canonical" href="https://a.net/x">""", "<link rel='nofollow\ncanonical external' href=https://a.net/x>",
+         """<link data-href=/no rel=" canonical" href="https://a.net/x">"""]
+NO_LINKS = ["""<meta http-equiv="refresh" content="0;url=" name="https://a.net/x">""", """<link rel="alternate" title="canonical" href="https://a.net/x">""",
+            """<link rel="alternate uncanonical" href=https://a.net/x>""", "<link rel=canonical>", "<link rel=canonical href=>"]
+
+
+def test_link_forms(spark):
+    pages = spark.createDataFrame([(i, f"http://p{i}.example.org/", f"<head>{t}</head>") for i, t in enumerate(LINKS + NO_LINKS)], PAGES)
+    assert sorted((r["u"], r["v"]) for r in urls.page_edges(pages).collect()) == sorted(
+        (f"http://p{i}.example.org/", "https://a.net/x") for i in range(len(LINKS)))
+    blocked = {r["page_id"] for r in urls.judge(pages, urls.rule_table(spark)).where("verdict = 'block'").collect()}
+    assert blocked == set(range(len(LINKS)))
+    found = {r["u"]: r["v"] for r in urls.page_edges(spark.createDataFrame([(0, "http://q.org/", """<link rel=canonical href="/it's">""")], PAGES)).collect()}
+    assert found == {"http://q.org/": "http://q.org/it's"}
+
+
 def test_redirect_table_long_chain(spark):
     chain = [f"http://h{i}.example.com/p" for i in range(40)] + ["http://bad.net/"]
     edges = spark.createDataFrame(list(zip(chain, chain[1:])), "u string, v string")
