@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hexaccess.llm import curves, lines, mixing, pieces, privacy, quality, simhash, token_files, topk, urls
+from hexaccess.llm import curves, lines, mixing, pieces, privacy, quality, simhash, token_files, topk, urls, word_bpe
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_url_filter": urls.op8_url_filter,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_neighbours": curves.op10_neighbours,
+    "op12_word_bpe": word_bpe.op12_word_bpe,
 }
 
 ORACLES = {
