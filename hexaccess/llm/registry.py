@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hexaccess.llm import curves, lines, mixing, pieces, privacy, quality, simhash, token_files, topk, urls, word_bpe
+from hexaccess.llm import curves, lines, mixing, pieces, privacy, quality, ranked, simhash, token_files, topk, urls, word_bpe
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_neighbours": curves.op10_neighbours,
     "op12_word_bpe": word_bpe.op12_word_bpe,
+    "op13_ranked_search": ranked.op13_ranked_search,
 }
 
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op3_line_dedup": lines.OP3_SQL,
     "op4_top_k": topk.OP4_SQL,
     "op8_url_filter": urls.OP8_SQL,
+    "op13_ranked_search": ranked.OP13_SQL,
 }
