@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hexaccess.llm import curves, lines, mixing, pieces, privacy, quality, ranked, simhash, token_files, topk, urls, word_bpe
+from hexaccess.llm import curves, lines, mixing, pieces, privacy, quality, ranked, repair, simhash, token_files, topk, urls, word_bpe
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_url_filter": urls.op8_url_filter,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_neighbours": curves.op10_neighbours,
+    "op11_conversation_repair": repair.op11_conversation_repair,
     "op12_word_bpe": word_bpe.op12_word_bpe,
     "op13_ranked_search": ranked.op13_ranked_search,
 }
