@@ -39,6 +39,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from hexaccess.llm.common import read_table
 from hexaccess.llm.word_ids import PieceTable, slices
@@ -50,7 +51,7 @@ UNKNOWN_PENALTY = 10.0
 #: What a worker may hold: pieces and borders that it keeps, and bytes of text that it lays out at a time.
 #: More of it is less work; beside other stages' workers there is room for less.
 Room = namedtuple("Room", "pieces borders slice_bytes")
-ALONE, SHARED = Room(600_000, 300_000, 8 << 20), Room(400_000, 200_000, 4 << 20)
+ALONE, SHARED = Room(600_000, 300_000, 8 << 20), Room(120_000, 60_000, 2 << 20)
 _SEGMENT = re.compile(" *[^ ]+| +")
 _SPACES = re.compile("\\A |  | \\Z")
 
@@ -297,22 +298,24 @@ def _encoder(path: str, room: Room) -> Encoder:
 
 
 def encode(docs: DataFrame, model_path: str, room: Room = SHARED) -> DataFrame:
-    """``docs`` with piece_ids (array of int) and n_ids."""
+    """``docs`` with piece_ids (array of int) and n_ids.  Rows go through in slices of bounded text, so a task holds
+    neither a whole batch's texts nor its ids."""
+    rest = docs.drop("piece_ids", "n_ids")
+    schema = StructType(rest.schema.fields + [StructField("piece_ids", ArrayType(IntegerType(), False)), StructField("n_ids", LongType())])
 
-    @F.arrow_udf("array<int>")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(model_path, room)
         for batch in batches:
-            out = []
-            for part in slices(pa.RecordBatch.from_arrays([batch], names=["text"]), "text", room.slice_bytes):
-                found = enc.encode(part.column("text").to_pylist())
-                ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found])))
-                out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), dtype="<i4"))))
-            yield pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
-            del out, batch
-            pa.default_memory_pool().release_unused()  # what a batch took goes back, not to the worker's next stage
-
-    return docs.withColumn("piece_ids", ids("text")).withColumn("n_ids", F.size("piece_ids").cast("long"))
+            for rows in slices(batch, "text", room.slice_bytes):
+                ids = enc.encode(rows.column("text").to_pylist())
+                sizes = np.fromiter((len(x) // 4 for x in ids), dtype=np.int64, count=len(ids))
+                ends = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))), pa.array(sizes)],
+                    names=[*rows.schema.names, "piece_ids", "n_ids"])
+            pa.default_memory_pool().release_unused()  # what a batch took goes back
+
+    return rest.mapInArrow(coded, schema)
 
 
 def decode(ids_column, model_path: str):
