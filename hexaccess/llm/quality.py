@@ -7,17 +7,17 @@ ratio r = log((p / |p|) / (q / |q|)), the vector is brought to length 1, and a
 linear hinge-loss model is fitted by dual coordinate descent.  Margins become
 scores through a sigmoid fitted to margins from held-out folds.
 
-The model is fitted on at most ``max_train`` labelled documents, the first in
-the order of a hash of doc_id (a documented bound: the fit runs on the driver
+The model is fitted on at most ``max_train`` labels and as many different labelled rows, the
+first in the order of hashes (a documented bound: the fit runs on the driver
 over lists of feature numbers).  Scoring reads every whole text, once, with the
 model broadcast (at most ``max_features`` weights).
 
 Edges.  A null text is the empty one.  Texts without known features, the empty
 one included, get the score of margin = bias.  Without labels, or with one class
 only, every score is the smoothed share of label 1, (n1 + 1) / (n + 2).  Labels
-of null quality are no labels; a label that stands more than once counts each
-time; of several texts with one doc_id each takes its labels.  A null doc_id is
-scored, never trained on, and not held out.  Labels, lang, source and doc_id are
+of null quality are no labels; equal rows (doc_id, label and text) train once; of
+several texts with one doc_id each takes its labels.  A NUL separates tokens like
+white space.  A null doc_id is scored, never trained on, and not held out.  Labels, lang, source and doc_id are
 no features.  Extra columns of any name do no harm.
 """
 
@@ -42,16 +42,21 @@ THRESHOLD = 0.7
 SHAPE_RUN = 4
 #: Texts that a worker holds as Python strings at a time.
 ROWS_AT_ONCE = 64
+#: Shapes of longer tokens are found each time.
+KEPT_LENGTH = 40
 
-_TOKEN = re.compile(r"\w+|[^\w\s]+|\n")
+_TOKEN = re.compile(r"\w+|[^\w\s\x00]+|\n")
 #: Shapes: 0 line feed, 1 same as the token before, 2 digits, 3 UPPER, 4 Title, 5 lower, 6 other letters,
 #: 7 other sign, 8 run of other signs, then single and repeated signs of this list.
 _SIGNS = ".,;:!?-'\"()|*#$%&/"
 _BASE = 9 + 2 * len(_SIGNS)
 
 
-@lru_cache(maxsize=50_000)
 def _shape(token: str) -> int:
+    return _kept_shape(token) if len(token) <= KEPT_LENGTH else _own_shape(token)
+
+
+def _own_shape(token: str) -> int:
     c = token[0]
     if c == "\n":
         return 0
@@ -66,11 +71,14 @@ def _shape(token: str) -> int:
     return 8 if many and at < 0 else 7 if at < 0 else 9 + at + len(_SIGNS) * many
 
 
+_kept_shape = lru_cache(maxsize=50_000)(_own_shape)
+
+
 def _shape_runs(tokens: list[str]) -> np.ndarray:
     """Distinct codes of the runs of 1 to 4 shapes; a run's code tells its length."""
     if not tokens:
         return np.zeros(0, dtype=np.int64)
-    shapes = np.array([_shape(t[:40]) for t in tokens], dtype=np.int64)
+    shapes = np.array([_shape(t) for t in tokens], dtype=np.int64)
     same = np.array([False] + [a == b for a, b in zip(tokens, tokens[1:])])
     shapes[same & (shapes != 0)] = 1
     codes, run = [], np.zeros(len(shapes), dtype=np.int64)
@@ -217,11 +225,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_features: int = MAX_FEATURES) -> Model:
-    """Fit on the labelled rows that are not held out, at most ``max_train`` labels."""
+    """Fit on the labelled rows that are not held out: of at most ``max_train`` labels at most ``max_train`` different rows."""
     chosen = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
               .select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("y"))
               .orderBy(F.xxhash64("_id"), "_id", "y").limit(max_train))
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
+    found = stage_table(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+                        .select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y", F.xxhash64("doc_id", "y", "text").alias("h")), "labelled")
+    # an id may stand on any number of rows: equal ones count once, and of the different ones the first by hash
+    last = found.select("h").distinct().orderBy("h").limit(max_train).agg(F.max("h")).first()[0]
+    texts = (found.where(F.col("h") <= F.lit(last)).groupBy("h")
+             .agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("y").alias("y")).drop("h"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_fe
                 grams = pa.array([features(t) for t in part.column("text").to_pylist()], pa.list_(pa.string()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), grams], names=["doc_id", "y", "grams"])
 
-    grams = stage_table(texts.select(F.col("doc_id").cast("long"), "text", "y").mapInArrow(extract, "doc_id long, y int, grams array<string>"), "grams")
+    grams = stage_table(texts.select("doc_id", "text", "y").mapInArrow(extract, "doc_id long, y int, grams array<string>"), "grams")
     counted = (grams.select("y", F.explode("grams").alias("gram")).groupBy("gram")
                .agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q")).where(F.col("p") + F.col("q") >= MIN_DOCS)
                .orderBy((F.col("p") + F.col("q")).desc(), "gram").limit(max_features)).toPandas()
@@ -242,14 +255,15 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_fe
         for batch in batches:
             for at in range(0, len(batch), ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                row = pa.array([sorted(known[g] for g in gs if g in known) for gs in part.column("grams").to_pylist()], pa.list_(pa.int32()))
+                row = pa.array([np.array(sorted(known[g] for g in gs if g in known), dtype="<i4").tobytes()
+                                for gs in part.column("grams").to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), row], names=["doc_id", "y", "row"])
 
-    rows = grams.mapInArrow(numbered, "doc_id long, y int, row array<int>").toPandas()
+    rows = sorted(((r["doc_id"], r["y"], bytes(r["row"])) for r in
+                   grams.mapInArrow(numbered, "doc_id long, y int, row binary").toLocalIterator()))
     number.destroy()  # workers keep broadcasts as long as they live
-    rows = rows.assign(_k=[tuple(r) for r in rows["row"]]).sort_values(["doc_id", "y", "_k"], kind="stable")
     return fit_model(names, counted["p"].to_numpy(dtype=float), counted["q"].to_numpy(dtype=float),
-                     [np.array(r, dtype=np.int64) for r in rows["row"]], np.where(rows["y"] == 1, 1, -1))
+                     [np.frombuffer(r, dtype="<i4").astype(np.int64) for _, _, r in rows], np.array([1 if y == 1 else -1 for _, y, _ in rows]))
 
 
 def score_column(model: Model, text: Column, spark: SparkSession) -> Column:

@@ -69,3 +69,32 @@ def test_margin_agrees_with_features():
     weights = np.concatenate([model.word_values[[model.words["alpha"], model.words["beta"]]], model.pair_values, model.shape_values])
     assert len(present) == len(names)
     assert np.isclose(model.margin(text), weights[:, 0].sum() / np.sqrt(weights[:, 1].sum()) + model.bias)
+
+
+def test_nul_between_words(spark):
+    """A NUL is no part of a token, so pairs of tokens come apart again."""
+    rows = [(i, "good \x00 words here" if i % 2 else "bad\x00 \x00\x00 $$$ words", "en", "s", 1) for i in range(60)]
+    model = quality.train(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"),
+                          spark.createDataFrame([(i, i % 2, 0) for i in range(60)], LABELS))
+    assert model.score("good \x00 words here") > 0.7 > 0.3 > model.score("bad\x00 \x00\x00 $$$ words")
+    assert quality.features("a\x00b") == quality.features("a b")
+
+
+def test_shape_of_a_long_token_is_the_whole_ones():
+    assert quality._shape("A" * 45) == quality._shape("AB") != quality._shape("A" * 45 + "b") == quality._shape("Ab")
+
+
+def test_training_rows_are_bounded(spark):
+    """One labelled id on many rows: equal ones train once, different ones up to the bound."""
+    d, labels, _ = labelled(spark, 60)
+    same = quality.train(d.unionByName(d).unionByName(d), labels)
+    alone = quality.train(d, labels)
+    assert (same.bias, same.slope, same.offset) == (alone.bias, alone.slope, alone.offset)
+    import pytest
+    seen = []
+    fit = quality.fit_model
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(quality, "fit_model", lambda *a: seen.append(len(a[-1])) or fit(*a))
+        many = spark.range(500).selectExpr("CAST(0 AS bigint) doc_id", "concat('text ', id) text", "'' lang", "'' source", "CAST(1 AS bigint) n_chars")
+        quality.train(d.unionByName(many), labels, max_train=50)
+    assert seen == [50]
