@@ -33,34 +33,91 @@ def road_edges(segments: DataFrame, tol: float = 0.001, zone: int = 35, south: b
         length.alias("length_m"), length.alias("cost"))
 
 
-def network_distance(edges: DataFrame, sources: DataFrame, node: str = "node") -> DataFrame:
-    """Shortest network cost from the nearest source node to every
-    reachable node (edges undirected).  Multi-source Bellman-Ford: each
-    round joins the frontier (nodes improved last round) with the edges
-    and keeps the per-node minimum; rounds stop when nothing improves.
-    Sources start at 0, or at their ``dist`` where they have one.
-    Each round's state is written to the shared checkpoint folder, so
-    lineage stays short and a lost executor only costs the current round."""
-    und = edges.select(F.col("source").alias("a"), F.col("target").alias("b"), "cost").unionByName(
+def _undirected(edges: DataFrame) -> DataFrame:
+    """(a, b, cost): both directions of every edge, the cheapest of parallel ones, no loops."""
+    both = edges.select(F.col("source").alias("a"), F.col("target").alias("b"), "cost").unionByName(
         edges.select(F.col("target").alias("a"), F.col("source").alias("b"), "cost"))
-    und = materialise(und.groupBy("a", "b").agg(F.min("cost").alias("cost")), "graph_edges")
+    return both.where(F.col("a") != F.col("b")).groupBy("a", "b").agg(F.min("cost").alias("cost"))
+
+
+def _chains(darts: DataFrame, sources: DataFrame) -> DataFrame:
+    """(a, b, end, cost, inner): for every dart (a, b), a directed edge, the first node behind it that is no inner one and
+    the cost to get there; ``inner`` tells whether a is inner itself.
+
+    Inner nodes have two neighbours and are no sources.  Each dart into an inner node points to the dart that
+    leaves it on the other side; pointers double every round, so a chain of n edges takes log2(n) rounds.
+    Only darts that still point somewhere are written again.  Rings without an end never reach one and are left out.
+    """
+    nodes = darts.groupBy("a").agg(F.count(F.lit(1)).alias("_n"), F.min("b").alias("_x"), F.max("b").alias("_y"))
+    inner = materialise(nodes.where("_n = 2").join(sources.select(F.col("node").alias("a")), "a", "left_anti")
+                        .select(F.col("a").alias("_v"), "_x", "_y"), "graph_inner")
+    out = F.when(F.col("_v").isNotNull(), F.when(F.col("_x") == F.col("a"), F.col("_y")).otherwise(F.col("_x")))
+    now = materialise(darts.join(inner, F.col("b") == F.col("_v"), "left").select(
+        "a", "b", F.col("b").alias("end"), "cost", F.col("_v").alias("na"), out.alias("nb")), "graph_chains")
+    finished, left = [now.where("na IS NULL")], now.where("na IS NOT NULL")
+    waiting = left.count()
+    rounds = max(1, waiting).bit_length() + 1       # enough for one chain of all darts; what waits then is a ring
+    while waiting and rounds:
+        known = left
+        for part in finished:
+            known = known.unionByName(part)
+        ahead = known.select(F.col("a").alias("na"), F.col("b").alias("nb"), F.col("end").alias("_end"), F.col("cost").alias("_cost"),
+                             F.col("na").alias("_na"), F.col("nb").alias("_nb"))
+        now = materialise(left.join(ahead, ["na", "nb"]).select(
+            "a", "b", F.col("_end").alias("end"), (F.col("cost") + F.col("_cost")).alias("cost"), F.col("_na").alias("na"), F.col("_nb").alias("nb")),
+            "graph_chains")
+        finished.append(now.where("na IS NULL"))
+        left = now.where("na IS NOT NULL")
+        waiting, rounds = left.count(), rounds - 1
+    done = finished[0]
+    for part in finished[1:]:
+        done = done.unionByName(part)
+    return done.join(inner.select(F.col("_v").alias("a"), F.lit(True).alias("inner")), "a", "left").select(
+        "a", "b", "end", "cost", F.coalesce("inner", F.lit(False)).alias("inner"))
+
+
+def network_distance(edges: DataFrame, sources: DataFrame, node: str = "node", delta: float | None = None) -> DataFrame:
+    """Shortest network cost from the nearest source node to every reachable node (edges undirected, costs
+    not negative).  Sources start at 0, or at their ``dist`` where they have one.
+
+    Chains of inner nodes are contracted to one edge (``_chains``).  On what is left, nodes are settled in buckets of
+    width ``delta`` (four mean costs): nodes of the nearest bucket are relaxed until none of them improves, then
+    they are final, written once and not looked at again; only the nodes that wait, a front around the settled ones, are
+    rewritten in a round.  Inner nodes get the better of the two ways along their chain at the end, in one join.
+    Every round is a written table under the shared checkpoint folder, so a lost executor costs one round.
+    """
     start = F.min("dist") if "dist" in sources.columns else F.lit(0.0)
-    dist = materialise(sources.groupBy(F.col(node).alias("node")).agg(start.alias("dist")), "graph_dist")
-    frontier = dist
+    starts = materialise(sources.groupBy(F.col(node).alias("node")).agg(start.cast("double").alias("dist")), "graph_starts")
+    chains = materialise(_chains(materialise(_undirected(edges), "graph_darts"), starts), "graph_ends")
+    links = materialise(chains.where("NOT inner AND a <> end").groupBy("a", F.col("end").alias("b")).agg(F.min("cost").alias("cost")), "graph_links")
+    width = delta or 4.0 * (links.agg(F.avg("cost")).first()[0] or 0.0)
+    waiting, settled = starts.withColumn("relaxed", F.lit(False)), None
     while True:
-        cand = (frontier.join(und, frontier.node == und.a)
-                .select(F.col("b").alias("node"), (F.col("dist") + F.col("cost")).alias("dist"))
-                .groupBy("node").agg(F.min("dist").alias("dist")))
-        improved = (cand.join(dist.withColumnRenamed("dist", "old"), "node", "left")
-                    .where(F.col("old").isNull() | (F.col("dist") < F.col("old")))
-                    .select("node", "dist"))
-        improved = materialise(improved, "graph_improved")
-        if improved.isEmpty():
-            return dist
-        dist = (dist.join(improved.withColumnRenamed("dist", "new"), "node", "full")
-                .select("node", F.coalesce(F.col("new"), F.col("dist")).alias("dist")))
-        dist = materialise(dist, "graph_dist")
-        frontier = improved
+        # the nearest bucket that holds a node, and whether one of its nodes is still to be relaxed
+        near, open_from = waiting.agg(F.min("dist"), F.min(F.when(~F.col("relaxed"), F.col("dist")))).first()
+        if near is None:
+            break
+        bound = near + width
+        if open_from is None or open_from > bound:
+            final = materialise(waiting.where(F.col("dist") <= bound).select("node", "dist"), "graph_settled")
+            settled = final if settled is None else settled.unionByName(final)
+            waiting = materialise(waiting.where(F.col("dist") > bound), "graph_waiting")
+            continue
+        front = waiting.where((F.col("dist") <= bound) & ~F.col("relaxed"))
+        found = (front.join(links, front.node == links.a).select(F.col("b").alias("node"), (F.col("dist") + F.col("cost")).alias("dist"))
+                 .groupBy("node").agg(F.min("dist").alias("dist")))
+        if settled is not None:
+            found = found.join(settled.select("node"), "node", "left_anti")
+        # of equal distances the relaxed one stays, so nothing is relaxed twice at the same distance
+        tried = waiting.select("node", "dist", (F.col("relaxed") | (F.col("dist") <= bound)).alias("relaxed"))
+        waiting = materialise(tried.unionByName(found.withColumn("relaxed", F.lit(False))).groupBy("node").agg(
+            F.min(F.struct("dist", (~F.col("relaxed")).alias("open"))).alias("_best")).select(
+            "node", F.col("_best.dist").alias("dist"), (~F.col("_best.open")).alias("relaxed")), "graph_waiting")
+    if settled is None:
+        return starts
+    along = (chains.where("inner").join(settled.withColumnRenamed("node", "end"), "end")
+             .groupBy(F.col("a").alias("node")).agg(F.min(F.col("dist") + F.col("cost")).alias("dist")))
+    return settled.unionByName(along)
 
 
 def network_access(points: DataFrame, facilities: DataFrame, edges: DataFrame, nodes: DataFrame,

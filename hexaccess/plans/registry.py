@@ -1010,29 +1010,35 @@ def q_road_edges(spark, sf):
     return e.select("id", "source", "target", r("length_m", 3).alias("length_m"))
 
 
+def _far_roads(spark, sf):
+    """(edges, nodes) of the roads whose nodes are no facilities."""
+    from hexaccess.functions import geo
+    from hexaccess.operators.graph import road_edges, snap_node
+    from hexaccess.sources.derived import far_road_segments_lonlat
+    lines = far_road_segments_lonlat(spark, sf, P)
+    ends = lines.select(F.explode("line").alias("p")).select(F.col("p.x").alias("lon"), F.col("p.y").alias("lat"))
+    ends = geo.with_utm(ends, "lon", "lat", "x", "y", P.utm_zone, P.south_hemisphere)
+    nodes = ends.groupBy(snap_node(F.col("x"), F.col("y"), 0.001).alias("node")).agg(F.min("x").alias("x"), F.min("y").alias("y"))
+    return jobs.materialise(road_edges(lines, tol=0.001)), jobs.materialise(nodes)
+
+
 @query("network_distance")
 def q_network_distance(spark, sf):
-    """Network distance from the nearest source node (every 10th road
-    start) to every node, by multi-source relaxation."""
+    """Distance along the roads from the nearest source to every node: chains contracted, nodes settled in
+    buckets.  Every supplier's road start is a source.  Costs are whole millimetres, whose sums are exact in any order."""
     from hexaccess.operators.graph import network_distance
-    e = jobs.materialise(_road_edges(spark, sf))
-    src = e.where(F.col("id") % 10 == 0).select(F.col("source").alias("node"))
-    d = network_distance(e, src)
-    return d.select("node", r("dist", 3).alias("dist_m"))
+    from hexaccess.sources.derived import table
+    e, _ = _far_roads(spark, sf)
+    src = e.join(table(spark, sf, "supplier").select(F.col("s_suppkey").cast("long").alias("id")), "id").select(F.col("source").alias("node"))
+    d = network_distance(e.withColumn("cost", F.round(F.col("length_m") * 1000.0)), src)
+    return d.select("node", (F.col("dist") / 1000.0).alias("dist_m"))
 
 
 @query("network_access")
 def q_network_access(spark, sf):
-    """Accessibility along the road network (facilities and hexagons snapped to their nearest nodes)."""
-    from hexaccess.functions import geo
-    from hexaccess.operators.graph import snap_node
-    from hexaccess.sources.derived import road_segments_lonlat
+    """Accessibility along the road network (all facilities and hexagons snapped to their nearest nodes)."""
     inp = _inputs(spark, sf)
-    ends = road_segments_lonlat(spark, sf, P).select(F.explode("line").alias("p"))
-    ends = geo.with_utm(ends.select(F.col("p.x").alias("lon"), F.col("p.y").alias("lat")), "lon", "lat", "x", "y", P.utm_zone, P.south_hemisphere)
-    nodes = jobs.materialise(ends.groupBy(snap_node(F.col("x"), F.col("y"), 0.001).alias("node")).agg(F.min("x").alias("x"), F.min("y").alias("y")))
-    g = jobs.accessibility(_exposure_grid(spark, sf), inp.facilities.where("id % 10 = 0"), P,
-                           network=(jobs.materialise(_road_edges(spark, sf)), nodes))
+    g = jobs.accessibility(_exposure_grid(spark, sf), inp.facilities, P, network=_far_roads(spark, sf))
     return g.where("population > 0").select("hex_id", r("nearest_facility_km", 3).alias("nearest_facility_km"), "accessibility_class")
 
 

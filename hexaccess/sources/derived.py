@@ -193,11 +193,15 @@ def pop_points(spark: SparkSession, sf_dir: str, p: Params = Params()) -> DataFr
     )
 
 
-def road_segments_lonlat(spark: SparkSession, sf_dir: str, p: Params = Params()) -> DataFrame:
-    """Road segments: supplier key k joined to key k + 1 (a chain)."""
-    sup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("k"))
-    return sup.select(
-        F.col("k").alias("id"),
-        F.array(geo.point(key_lon(F.col("k"), p), key_lat(F.col("k"), p)),
-                geo.point(key_lon(F.col("k") + 1, p), key_lat(F.col("k") + 1, p))).alias("line"),
-    )
+def road_segments_lonlat(spark: SparkSession, sf_dir: str, p: Params = Params(), source: str = "supplier",
+                         key: str = "s_suppkey", shift: float = 0.0) -> DataFrame:
+    """Road segments: the point of key k joined to that of key k + 1 (a chain), keys moved by ``shift``."""
+    keys = table(spark, sf_dir, source).select(F.col(key).cast("long").alias("k"))
+    at = lambda k: geo.point(key_lon(k, p), key_lat(k, p))
+    k = F.col("k") if shift == 0 else F.col("k") + F.lit(shift)
+    return keys.select(F.col("k").alias("id"), F.array(at(k), at(k + 1)).alias("line"))
+
+
+def far_road_segments_lonlat(spark: SparkSession, sf_dir: str, p: Params = Params()) -> DataFrame:
+    """Road segments whose nodes are no facilities: a chain over customers, half a key further."""
+    return road_segments_lonlat(spark, sf_dir, p, "customer", "c_custkey", 0.5)

@@ -816,10 +816,11 @@ def _theme_count_by_hex():
 
 # ============================================================================ 2.9
 
-def _road_sql():
+def _road_sql(table="supplier", key="s_suppkey", shift=""):
     from sqlcheck import key_lat, key_lon
-    seg = (f"SELECT CAST(s_suppkey AS BIGINT) AS id, {key_lon('s_suppkey')} AS lon0, {key_lat('s_suppkey')} AS lat0, "
-           f"{key_lon('s_suppkey + 1')} AS lon1, {key_lat('s_suppkey + 1')} AS lat1 FROM supplier")
+    k = f"({key}{shift})"
+    seg = (f"SELECT CAST({key} AS BIGINT) AS id, {key_lon(k)} AS lon0, {key_lat(k)} AS lat0, "
+           f"{key_lon(f'({k} + 1)')} AS lon1, {key_lat(f'({k} + 1)')} AS lat1 FROM {table}")
     a = utm_sql(seg, "lon0", "lat0", "id, lon1, lat1", "x0", "y0")
     b = utm_sql(a, "lon1", "lat1", "id, x0, y0", "x1", "y1")
 
@@ -835,35 +836,32 @@ def _road_edges():
     return f"SELECT id, source, target, round(length_m, 3) AS length_m FROM ({_road_sql()}) e"
 
 
+def _far_road_nodes(cost="length_m"):
+    """(j, node, c, x, y) of the chain over customers, half a key further: node j at cumulative length c."""
+    e = _road_sql("customer", "c_custkey", " + 0.5e0").replace("SELECT id, ", "SELECT id, x0, y0, x1, y1, ", 1)
+    cum = (f"SELECT *, coalesce(sum({cost}) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0) AS c0 "
+           f"FROM ({e}) e")
+    return (f"SELECT id AS j, source AS node, c0 AS c, x0 AS x, y0 AS y FROM ({cum}) a UNION ALL "
+            f"SELECT id + 1 AS j, target AS node, c0 + {cost} AS c, x1 AS x, y1 AS y FROM ({cum}) b WHERE id = (SELECT max(id) FROM ({e}) m)")
+
+
 @oracle("network_distance")
 def _network_distance():
-    e = _road_sql()
-    # the road graph is the chain 0 - 1 - ... - n; node j sits at cumulative length C(j)
-    cum = (f"SELECT id, source, target, length_m, coalesce(sum(length_m) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED "
-           f"PRECEDING AND 1 PRECEDING), 0e0) AS c0 FROM ({e}) e")
-    nodes = (f"SELECT id AS j, source AS node, c0 AS c FROM ({cum}) a UNION ALL "
-             f"SELECT id + 1 AS j, target AS node, c0 + length_m AS c FROM ({cum}) b WHERE id = (SELECT max(id) FROM ({e}) m)")
-    src = f"SELECT j AS s, c AS cs FROM ({nodes}) n WHERE j % 10 = 0 AND j < (SELECT max(id) + 1 FROM ({e}) m)"
-    return (f"SELECT n.node, round(min(abs(n.c - s.cs)), 3) AS dist_m FROM ({nodes}) n, ({src}) s "
-            f"GROUP BY n.node")
+    # every supplier's road start is a source; lengths in whole millimetres
+    return (f"WITH n AS ({_far_road_nodes('round(length_m * 1000e0)')}) SELECT n.node, min(abs(n.c - s.c)) / 1000e0 AS dist_m "
+            f"FROM n, (SELECT n.c FROM n JOIN supplier ON j = s_suppkey WHERE j < (SELECT max(j) FROM n)) s GROUP BY n.node")
 
 
 @oracle("network_access")
 def _network_access():
-    from sqlcheck import access_class_expr
-    e = _road_sql().replace("SELECT id, ", "SELECT id, x0, y0, x1, y1, ", 1)
-    # the chain again: node j at cumulative length C(j); every tenth node has a facility on it
-    cum = (f"SELECT *, coalesce(sum(length_m) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0) AS c0 "
-           f"FROM ({e}) e")
-    nodes = (f"SELECT id AS j, c0 AS c, x0 AS x, y0 AS y FROM ({cum}) a UNION ALL "
-             f"SELECT id + 1 AS j, c0 + length_m AS c, x1 AS x, y1 AS y FROM ({cum}) b WHERE id = (SELECT max(id) FROM ({e}) m)")
-    src = f"SELECT c AS cs FROM ({nodes}) n WHERE j % 10 = 0 AND j < (SELECT max(id) + 1 FROM ({e}) m)"
-    dist = f"SELECT j, x, y, min(abs(n.c - s.cs)) AS dist FROM ({nodes}) n, ({src}) s GROUP BY j, x, y"
-    pts = f"SELECT hex_id, cx, cy FROM ({exposure_grid_sql()}) e WHERE population > 0"
-    km = (f"SELECT hex_id, (dist + own) / 1000e0 AS km FROM (SELECT p.hex_id, d.dist, sqrt((p.cx - d.x) * (p.cx - d.x) + (p.cy - d.y) * (p.cy - d.y)) AS own, "
-          f"row_number() OVER (PARTITION BY p.hex_id ORDER BY (p.cx - d.x) * (p.cx - d.x) + (p.cy - d.y) * (p.cy - d.y)) AS rn "
-          f"FROM ({pts}) p, ({dist}) d) q WHERE rn = 1")
-    return f"SELECT hex_id, round(km, 3) AS nearest_facility_km, {access_class_expr('km')} AS accessibility_class FROM ({km}) k"
+    from sqlcheck import access_class_expr, facilities_utm_sql
+    far = "sqrt((p.x - n.x) * (p.x - n.x) + (p.y - n.y) * (p.y - n.y))"
+    starts = f"SELECT min_by(n.c, {far}) AS cs, min({far}) AS own FROM ({facilities_utm_sql()}) p, n GROUP BY p.id"
+    dist = f"SELECT n.j, n.x, n.y, min(abs(n.c - s.cs) + s.own) AS dist FROM n, ({starts}) s GROUP BY n.j, n.x, n.y"
+    pts = f"SELECT hex_id, cx AS x, cy AS y FROM ({exposure_grid_sql()}) e WHERE population > 0"
+    km = f"SELECT p.hex_id, (min_by(n.dist, {far}) + min({far})) / 1000e0 AS km FROM ({pts}) p, ({dist}) n GROUP BY p.hex_id"
+    return (f"WITH n AS ({_far_road_nodes()}) SELECT hex_id, round(km, 3) AS nearest_facility_km, {access_class_expr('km')} AS accessibility_class "
+            f"FROM ({km}) k")
 
 
 @oracle("exposure_stream")
