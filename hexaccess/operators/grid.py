@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hexaccess.functions import geo, hexgrid, polygon
 from hexaccess.operators.edges import cross_at, inside_runs, polygon_edges, span
+from hexaccess.operators.zonal import centres_within, columns_of, rows_of, turns_between
 from hexaccess.params import Params
 
 GRID_COLUMNS = [
@@ -45,9 +46,10 @@ def hex_polyfill(zones: DataFrame, res: int, p: Params = Params(), zone_col: str
     analysis CRS); between a row's sorted crossings hexagons are inside by
     parity and are emitted without a test.  Only hexagons within ``margin_m``
     of a crossing -- where the projected pieces may differ from the true lon/lat
-    edge by millimetres -- get the exact lon/lat ray cast, against the edges of
-    their own latitude band.  Cost is O(edges x rows they span + output), and
-    shuffles carry crossings, edges and hexagons, never rings.
+    edge by millimetres -- get the exact lon/lat test: a bucket of about a hexagon's
+    size has its centre's side, which the edges in that bucket alone turn over.
+    Cost is O(edges x rows they span + output), and shuffles carry crossings,
+    edges and hexagons, never rings.
     """
     s = hexgrid.hex_edge_m(res)
     w, h = s * hexgrid.SQRT3, 1.5 * s
@@ -67,13 +69,16 @@ def hex_polyfill(zones: DataFrame, res: int, p: Params = Params(), zone_col: str
     c = hexgrid.hex_center(F.col("q"), F.col("r"), res)
     near = near.select(zone_col, "_part", "q", "r", c["x"].alias("_cx"), c["y"].alias("_cy"))
     near = geo.with_lonlat(near, "_cx", "_cy", "_lon", "_lat", p.utm_zone, p.south_hemisphere)
-    band = h / 110_000.0   # of about a row's height
-    near = near.withColumn("_band", F.floor(F.col("_lat") / band))
-    ay, by = F.col("ay"), F.col("by")
-    banded = edges.where("ay <> by").select("*", F.explode(span(F.floor(F.least(ay, by) / band), F.floor(F.greatest(ay, by) / band))).alias("_band"))
-    right = F.col("_lon") < cross_at(F.col("_lat"), F.col("ax"), ay, F.col("bx"), by)
-    exact = (near.join(banded, [zone_col, "_part", "_band"]).groupBy(zone_col, "_part", "q", "r")
-             .agg(F.sum(F.when(right, 1).otherwise(0)).alias("_n")).where(F.col("_n") % 2 == 1))
+    b = h / 110_000.0   # buckets of about a row's height
+    near = near.withColumn("_gx", F.floor(F.col("_lon") / b)).withColumn("_gy", F.floor(F.col("_lat") / b))
+    key = [zone_col, "_part", "_gx", "_gy"]
+    lines = rows_of(edges, b)
+    touched = columns_of(lines, b).select(*key, F.struct("ax", "ay", "bx", "by").alias("_e"))
+    centre = lambda c: (F.col(c).cast("double") + 0.5) * b
+    turns = F.coalesce(turns_between(F.col("_lon"), F.col("_lat"), centre("_gx"), centre("_gy"), F.col("_e")), F.lit(0))
+    exact = (near.join(centres_within(lines, b, zone_col), key, "left").join(touched, key, "left").groupBy(zone_col, "_part", "q", "r")
+             .agg(F.sum(turns).alias("_n"), F.first(F.coalesce("_in", F.lit(False))).alias("_in"))
+             .where(F.col("_in") != (F.col("_n") % 2 == 1)))
     out = sure.select(zone_col, "q", "r").unionByName(exact.select(zone_col, "q", "r")).distinct()
     return out.select(zone_col, F.col("q").cast("long").alias("q"), F.col("r").cast("long").alias("r"),
                       hexgrid.hex_id(F.lit(res), F.col("q"), F.col("r")).alias("hex_id"))

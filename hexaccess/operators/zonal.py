@@ -43,7 +43,7 @@ def zonal_polygon(points: DataFrame, zones: DataFrame, bucket_m: float, value: s
 MOST_EDGES, SPLIT, DEEPEST = 32, 4, 12
 
 
-def _turns(px, py, cx, cy, e) -> Column:
+def turns_between(px, py, cx, cy, e) -> Column:
     """How often the way from (px, py) along its line to cx, then up or down to cy, crosses an edge."""
     at_y = cross_at(py, e["ax"], e["ay"], e["bx"], e["by"])
     at_x = cross_at(cx, e["ay"], e["ax"], e["by"], e["bx"])
@@ -51,14 +51,14 @@ def _turns(px, py, cx, cy, e) -> Column:
     return one((px < at_y) != (cx < at_y)) + one((py < at_x) != (cy < at_x))
 
 
-def _rows_of(edges: DataFrame, b: float, least=None, most=None) -> DataFrame:
+def rows_of(edges: DataFrame, b: float, least=None, most=None) -> DataFrame:
     """One row for each bucket row (``_gy``, from least to most) that an edge touches."""
     lo, hi = F.floor(F.least("ay", "by") / b), F.floor(F.greatest("ay", "by") / b)
     lo, hi = (lo, hi) if least is None else (F.greatest(lo, least), F.least(hi, most))
     return edges.select("*", F.explode(span(lo, hi)).alias("_gy"))
 
 
-def _columns_of(rows: DataFrame, b: float, least=None, most=None) -> DataFrame:
+def columns_of(rows: DataFrame, b: float, least=None, most=None) -> DataFrame:
     """One row for each bucket (``_gx``, from least to most) of its bucket row that an edge touches, a little widened against rounding."""
     ax, ay, bx, by = (F.col(c) for c in ("ax", "ay", "bx", "by"))
     lo_y, hi_y = F.greatest(F.col("_gy") * b, F.least(ay, by)), F.least((F.col("_gy") + 1) * b, F.greatest(ay, by))
@@ -70,6 +70,16 @@ def _columns_of(rows: DataFrame, b: float, least=None, most=None) -> DataFrame:
     return rows.select("*", F.explode(span(lo, hi)).alias("_gx"))
 
 
+def centres_within(rows: DataFrame, b: float, zone_col: str) -> DataFrame:
+    """(zone_col, _part, _gy, _gx, _in: true): the buckets whose centres are inside a zone, by the crossings of
+    each bucket row's centre line with the edges in it (``rows_of``)."""
+    keys = [zone_col, "_part", "_gy"]
+    middle = (F.col("_gy").cast("double") + 0.5) * b
+    crossings = rows.select(*keys, cross_at(middle, *[F.col(c) for c in ("ax", "ay", "bx", "by")]).alias("_x")).where("_x IS NOT NULL")
+    columns = span(F.ceil(F.col("lo") / b - 0.5), F.ceil(F.col("hi") / b - 0.5) - 1)
+    return inside_runs(crossings, keys, "_x").select(*keys, F.explode(columns).alias("_gx")).withColumn("_in", F.lit(True))
+
+
 def zone_buckets(zones: DataFrame, bucket_m: float, zone_id: str = "zone_id", ring: str = "ring", most: int = MOST_EDGES) -> DataFrame:
     """(_zid, _part, _lv, _gx, _gy, _in, _edges): the buckets that a zone's border touches or that are inside it.
 
@@ -82,12 +92,9 @@ def zone_buckets(zones: DataFrame, bucket_m: float, zone_id: str = "zone_id", ri
     b, key = float(bucket_m), ["_zid", "_part", "_gx", "_gy"]
     edge = ["ax", "ay", "bx", "by"]
     edges = polygon_edges(zones.select(F.col(zone_id).alias("_zid"), ring), "_zid", ring)
-    rows = _rows_of(edges, b)
-    crossings = rows.select("_zid", "_part", "_gy", cross_at((F.col("_gy").cast("double") + 0.5) * b, *[F.col(c) for c in edge]).alias("_x")).where("_x IS NOT NULL")
-    within = (inside_runs(crossings, ["_zid", "_part", "_gy"], "_x")
-              .select("_zid", "_part", "_gy", F.explode(span(F.ceil(F.col("lo") / b - 0.5), F.ceil(F.col("hi") / b - 0.5) - 1)).alias("_gx"))
-              .withColumn("_in", F.lit(True)))
-    touched = materialise(_columns_of(rows, b).select(*key, *edge), "touched")
+    rows = rows_of(edges, b)
+    within = centres_within(rows, b, "_zid")
+    touched = materialise(columns_of(rows, b).select(*key, *edge), "touched")
     sides = materialise(touched.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).join(within, key, "full")
                         .select(*key, F.coalesce("_n", F.lit(0)).alias("_n"), F.coalesce("_in", F.lit(False)).alias("_in")), "sides")
     leaves, level = None, 0
@@ -106,10 +113,10 @@ def zone_buckets(zones: DataFrame, bucket_m: float, zone_id: str = "zone_id", ri
         centres = inside.select("*", down.alias("_i")).select("*", down.alias("_j")).select(
             "_zid", "_part", "_in", *edge, "_px", "_py", (F.col("_px") * SPLIT + F.col("_i")).alias("_gx"), (F.col("_py") * SPLIT + F.col("_j")).alias("_gy"))
         centre = lambda c, size: (F.col(c).cast("double") + 0.5) * size
-        turns = _turns(centre("_gx", b), centre("_gy", b), centre("_px", parent), centre("_py", parent), {c: F.col(c) for c in edge})
+        turns = turns_between(centre("_gx", b), centre("_gy", b), centre("_px", parent), centre("_py", parent), {c: F.col(c) for c in edge})
         parity = centres.groupBy(*key).agg((F.first("_in") != (F.sum(turns) % 2 == 1)).alias("_in"))
         first = lambda c: F.col(c) * SPLIT
-        smaller = _columns_of(_rows_of(inside, b, first("_py"), first("_py") + SPLIT - 1), b, first("_px"), first("_px") + SPLIT - 1)
+        smaller = columns_of(rows_of(inside, b, first("_py"), first("_py") + SPLIT - 1), b, first("_px"), first("_px") + SPLIT - 1)
         touched = materialise(smaller.select(*key, *edge), "touched")
         counts = touched.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
         sides = materialise(parity.join(counts, key, "left").select(*key, F.coalesce("_n", F.lit(0)).alias("_n"), "_in"), "sides")
@@ -139,6 +146,6 @@ def point_in_zone(points: DataFrame, zones: DataFrame, bucket_m: float, x: str =
         pts, size = pts.withColumn("_lv", F.lit(0)), F.lit(b)
     cx, cy = (F.col("_gx").cast("double") + 0.5) * size, (F.col("_gy").cast("double") + 0.5) * size
     odd = F.aggregate(F.coalesce(F.col("_edges"), F.array().cast(buckets.schema["_edges"].dataType)), F.lit(0),
-                      lambda n, e: n + _turns(px, py, cx, cy, e)) % 2 == 1
+                      lambda n, e: n + turns_between(px, py, cx, cy, e)) % 2 == 1
     hit = pts.join(buckets, ["_lv", "_gx", "_gy"]).where(F.col("_in") != odd)
     return hit.select(*points.columns, F.col("_zid").alias(zone_id))

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from hexaccess.operators.zonal import MOST_EDGES, point_in_zone, zone_buckets
+from hexaccess.operators.zonal import MOST_EDGES, columns_of, point_in_zone, rows_of, zone_buckets
 
 RING = "array<array<struct<x:double,y:double>>>"
 
@@ -53,3 +53,21 @@ def test_border_of_100000_edges_in_one_bucket(spark):
     for i, x, y in at[::10]:
         assert (i in got) == cast(x, y, closed)
     assert all((i in got) == (290 + 0.02 * i < 300) for i, _, _ in at if not 295 < 290 + 0.02 * i < 304)
+
+
+def test_border_edges_along_one_band_are_dealt_to_buckets(spark):
+    """A coast of 20,000 edges within one latitude band: a border hexagon of the polyfill meets those of its own bucket."""
+    n, b = 20_000, 0.05
+    edges = spark.range(n).selectExpr("1 AS z", "0 AS _part", f"27 + 2.0 * id / {n} AS ax", "-4.02 + 0.01 * (id % 2) AS ay",
+                                      f"27 + 2.0 * (id + 1) / {n} AS bx", "-4.02 + 0.01 * ((id + 1) % 2) AS by")
+    dealt = columns_of(rows_of(edges, b), b).groupBy("_gx", "_gy").count().agg(F.max("count"), F.sum("count"), F.count("*")).first()
+    assert dealt[0] <= 2.5 * n * b / 2 and dealt[1] <= 2 * n and dealt[2] >= 40
+
+
+def test_polyfill_joins_border_hexagons_by_bucket(spark):
+    from hexaccess.operators.grid import hex_polyfill
+    ring = [(27.4, -4.2), (28.4, -4.25), (28.3, -3.8), (27.5, -3.7), (27.4, -4.2)]
+    df = hex_polyfill(zones(spark, [(1, [ring])]).withColumnRenamed("zone_id", "admin_id"), 6, ring_col="ring")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 2 and all("_gx" in line and "_gy" in line and "_part" in line for line in joins)
