@@ -45,6 +45,8 @@ SHARD_BYTES, SHARD_DOCS = 8 << 20, 1 << 14
 GROUP_DOCS, BLOCK_ITEMS = 1 << 15, 128
 POPPED = 64
 TOP = 50
+#: Partitions that the (group, block) pairs are dealt to, two for each pair, at the most.
+MOST_PARTITIONS = 20_000
 
 POSTINGS = "shard long, term binary, n int, docs binary, counts binary"
 SHARDS = "shard long, n_docs long, n_terms long, ids binary, nulls binary, lengths binary"
@@ -300,7 +302,9 @@ def search(index: Index, items: DataFrame, k: int = TOP, item: str = "item_id")
         F.lit(None).cast("long").alias("weight"), F.lit(None).cast("array<bigint>").alias("items"), F.col("ids").alias("docs"),
         F.col("nulls").alias("counts"), "lengths")
     n, total = index.n, index.total
-    found = lists.unionByName(heads).groupBy("block", "group").applyInPandas(
+    # little data but much work: a number of its own keeps Spark from lumping small partitions together
+    parts = min(2 * blocks * ((groups.agg(F.max("group")).first()[0] or 0) + 1), MOST_PARTITIONS)
+    found = lists.unionByName(heads).repartition(parts, "block", "group").groupBy("block", "group").applyInPandas(
         lambda rows: _search_group(rows, n, total, k), "_item long, doc_id long, score long")
     order = Window.partitionBy("_item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_first())
     best = stage_table(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best")
