@@ -11,7 +11,8 @@ i-th set bit gives document i's end without decoding the ones before it.
 
 The encoder splits a text at spaces that the vocabulary's pre-tokenizer always
 splits at, and keeps the ids of short pieces in a bounded table, so the
-tokenizers library sees each frequent word once per worker.
+tokenizers library sees each frequent word once per worker.  The string of an
+added token in a text gives that token's id, as the library's plain call does.
 
 Edges.  A null text is the empty one: a document of the end id alone.  Null
 doc_ids come first; rows of equal doc_id stand in order of a hash of the text,
@@ -22,6 +23,7 @@ doc_id and text are read, so extra columns of any name do no harm.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -58,15 +60,19 @@ class EliasFano:
     """A non-decreasing sequence of integers in [0, universe].
 
     The low ``low_bits`` bits of each value are packed side by side; the high
-    parts are unary: bit ``high(i) + i`` is set for value i.
+    parts are unary: bit ``high(i) + i`` is set for value i.  ``select`` finds the
+    i-th set bit through one 32-bit rank for every 512 bits of the high part.
     """
 
+    _SAMPLE = 64    # bytes between two ranks
+
     def __init__(self, n: int, low_bits: int, low: bytes, high: bytes):
         self.n, self.low_bits = n, low_bits
         self._low = np.frombuffer(low, dtype=np.uint8)
         self._high = np.frombuffer(high, dtype=np.uint8)
-        ones = np.bitwise_count(self._high)
-        self._before = np.concatenate(([0], np.cumsum(ones, dtype=np.int64)))  # set bits before each byte
+        starts = np.arange(0, len(self._high), self._SAMPLE)
+        ones = np.add.reduceat(np.bitwise_count(self._high), starts, dtype=np.uint32) if len(starts) else np.zeros(0, np.uint32)
+        self._ranks = np.concatenate((np.zeros(1, np.uint32), np.cumsum(ones[:-1], dtype=np.uint32)))  # set bits before each sample
 
     @staticmethod
     def pack(values: np.ndarray, universe: int) -> tuple[int, bytes, bytes]:
@@ -82,10 +88,21 @@ class EliasFano:
     def select(self, index) -> np.ndarray:
         """The values at these positions."""
         index = np.atleast_1d(np.asarray(index, dtype=np.int64))
-        byte = np.searchsorted(self._before, index, side="right") - 1
-        bits = np.unpackbits(self._high[byte][:, None], axis=1)
-        rank = np.cumsum(bits, axis=1) - 1
-        bit = np.argmax((rank == (index - self._before[byte])[:, None]) & (bits == 1), axis=1)
+        out = [self._select(index[at:at + 4096]) for at in range(0, len(index), 4096)]
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+    def _select(self, index: np.ndarray) -> np.ndarray:
+        sample = np.searchsorted(self._ranks, index, side="right") - 1
+        at = sample[:, None] * self._SAMPLE + np.arange(self._SAMPLE)
+        near = np.where(at < len(self._high), self._high[np.minimum(at, len(self._high) - 1)], 0).astype(np.uint8)
+        upto = np.cumsum(np.bitwise_count(near), axis=1, dtype=np.int64)   # set bits up to each byte of the sample
+        wanted = index - self._ranks[sample]
+        local = np.argmax(upto > wanted[:, None], axis=1)
+        row = np.arange(len(index))
+        bits = np.unpackbits(near[row, local][:, None], axis=1)
+        left = wanted - upto[row, local] + bits.sum(axis=1)                # rank within the byte
+        bit = np.argmax((np.cumsum(bits, axis=1) - 1 == left[:, None]) & (bits == 1), axis=1)
+        byte = sample * self._SAMPLE + local
         value = (byte * 8 + bit - index) << self.low_bits
         if self.low_bits:
             at = index[:, None] * self.low_bits + np.arange(self.low_bits)
@@ -127,9 +144,17 @@ class TextEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
+        added = json.loads(self._tokenizer.to_str())["added_tokens"]
+        odd = [t for t in added if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
+        if odd:
+            raise ValueError(f"added tokens that reach beyond their own text: {odd}")
+        self._added = {t["content"]: array("I", [t["id"]]) for t in added}
+        # the library takes added tokens out first, leftmost and longest; what lies between is encoded on its own
+        names = "|".join(re.escape(c) for c in sorted(self._added, key=lambda c: -len(c)))
+        self._cut = re.compile(f"({names})") if names else None
         self.id_bytes = 2 if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self._code = {2: "H", 4: "I"}[self.id_bytes]
+        self._added = {c: array(self._code, i).tobytes() for c, i in self._added.items()}
         self._merge = self._tokenizer.model.tokenize
         self._signs: dict[str, bytes] = {}
         self._table = PieceTable(self._piece_ids, f"<u{self.id_bytes}", KEPT_PIECES)
@@ -173,6 +198,19 @@ class TextEncoder:
         return array(self._code, [t.id for t in self._merge(_SPACE_SIGN + word)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as the library's plain call gives them (added tokens in a text included)."""
+        cut = {i: self._cut.split(t) for i, t in enumerate(texts) if self._cut.search(t)} if self._cut else {}
+        if not cut:
+            return self._encode_between(texts)
+        rest = [t for i, t in enumerate(texts) if i not in cut]
+        flat = [p for parts in cut.values() for p in parts[::2]]     # the odd ones are the added tokens
+        found = iter(self._encode_between(rest + flat))
+        out = [b"" if i in cut else next(found) for i in range(len(texts))]
+        for i, parts in cut.items():
+            out[i] = b"".join(self._added[p] if k % 2 else next(found) for k, p in enumerate(parts))
+        return out
+
+    def _encode_between(self, texts: list[str]) -> list[bytes]:
         plain = [i for i, t in enumerate(texts) if not _DOUBTFUL.search(t)]
         out = [b""] * len(texts)
         ids, bounds = self._table.texts(pa.array([texts[i] for i in plain], type=pa.large_string()), skip_first=True)

@@ -14,14 +14,12 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_pieces_give_the_texts_ids(tokenizer):
     rng = random.Random(1)
-    signs = [" ", " ", " ", "\n", "\t", "a", "b", "don", "'s", "1", "!", "é", "\xa0", "　", "\x1c", "​", "<|endoftext|>", "\r", "日"]
+    signs = [" ", " ", " ", "\n", "\t", "a", "b", "don", "'s", "1", "!", "é", "\xa0", "　", "\x1c", "​", "<|endoftext|>", "<|endof", "text|>", "\r", "日"]
     values = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(5000)] + ["", " ", "a" * 2000, " " * 300, "x word, Word!! and*** été,;. a-b c's don't. (so) |", "日本。 naïve!?'s ²x x² a_b."]
     got = tf.TextEncoder(PATH).encode(values)
     want = [np.array(e.ids, dtype="<u2").tobytes() for e in tokenizer.encode_batch(values, add_special_tokens=False)]
@@ -38,6 +36,22 @@ def test_elias_fano_select(n, top):
     assert 8 * (len(low) + len(high)) <= n * (3 + max(0, np.log2(max(1, universe) / max(1, n)))) + 16
 
 
+def test_directory_is_small_and_select_is_whole():
+    values = np.cumsum(np.random.default_rng(3).integers(0, 900, 100_000))
+    low_bits, low, high = tf.EliasFano.pack(values, int(values[-1]))
+    ef = tf.EliasFano(len(values), low_bits, low, high)
+    assert ef._ranks.nbytes * 8 <= len(high) * 8 / 16 + 64
+    at = np.random.default_rng(4).permutation(len(values))
+    assert (ef.select(at) == values[at]).all() and ef.select([]).tolist() == []
+
+
+def test_added_tokens_in_texts(spark, tokenizer, tmp_path):
+    rows = [(1, "<|endoftext|>"), (2, "a  <|endoftext|>  b"), (3, "x<|endoftext|><|endoftext|> y"), (4, "<|endoftext|"), (5, "p q")]
+    tf.write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "s"), PATH)
+    got = sorted(map(tuple, tf.read_token_files(spark, str(tmp_path / "s")).collect()))
+    assert got == brute(tokenizer, rows) and 50256 in tokenizer.encode(rows[1][1]).ids
+
+
 def brute(tokenizer, rows):
     at, out = 0, []
     for i, t in rows:
