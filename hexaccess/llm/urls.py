@@ -58,11 +58,11 @@ def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
 
 def with_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """``rows`` (host, path and others) with the longest fitting rule (text) and its verdict, or nulls."""
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    pairs = rows.select("host", "path").distinct().withColumn("_suffix", F.explode(suffixes))
-    few = rules.count() <= BROADCAST_RULES
+    n_rules, longest = rules.agg(F.count("*"), F.max(F.size(F.split("rule_host", r"\.")))).first()
+    few, longest = n_rules <= BROADCAST_RULES, longest or 1
+    # no rule fits by more labels than the longest rule host has, so a host gives at most so many suffixes
+    suffixes = F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda i: F.call_function("substring_index", F.col("host"), F.lit("."), -i))
+    pairs = rows.select("host", "path").distinct().withColumn("_suffix", F.explode(F.array_distinct(suffixes)))
     text = F.concat("rule_host", "rule_path")
     best = (pairs.join(F.broadcast(rules) if few else rules, F.col("_suffix") == F.col("rule_host"))
             .where(F.startswith("path", "rule_path"))
@@ -133,10 +133,10 @@ p AS (
          coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 links AS (
   SELECT url, host, path, unnest(list_concat(
-    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\brel\s*=\s*["'']?canonical\b')),
-                   lambda t: regexp_extract(t, '(?i)\bhref\s*=\s*["'']([^"'']*)["'']', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\brel\s*=\s*(?:["'']?\s*canonical\b|"[^"]*\scanonical[\s"]|''[^'']*\scanonical[\s''])')),
+                   lambda t: concat(regexp_extract(t, '(?i)(?:^|[^\w-])href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^"''>\s]+))', 1), regexp_extract(t, '(?i)(?:^|[^\w-])href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^"''>\s]+))', 2), regexp_extract(t, '(?i)(?:^|[^\w-])href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^"''>\s]+))', 3))),
     list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')),
-                   lambda t: regexp_extract(t, '(?i)\burl\s*=\s*([^"''>\s]+)', 1)))) AS raw FROM p),
+                   lambda t: regexp_extract(t, '(?i)\burl\s*=\s*["'']?([^"''>\s]+)', 1)))) AS raw FROM p),
 whole AS (
   SELECT split_part(url, '#', 1) AS a, replace(trim(raw), '&amp;', '&') AS link, split_part(url, '://', 1) AS scheme, host, path FROM links),
 full_links AS (

@@ -116,3 +116,21 @@ def test_no_python_in_the_plan(spark):
     pages = spark.createDataFrame([(1, "http://a.example.net/en/x", "<p>")], PAGES)
     plan = urls.judge(pages, urls.rule_table(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_sql_knows_the_same_link_forms(spark, tmp_path):
+    import duckdb
+    pages = spark.createDataFrame([(i, f"http://p{i}.example.org/", f"<head>{t}</head>") for i, t in enumerate(LINKS + NO_LINKS)], PAGES)
+    pages.toPandas().to_parquet(tmp_path / "p.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/p.parquet'")
+    got = {r["page_id"]: tuple(r) for r in urls.judge(pages, urls.rule_table(spark)).collect()}
+    want = con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({urls.OP8_SQL})").fetchall()
+    assert sorted(got.values()) == sorted(want) and any(r[4] == "block" for r in want)
+
+
+def test_hosts_of_many_labels(spark):
+    hosts = [".".join(["a"] * 60_000 + ["net"]), ".".join(["b"] * 60_000), "x..example.com", ".net", "."]
+    pages = spark.createDataFrame([(i, f"http://{h}/de/1", None) for i, h in enumerate(hosts)], PAGES)
+    got = {r["page_id"]: r["rule"] for r in urls.judge(pages, urls.rule_table(spark)).collect()}
+    assert got == {0: "net/", 1: None, 2: "example.com/de/", 3: "net/", 4: None}
