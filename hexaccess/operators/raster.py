@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexaccess.functions import geo, polygon
+from hexaccess.functions import geo
+from hexaccess.operators.edges import cross_at, inside_runs, polygon_edges, span
+from hexaccess.sinks.writers import HEADER_SCHEMA, write_raster
 from hexaccess.sources.raster import (Raster, RasterMeta, cell_center_x, cell_center_y, cell_of_x,
-                                      cell_of_y)
+                                      cell_of_y, read_raster)
 
 
 def _epsg(crs: str) -> int:
@@ -98,19 +100,55 @@ def raster_clip_box(r: Raster, west: float, south: float, east: float, north: fl
     return Raster(cells, meta)
 
 
-def raster_clip_ring(r: Raster, ring: list[tuple[float, float]]) -> DataFrame:
-    """Cells whose centre is inside a polygon ring (in the raster's CRS);
-    outside cells are dropped (read as nodata).  Row/col are re-based to
-    the crop window's first row/col with a window-free min (scalar subquery)."""
-    xs = [p[0] for p in ring]
-    ys = [p[1] for p in ring]
-    boxed = raster_clip_box(r, min(xs), min(ys), max(xs), max(ys))
-    ring_col = F.array(*[geo.point(F.lit(float(x)), F.lit(float(y))) for x, y in ring])
-    inside = raster_cell_xy(boxed, valid_only=False).where(
-        polygon.point_in_ring(F.col("x"), F.col("y"), ring_col))
-    r0 = inside.agg(F.min("row")).scalar()
-    c0 = inside.agg(F.min("col")).scalar()
-    return inside.select((F.col("row") - r0).alias("row"), (F.col("col") - c0).alias("col"), "value")
+def zone_runs(zones: DataFrame, meta: RasterMeta, zone_col: str, ring_col: str) -> DataFrame:
+    """(zone_col, row, lo, hi): where each raster row's line of cell centres is inside a zone (lo <= x < hi).
+
+    Each edge gives its crossings with the rows it spans; between a row's sorted crossings it is
+    inside by parity.  Runs of a zone's parts are merged, so a cell is in a zone once."""
+    edges = polygon_edges(zones, zone_col, ring_col)
+    first = F.ceil((F.lit(meta.y0) - F.greatest("ay", "by")) / F.lit(meta.dy) - 0.5) - 1
+    last = F.floor((F.lit(meta.y0) - F.least("ay", "by")) / F.lit(meta.dy) - 0.5) + 1
+    rows = edges.select("*", F.explode(span(F.greatest(first, F.lit(0)), F.least(last, F.lit(meta.n_rows - 1)))).alias("row"))
+    at = cross_at(cell_center_y("row", meta), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
+    runs = inside_runs(rows.select(zone_col, "_part", "row", at.alias("_x")).where("_x IS NOT NULL"), [zone_col, "_part", "row"], "_x")
+    line = Window.partitionBy(zone_col, "row").orderBy("lo", "hi")
+    before = F.max("hi").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    starts = runs.withColumn("_new", F.when(F.col("lo") <= before, 0).otherwise(1))
+    return (starts.withColumn("_run", F.sum("_new").over(line)).groupBy(zone_col, "row", "_run")
+            .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_run"))
+
+
+def raster_clip_zones(r: Raster, zones: DataFrame, zone_col: str = "zone_id", ring_col: str = "ring") -> DataFrame:
+    """(zone_col, row, col, value): the cells whose centre is inside each zone, on the raster's own grid.
+
+    ``zones`` are rows of a ring or an array of rings (outer ring and holes) in the raster's CRS; a
+    zone may be several rows.  A zone's runs of inside cells are dealt to column blocks and meet
+    the cells by (row, block), so no polygon is in the plan, in a shuffle or in one task, and a
+    cell meets only the runs of its own row and block.  ``zone_windows`` has the windows to crop to.
+    """
+    m = r.meta
+    runs = zone_runs(zones, m, zone_col, ring_col)
+    low = F.greatest(F.floor((F.col("lo") - F.lit(m.x0)) / F.lit(m.dx) - 0.5) - 1, F.lit(0))
+    high = F.least(F.ceil((F.col("hi") - F.lit(m.x0)) / F.lit(m.dx) - 0.5) + 1, F.lit(m.n_cols - 1))
+    dealt = runs.select(zone_col, "row", "lo", "hi", F.explode(span(F.floor(low / m.block), F.floor(high / m.block))).alias("_block"))
+    cells = r.cells.select("row", "col", "value", F.floor(F.col("col") / m.block).alias("_block"))
+    x = cell_center_x("col", m)
+    return (cells.join(dealt.withColumn("row", F.col("row").cast("long")), ["row", "_block"])
+            .where((x >= F.col("lo")) & (x < F.col("hi"))).select(zone_col, "row", "col", "value"))
+
+
+def zone_windows(zones: DataFrame, meta: RasterMeta, zone_col: str = "zone_id", ring_col: str = "ring") -> DataFrame:
+    """(zone_col, row0, col0, n_rows, n_cols): the window of cells whose centre is within each zone's box, one row per
+    zone; the crop's header is the raster's with these figures.  A zone that holds no centre has a window of no cells."""
+    edges = polygon_edges(zones, zone_col, ring_col)
+    box = edges.groupBy(zone_col).agg(F.min("ax").alias("w"), F.max("ax").alias("e"), F.min("ay").alias("s"), F.max("ay").alias("n"))
+    c0 = F.greatest(F.ceil((F.col("w") - F.lit(meta.x0)) / F.lit(meta.dx) - 0.5), F.lit(0))
+    c1 = F.least(F.floor((F.col("e") - F.lit(meta.x0)) / F.lit(meta.dx) - 0.5), F.lit(meta.n_cols - 1))
+    r0 = F.greatest(F.ceil((F.lit(meta.y0) - F.col("n")) / F.lit(meta.dy) - 0.5), F.lit(0))
+    r1 = F.least(F.floor((F.lit(meta.y0) - F.col("s")) / F.lit(meta.dy) - 0.5), F.lit(meta.n_rows - 1))
+    return box.select(zone_col, r0.cast("long").alias("row0"), c0.cast("long").alias("col0"),
+                      F.greatest(r1 - r0 + 1, F.lit(0)).cast("long").alias("n_rows"),
+                      F.greatest(c1 - c0 + 1, F.lit(0)).cast("long").alias("n_cols"))
 
 
 def target_grid_meta(spark, src: RasterMeta, dst_crs: str, n_cols: int | None = None,
@@ -195,6 +233,20 @@ def raster_blocks(r: Raster, block: int = 512) -> DataFrame:
                  F.min("value").alias("value_min"), F.max("value").alias("value_max")))
 
 
+def _full_resolution(r: Raster) -> DataFrame:
+    """Valid cells as the overview steps carry them: value or sum ``_v``, cells ``_n``, place of the nearest one ``_at``."""
+    return raster_valid(r).select("row", "col", F.col("value").alias("_v"), F.lit(1).cast("long").alias("_n"),
+                                  F.struct("row", "col").alias("_at"))
+
+
+def _halved(now: DataFrame, how: str) -> DataFrame:
+    """The level above: 2 x 2 cells merge into one."""
+    g = now.groupBy(*[F.floor(F.col(c) / 2).alias(c) for c in ("row", "col")])
+    if how == "avg":
+        return g.agg(F.sum("_v").alias("_v"), F.sum("_n").alias("_n"))
+    return g.agg(F.min_by("_v", "_at").alias("_v"), F.min("_at").alias("_at"))
+
+
 def raster_overviews(r: Raster, levels: int, how: str = "avg") -> dict[int, DataFrame]:
     """Reduced-resolution levels 1..levels, each made from the one before: 2 x 2
     cells merge into one.  ``avg`` averages the valid cells of full resolution
@@ -202,21 +254,49 @@ def raster_overviews(r: Raster, levels: int, how: str = "avg") -> dict[int, Data
     Frames have (row, col, value)."""
     if how not in ("avg", "nearest"):
         raise ValueError(how)
-    now = raster_valid(r).select("row", "col", F.col("value").alias("_v"), F.lit(1).cast("long").alias("_n"),
-                                 F.struct("row", "col").alias("_at"))
-    half = [F.floor(F.col(c) / 2).alias(c) for c in ("row", "col")]
-    out = {}
+    now, out = _full_resolution(r), {}
     for level in range(1, levels + 1):
-        g = now.groupBy(*half)
-        if how == "avg":
-            now = g.agg(F.sum("_v").alias("_v"), F.sum("_n").alias("_n"))
-            out[level] = now.select("row", "col", (F.col("_v") / F.col("_n")).alias("value"))
-        else:
-            now = g.agg(F.min_by("_v", "_at").alias("_v"), F.min("_at").alias("_at"))
-            out[level] = now.select("row", "col", F.col("_v").alias("value"))
+        now = _halved(now, how)
+        value = F.col("_v") / F.col("_n") if how == "avg" else F.col("_v")
+        out[level] = now.select("row", "col", value.alias("value"))
     return out
 
 
+def pyramid_levels(meta: RasterMeta, block: int) -> int:
+    """Overview levels until one storage block holds the whole raster."""
+    return max(0, math.ceil(math.log2(max(meta.n_rows, meta.n_cols, 1) / block)))
+
+
+def write_pyramid(r: Raster, path: str, levels: int | None = None, how: str = "avg", block: int | None = None,
+                  mode: str = "overwrite") -> dict[int, str]:
+    """Store a raster and its overview levels; returns {level: path}.
+
+    Level 0 is the raster itself, as ``write_raster`` stores it.  Level k lies in ``_overviews/k``
+    beside its blocks (scans of ``path`` pass over it), in blocks of its own and with a header of
+    its own, and is made from the stored level below, a quarter of its cells, so full resolution is
+    read once.  ``_overviews/_levels`` lists the levels' headers for ``read_raster``.
+    """
+    if how not in ("avg", "nearest"):
+        raise ValueError(how)
+    spark, m, block = r.cells.sparkSession, r.meta, block or r.meta.block
+    levels = pyramid_levels(m, block) if levels is None else levels
+    paths, headers = {0: write_raster(r.cells, path, block, mode, m)}, [(0, m.with_shape(block=block))]
+    now = _full_resolution(read_raster(spark, path))
+    for level in range(1, levels + 1):
+        scale = 2 ** level
+        meta = m.with_shape(dx=m.dx * scale, dy=m.dy * scale, n_rows=math.ceil(m.n_rows / scale),
+                            n_cols=math.ceil(m.n_cols / scale), nodata=None, block=block)   # valid cells only: any value may stand
+        up = _halved(now, how)
+        value = F.col("_v") / F.col("_n") if how == "avg" else F.col("_v")
+        kept = ["_v", "_n"] if how == "avg" else ["_v", "_at"]
+        paths[level] = write_raster(up.withColumn("value", value), f"{path}/_overviews/{level}", block, mode, meta, kept)
+        now = spark.read.parquet(paths[level]).select("row", "col", *kept)
+        headers.append((level, meta))
+    rows = [(level, *vars(meta).values()) for level, meta in headers]
+    spark.createDataFrame(rows, "level int, " + HEADER_SCHEMA).coalesce(1).write.mode(mode).parquet(f"{path}/_overviews/_levels")
+    return paths
+
+
 def raster_overview(r: Raster, level: int, how: str = "avg") -> DataFrame:
     """One reduced-resolution level: 2^level x 2^level cells merge into one."""
     return raster_overviews(r, level, how)[level]

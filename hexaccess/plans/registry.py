@@ -331,12 +331,15 @@ def q_raster_blocks(spark, sf):
 def q_raster_overview(spark, sf):
     """K8: overview levels 1 to 4 of both rasters, averaged and nearest, each from the one before."""
     from hexaccess.operators.raster import raster_overviews
+    from hexaccess.sources.raster import Raster
     inp, out = _inputs(spark, sf), None
-    for name, raster in (("population", inp.population), ("flood", inp.flood)):
+    # population counts have six decimals: their sums are kept exact
+    exact = Raster(inp.population.cells.withColumn("value", F.col("value").cast("decimal(18,6)")), inp.population.meta)
+    for name, raster in (("population", exact), ("flood", inp.flood)):
         for how in ("avg", "nearest"):
             for level, df in raster_overviews(raster, 4, how).items():
                 one = df.select(F.lit(name).alias("raster"), F.lit(how).alias("how"), F.lit(level).alias("level"),
-                                "row", "col", r(F.col("value") + 1.3e-8, 6).alias("value"))   # off the exact halves that sums of cents make
+                                "row", "col", r("value", 6).cast("double").alias("value"))
                 out = one if out is None else out.unionByName(one)
     return out
 
@@ -866,6 +869,35 @@ def q_raster_clip(spark, sf):
     return c.cells.select("row", "col", r("value", 6).alias("value"))
 
 
+@query("raster_clip_zones")
+def q_raster_clip_zones(spark, sf):
+    """population cells whose centre is inside each admin unit (holes, concave rings, several parts), re-based to its window."""
+    from hexaccess.operators.raster import raster_clip_zones, zone_windows
+    from hexaccess.sources.derived import admin_shapes_lonlat
+    pop, zones = _inputs(spark, sf).population, admin_shapes_lonlat(spark, sf, P)
+    cells = raster_clip_zones(pop, zones, "admin_id", "rings")
+    windows = zone_windows(zones, pop.meta, "admin_id", "rings")
+    return cells.join(windows, "admin_id").select(
+        "admin_id", (F.col("row") - F.col("row0")).alias("row"), (F.col("col") - F.col("col0")).alias("col"),
+        "n_rows", "n_cols", r("value", 6).alias("value"))
+
+
+@query("raster_pyramid")
+def q_raster_pyramid(spark, sf):
+    """K8: the population raster stored with its overview levels; each level read back by its cell width, summed by storage block."""
+    from hexaccess.operators.raster import write_pyramid
+    from hexaccess.sources.raster import read_overview
+    pop = _inputs(spark, sf).population
+    path, out = _scratch(spark, "pyramid"), None
+    for level in write_pyramid(pop, path, levels=4, how="nearest", block=16):
+        stored = read_overview(spark, path, cell=pop.meta.dx * 2 ** level * 1.5)
+        one = stored.cells.groupBy(F.col("tile_row").cast("long").alias("tile_row"), F.col("tile_col").cast("long").alias("tile_col")).agg(
+            F.count(F.lit(1)).alias("n_cells"), r(F.sum("value"), 6).alias("value_sum")).select(
+            F.lit(level).alias("level"), F.lit(stored.meta.n_rows).cast("long").alias("n_rows"), F.lit(stored.meta.n_cols).cast("long").alias("n_cols"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("raster_bilinear")
 def q_raster_bilinear(spark, sf):
     """population resampled bilinearly onto the flood grid."""

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from hexaccess.functions import geo, polygon
 from hexaccess.operators.edges import as_rings
 from hexaccess.params import Params
-from hexaccess.sinks.writers import geojson_feature, ring_coordinates, write_geojson_lines, write_raster, write_table
+from hexaccess.sinks.writers import geojson_feature, ring_coordinates, write_geojson_lines, write_table
+from hexaccess.sources.raster import Raster
 
 PARQUET, GEOJSON = "application/vnd.apache.parquet", "application/geo+json-seq"
 #: What a hexagon's tile feature carries.
@@ -62,10 +63,12 @@ def write_outputs(outs: dict[str, DataFrame], population, flood, p: Params, base
     """Write everything a run makes under ``base`` and return (and write) its manifest.
 
     ``outs`` is what ``jobs.pipeline_from_inputs`` returns.  Grid, admin and
-    facility layers are stored in lon/lat with bounding boxes; the exposed
-    population as a raster of blocks with its header.
+    facility layers are stored in lon/lat with bounding boxes; both input rasters
+    and the exposed population as blocks with headers and overview levels (averages;
+    nearest for the hazard, whose depths must not blend), each level an asset.
     """
     from hexaccess.functions import scoring
+    from hexaccess.operators.raster import write_pyramid
     from hexaccess.plans import jobs
     spark, base = outs["grid"].sparkSession, base.rstrip("/")
     zone, south = p.utm_zone, p.south_hemisphere
@@ -81,7 +84,11 @@ def write_outputs(outs: dict[str, DataFrame], population, flood, p: Params, base
         assets[name] = (write_table(df, f"{base}/{name}", mode=mode, compression=p.compression, partition_by=["zoom"]), PARQUET)
     exposed = jobs.exposure_cells(population, flood, p).select(
         "row", "col", scoring.flood_mask(F.col("depth"), F.col("value")).alias("value"))
-    assets["exposed_population"] = (write_raster(exposed, f"{base}/exposed_population", p.block_size, mode, population.meta), PARQUET)
+    rasters = {"population_raster": (population, "avg"), "hazard_raster": (flood, "nearest"),
+               "exposed_population": (Raster(exposed, population.meta), "avg")}
+    for name, (raster, how) in rasters.items():
+        for level, path in write_pyramid(raster, f"{base}/{name}", how=how, block=p.block_size, mode=mode).items():
+            assets[f"{name}_overview_{level}" if level else name] = (path, PARQUET)
     features = stored.where("population > 0").select(geojson_feature(
         {c: F.col(c) for c in ["hex_id", *HEX_TILE_ATTRIBUTES]}, "Polygon", ring_coordinates(F.col("geometry"))).alias("f"))
     assets["hexagons_geojson"] = (write_geojson_lines(features, "f", f"{base}/hexagons_geojson", mode=mode), GEOJSON)

@@ -64,13 +64,14 @@ def write_feature_collections(features: DataFrame, feature_col: str, key: Column
     return path
 
 
-def write_raster(cells: DataFrame, path: str, block: int = 512, mode: str = "overwrite", meta=None) -> str:
+def write_raster(cells: DataFrame, path: str, block: int = 512, mode: str = "overwrite", meta=None,
+                 more: list[str] | None = None) -> str:
     """K7: raster cells partitioned by storage block row and column (``row //
     block``, ``col // block``; the header's ``block``), dealt by block before
     the write, so a block is one file and a clip or window reads only its own.
-    ``meta`` (the header) is stored with them for ``read_raster``."""
+    ``meta`` (the header) is stored with them for ``read_raster``; ``more`` names further columns to keep."""
     blocks = [F.floor(F.col(c) / F.lit(block)).alias(f"tile_{c}") for c in ("row", "col")]
-    (cells.select("row", "col", "value", *blocks).repartition("tile_row", "tile_col")
+    (cells.select("row", "col", "value", *(more or []), *blocks).repartition("tile_row", "tile_col")
      .write.mode(mode).option("compression", "zstd").partitionBy("tile_row", "tile_col").parquet(path))
     if meta is not None:   # a one-row table beside the cells, in a folder that scans of ``path`` pass over
         fields = dict(vars(meta), block=block)

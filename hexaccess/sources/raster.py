@@ -70,6 +70,21 @@ def cell_of_y(y: Column, meta: RasterMeta) -> Column:
     return F.floor((F.lit(meta.y0) - y) / F.lit(meta.dy))
 
 
+def read_overview(spark: SparkSession, path: str, cell: float | None = None, level: int | None = None) -> Raster:
+    """A level of a raster stored with its overviews (``operators.raster.write_pyramid``): ``level``, or the coarsest
+    whose cells are no wider than ``cell`` (full resolution if none is).  Only that level's blocks are read."""
+    if (cell is None) == (level is None):
+        raise ValueError("name either a cell width or a level")
+    headers = spark.read.parquet(f"{path}/_overviews/_levels")
+    fits = headers.where(F.col("level") == level if cell is None else (F.col("dx") <= F.lit(float(cell))) | (F.col("level") == 0))
+    best = fits.orderBy(F.col("level").desc()).first()
+    if best is None:
+        raise ValueError(f"no level {level} in {path}")
+    header = best.asDict()
+    number = header.pop("level")
+    return read_raster(spark, f"{path}/_overviews/{number}" if number else path, RasterMeta(**header))
+
+
 def read_raster(spark: SparkSession, path: str, meta: RasterMeta | None = None) -> Raster:
     """Scan a stored cell table, by default with the header stored beside it.  The ``tile_row`` and ``tile_col`` partition columns
     (written by ``sinks.writers.write_raster``) are kept so window filters can

@@ -196,14 +196,17 @@ def _raster_blocks():
 
 @oracle("raster_overview")
 def _raster_overview():
+    # population counts have six decimals: millionths are summed and divided as integers, halves up
+    pop = f"SELECT row, col, CAST(round(value * 1e6) AS BIGINT) AS value FROM ({pop_cells_sql()}) p"
     wet = f"SELECT * FROM ({flood_cells_sql()}) f WHERE value <> 0e0 AND NOT isnan(value)"
     out = []
-    for name, cells in (("population", pop_cells_sql()), ("flood", wet)):
+    for name, cells, avg, one in (("population", pop, "((2 * sum(value) + count(*)) // (2 * count(*)))::BIGINT / 1e6", "value / 1e6"),
+                                  ("flood", wet, "round(avg(value), 6)", "round(value, 6)")):
         for level in range(1, 5):
             f = 2 ** level
             out.append(f"SELECT '{name}' AS raster, 'avg' AS how, {level} AS level, row // {f} AS row, col // {f} AS col, "
-                       f"round(avg(value) + 1.3e-8, 6) AS value FROM ({cells}) c GROUP BY row // {f}, col // {f}")
-            out.append(f"SELECT '{name}' AS raster, 'nearest' AS how, {level} AS level, r AS row, c AS col, round(value + 1.3e-8, 6) AS value "
+                       f"{avg} AS value FROM ({cells}) c GROUP BY row // {f}, col // {f}")
+            out.append(f"SELECT '{name}' AS raster, 'nearest' AS how, {level} AS level, r AS row, c AS col, {one} AS value "
                        f"FROM (SELECT *, row // {f} AS r, col // {f} AS c, row_number() OVER (PARTITION BY row // {f}, col // {f} "
                        f"ORDER BY row, col) AS rn FROM ({cells}) c) x WHERE rn = 1")
     return " UNION ALL ".join(out)
@@ -664,6 +667,35 @@ def _raster_clip():
             f"WHERE row BETWEEN r0 AND r1 AND col BETWEEN c0 AND c1")
 
 
+@oracle("raster_clip_zones")
+def _raster_clip_zones():
+    rings = f"SELECT admin_id, ring FROM ({admin_shape_rings_sql()}) s"
+    edges = f"SELECT admin_id, ring[i] AS a, ring[i + 1] AS b FROM (SELECT admin_id, ring, unnest(range(1, len(ring))) AS i FROM ({rings}) _r) _i"
+    box = f"SELECT admin_id, min(a.x) AS w, max(a.x) AS e, min(a.y) AS s, max(a.y) AS n FROM ({edges}) _e GROUP BY admin_id"
+    win = (f"SELECT admin_id, greatest(0, CAST(ceil((b.w - {d(W)}) / dx - 0.5e0) AS BIGINT)) AS c0, "
+           f"least(m.w - 1, CAST(floor((b.e - {d(W)}) / dx - 0.5e0) AS BIGINT)) AS c1, "
+           f"greatest(0, CAST(ceil(({d(N)} - b.n) / dy - 0.5e0) AS BIGINT)) AS r0, "
+           f"least(m.h - 1, CAST(floor(({d(N)} - b.s) / dy - 0.5e0) AS BIGINT)) AS r1 FROM ({box}) b, ({square_meta_sql('orders')}) m")
+    inside = (f"SELECT e.admin_id, c.row, c.col, c.value FROM ({pop_xy_sql()}) c JOIN ({edges}) e ON (e.a.y > c.lat) <> (e.b.y > c.lat) "
+              f"AND c.lon < (e.b.x - e.a.x) * (c.lat - e.a.y) / (e.b.y - e.a.y) + e.a.x "
+              f"GROUP BY e.admin_id, c.row, c.col, c.value HAVING count(*) % 2 = 1")
+    return (f"SELECT admin_id, row - r0 AS row, col - c0 AS col, r1 - r0 + 1 AS n_rows, c1 - c0 + 1 AS n_cols, round(value, 6) AS value "
+            f"FROM ({inside}) i JOIN ({win}) w USING (admin_id)")
+
+
+@oracle("raster_pyramid")
+def _raster_pyramid():
+    out = []
+    for level in range(5):
+        f = 2 ** level
+        cells = (f"SELECT row // {f} AS row, col // {f} AS col, arg_min(value, row * 4294967296 + col) AS value "
+                 f"FROM ({pop_cells_sql()}) c GROUP BY row // {f}, col // {f}")
+        out.append(f"SELECT {level} AS level, CAST(ceil(m.h / {d(f)}) AS BIGINT) AS n_rows, CAST(ceil(m.w / {d(f)}) AS BIGINT) AS n_cols, "
+                   f"row // 16 AS tile_row, col // 16 AS tile_col, count(*) AS n_cells, round(sum(value), 6) AS value_sum "
+                   f"FROM ({cells}) c, ({square_meta_sql('orders')}) m GROUP BY ALL")
+    return " UNION ALL ".join(out)
+
+
 @oracle("raster_bilinear")
 def _raster_bilinear():
     pm, fm = square_meta_sql("orders"), square_meta_sql("customer")

@@ -131,15 +131,3 @@ def test_text_grid_reader(spark, tmp_path):
     r = read_text_grid(spark, str(p), meta)
     got = sorted((x.row, x.col, x.value) for x in raster_valid(r).collect())
     assert got == [(0, 0, 1.5), (0, 1, 2.5), (0, 2, 3.5), (1, 0, 4.0), (1, 2, 6.0)]
-
-
-def test_raster_clip_ring_matches_box_clip(spark):
-    from hexaccess.operators.raster import raster_clip_ring
-    from hexaccess.plans import jobs
-    from tests.conftest import SF_SMALL
-    pop = jobs.load_inputs(spark, SF_SMALL).population
-    w, s, e, n = 27.5, -4.0, 28.0, -3.5
-    ring = [(w, s), (e, s), (e, n), (w, n), (w, s)]
-    a = sorted(map(tuple, raster_clip_ring(pop, ring).select("row", "col", "value").collect()))
-    b = sorted(map(tuple, raster_clip_box(pop, w, s, e, n).cells.select("row", "col", "value").collect()))
-    assert a == b and len(a) > 0

@@ -26,7 +26,7 @@ def test_command_line_writes_outputs(spark, tmp_path):
     out = tmp_path / "run1"
     assert main(["pipeline", "--sf-dir", SF_SMALL, "--out", str(out)]) == 0
     for name in ["grid", "admin", "facilities", "run_summary", "class_counts", "admin_rollup", "hexagons_geojson",
-                 "hexagon_tiles", "facility_tiles", "exposed_population", "manifest"]:
+                 "hexagon_tiles", "facility_tiles", "exposed_population", "population_raster", "hazard_raster", "manifest"]:
         assert (out / name).exists()
     g = spark.read.parquet(str(out / "grid"))
     assert g.count() > 0 and abs(g.agg(F.min("centroid.x")).first()[0] - 27.3) < 0.2   # lon/lat output
@@ -50,4 +50,5 @@ def test_command_line_reads_stored_inputs(spark, tmp_path):
     rows = lambda df: sorted((r[0], round(r[1], 6), r[2] or "") for r in df.select(*cols).collect())
     assert rows(g) == rows(want)
     m = {r["asset"]: r for r in spark.read.parquet(str(tmp_path / "run" / "manifest")).collect()}
+    assert m["population_raster"]["n_rows"] == inp.population.cells.count() and m["hazard_raster"]["n_rows"] > 0
     assert m["grid"]["n_rows"] == g.count() and '"study_name": "a test"' in m["grid"]["study"] and m["admin"]["xmin"] is not None
