@@ -54,7 +54,8 @@ def minmax_scale(v, vmin, vmax) -> Column:
 
 
 def inaccessibility(score) -> Column:
-    return F.lit(1.0) - F.coalesce(_c(score), F.lit(0.0))
+    """1 - score; a missing score (NULL or NaN) counts as 0."""
+    return F.lit(1.0) - F.coalesce(F.nanvl(_c(score), F.lit(0.0)), F.lit(0.0))
 
 
 def priority_score(exposure_score, access_score_col, exposure_weight: float = 0.6,

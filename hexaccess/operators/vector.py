@@ -50,9 +50,12 @@ def repair(df: DataFrame, ring: str = "ring") -> tuple[DataFrame, DataFrame]:
 
 def update_by_key(base: DataFrame, updates: DataFrame, key: str | list[str], cols: list[str]) -> DataFrame:
     """Set-based keyed update: ``base LEFT JOIN updates`` and take the
-    update's value where present.  Base rows are never added or lost."""
+    update's value where present (a NULL keeps the base's).  Base rows are never
+    added or lost: keys of no base row do nothing, and of a key's repeated
+    updates the greatest row by ``cols`` counts."""
     keys = [key] if isinstance(key, str) else list(key)
-    upd = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols])
+    upd = (updates.groupBy(*keys).agg(F.max(F.struct(*cols)).alias("_new"))
+           .select(*keys, *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in cols]))
     j = base.join(upd, keys, "left")
     for c in cols:
         j = j.withColumn(c, F.coalesce(F.col(f"_new_{c}"), F.col(c))).drop(f"_new_{c}")

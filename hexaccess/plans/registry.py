@@ -265,6 +265,20 @@ def q_update_by_key(spark, sf):
                     r("population_exposed", 6).alias("population_exposed"))
 
 
+@query("update_unmatched")
+def q_update_unmatched(spark, sf):
+    """An update with keys that no base row has, base rows that none names, NULLs, and keys that stand twice."""
+    from hexaccess.operators.vector import update_by_key
+    from hexaccess.sources.derived import table
+    base = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("long").alias("id"), F.col("s_acctbal").alias("score"))
+    key = F.col("c_custkey").cast("long")
+    twice = F.when(key % 8 == 0, F.array(F.lit(1.0), F.lit(2.0))).otherwise(F.array(F.lit(1.0)))
+    upd = (table(spark, sf, "customer").where(key % 2 == 0)
+           .select(key.alias("id"), F.when(key % 3 != 0, F.abs("c_acctbal")).alias("balance"), F.explode(twice).alias("times"))
+           .select("id", (F.col("balance") * F.col("times")).alias("score")))
+    return update_by_key(base, upd, "id", ["score"]).select("id", r("score", 6).alias("score"))
+
+
 @query("export_grid")
 def q_export_grid(spark, sf):
     """K5: grid results in lon/lat with stored bounding boxes, zstd Parquet, read back."""
@@ -439,6 +453,23 @@ def q_null_repair(spark, sf):
                     r(scoring.inaccessibility(F.col("accessibility_score")), 6).alias("inaccessibility"))
 
 
+@query("null_repair_cases")
+def q_null_repair_cases(spark, sf):
+    """The repairs on rows whose population, exposed population or score is 0, NULL or NaN, by the customer's key."""
+    from hexaccess.functions import scoring
+    from hexaccess.sources.derived import table
+    k, nan = F.col("c_custkey").cast("long"), F.lit(float("nan"))
+    people = F.abs("c_acctbal") + F.lit(1.0)
+    rows = table(spark, sf, "customer").select(
+        k.alias("id"),
+        F.when(k % 5 == 0, F.lit(0.0)).when(k % 5 == 1, F.lit(None).cast("double")).when(k % 5 == 2, nan).otherwise(people).alias("population"),
+        F.when(k % 3 == 0, F.lit(None).cast("double")).when(k % 3 == 1, people / F.lit(2.0)).otherwise(nan).alias("exposed"),
+        F.when(k % 4 == 0, F.lit(None).cast("double")).when(k % 4 == 1, nan).otherwise(F.lit(0.25)).alias("score"))
+    return rows.select("id", r(scoring.exposure_pct("exposed", "population"), 6).alias("exposure_pct"),
+                       r(scoring.inaccessibility("score"), 6).alias("inaccessibility"),
+                       r(scoring.priority_score(F.lit(0.5), "score"), 6).alias("priority_score"))
+
+
 def _test_rings(spark, sf) -> DataFrame:
     """Admin rings with deliberate defects by ``admin_id % 5``: 0 as is,
     1 closing point dropped, 2 a vertex repeated, 3 two vertices swapped

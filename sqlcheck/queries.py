@@ -151,6 +151,14 @@ def _update_by_key():
             f"FROM ({grid_sql()}) g LEFT JOIN ({per_hex_sql()}) ph USING (hex_id)")
 
 
+@oracle("update_unmatched")
+def _update_unmatched():
+    upd = ("SELECT CAST(c_custkey AS BIGINT) AS id, CASE WHEN c_custkey % 3 <> 0 THEN abs(c_acctbal) * "
+           "CASE WHEN c_custkey % 8 = 0 THEN 2e0 ELSE 1e0 END END AS score FROM customer WHERE c_custkey % 2 = 0")
+    return (f"SELECT CAST(s_suppkey AS BIGINT) AS id, round(coalesce(u.score, s_acctbal), 6) AS score "
+            f"FROM supplier LEFT JOIN ({upd}) u ON u.id = s_suppkey")
+
+
 def _grid_lonlat_vertices():
     pg = f"SELECT hex_id, CAST(split_part(hex_id, '_', 2) AS BIGINT) AS q, CAST(split_part(hex_id, '_', 3) AS BIGINT) AS r FROM ({grid_sql()}) g"
     return lonlat_sql(grid_vertices_sql(pg), "x", "y", "hex_id, i")
@@ -296,6 +304,17 @@ def _null_repair():
             f"round(1e0 - coalesce(accessibility_score, 0e0), 6) AS inaccessibility FROM ({_pg()}) p")
 
 
+@oracle("null_repair_cases")
+def _null_repair_cases():
+    rows = ("SELECT CAST(c_custkey AS BIGINT) AS id, abs(c_acctbal) + 1e0 AS people, c_custkey % 5 AS p, c_custkey % 3 AS e, "
+            "c_custkey % 4 AS s FROM customer")
+    # population 0 reads as 1; a NULL or NaN in either makes 0
+    return (f"SELECT id, round(CASE WHEN e <> 1 OR p IN (1, 2) THEN 0e0 WHEN p = 0 THEN people / 2e0 * 100e0 "
+            f"ELSE people / 2e0 / people * 100e0 END, 6) AS exposure_pct, "
+            f"CASE WHEN s IN (0, 1) THEN 1e0 ELSE 0.75e0 END AS inaccessibility, "
+            f"round(0.3e0 + CASE WHEN s IN (0, 1) THEN 0.4e0 ELSE 0.75e0 * 0.4e0 END, 6) AS priority_score FROM ({rows}) r")
+
+
 def _test_rings_sql():
     a = admin_rings_sql()
     moved = "{'x': ring[4].x, 'y': ring[4].y + (ring[4].y - ring[1].y)}"

@@ -9,7 +9,8 @@ from tools.oracle_check import compare
 
 KEYS = ["hazard_pipeline", "exposure", "nearest_facility", "knn_facilities", "zonal_polygon", "raster_bilinear",
         "geom_repair", "admin_rollup", "tile_thin", "network_distance", "score_percentiles", "lake_scan",
-        "exposure_stream", "hex_polyfill", "raster_clip_zones", "raster_pyramid", "raster_overview"]
+        "exposure_stream", "hex_polyfill", "raster_clip_zones", "raster_pyramid", "raster_overview",
+        "update_unmatched", "null_repair_cases"]
 
 
 @pytest.mark.parametrize("key", KEYS)
