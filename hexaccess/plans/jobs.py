@@ -176,7 +176,9 @@ def priority(grid: DataFrame, p: Params = Params(), materialise_input: bool = Tr
     if materialise_input:
         grid = materialise(grid)
     scored = priority_scores(grid, p)
-    t_hi, t_mid = priority_thresholds(scored, p)
+    # the passes read one written column, not the scores' expressions and the two subqueries behind them again
+    scores = materialise(scored.where(F.col("population") > 0).select("population", "priority_score"), "scores")
+    t_hi, t_mid = priority_thresholds(scores, p)
     if t_hi is None:
         return scored.withColumn("priority_class", F.lit(None).cast("string"))
     cls = scoring.priority_class(F.col("priority_score"), F.lit(t_hi), F.lit(t_mid))
