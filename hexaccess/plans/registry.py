@@ -495,6 +495,13 @@ def q_geom_valid(spark, sf):
     return validate(_test_rings(spark, sf)).select("admin_id", "valid", "invalid_reason")
 
 
+@query("geom_edge_faults")
+def q_geom_edge_faults(spark, sf):
+    """Edges of a ring that cross or touch each other, by buckets of edges."""
+    from hexaccess.operators.validity import edge_faults
+    return edge_faults(_test_rings(spark, sf))
+
+
 @query("geom_repair")
 def q_geom_repair(spark, sf):
     """Repaired rings and the reject table, as one tagged result."""

@@ -342,6 +342,39 @@ def _geom_valid():
     return (f"SELECT admin_id, invalid_reason IS NULL AS valid, invalid_reason FROM ({_validity_sql(_test_rings_sql())}) v")
 
 
+@oracle("geom_edge_faults")
+def _geom_edge_faults():
+    def turn(p, q, r):
+        (px, py), (qx, qy), (rx, ry) = ((f"{c[0]}x{c[1]}", f"{c[0]}y{c[1]}") for c in (p, q, r))
+        return f"sign(({qx} - {px}) * ({ry} - {py}) - ({qy} - {py}) * ({rx} - {px}))"
+
+    def within(p, q, r):
+        return " AND ".join(f"{r[0]}{d}{r[1]} BETWEEN least({p[0]}{d}{p[1]}, {q[0]}{d}{q[1]}) AND greatest({p[0]}{d}{p[1]}, {q[0]}{d}{q[1]})"
+                            for d in "xy")
+
+    def shared(d):
+        return (f"greatest(least(a{d}1, b{d}1), least(a{d}2, b{d}2)) < least(greatest(a{d}1, b{d}1), greatest(a{d}2, b{d}2))")
+
+    turns = [("a1", "b1", "a2"), ("a1", "b1", "b2"), ("a2", "b2", "a1"), ("a2", "b2", "b1")]
+    dedup = (f"SELECT admin_id, list_filter(ring, lambda p, i: i = 1 OR p.x <> ring[i - 1].x OR p.y <> ring[i - 1].y) "
+             f"AS ring FROM ({_test_rings_sql()}) t")
+    edges = ("SELECT admin_id, i - 1 AS e, ring[i].x AS ax, ring[i].y AS ay, ring[i + 1].x AS bx, ring[i + 1].y AS by_, "
+             "CASE WHEN ring[1].x = ring[len(ring)].x AND ring[1].y = ring[len(ring)].y THEN len(ring) - 2 END AS last "
+             f"FROM (SELECT *, unnest(generate_series(1, len(ring) - 1)) AS i FROM ({dedup}) d) u")
+    one = lambda s: ", ".join(f"{c} AS {c.rstrip('_')}{s}" for c in ("e", "ax", "ay", "bx", "by_", "last"))
+    pairs = (f"SELECT f.*, g.* EXCLUDE (admin_id), {', '.join(f'{turn(*t)} AS o{i}' for i, t in enumerate(turns, 1))} "
+             f"FROM (SELECT admin_id, {one(1)} FROM edges) f JOIN (SELECT admin_id, {one(2)} FROM edges) g "
+             "ON f.admin_id = g.admin_id AND f.e1 < g.e2")
+    meeting = " OR ".join(f"(o{i} = 0 AND {within(*t)})" for i, t in enumerate(turns, 1))
+    kind = (f"CASE WHEN e2 = e1 + 1 OR (e1 = 0 AND coalesce(e2 = last1, FALSE)) THEN "
+            f"CASE WHEN o1 = 0 AND o2 = 0 AND ({shared('x')} OR {shared('y')}) THEN 'touch' END "
+            f"WHEN o1 * o2 < 0 AND o3 * o4 < 0 THEN 'crossing' WHEN {meeting} THEN 'touch' END")
+    return (f"WITH edges AS ({edges}), pairs AS ({pairs}), kinds AS (SELECT admin_id, {kind} AS kind FROM pairs), "
+            "counts AS (SELECT admin_id, count(*) FILTER (kind = 'crossing') AS c, count(*) FILTER (kind = 'touch') AS t FROM kinds GROUP BY ALL) "
+            f"SELECT admin_id, coalesce(c, 0) AS n_crossings, coalesce(t, 0) AS n_touches, 0::BIGINT AS n_overlaps "
+            f"FROM (SELECT DISTINCT admin_id FROM ({_test_rings_sql()}) t) z LEFT JOIN counts USING (admin_id)")
+
+
 @oracle("geom_repair")
 def _geom_repair():
     dedup = (f"SELECT admin_id, list_filter(ring, lambda p, i: i = 1 OR p.x <> ring[i - 1].x OR p.y <> ring[i - 1].y) "
