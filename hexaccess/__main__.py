@@ -8,8 +8,8 @@
 
 Rasters are cell tables with their header (``sinks.writers.write_raster``).
 The pipeline writes Parquet (zstd) layers with bounding boxes, tile tables, the
-exposed-population raster, line-delimited GeoJSON and a manifest.  ``--mode
-ignore`` keeps outputs that already exist.  The session is the caller's (under
+exposed-population raster, line-delimited GeoJSON and a manifest.  ``--method network --roads <parquet>`` measures
+distances along roads.  ``--mode ignore`` keeps outputs that already exist.  The session is the caller's (under
 spark-submit the cluster's); stage tables are deleted at the end of a written run.
 """
 
@@ -36,6 +36,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--sf-dir", help="test tables from which inputs are made; or name the four inputs:")
     for name in ("admin", "facilities", "population", "flood"):
         ap.add_argument(f"--{name}")
+    ap.add_argument("--method", default="straight", choices=["straight", "network"], help="distance to facilities: straight line, or along --roads")
+    ap.add_argument("--roads", help="Parquet of road lines: id, line (array of lon/lat points x, y)")
     ap.add_argument("--bbox", nargs=4, type=float, metavar=("WEST", "SOUTH", "EAST", "NORTH"))
     ap.add_argument("--crs", help="analysis CRS, a UTM zone as EPSG code")
     ap.add_argument("--country")
@@ -61,6 +63,8 @@ def main(argv: list[str] | None = None) -> int:
     paths = [args.admin, args.facilities, args.population, args.flood]
     if not args.sf_dir and (args.command == "query" or not all(paths)):
         ap.error("name --sf-dir, or all of --admin --facilities --population --flood")
+    if args.method == "network" and not args.roads:
+        ap.error("--method network needs --roads")
     spark = current_session()
     p = _params(args)
 
@@ -74,14 +78,16 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     inputs = jobs.load_inputs_from(spark, *paths, p) if all(paths) else jobs.load_inputs(spark, args.sf_dir, p)
+    by_road = args.method == "network" and args.command in ("pipeline", "accessibility", "priority")
+    network = jobs.road_network(spark.read.parquet(args.roads), p) if by_road else None
     if args.command == "pipeline":
-        outs = jobs.pipeline_from_inputs(inputs, p)
+        outs = jobs.pipeline_from_inputs(inputs, p, network)
     else:
         g = jobs.build_grid(inputs.admin, p)
         if args.command in ("exposure", "accessibility", "priority"):
             g = jobs.exposure(g, inputs.population, inputs.flood, p)
         if args.command in ("accessibility", "priority"):
-            g = jobs.accessibility(g, inputs.facilities, p)
+            g = jobs.accessibility(g, inputs.facilities, p, network=network)
         if args.command == "priority":
             g = jobs.priority(g, p)
         outs = {"grid": g}

@@ -33,6 +33,14 @@ def road_edges(segments: DataFrame, tol: float = 0.001, zone: int = 35, south: b
         length.alias("length_m"), length.alias("cost"))
 
 
+def road_nodes(segments: DataFrame, tol: float = 0.001, zone: int = 35, south: bool = True, line: str = "line") -> DataFrame:
+    """(node, x, y): the projected end points of lon/lat lines, snapped as by ``road_edges``; lines between them are no nodes."""
+    v = F.col(line)
+    ends = segments.where(F.size(v) >= 2).select(F.explode(F.array(F.get(v, 0), F.get(v, F.size(v) - 1))).alias("_p"))
+    ends = geo.with_utm(ends.select(F.col("_p.x").alias("lon"), F.col("_p.y").alias("lat")), "lon", "lat", "x", "y", zone, south)
+    return ends.groupBy(snap_node(F.col("x"), F.col("y"), tol).alias("node")).agg(F.min("x").alias("x"), F.min("y").alias("y"))
+
+
 def _undirected(edges: DataFrame) -> DataFrame:
     """(a, b, cost): both directions of every edge, the cheapest of parallel ones, no loops."""
     both = edges.select(F.col("source").alias("a"), F.col("target").alias("b"), "cost").unionByName(

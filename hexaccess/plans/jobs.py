@@ -149,6 +149,13 @@ def accessibility(grid: DataFrame, facilities: DataFrame, p: Params = Params(),
              .withColumn("accessibility_score", scoring.access_score(d, p.threshold_km, p.moderate_km)))
 
 
+def road_network(segments: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
+    """(edges, nodes) of road lines (id, line in lon/lat), as written tables, for ``accessibility``'s ``network``."""
+    from hexaccess.operators.graph import road_edges, road_nodes
+    at = dict(zone=p.utm_zone, south=p.south_hemisphere)
+    return materialise(road_edges(segments, **at), "road_edges"), materialise(road_nodes(segments, **at), "road_nodes")
+
+
 def priority_thresholds(scored: DataFrame, p: Params = Params()) -> tuple[float | None, float | None]:
     """(high, medium) thresholds: exact percentiles 100 - top and 50 of the
     populated hexagons' priority scores."""
@@ -185,11 +192,11 @@ def priority(grid: DataFrame, p: Params = Params(), materialise_input: bool = Tr
     return scored.withColumn("priority_class", F.when(F.col("population") > 0, cls))
 
 
-def analysis_grid(inputs: Inputs, p: Params = Params()) -> DataFrame:
+def analysis_grid(inputs: Inputs, p: Params = Params(), network: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Grid -> exposure -> accessibility -> priority (the fixed stage order)."""
     g = build_grid(inputs.admin, p)
     g = materialise(exposure(g, inputs.population, inputs.flood, p), "exposure")
-    g = materialise(accessibility(g, inputs.facilities, p, materialise_input=False), "accessibility")
+    g = materialise(accessibility(g, inputs.facilities, p, materialise_input=False, network=network), "accessibility")
     return priority(g, p, materialise_input=False)
 
 
@@ -215,10 +222,10 @@ def admin_rollup(grid: DataFrame, admin: DataFrame, p: Params = Params(),
     return summaries.admin_rollup(tagged, levels)
 
 
-def pipeline_from_inputs(inputs: Inputs, p: Params = Params()) -> dict[str, DataFrame]:
+def pipeline_from_inputs(inputs: Inputs, p: Params = Params(), network: tuple[DataFrame, DataFrame] | None = None) -> dict[str, DataFrame]:
     """C9 over already-loaded inputs: every output of a run."""
     from hexaccess.operators import summaries
-    g = analysis_grid(inputs, p)
+    g = analysis_grid(inputs, p, network)
     return {
         "grid": g,
         "admin": inputs.admin,

@@ -52,6 +52,29 @@ def test_ring_with_one_source_and_empty_tables(spark):
     assert run(spark, [], {"a": 1}) == {"a": 1.0}
 
 
+def test_command_line_measures_along_roads(spark, tmp_path):
+    """One road through the study area: distances are those of the job, and no shorter than straight ones."""
+    from pyspark.sql import functions as F
+    from hexaccess.__main__ import main
+    from hexaccess.plans import jobs
+    from tests.conftest import SF_SMALL
+    points = [(27.3 + 0.3 * i, -4.4 + 0.1 * (i % 3)) for i in range(6)]
+    lines = [(i, [{"x": a[0], "y": a[1]}, {"x": b[0], "y": b[1]}]) for i, (a, b) in enumerate(zip(points, points[1:]))]
+    roads = spark.createDataFrame(lines, "id long, line array<struct<x:double,y:double>>")
+    edges, nodes = jobs.road_network(roads)
+    ends = {r[c] for r in edges.collect() for c in ("source", "target")}
+    assert {r["node"] for r in nodes.collect()} == ends and len(ends) == 6
+    roads.write.parquet(str(tmp_path / "roads"))
+    with pytest.raises(SystemExit):
+        main(["accessibility", "--sf-dir", SF_SMALL, "--method", "network"])
+    assert main(["accessibility", "--sf-dir", SF_SMALL, "--method", "network", "--roads", str(tmp_path / "roads"), "--out", str(tmp_path / "run")]) == 0
+    got = {r[0]: r[1] for r in spark.read.parquet(str(tmp_path / "run" / "grid")).where("population > 0").select("hex_id", "nearest_facility_km").collect()}
+    inp = jobs.load_inputs(spark, SF_SMALL)
+    straight = jobs.accessibility(jobs.exposure(jobs.build_grid(inp.admin), inp.population, inp.flood), inp.facilities)
+    want = {r[0]: r[1] for r in straight.where("population > 0").select("hex_id", "nearest_facility_km").collect()}
+    assert got.keys() == want.keys() and all(got[h] >= want[h] - 1e-6 for h in want) and any(got[h] > want[h] + 1 for h in want)
+
+
 def test_long_chain_takes_few_rounds(spark, monkeypatch):
     """A chain of 100,000 edges from one end: written tables grow with the logarithm of its length."""
     written = []
