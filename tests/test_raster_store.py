@@ -89,3 +89,22 @@ def test_pyramid_is_stored_level_by_level(spark, tmp_path, how):
     assert read_overview(spark, path, cell=1e9).meta.dx == 8.0
     with pytest.raises(ValueError):
         read_overview(spark, path, level=9)
+
+
+def test_files_grow_with_the_cells_and_not_with_the_blocks(spark, tmp_path):
+    """300 x 300 cells in 5,625 blocks: one file a level, the blocks in order within it, clips as before."""
+    import glob
+    r = grid(spark, 300, 300, block=4)
+    path = str(tmp_path / "p")
+    for level, stored in write_pyramid(r, path, levels=2, how="nearest").items():
+        assert len(glob.glob(f"{stored}/tile_*/**/*.parquet", recursive=True)) == 1
+        cells = read_overview(spark, path, level=level).cells
+        assert cells.where("tile_row <> floor(row / 4) OR tile_col <> floor(col / 4)").count() == 0
+        assert cells.select("tile_row", "tile_col").distinct().count() == (-(-300 // 2 ** level // 4)) ** 2
+    far = grid(spark, 600, 1100, block=256)
+    write_pyramid(far, str(tmp_path / "far"), levels=0)
+    stored = read_raster(spark, str(tmp_path / "far"))
+    clipped = raster_clip_box(stored, 505.0, 80.0, 520.0, 95.0)
+    assert len(clipped.cells.inputFiles()) >= 4 and stored.cells.select("tile_row_group", "tile_col_group").distinct().count() == 6
+    rows = lambda c: sorted(map(tuple, c.cells.select("row", "col", "value").collect()))
+    assert rows(clipped) == rows(raster_clip_box(far, 505.0, 80.0, 520.0, 95.0)) and rows(clipped)
