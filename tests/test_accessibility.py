@@ -129,3 +129,25 @@ def test_nearest_plan_sorts_no_pairs(spark):
     Fd = spark.createDataFrame([(7, 3000.0, 4000.0), (8, 1000.0, 0.0)], "id long, x double, y double")
     plan = nearest(P, Fd)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_buckets_are_counted_where_the_search_needs_them(spark, monkeypatch):
+    """20,000 evenly spread facilities and a few points: no more buckets than facilities, and some wider ones, are written."""
+    from hexaccess.operators import nearest as search
+    rows = {}
+    keep = search.materialise
+
+    def counted(df, name="stage"):
+        t = keep(df, name)
+        rows[name] = rows.get(name, 0) + t.count()
+        return t
+
+    monkeypatch.setattr(search, "materialise", counted)
+    n = 20_000
+    Fd = spark.range(n).selectExpr("id", "(id % 200) * 50D + pmod(hash(id), 40) AS x", "floor(id / 200) * 100D + pmod(hash(id, 1), 90) AS y")
+    P = spark.createDataFrame([(i, 700.0 * i, 650.0 * i) for i in range(12)], "hex_id long, x double, y double")
+    got = {r.hex_id: round(r.distance_m, 6) for r in nearest(P, Fd).collect()}
+    facs = [(r.id, r.x, r.y) for r in Fd.collect()]
+    points = [(i, 700.0 * i, 650.0 * i) for i in range(12)]
+    assert got == {p: round(v[0][1], 6) for p, v in _brute(points, facs, 1).items()}
+    assert rows["occupied"] < 2 * n
