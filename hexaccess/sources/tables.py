@@ -12,6 +12,12 @@ GEOJSON_SCHEMA = (
 )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows, dealt evenly over the session's tasks.  A small file of narrow rows is one task to Spark, however
+    much is to be done with each row."""
+    return df.withColumn("_nth", F.monotonically_increasing_id()).repartition("_nth").drop("_nth")
+
+
 def scan_table(spark: SparkSession, path: str, columns: list[str] | None = None,
                where: str | Column | None = None) -> DataFrame:
     """A stored analysis table, optionally projected and filtered.
