@@ -87,3 +87,42 @@ def test_long_chain_takes_few_rounds(spark, monkeypatch):
                        "CASE CAST(substr(node, 2) AS long) % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 3 END))) AS off").first()
     assert (row["n"], row["far"], row["off"]) == (n + 1, 2.0 * n - 1, 0.0)
     assert len(written) < 30
+
+
+def test_levels_of_kept_nodes_equal_dijkstra(spark, monkeypatch):
+    """Chains, a ring with one source, a ring without, and loops on a junction, contracted in many levels."""
+    monkeypatch.setattr(graph, "MANY_NODES", 3)
+    monkeypatch.setattr(graph, "SPREAD", 2)
+    rng = random.Random(9)
+    edges = [(f"c{i}", f"c{i + 1}", rng.randint(0, 9)) for i in range(150)] + [(f"d{i}", f"d{i + 1}", 1) for i in range(60)]
+    edges += [(f"r{i}", f"r{(i + 1) % 40}", rng.randint(1, 5)) for i in range(40)] + [(f"o{i}", f"o{(i + 1) % 30}", 1) for i in range(30)]
+    edges += [("c70", "l0", 2)] + [(f"l{i}", f"l{i + 1}", 3) for i in range(20)] + [("l20", "c70", 1), ("c20", "d0", 4), ("c90", "d60", 1)]
+    starts = {"c3": 1, "r7": 0, "c149": 2}
+    assert run(spark, edges, starts) == dijkstra(edges, starts)
+
+
+def test_long_chain_is_written_few_times(spark, monkeypatch):
+    """60,000 edges: the rows written for its chains stay a small multiple of the darts, not one copy a round."""
+    rows = []
+    keep = graph.materialise
+    monkeypatch.setattr(graph, "materialise", lambda df, name="stage": (lambda t: (rows.append((name, t.count())), t)[1])(keep(df, name)))
+    n = 60_000
+    e = spark.range(n).selectExpr("id", "concat('n', id) AS source", "concat('n', id + 1) AS target", "CAST(1 AS double) AS cost")
+    d = graph.network_distance(e, spark.createDataFrame([("n0",)], "node string"))
+    assert d.selectExpr("count(*)", "max(dist)").first() == (n + 1, float(n))
+    written = sum(r for name, r in rows if name == "graph_chains")
+    assert written < 2 * n * 6
+
+
+def test_roads_of_one_small_file_are_spread_over_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from hexaccess.sources import derived
+    spark.range(0, 40_000, 1, 1).withColumnRenamed("id", "c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
+    try:
+        lines = derived.far_road_segments_lonlat(spark, str(tmp_path))
+        counts = [r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", old)
+    assert sum(counts) == 40_000 and len(counts) >= 3 and max(counts) < 20_000
